@@ -1 +1,93 @@
-"""(filled in below)"""
+"""Streaming apply (S4, S7, T4), staged publish (S6), CSV export (S5) and
+file snapshots (S3) — each run end to end in a fresh folder under the
+shared checkpoint directory, then read back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from siltlake.operators import normalize as N
+from siltlake.plans import fixtures as X
+from siltlake.plans import q_changes  # noqa: F401  (registers apply_changes, whose oracle we reuse)
+from siltlake.plans.q_normalize import DIRTY_SPEC
+from siltlake.plans.registry import ORACLES, register
+from siltlake.session import checkpoint_dir
+from siltlake.sources import sinks as K
+from siltlake.sources.snapshot import read_changes, read_snapshot
+from siltlake.streaming.apply import VersionedTable, apply_stream
+
+
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/siltlake-{name}-{uuid.uuid4().hex[:10]}"
+
+
+def _stream_state(spark, sf_dir, buckets=16):
+    base = _scratch(spark, "stream")
+    log = X.changelog_replayed(spark, sf_dir)
+    # four files, arrival order unrelated to seq; replays land in other files
+    log.withColumn("_f", F.pmod(F.xxhash64("seq", F.rand(7)), F.lit(4))).repartition(4, "_f").drop("_f") \
+        .write.mode("overwrite").parquet(f"{base}/log")
+    target = VersionedTable(spark, f"{base}/target", "pk", "seq", buckets=buckets)
+    target.initialize(X.base_users(spark, sf_dir))
+    changes = read_changes(spark, f"{base}/log", log.schema, stream=True, max_files_per_trigger=1)
+    q = apply_stream(changes.select("pk", "seq", "op", "value"), target, f"{base}/checkpoint",
+                     dedup=("pk", "seq"))
+    q.awaitTermination()
+    return target
+
+
+@register("stream_apply")
+def q_stream_apply(spark, sf_dir):
+    """Change files -> readStream (one file per trigger) -> foreachBatch apply
+    into the bucketed target -> current live rows. Same answer as the batch
+    ``apply_changes``."""
+    return _stream_state(spark, sf_dir).state().select("pk", "seq", "value")
+
+
+ORACLES["stream_apply"] = ORACLES["apply_changes"]
+
+
+@register("published_snapshot", f"""
+WITH {X.DIRTY_ORDERS_SQL}
+SELECT o_orderkey, TRY_CAST(total_price AS DECIMAL(12,2)) AS total_price,
+       TRY_CAST(small_code AS TINYINT) AS small_code FROM dirty_orders
+""")
+def q_published_snapshot(spark, sf_dir):
+    """loosen -> write aside -> gate (row count equals the source's) -> flip pointer -> read."""
+    src = X.dirty_orders(spark, sf_dir)
+    landed = N.loosen(src, DIRTY_SPEC).select("o_orderkey", "total_price", "small_code")
+    target = _scratch(spark, "publish")
+    expected = src.count()
+    K.publish_staged(landed, target, gate=lambda staged: staged.count() == expected)
+    return K.read_published(spark, target)
+
+
+@register("export_csv", f"""
+WITH {X.DIRTY_ORDERS_SQL},
+n AS (SELECT o_orderkey, cust_ref, TRY_CAST(NULLIF(order_date, '0000-00-00 00:00:00') AS TIMESTAMP) AS order_date,
+        total_price, small_code, status, note FROM dirty_orders)
+SELECT CONCAT_WS(',', {", ".join(
+    "COALESCE('\"' || REPLACE(CAST(" + c + " AS VARCHAR), '\"', '\"\"') || '\"', 'NULL')"
+    for c in ["o_orderkey", "cust_ref", "order_date", "total_price", "small_code", "status", "note"])}) AS value
+FROM n
+""")
+def q_export_csv(spark, sf_dir):
+    path = _scratch(spark, "csv")
+    K.export_csv(N.normalize(X.dirty_orders(spark, sf_dir), DIRTY_SPEC), path, compression="gzip")
+    return spark.read.text(path)
+
+
+@register("snapshot_files", f"""
+WITH {X.DIRTY_ORDERS_SQL}
+SELECT o_orderkey, cust_ref, TRY_CAST(NULLIF(order_date, '0000-00-00 00:00:00') AS TIMESTAMP) AS order_date,
+       status FROM dirty_orders
+""")
+def q_snapshot_files(spark, sf_dir):
+    """A JSON dump of the source read back with the all-text landing schema
+    (no inference pass), then typed by ``loosen``."""
+    path = _scratch(spark, "snap")
+    X.dirty_orders(spark, sf_dir).write.json(path)
+    raw = read_snapshot(spark, path, DIRTY_SPEC, fmt="json")
+    return N.loosen(raw, DIRTY_SPEC).select("o_orderkey", "cust_ref", "order_date", "status")
