@@ -1 +1,56 @@
-"""(filled in below)"""
+"""Synthetic tables and change logs (G1, G2), driven by keys of the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from siltlake import spec as S
+from siltlake.operators import changes as C
+from siltlake.operators import synth as G
+from siltlake.plans import fixtures as X
+from siltlake.plans.registry import register
+
+SYNTH_SPEC = S.TableSpec(
+    name="widgets",
+    columns=(
+        S.ColumnSpec("id", "int", nullable=False, auto_increment=True),
+        S.ColumnSpec("quantity", "smallint"),
+        S.ColumnSpec("amount", "decimal", precision=12, scale=2),
+        S.ColumnSpec("price", "double", nullable=False),
+        S.ColumnSpec("age", "tinyint", unsigned=True),
+        S.ColumnSpec("active", "bool"),
+        S.ColumnSpec("created_at", "date"),
+        S.ColumnSpec("updated_at", "datetime"),
+        S.ColumnSpec("start_year", "year"),
+        S.ColumnSpec("title", "varchar", length=12),
+        S.ColumnSpec("body", "text"),
+        S.ColumnSpec("state", "enum", members=("new", "paid", "shipped")),
+        S.ColumnSpec("tags", "set", members=("red", "green", "blue")),
+        S.ColumnSpec("flags", "bit", length=5),
+        S.ColumnSpec("data", "blob"),
+    ),
+    primary_key=(S.KeyPart("id"),),
+)
+
+
+@register("synth_table", G.synth_table_sql(SYNTH_SPEC, "(SELECT o_orderkey AS id FROM orders) ids", seed=42))
+def q_synth_table(spark, sf_dir):
+    ids = X.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    return G.synth_table(ids, SYNTH_SPEC, seed=42)
+
+
+@register("synth_changes", G.synth_changes_sql("(SELECT c_custkey AS id FROM customer) k", seed=7))
+def q_synth_changes(spark, sf_dir):
+    keys = X.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    return G.synth_changes(keys, seed=7)
+
+
+@register("synth_latest", f"""
+WITH log AS ({G.synth_changes_sql("(SELECT c_custkey AS id FROM customer) k", seed=7)}),
+last AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY pk ORDER BY seq DESC) AS rn FROM log)
+SELECT pk, seq, op, value FROM last WHERE rn = 1 AND op <> 'delete'
+""")
+def q_synth_latest(spark, sf_dir):
+    """The generated log collapses to its live keys (G2 feeding T3)."""
+    keys = X.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    return C.latest_state(G.synth_changes(keys, seed=7))
