@@ -1,9 +1,9 @@
 """Declared partitioning -> label columns -> partitioned / clustered writes
 (L1-L7, O5).
 
-Labels are plain expressions (codegen, no shuffle). Writes shuffle once on
-(label, salt) so that one big label is spread over several tasks and files
-instead of landing in one task.
+Labels are plain expressions (codegen, no shuffle). Writes shuffle once with
+a rebalance on the labels, so one big label is split over several tasks and
+files instead of landing in one task.
 """
 
 from __future__ import annotations
@@ -120,14 +120,14 @@ def subpartition(df: DataFrame, sub: S.PartitionSpec, label: str = SUBLABEL) ->
     raise ValueError("subpartitions are HASH or KEY")
 
 
-def write_partitioned(df: DataFrame, path: str, labels: list[str] = (LABEL,), files_per_label: int = 8,
-                      mode: str = "overwrite", unrouted_path: str | None = None,
-                      salt_cols: list[str] | None = None) -> None:
+def write_partitioned(df: DataFrame, path: str, labels: list[str] = (LABEL,), mode: str = "overwrite",
+                      unrouted_path: str | None = None, max_records_per_file: int | None = None) -> None:
     """Labelled write (L7): readers prune on the label directories.
 
-    Rows are shuffled on (labels, salt) with ``salt`` a hash of the row in
-    ``[0, files_per_label)``: a label holding a third of the table is written
-    by ``files_per_label`` tasks, not one. Unrouted rows (NULL label) go to
+    Rows go through a ``REBALANCE(labels)`` shuffle: adaptive execution
+    coalesces small labels into few files and splits a skewed label (say, one
+    holding a third of the table) into partitions of the advisory size, so no
+    task writes a whole hot label. Unrouted rows (NULL label) go to
     ``unrouted_path`` (quarantine) when given."""
     labels = list(labels)
     routed = df
@@ -138,9 +138,10 @@ def write_partitioned(df: DataFrame, path: str, labels: list[str] = (LABEL,), fi
             cond = c if cond is None else cond | c
         df.where(cond).write.mode(mode).parquet(unrouted_path)
         routed = df.where(~cond)
-    hcols = [F.col(c) for c in (salt_cols or [c for c in df.columns if c not in labels])]
-    salt = F.pmod(F.xxhash64(*hcols), F.lit(files_per_label))
-    routed.repartition(*[F.col(lab) for lab in labels], salt).write.mode(mode).partitionBy(*labels).parquet(path)
+    w = routed.hint("rebalance", *labels).write.mode(mode).partitionBy(*labels)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    w.parquet(path)
 
 
 def cluster_exprs(key_parts) -> list[Column]:

@@ -128,7 +128,7 @@ def q_partitioned_write(spark, sf_dir):
     base = _scratch(spark, "layout")
     o = L.partition_range(_orders(spark, sf_dir).select("o_orderkey", "o_totalprice"), "o_totalprice",
                           [100000, 200000, 400000])
-    L.write_partitioned(o, f"{base}/data", [L.LABEL], files_per_label=4, unrouted_path=f"{base}/unrouted")
+    L.write_partitioned(o, f"{base}/data", [L.LABEL], unrouted_path=f"{base}/unrouted")
     back = spark.read.parquet(f"{base}/data")
     return back.where(F.col(L.LABEL) == "p1").select("o_orderkey", "o_totalprice")
 

@@ -81,8 +81,8 @@ class VersionedTable:
         paths = [f"{self.data_path(v)}/bucket={b}" for b, v in versions]
         if not paths:
             return None
-        df = self.spark.read.parquet(*paths)
-        return df
+        # buckets written before a schema change lack the new columns: merge footers
+        return self.spark.read.option("mergeSchema", "true").parquet(*paths)
 
     # -- read -------------------------------------------------------------
     def state(self, with_tombstones: bool = False) -> DataFrame:
@@ -95,7 +95,7 @@ class VersionedTable:
     # -- write ------------------------------------------------------------
     def _write_version(self, rows: DataFrame, version: int, touched: list[int]) -> None:
         rows = rows.withColumn(BUCKET, self.bucket_of())
-        rows.repartition(F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(
+        rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
             self.data_path(version))
         # a bucket that became empty still gets a (schema-only) version
         written = {r[BUCKET] for r in self.spark.read.parquet(self.data_path(version)).select(BUCKET).distinct().collect()}
