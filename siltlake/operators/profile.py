@@ -10,32 +10,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _long(one, cols, fields):
+    """One-row aggregate -> one row per column (narrow explode of a tiny row)."""
+    items = F.array(*[F.struct(F.lit(c).alias("column_name"),
+                               *[F.col(f"{f}{i}").cast(t).alias(name) for f, name, t in fields])
+                      for i, c in enumerate(cols)])
+    return one.select(F.explode(items).alias("_p")).select("_p.*")
+
+
+_FIELDS = [("_rows", "n_rows", "bigint"), ("_nul", "n_null", "bigint"), ("_dis", "n_distinct", "bigint"),
+           ("_min", "min_value", "string"), ("_max", "max_value", "string"), ("_len", "max_length", "bigint")]
+
+
 def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False) -> DataFrame:
     """Per column: rows, nulls, distinct values, min, max (as text) and the
     longest text form — what is needed to choose a loose landing type.
 
-    ``exact=False`` uses HyperLogLog++ (``approx_count_distinct``), one pass
-    with fixed-size state; ``exact=True`` uses ``count(DISTINCT)``, which
-    Spark plans as an Expand over the columns plus two aggregates."""
+    ``exact=False`` (default) is one pass with HyperLogLog++
+    (``approx_count_distinct``), fixed-size state per column. ``exact=True``
+    runs the plain statistics and the ``count(DISTINCT)`` columns as two
+    separate aggregates — mixing them in one would push every aggregate
+    through the Expand that distinct aggregation needs — and merges the two
+    one-row results by column name."""
     cols = columns or df.columns
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(cols):
-        x = F.col(c)
-        aggs += [
-            F.sum(x.isNull().cast("bigint")).alias(f"_nul{i}"),
-            (F.count_distinct(x) if exact else F.approx_count_distinct(x)).alias(f"_dis{i}"),
-            F.min(x).cast("string").alias(f"_min{i}"),
-            F.max(x).cast("string").alias(f"_max{i}"),
-            F.max(F.length(x.cast("string"))).alias(f"_len{i}"),
-        ]
-    one = df.agg(*aggs)
-    items = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_nul{i}").cast("bigint").alias("n_null"),
-                               F.col(f"_dis{i}").cast("bigint").alias("n_distinct"),
-                               F.col(f"_min{i}").alias("min_value"), F.col(f"_max{i}").alias("max_value"),
-                               F.col(f"_len{i}").cast("bigint").alias("max_length"))
-                      for i, c in enumerate(cols)])
-    return one.select(F.col("_rows").cast("bigint").alias("n_rows"), F.explode(items).alias("_p")).select(
-        "_p.column_name", "n_rows", "_p.n_null", "_p.n_distinct", "_p.min_value", "_p.max_value", "_p.max_length")
+
+    def stats(with_approx: bool):
+        aggs = []
+        for i, c in enumerate(cols):
+            x = F.col(c)
+            aggs += [F.count(F.lit(1)).alias(f"_rows{i}"), F.sum(x.isNull().cast("bigint")).alias(f"_nul{i}"),
+                     (F.approx_count_distinct(x) if with_approx else F.lit(None)).alias(f"_dis{i}"),
+                     F.min(x).cast("string").alias(f"_min{i}"), F.max(x).cast("string").alias(f"_max{i}"),
+                     F.max(F.length(x.cast("string"))).alias(f"_len{i}")]
+        return _long(df.agg(*aggs), cols, _FIELDS)
+
+    if not exact:
+        return stats(True)
+    distinct = df.agg(*[F.count_distinct(F.col(c)).alias(f"_dis{i}") for i, c in enumerate(cols)])
+    nulls = [(f, n, t) if f == "_dis" else (None, n, t) for f, n, t in _FIELDS]
+    dist_long = distinct.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), *[
+            (F.col(f"_dis{i}") if f else F.lit(None)).cast(t).alias(n) for f, n, t in nulls])
+        for i, c in enumerate(cols)])).alias("_p")).select("_p.*")
+    both = stats(False).unionByName(dist_long)
+    # at most two rows per column: merge them
+    return both.groupBy("column_name").agg(*[F.max(n).alias(n) for _, n, _ in _FIELDS])
 
 
 def type_census(columns_df: DataFrame) -> DataFrame:

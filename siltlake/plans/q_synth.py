@@ -33,10 +33,17 @@ SYNTH_SPEC = S.TableSpec(
 )
 
 
-@register("synth_table", G.synth_table_sql(SYNTH_SPEC, "(SELECT o_orderkey AS id FROM orders) ids", seed=42))
+_SYNTH_COLS = ", ".join("hex(data) AS data" if c.name == "data" else c.name for c in SYNTH_SPEC.columns)
+
+
+@register("synth_table", f"""
+SELECT {_SYNTH_COLS}
+FROM ({G.synth_table_sql(SYNTH_SPEC, "(SELECT o_orderkey AS id FROM orders) ids", seed=42)}) g
+""")
 def q_synth_table(spark, sf_dir):
+    """Generated rows; the blob column is shown as hex text."""
     ids = X.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
-    return G.synth_table(ids, SYNTH_SPEC, seed=42)
+    return G.synth_table(ids, SYNTH_SPEC, seed=42).withColumn("data", F.hex("data"))
 
 
 @register("synth_changes", G.synth_changes_sql("(SELECT c_custkey AS id FROM customer) k", seed=7))

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from siltlake.operators.changes import DELETE, latest_state
@@ -39,6 +38,7 @@ class VersionedTable:
         self.keys = [key] if isinstance(key, str) else list(key)
         self.seq = seq
         self.buckets = buckets
+        self._cache: tuple[dict[int, int], int | None] | None = None  # single writer: our own commits
 
     # -- layout -----------------------------------------------------------
     @property
@@ -52,32 +52,58 @@ class VersionedTable:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     # -- manifest ---------------------------------------------------------
+    # rows (bucket, version); every committed batch also writes a marker row
+    # with bucket = -1, so "was batch N committed" and "current version of
+    # each bucket" come from one small aggregate (at most B + 1 rows).
+    MARKER = -1
+
     def _manifest(self) -> DataFrame | None:
         try:
             return self.spark.read.schema("bucket int, version long").json(self.manifest_path)
         except Exception:  # noqa: BLE001 - no manifest yet
             return None
 
-    def committed_batches(self) -> DataFrame | None:
+    def _snapshot(self, refresh: bool = False) -> tuple[dict[int, int], int | None]:
+        """({bucket: current version}, last committed batch). Read from the
+        manifest once, then kept up to date by this writer's own commits (a
+        target has one writer: its streaming query)."""
+        if self._cache is not None and not refresh:
+            return self._cache
         m = self._manifest()
-        return None if m is None else m.select(F.col("version").alias("batch")).distinct()
+        if m is None:
+            return {}, None
+        rows = m.groupBy("bucket").agg(F.max("version").alias("version")).collect()
+        cur = {r["bucket"]: r["version"] for r in rows}
+        self._cache = ({b: v for b, v in cur.items() if b != self.MARKER}, cur.get(self.MARKER))
+        return self._cache
+
+    def _put_file(self, path: str, text: str) -> None:
+        """Small metadata file through the Hadoop FileSystem of ``path``
+        (any shared store): written under a temporary name, then renamed."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        final = jvm.org.apache.hadoop.fs.Path(path)
+        tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+        fs = final.getFileSystem(conf)
+        out = fs.create(tmp, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        if fs.exists(final):
+            fs.delete(final, False)
+        if not fs.rename(tmp, final):
+            raise IOError(f"could not publish {path}")
 
     def is_committed(self, batch_id: int) -> bool:
-        m = self._manifest()
-        return m is not None and not m.where(F.col("version") == batch_id).limit(1).isEmpty()
+        last = self._snapshot()[1]
+        return last is not None and batch_id <= last
 
     def current_versions(self, buckets: list[int] | None = None) -> list[tuple[int, int]]:
-        """(bucket, version) of the current version of each bucket — at most
-        ``B`` small rows, the only thing the driver reads."""
-        m = self._manifest()
-        if m is None:
-            return []
-        if buckets is not None:
-            m = m.where(F.col("bucket").isin(*buckets))
-        rows = m.groupBy("bucket").agg(F.max("version").alias("version")).collect()
-        return [(r["bucket"], r["version"]) for r in rows]
+        cur = self._snapshot()[0]
+        return sorted((b, v) for b, v in cur.items() if buckets is None or b in buckets)
 
-    def _read_buckets(self, versions: list[tuple[int, int]], schema: T.StructType | None) -> DataFrame | None:
+    def _read_buckets(self, versions: list[tuple[int, int]]) -> DataFrame | None:
         paths = [f"{self.data_path(v)}/bucket={b}" for b, v in versions]
         if not paths:
             return None
@@ -87,26 +113,30 @@ class VersionedTable:
     # -- read -------------------------------------------------------------
     def state(self, with_tombstones: bool = False) -> DataFrame:
         """Current rows (live only unless ``with_tombstones``)."""
-        df = self._read_buckets(self.current_versions(), None)
+        df = self._read_buckets(self.current_versions())
         if df is None:
             raise ValueError(f"{self.path} has no committed version")
         return df if with_tombstones else df.where(~F.col(DELETED)).drop(DELETED)
 
     # -- write ------------------------------------------------------------
-    def _write_version(self, rows: DataFrame, version: int, touched: list[int]) -> None:
+    def _write_version(self, rows: DataFrame, version: int, touched: list[int], may_be_empty: bool) -> None:
         rows = rows.withColumn(BUCKET, self.bucket_of())
-        rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
-            self.data_path(version))
-        # a bucket that became empty still gets a (schema-only) version
-        written = {r[BUCKET] for r in self.spark.read.parquet(self.data_path(version)).select(BUCKET).distinct().collect()}
-        empty = [b for b in touched if b not in written]
-        if empty:
+        rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(self.data_path(version))
+        if may_be_empty and touched:
+            # a touched bucket with no rows still gets a (schema-only) version
+            written = {r[BUCKET] for r in self.spark.read.parquet(self.data_path(version))
+                       .select(BUCKET).distinct().collect()}
             schema = rows.drop(BUCKET).schema
-            for b in empty:
+            for b in (b for b in touched if b not in written):
                 self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(
                     f"{self.data_path(version)}/bucket={b}")
-        self.spark.createDataFrame([(b, version) for b in touched], "bucket int, version long").coalesce(1).write.mode(
-            "overwrite").json(f"{self.manifest_path}/batch={version}")
+        entries = [(b, version) for b in touched] + [(self.MARKER, version)]
+        text = "".join(f'{{"bucket": {b}, "version": {v}}}\n' for b, v in entries)
+        self._put_file(f"{self.manifest_path}/batch={version}/entries.json", text)
+        cur, _ = self._snapshot()
+        cur = dict(cur)
+        cur.update({b: version for b in touched})
+        self._cache = (cur, version)
 
     def initialize(self, rows: DataFrame, version: int = -1) -> None:
         """Publish an initial snapshot (key…, seq, columns…) as ``version``."""
@@ -114,35 +144,33 @@ class VersionedTable:
             return
         if DELETED not in rows.columns:
             rows = rows.withColumn(DELETED, F.lit(False))
-        self._write_version(rows, version, list(range(self.buckets)))
+        self._write_version(rows, version, list(range(self.buckets)), may_be_empty=True)
 
     def apply_batch(self, changes: DataFrame, batch_id: int, op: str = "op") -> bool:
         """Merge one batch of changes; returns False when ``batch_id`` was
         already committed (a retry) and nothing was done."""
-        if self.is_committed(batch_id):
+        current, last = self._snapshot()
+        if last is not None and batch_id <= last:
             return False
         ch = latest_state(changes, self.keys, self.seq, op, keep_deletes=True)
         ch = ch.withColumn(DELETED, F.col(op) == DELETE).drop(op).withColumn(BUCKET, self.bucket_of())
         ch = ch.persist()
         try:
             touched = sorted(r[BUCKET] for r in ch.select(BUCKET).distinct().collect())  # <= B values
-            if not touched:
-                self._write_version(ch.drop(BUCKET).where(F.lit(False)), batch_id, [])
-                return True
-            cur = self._read_buckets(self.current_versions(touched), None)
             incoming = ch.drop(BUCKET)
+            cur = self._read_buckets(sorted((b, current[b]) for b in touched if b in current))
             if cur is not None:
-                cur = cur.drop(BUCKET)
                 # Columns new in the stream widen the target (NULL for old rows)
-                merged_in = cur.unionByName(incoming, allowMissingColumns=True)
+                merged_in = cur.drop(BUCKET).unionByName(incoming, allowMissingColumns=True)
             else:
                 merged_in = incoming
             rest = [c for c in merged_in.columns if c not in self.keys and c != self.seq]
-            last = merged_in.groupBy(*self.keys).agg(
+            last_ev = merged_in.groupBy(*self.keys).agg(
                 F.max(F.struct(F.col(self.seq), *[F.col(c) for c in rest])).alias("_l"))
-            merged = last.select(*self.keys, F.col("_l." + self.seq).alias(self.seq),
-                                 *[F.col("_l." + c).alias(c) for c in rest])
-            self._write_version(merged, batch_id, touched)
+            merged = last_ev.select(*self.keys, F.col("_l." + self.seq).alias(self.seq),
+                                    *[F.col("_l." + c).alias(c) for c in rest])
+            # every touched bucket keeps at least its incoming rows (tombstones included)
+            self._write_version(merged, batch_id, touched, may_be_empty=False)
             return True
         finally:
             ch.unpersist()
@@ -174,6 +202,7 @@ def vacuum_plan(target: VersionedTable) -> DataFrame:
     m = target._manifest()
     if m is None:
         raise ValueError("nothing committed")
+    m = m.where(F.col("bucket") != VersionedTable.MARKER)
     w = Window.partitionBy("bucket")
     return m.withColumn("_cur", F.max("version").over(w)).where(F.col("version") < F.col("_cur")).select(
         "version", "bucket")
