@@ -35,9 +35,16 @@ def _seed_expr(id_col: str, i: int, seed: int) -> str:
     return (f"((({id_col} % {M}) * {A} + CAST(FLOOR({id_col} / {M}) AS BIGINT) * {C} + {C} + {salt}) % {M})")
 
 
-def _words(h: str) -> str:
-    cases = " ".join(f"WHEN {j} THEN '{w}'" for j, w in enumerate(WORDS))
-    return f"(CASE ({h}) % {len(WORDS)} {cases} END)"
+def _pick(values, h: str, engine: str) -> str:
+    """The ``h mod len``-th of a constant list (1-based lookup in both engines).
+
+    A constant array keeps the generated code small — a CASE per value would
+    make the fused whole-stage method too big for the JIT to compile."""
+    lit = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+    idx = f"CAST(({h}) % {len(values)} + 1 AS INTEGER)"
+    if engine == "spark":
+        return f"element_at(array({lit}), {idx})"
+    return f"([{lit}])[{idx}]"
 
 
 def value_sql(c: S.ColumnSpec, a: str, b: str, engine: str = "spark") -> str:
@@ -72,47 +79,55 @@ def value_sql(c: S.ColumnSpec, a: str, b: str, engine: str = "spark") -> str:
     if k in S.BINARY_TYPES:
         return f"unhex(lpad(hex({a}), 8, '0'))"
     if k == "enum" and c.members:
-        cases = " ".join(f"WHEN {j} THEN '{m}'" for j, m in enumerate(c.members))
-        return f"(CASE {a} % {len(c.members)} {cases} END)"
+        return _pick(c.members, a, engine)
     if k == "set" and c.members:
         n = len(c.members)
-        first = " ".join(f"WHEN {j} THEN '{m}'" for j, m in enumerate(c.members))
-        both = " ".join(f"WHEN {j} THEN '{m},{c.members[(j + 1) % n]}'" for j, m in enumerate(c.members))
-        return f"(CASE WHEN {b} % 2 = 0 THEN (CASE {a} % {n} {first} END) ELSE (CASE {a} % {n} {both} END) END)"
-    text = f"({_words(a)} || ' ' || {_words(b)})"
+        # one member, or two neighbouring members: 2n choices
+        choices = list(c.members) + [f"{m},{c.members[(j + 1) % n]}" for j, m in enumerate(c.members)]
+        return _pick(choices, f"{a} % {n} + {n} * ({b} % 2)", engine)
+    text = f"({_pick(WORDS, a, engine)} || ' ' || {_pick(WORDS, b, engine)})"
     if c.length:
         return f"substr({text}, 1, {c.length})"
     return text
 
 
-def column_sql(spec: S.TableSpec, id_col: str = "id", seed: int = 0, engine: str = "spark") -> list[tuple[str, str]]:
-    """(name, SQL) per declared column; NULL for about 1 in 10 rows of a
-    nullable column; an ``auto_increment`` / single primary-key column is the id."""
+def hash_sql(spec: S.TableSpec, id_col: str = "id", seed: int = 0) -> list[tuple[str, str]]:
+    """Three mixed integers per column, computed once: ``_a{i}``, ``_b{i}``, ``_c{i}``."""
+    out = []
+    for i, _ in enumerate(spec.columns):
+        out += [(f"_a{i}", _seed_expr(id_col, i, seed)), (f"_b{i}", _mix(f"_a{i}")), (f"_c{i}", _mix(f"_b{i}"))]
+    return out
+
+
+def column_sql(spec: S.TableSpec, id_col: str = "id", engine: str = "spark") -> list[tuple[str, str]]:
+    """(name, SQL over the hash columns) per declared column; NULL for about
+    1 in 10 rows of a nullable column; an ``auto_increment`` / single
+    primary-key column is the id itself."""
     out = []
     pk = [p.column for p in spec.primary_key]
     for i, c in enumerate(spec.columns):
         if c.auto_increment or (pk == [c.name]):
             out.append((c.name, f"CAST({id_col} AS BIGINT)"))
             continue
-        a = _seed_expr(id_col, i, seed)
-        b = _mix(a)
-        v = value_sql(c, a, _mix(b), engine)
+        v = value_sql(c, f"_a{i}", f"_c{i}", engine)
         if c.nullable:
-            v = f"(CASE WHEN {b} % 10 = 0 THEN NULL ELSE {v} END)"
+            v = f"(CASE WHEN _b{i} % 10 = 0 THEN NULL ELSE {v} END)"
         out.append((c.name, v))
     return out
 
 
 def synth_table(ids: DataFrame, spec: S.TableSpec, seed: int = 0, id_col: str = "id") -> DataFrame:
-    """Rows for ``spec``, one per id of ``ids`` (G1). A narrow projection:
-    as parallel as ``ids``, nothing shuffled."""
-    return ids.select(*[F.expr(sql).alias(name) for name, sql in column_sql(spec, id_col, seed)])
+    """Rows for ``spec``, one per id of ``ids`` (G1). Two narrow projections
+    (hashes, then values): as parallel as ``ids``, nothing shuffled."""
+    h = ids.select(F.col(id_col), *[F.expr(sql).alias(name) for name, sql in hash_sql(spec, id_col, seed)])
+    return h.select(*[F.expr(sql).alias(name) for name, sql in column_sql(spec, id_col)])
 
 
 def synth_table_sql(spec: S.TableSpec, source: str, seed: int = 0, id_col: str = "id") -> str:
     """The same generator as DuckDB SQL over ``source`` (a relation with ``id_col``)."""
-    cols = ", ".join(f"{sql} AS {name}" for name, sql in column_sql(spec, id_col, seed, engine="duckdb"))
-    return f"SELECT {cols} FROM {source}"
+    hashes = ", ".join(f"{sql} AS {name}" for name, sql in hash_sql(spec, id_col, seed))
+    cols = ", ".join(f"{sql} AS {name}" for name, sql in column_sql(spec, id_col, engine="duckdb"))
+    return f"SELECT {cols} FROM (SELECT {id_col}, {hashes} FROM {source}) h"
 
 
 def _changes_parts(key: str, seed: int, max_events: int) -> dict[str, str]:
