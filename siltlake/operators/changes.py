@@ -26,10 +26,12 @@ def latest_state(changes: DataFrame, key: str | list[str] = "pk", seq: str = "se
                  keep_deletes: bool = False, deleted_col: str | None = None) -> DataFrame:
     """Last event per key by ``seq`` (T3); a delete removes the key.
 
-    ``max(struct(seq, …))`` is an ordinary aggregate: Spark runs it as a
-    partial (map-side) plus final hash aggregate, so a hot key is reduced to
-    one row per task before the shuffle and nothing is sorted. Ties on ``seq``
-    are broken by the remaining fields, so the result is deterministic.
+    ``max(struct(seq, …))`` is an ordinary aggregate with a partial
+    (map-side) step: each task reduces its own rows to one per key before the
+    shuffle (a struct buffer makes it sort-based: tasks sort only their own
+    split, with spill), so a hot key costs one row per task, not one task.
+    Ties on ``seq`` are broken by the remaining fields, so the result is
+    deterministic.
     With ``keep_deletes`` the tombstones stay (flag in ``deleted_col``)."""
     ks = _keys(key)
     rest = [c for c in changes.columns if c not in ks and c != seq]
@@ -173,16 +175,20 @@ def applied_set(changes: DataFrame, server: str = "server_uuid", txn: str = "txn
                       F.col("_hi").alias("interval_end"), F.col("_n").cast("bigint").alias("n_txn"))
 
 
-def interval_text(islands: DataFrame, server: str = "server_uuid") -> DataFrame:
-    """``uuid:1-5:7-9`` text per server from :func:`applied_set` rows.
+def interval_text(islands: DataFrame, server: str = "server_uuid", block: int = BLOCK) -> DataFrame:
+    """The ``uuid:1-5:7-9`` text form of :func:`applied_set` rows, as ordered
+    chunks: one row ``(server, chunk, text)`` per ``interval_start // block``.
 
-    The text of one server is one value whose length grows with its number of
-    intervals; use it for reports on compacted sets, not as a data path."""
+    The text of a whole server grows with its number of intervals, so it is
+    never built in one group: each chunk holds the intervals starting in one
+    block (bounded by the block size), and the full set is
+    ``server + ':' + chunk texts joined by ':' in chunk order``."""
     iv = F.when(F.col("interval_start") == F.col("interval_end"), F.col("interval_start").cast("string")).otherwise(
         F.concat(F.col("interval_start").cast("string"), F.lit("-"), F.col("interval_end").cast("string")))
+    chunk = F.floor(F.col("interval_start") / F.lit(block)).cast("bigint")
     parts = F.array_sort(F.collect_list(F.struct(F.col("interval_start"), iv.alias("t"))))
-    return islands.groupBy(server).agg(
-        F.concat_ws(":", F.col(server), F.array_join(F.transform(parts, lambda x: x["t"]), ":")).alias("gtid_set"))
+    return islands.groupBy(F.col(server), chunk.alias("chunk")).agg(
+        F.array_join(F.transform(parts, lambda x: x["t"]), ":").alias("text"))
 
 
 def gaps(islands: DataFrame, server: str = "server_uuid", block: int = BLOCK) -> DataFrame:

@@ -6,8 +6,8 @@
   one aggregate — a scalar subquery, so no join at all — except equality
   forms, which are semi/anti hash joins on the value.
 * Referential actions (ON DELETE / ON UPDATE) are applied in bulk with
-  joins on keys; a self reference cascades to a fixed point, one join per
-  tree level, with lineage cut by reliable checkpoints.
+  joins on keys; a self reference cascades by pointer jumping (log2 of the
+  depth rounds), with lineage cut by reliable checkpoints.
 """
 
 from __future__ import annotations
@@ -102,7 +102,7 @@ def apply_parent_changes(child: DataFrame, columns: list[str] | tuple, deleted:
     Returns ``(child_after, rejected_parents)``; RESTRICT / NO ACTION leave the
     child unchanged and return the parents that still have children.
     ``self_parent``: for a self reference, the child's own key columns; a
-    CASCADE delete then repeats level by level to a fixed point."""
+    CASCADE delete reaches every descendant (see :func:`cascade_self_delete`)."""
     cols = list(columns)
     k = len(cols)
     out, rejected = child, None
@@ -154,29 +154,49 @@ def apply_parent_changes(child: DataFrame, columns: list[str] | tuple, deleted:
 
 
 def cascade_self_delete(table: DataFrame, parent_cols: list[str], key_cols: list[str], deleted: DataFrame) -> DataFrame:
-    """ON DELETE CASCADE on a self reference: rows whose parent is deleted are
-    deleted, level by level, until a level adds nothing.
-
-    Each level is one semi join of the table's (parent → key) edges with the
-    frontier, minus what is already deleted; the deleted set is written to
-    the shared checkpoint folder every level so lineage stays short and a
-    lost executor recomputes one level, not the whole chain. The driver only
-    sees one boolean per level."""
+    """ON DELETE CASCADE on a self reference: a row goes when it, or any of
+    its ancestors, is deleted (or when its parent is a deleted key).
+
+    Pointer jumping: every row carries (key, ancestor pointer, hit). One
+    self-join per round replaces the pointer by the pointer's pointer and ORs
+    in the ancestor's hit flag, so after ``r`` rounds the first ``2^r``
+    ancestors have been seen: ``log2(depth)`` rounds, not one per level, and
+    no more than ``log2(rows) + 1`` even for a cyclic reference. A row that
+    is hit stops jumping. Each round is written to the shared checkpoint
+    folder, so lineage stays one round long and a lost executor recomputes
+    one round. Only a row count and one "anything left?" flag per round reach
+    the driver. A root with many descendants is a skewed join key on the
+    probing side only; adaptive execution splits it."""
+    import math
+
     spark = table.sparkSession
     checkpoint_dir(spark)
     k = len(key_cols)
+    kn = [f"_k{i}" for i in range(k)]
+    an = [f"_a{i}" for i in range(k)]
     dn = [f"_d{i}" for i in range(k)]
-    edges = table.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(parent_cols)],
-                         *[F.col(c).alias(f"_c{i}") for i, c in enumerate(key_cols)])
-    frontier = deleted.toDF(*dn).distinct().checkpoint(eager=True)
-    done = frontier
-    while True:  # ends: every level adds rows not yet deleted, and the table is finite
-        cond = reduce(lambda a, b: a & b, [edges[f"_p{i}"] == frontier[dn[i]] for i in range(k)])
-        kids = edges.join(frontier, cond, "left_semi").select(*[F.col(f"_c{i}").alias(dn[i]) for i in range(k)])
-        new = kids.distinct().join(done, dn, "left_anti").checkpoint(eager=True)
-        if new.isEmpty():
+    d = deleted.toDF(*dn).distinct().withColumn("_seed", F.lit(True))
+    nodes = table.select(*[F.col(c).alias(n) for c, n in zip(key_cols, kn)],
+                         *[F.col(c).alias(n) for c, n in zip(parent_cols, an)]).distinct()
+    no_parent = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in an])
+    nodes = nodes.select(*kn, *[F.when(no_parent, F.lit(None)).otherwise(F.col(n)).alias(n) for n in an])
+    own = d.select(*[F.col(x).alias(y) for x, y in zip(dn, kn)], F.col("_seed").alias("_own"))
+    par = d.select(*[F.col(x).alias(y) for x, y in zip(dn, an)], F.col("_seed").alias("_par"))
+    nodes = nodes.join(own, kn, "left").join(par, an, "left")
+    nodes = nodes.select(*kn, *an, (F.coalesce("_own", F.lit(False)) | F.coalesce("_par", F.lit(False))).alias("_hit"))
+    nodes = nodes.select(*kn, *[F.when(F.col("_hit"), F.lit(None)).otherwise(F.col(n)).alias(n) for n in an],
+                         "_hit").checkpoint(eager=True)
+    rounds = math.ceil(math.log2(max(nodes.count(), 2))) + 1
+    for _ in range(rounds):
+        if nodes.where(F.col(an[0]).isNotNull()).isEmpty():
             break
-        done = done.unionByName(new).checkpoint(eager=True)
-        frontier = new
-    cond = reduce(lambda a, b: a & b, [table[c] == done[n] for c, n in zip(key_cols, dn)])
-    return table.join(done, cond, "left_anti")
+        look = nodes.select(*[F.col(x).alias(f"_l{x}") for x in kn], *[F.col(x).alias(f"_l{x}") for x in an],
+                            F.col("_hit").alias("_lhit"))
+        cond = reduce(lambda a, b: a & b, [nodes[a] == look[f"_l{kk}"] for a, kk in zip(an, kn)])
+        j = nodes.join(look, cond, "left")
+        hit = F.col("_hit") | F.coalesce(F.col("_lhit"), F.lit(False))
+        nodes = j.select(*kn, *[F.when(hit, F.lit(None)).otherwise(F.col(f"_l{a}")).alias(a) for a in an],
+                         hit.alias("_hit")).checkpoint(eager=True)
+    gone = nodes.where(F.col("_hit")).select(*kn)
+    cond = reduce(lambda a, b: a & b, [table[c] == gone[n] for c, n in zip(key_cols, kn)])
+    return table.join(gone, cond, "left_anti")

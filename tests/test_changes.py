@@ -76,8 +76,10 @@ def test_applied_set_matches_brute_force_across_blocks(spark):
 
 def test_interval_text(spark):
     df = spark.createDataFrame([("u", t) for t in (1, 2, 3, 5, 7, 8)], "server_uuid string, txn_no long")
-    r = C.interval_text(C.applied_set(df)).first()
-    assert r["gtid_set"] == "u:1-3:5:7-8"
+    rows = C.interval_text(C.applied_set(df)).collect()
+    assert [(r["server_uuid"], r["chunk"], r["text"]) for r in rows] == [("u", 0, "1-3:5:7-8")]
+    chunks = sorted((r["chunk"], r["text"]) for r in C.interval_text(C.applied_set(df, block=4), block=4).collect())
+    assert "u:" + ":".join(t for _, t in chunks) == "u:1-3:5:7-8"
 
 
 def test_row_diff_and_flatten(spark):

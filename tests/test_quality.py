@@ -102,3 +102,13 @@ def test_cascade_self_reference_fixed_point(spark):
     out, _ = R.apply_parent_changes(t, ["parent"], deleted=spark.createDataFrame([(2,)], "k int"),
                                     on_delete="CASCADE", self_parent=["k"])
     assert sorted(r["k"] for r in out.collect()) == [1, 5, 6]
+
+
+def test_cascade_deep_chain_and_cycle(spark):
+    # a chain 0 <- 1 <- ... <- 999 plus a parent-less cycle 2000 -> 2001 -> 2002 -> 2000
+    rows = [(i, i - 1 if i > 0 else None) for i in range(1000)] + [(2000, 2002), (2001, 2000), (2002, 2001)]
+    t = spark.createDataFrame(rows, "k int, parent int")
+    out = R.cascade_self_delete(t, ["parent"], ["k"], spark.createDataFrame([(500,)], "k int"))
+    assert sorted(r["k"] for r in out.collect()) == list(range(500)) + [2000, 2001, 2002]
+    out = R.cascade_self_delete(t, ["parent"], ["k"], spark.createDataFrame([(2001,), (-5,)], "k int"))
+    assert out.count() == 1000
