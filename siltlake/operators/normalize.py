@@ -62,6 +62,15 @@ def _time_interval(raw: Column) -> Column:
     return F.when(ok, F.when(sign == "-", -iv).otherwise(iv))
 
 
+_INTEGRAL_RANGE = {"byte": (-128, 127), "short": (-32768, 32767), "integer": (-2 ** 31, 2 ** 31 - 1),
+                   "long": (-2 ** 63, 2 ** 63 - 1)}
+
+
+def _integral_fits(src: T.DataType, lo: int, hi: int) -> bool:
+    a, b = _INTEGRAL_RANGE[src.typeName()]
+    return lo <= a and b <= hi
+
+
 def typed_expr(df: DataFrame, c: S.ColumnSpec) -> tuple[Column, Column]:
     """(typed value, 'was a zero date') for one declared column."""
     k, name = c.kind, c.name
@@ -79,9 +88,22 @@ def typed_expr(df: DataFrame, c: S.ColumnSpec) -> tuple[Column, Column]:
         out = v if isinstance(target, T.DecimalType) else v.cast(target)
     elif k in S.INTEGER_TYPES:
         lo, hi = (0, S.UNSIGNED_MAX[k]) if c.unsigned else S.SIGNED_RANGE[k]
-        v = raw.try_cast("decimal(20,0)") if isinstance(df.schema[name].dataType, T.StringType) else col.try_cast("decimal(20,0)")
-        ok = (v >= F.lit(lo).cast("decimal(20,0)")) & (v <= F.lit(hi).cast("decimal(20,0)"))
-        out = F.when(ok & (v == F.floor(v)), v.cast(target))
+        src = df.schema[name].dataType
+        if isinstance(src, T.IntegralType):
+            # already a whole number: only the range can be wrong
+            fits = _integral_fits(src, lo, hi)
+            out = col.cast(target) if fits else F.when(col.between(max(lo, -2 ** 63), min(hi, 2 ** 63 - 1)),
+                                                        col.cast(target))
+        elif hi <= 2 ** 63 - 1:
+            # BIGINT parse first (cheap); text like '12.0' falls back to DECIMAL
+            as_dec = raw.try_cast("decimal(38,4)")
+            v = F.coalesce(raw.try_cast("bigint"),
+                           F.when(as_dec == F.floor(as_dec), as_dec).cast("decimal(38,0)").try_cast("bigint"))
+            out = F.when(v.between(lo, hi), v.cast(target))
+        else:  # BIGINT UNSIGNED needs DECIMAL(20,0)
+            v = raw.try_cast("decimal(38,4)")
+            ok = (v >= 0) & (v <= F.lit(hi).cast("decimal(20,0)")) & (v == F.floor(v))
+            out = F.when(ok, v.cast(target))
     elif k == "year":
         v = raw.try_cast("int")
         out = F.when((v == 0) | v.between(1901, 2155), v.cast("short"))
@@ -125,8 +147,11 @@ def loosen(df: DataFrame, spec: S.TableSpec, rescued: str = "_rescued") -> DataF
         entries += [F.lit(c.name), F.when(lost, raw)]
     declared = {c.name for c in spec.columns}
     extra = [F.col(n) for n in df.columns if n not in declared]
-    rmap = (F.map_filter(F.create_map(*entries), lambda k, v: v.isNotNull()) if entries
-            else F.create_map().cast("map<string,string>"))
+    # one conditional single-entry map per column, concatenated: no lambda,
+    # so the whole projection stays inside generated code
+    empty = F.create_map().cast("map<string,string>")
+    pieces = [F.when(v.isNotNull(), F.create_map(k, v)).otherwise(empty) for k, v in zip(entries[::2], entries[1::2])]
+    rmap = F.map_concat(*pieces) if pieces else empty
     return df.select(*typed, *extra, rmap.alias(rescued))
 
 
