@@ -115,9 +115,20 @@ def dedup_changes(changes: DataFrame, ident: tuple[str, ...] = ("server_uuid", "
                   watermark: tuple[str, str] | None = None) -> DataFrame:
     """One row per event identity (T8). Batch: ``dropDuplicates``; stream:
     ``dropDuplicatesWithinWatermark`` with ``watermark=(event_time, delay)`` so
-    the dedup state stays bounded."""
+    the dedup state stays bounded.
+
+    Spark treats rows older than the watermark as late and drops them, so
+    ``delay`` must cover the log's largest disorder. The streaming apply does
+    not need this operator: its ``seq`` guard makes replays harmless without
+    any dedup state."""
     if changes.isStreaming and watermark:
-        return changes.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(ident))
+        col, delay = watermark
+        # watermarks need TIMESTAMP; change logs often carry TIMESTAMP_NTZ
+        if changes.schema[col].dataType.typeName() != "timestamp":
+            out = changes.withColumn("_event_time", F.col(col).cast("timestamp"))
+            return out.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(ident)).drop(
+                "_event_time")
+        return changes.withWatermark(col, delay).dropDuplicatesWithinWatermark(list(ident))
     return changes.dropDuplicates(list(ident))
 
 
