@@ -41,9 +41,22 @@ def export_expr(df: DataFrame, c: S.ColumnSpec) -> Column:
     return col.cast("string")
 
 
-def normalize(df: DataFrame, spec: S.TableSpec) -> DataFrame:
-    """Every declared column in declared order, in its export spelling."""
-    return df.select(*[export_expr(df, c).alias(c.name) for c in spec.columns])
+def normalize(df: DataFrame, spec: S.TableSpec, rescued: str | None = None) -> DataFrame:
+    """Every declared column in declared order, in its export spelling.
+
+    With ``rescued`` set, a value whose conversion failed (undecodable
+    spatial bytes) is kept as hex text in that ``MAP<STRING,STRING>`` column."""
+    cols = [export_expr(df, c).alias(c.name) for c in spec.columns]
+    if rescued is None:
+        return df.select(*cols)
+    out = df.select(*cols, *[F.col(c.name).alias(f"_raw_{c.name}") for c in spec.columns
+                             if c.kind in S.SPATIAL_TYPES and _is_binary(df, c.name)])
+    empty = F.create_map().cast("map<string,string>")
+    pieces = [F.when(F.col(f"_raw_{c.name}").isNotNull() & F.col(c.name).isNull(),
+                     F.create_map(F.lit(c.name), F.hex(F.col(f"_raw_{c.name}")))).otherwise(empty)
+              for c in spec.columns if f"_raw_{c.name}" in out.columns]
+    return out.select(*[c.name for c in spec.columns],
+                      (F.map_concat(*pieces) if pieces else empty).alias(rescued))
 
 
 # --------------------------------------------------------------------------

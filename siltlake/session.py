@@ -30,18 +30,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a folder every executor can reach); we only
-    fall back to a fresh temp folder when it is unset, which happens in tests.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    On a cluster this is set (a folder every executor can reach) and is used
+    as is; only when it is unset — tests — is a fresh temporary folder made.
+    The SparkContext's checkpoint folder is pointed at the same place so
+    ``DataFrame.checkpoint()`` writes there."""
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="siltlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # pragma: no cover - Spark Connect has no SparkContext
-        pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path

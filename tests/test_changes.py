@@ -144,3 +144,27 @@ def test_evolve_adds_column_with_default(spark):
     t = spark.createDataFrame([(1, 0, 1.0)], "pk long, seq long, value double")
     w = C.evolve(t, [S.ColumnSpec("note", "varchar", default="n/a")], after="pk")
     assert w.columns == ["pk", "note", "seq", "value"] and w.first()["note"] == "n/a"
+
+
+def test_on_update_timestamp_and_tombstone_compaction(spark):
+    import datetime as dt
+    t = spark.createDataFrame([(1, 1, 5.0, dt.datetime(2020, 1, 1))], "pk long, seq long, value double, updated timestamp_ntz")
+    ch = spark.createDataFrame([(1, 4, "update", 6.0, dt.datetime(2024, 5, 6, 7, 8, 9)),
+                                (2, 3, "delete", None, dt.datetime(2024, 1, 1))],
+                               "pk long, seq long, op string, value double, ts timestamp_ntz")
+    out = C.apply_changes(t, ch, columns=["value", "updated"], updated_at=("updated", "ts"), keep_tombstones=True)
+    rows = {r["pk"]: r for r in out.collect()}
+    assert rows[1]["updated"] == dt.datetime(2024, 5, 6, 7, 8, 9) and rows[1]["value"] == 6.0
+    assert rows[2]["_deleted"] is True
+    assert C.compact_tombstones(out, 10).count() == 1 and C.compact_tombstones(out, 2).count() == 2
+
+
+def test_flatten_same_code_on_stream(spark, tmp_path):
+    im = X.changelog_images(spark, SF001)
+    src = str(tmp_path / "im")
+    im.write.parquet(src)
+    stream = spark.readStream.schema(im.schema).parquet(src)
+    q = (C.flatten_changes(stream, ["type", "value"]).writeStream.format("memory").queryName("flat_out")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.table("flat_out").count() == C.flatten_changes(im, ["type", "value"]).count()

@@ -106,3 +106,13 @@ def test_add_columns_positions(spark):
     out = N.add_columns(df, [S.ColumnSpec("z", "int", default=0)], after="a")
     assert out.columns == ["a", "z", "b"]
     assert N.add_columns(df, [S.ColumnSpec("z", "int")], first=True).columns == ["z", "a", "b"]
+
+
+def test_spatial_rescue(spark):
+    good = bytes.fromhex("010100000000000000000031400000000000001C40")
+    df = spark.createDataFrame([(1, good), (2, good[:7]), (3, None)], "id int, g binary")
+    spec = S.TableSpec("p", (S.ColumnSpec("id", "int"), S.ColumnSpec("g", "point")))
+    rows = {r["id"]: (r["g"], r["_rescued"]) for r in N.normalize(df, spec, rescued="_rescued").collect()}
+    # normalize spells every non-special column as text, ids included
+    assert rows["1"] == ("POINT(17 7)", {}) and rows["2"] == (None, {"g": good[:7].hex().upper()})
+    assert rows["3"] == (None, {})
