@@ -172,7 +172,10 @@ def applied_set(changes: DataFrame, server: str = "server_uuid", txn: str = "txn
     d = d.withColumn("_g", F.col("_t") - F.row_number().over(w))
     local = d.groupBy("_s", "_b", "_g").agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"),
                                             F.count(F.lit(1)).alias("_n"))
-    edge = (F.col("_lo") == F.col("_b") * block) | (F.col("_hi") == (F.col("_b") + 1) * block - 1)
+    # coalesce keeps the two filters free of inferred IS NOT NULL predicates,
+    # so both branches share one scan + shuffle (exchange reuse)
+    edge = F.coalesce((F.col("_lo") == F.col("_b") * block) | (F.col("_hi") == (F.col("_b") + 1) * block - 1),
+                      F.lit(False))
     inner = local.where(~edge)
     touching = local.where(edge)
     w2 = Window.partitionBy("_s").orderBy("_lo")
@@ -214,10 +217,14 @@ def gaps(islands: DataFrame, server: str = "server_uuid", block: int = BLOCK) ->
     isl = isl.withColumn("_b", F.floor(F.col("_lo") / F.lit(block)).cast("bigint"))
     w = Window.partitionBy("_s", "_b").orderBy("_lo")
     isl = isl.withColumn("_next", F.lead("_lo").over(w))
+    # the per-block table comes from the same windowed rows: one shared shuffle
     blocks = isl.groupBy("_s", "_b").agg(F.min("_lo").alias("_first"))
     wb = Window.partitionBy("_s").orderBy("_b")
     blocks = blocks.withColumn("_after", F.lead("_first").over(wb)).select("_s", "_b", "_after")
-    j = isl.join(blocks, ["_s", "_b"], "left")
+    blocks = blocks.select(F.col("_s").alias("_bs"), F.col("_b").alias("_bb"), "_after")
+    # null-safe keys: no inferred IS NOT NULL filters, so the islands below
+    # both sides stay identical and their shuffles are reused
+    j = isl.join(blocks, isl["_s"].eqNullSafe(blocks["_bs"]) & isl["_b"].eqNullSafe(blocks["_bb"]), "left")
     nxt = F.coalesce(F.col("_next"), F.col("_after"))
     g = j.where(nxt.isNotNull()).select(
         F.col("_s").alias(server), (F.col("_hi") + 1).alias("gap_start"), (nxt - 1).alias("gap_end"),
