@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,11 +103,10 @@ def rule_violations(df: DataFrame, rules: list[Rule], rule_col: str = "_rule") -
     if not rules:
         return df.withColumn(rule_col, F.lit(None).cast("string")).withColumn(
             "_severity", F.lit(None).cast("string")).where(F.lit(False))
-    tags = F.array_compact(F.array(*[F.when(r.violated, F.struct(F.lit(r.name).alias("rule"),
-                                                                F.lit(r.severity).alias("severity")))
-                                     for r in rules]))
-    x = df.withColumn("_tags", tags).where(F.size("_tags") > 0)
-    x = x.withColumn("_t", F.explode("_tags")).drop("_tags")
+    any_bad = reduce(lambda a, b: a | b, [r.violated for r in rules])
+    tags = F.array(*[F.when(r.violated, F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity")))
+                     for r in rules])
+    x = df.where(any_bad).withColumn("_t", F.explode(tags)).where(F.col("_t").isNotNull())
     return x.withColumn(rule_col, F.col("_t.rule")).withColumn("_severity", F.col("_t.severity")).drop("_t")
 
 
@@ -198,14 +196,19 @@ def fk_violations(child: DataFrame, parent: DataFrame, columns: list[str] | tupl
     * SIMPLE: any NULL part -> passes; else the full key must exist.
     * FULL: all parts NULL -> passes; some NULL -> violation; none -> must exist.
     * PARTIAL: all NULL -> passes; otherwise the non-null parts must match
-      some parent row on those parts: one anti join per NULL pattern (at most
-      2^k - 1), each against the parent's distinct projection on that subset.
-
-    Parents are reduced to distinct key tuples before the join (H6); the
-    child side keeps its rows (bag semantics)."""
+      some parent row on those parts.
+
+    Each rule is one anti join, so the child is scanned once and keeps its
+    rows (bag semantics); the parent is reduced to distinct key tuples first
+    (H6). FULL needs no second pass: a row with some NULL part can never
+    equal a parent key, so the anti join keeps it by itself. PARTIAL tags
+    every child row with its NULL pattern (exactly one per row) and expands
+    each parent row into its 2^k - 1 non-empty sub-keys (NULL in the unused
+    positions); pattern and sub-key then match with null-safe equality."""
     parts = S.key_columns(parent_parts)
     cols = list(columns)
-    pnames = [f"_p{i}" for i in range(len(parts))]
+    k = len(cols)
+    pnames = [f"_p{i}" for i in range(k)]
     pkeys = parent.select(*[key_part_col(p).alias(n) for p, n in zip(parts, pnames)])
 
     def child_key(i: int) -> Column:
@@ -213,32 +216,28 @@ def fk_violations(child: DataFrame, parent: DataFrame, columns: list[str] | tupl
         c = F.col(cols[i])
         return F.substring(c.cast("string"), 1, p.prefix) if p.prefix else c
 
-    null_flags = [F.col(c).isNull() for c in cols]
     match = match.upper()
     if match in ("SIMPLE", "FULL"):
-        complete = child.where(~any_null([F.col(c) for c in cols]))
+        keep = ~any_null([F.col(c) for c in cols]) if match == "SIMPLE" else ~all_null([F.col(c) for c in cols])
         pk = pkeys.where(~any_null([F.col(n) for n in pnames])).distinct()
-        cond = reduce(lambda a, b: a & b, [child_key(i) == pk[pnames[i]] for i in range(len(cols))])
-        missing = complete.join(pk, cond, "left_anti")
-        if match == "SIMPLE":
-            return missing
-        some_null = child.where(any_null([F.col(c) for c in cols]) & ~all_null([F.col(c) for c in cols]))
-        return missing.unionByName(some_null)
+        cond = reduce(lambda a, b: a & b, [child_key(i) == pk[pnames[i]] for i in range(k)])
+        return child.where(keep).join(pk, cond, "left_anti")
     if match != "PARTIAL":
         raise ValueError(f"unknown MATCH {match}")
-    out = None
-    k = len(cols)
-    for r in range(1, k + 1):
-        for subset in combinations(range(k), r):
-            pattern = reduce(lambda a, b: a & b, [
-                (~null_flags[i]) if i in subset else null_flags[i] for i in range(k)])
-            rows = child.where(pattern)
-            pk = pkeys.select(*[pnames[i] for i in subset]).where(
-                ~any_null([F.col(pnames[i]) for i in subset])).distinct()
-            cond = reduce(lambda a, b: a & b, [child_key(i) == pk[pnames[i]] for i in subset])
-            part = rows.join(pk, cond, "left_anti")
-            out = part if out is None else out.unionByName(part)
-    return out
+    bit = [F.when(F.col(c).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(cols)]
+    tagged = child.withColumn("_pat", reduce(lambda a, b: a + b, bit)).where(F.col("_pat") > 0)
+    subsets = []
+    for m in range(1, 1 << k):
+        used = [i for i in range(k) if m >> i & 1]
+        ok = ~any_null([F.col(pnames[i]) for i in used])
+        subsets.append(F.when(ok, F.struct(F.lit(m).alias("_m"), *[
+            (F.col(pnames[i]) if i in used else F.lit(None).cast(pkeys.schema[pnames[i]].dataType)).alias(f"_v{i}")
+            for i in range(k)])))
+    expanded = pkeys.select(F.explode(F.array(*subsets)).alias("_e")).where(F.col("_e").isNotNull()).select(
+        "_e.*").distinct()
+    cond = (tagged["_pat"] == expanded["_m"]) & reduce(
+        lambda a, b: a & b, [child_key(i).eqNullSafe(expanded[f"_v{i}"]) for i in range(k)])
+    return tagged.join(expanded, cond, "left_anti").drop("_pat")
 
 
 # --------------------------------------------------------------------------
