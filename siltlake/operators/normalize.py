@@ -273,11 +273,15 @@ def assign_ids(df: DataFrame, order_by: list[str | Column], start: int = 1, id_c
     tagged = ordered.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_mid", F.monotonically_increasing_id())
     # monotonically_increasing_id = (partition << 33) + position in partition
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql.window import Window
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)))  # one row per partition: bounded by the partition count
-    out = tagged.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
+    # one count per partition (what zipWithIndex gathers too): bounded by the
+    # partition count, so the prefix sums and their broadcast are small
+    counts = sorted((r["_pid"], r["_n"]) for r in
+                    tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    rows, acc = [], 0
+    for pid, n in counts:
+        rows.append((pid, acc))
+        acc += n
+    offsets = spark.createDataFrame(rows, "_pid int, _off long")
+    out = tagged.join(F.broadcast(offsets), "_pid")
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return out.withColumn(id_col, (F.col("_off") + pos + F.lit(start)).cast("bigint")).drop("_pid", "_mid", "_off")

@@ -254,18 +254,23 @@ def quality_report(df: DataFrame, spec: S.TableSpec, parents: dict[str, DataFram
     key = sample_key or (spec.primary_key[0].column if spec.primary_key else df.columns[0])
     kc = F.col(key).cast("string")
     rules = row_rules(spec, df)
+    fks = [fk for fk in spec.foreign_keys if parents is not None and fk.parent in parents]
     parts = []
-    if rules:
-        aggs = [F.count(F.lit(1)).alias("_rows")]
-        for i, r in enumerate(rules):
-            aggs += [F.sum(r.violated.cast("bigint")).alias(f"_v{i}"), F.min(F.when(r.violated, kc)).alias(f"_s{i}")]
-        one = df.agg(*aggs)
-        items = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"),
-                                   F.col(f"_v{i}").alias("violations"), F.col(f"_s{i}").alias("sample_key"))
-                          for i, r in enumerate(rules)])
-        parts.append(one.select(F.col("_rows").alias("n_rows"), F.explode(items).alias("_r")).select(
-            "_r.rule", "_r.severity", F.coalesce(F.col("_r.violations"), F.lit(0)).cast("bigint").alias("violations"),
-            F.col("n_rows").cast("bigint").alias("n_rows"), "_r.sample_key"))
+    # one aggregate for every row-local rule; it also supplies the row count
+    # of the FK rules (their anti joins only count violations)
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, r in enumerate(rules):
+        aggs += [F.sum(r.violated.cast("bigint")).alias(f"_v{i}"), F.min(F.when(r.violated, kc)).alias(f"_s{i}")]
+    one = df.agg(*aggs)
+    items = [F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"),
+                      F.coalesce(F.col(f"_v{i}"), F.lit(0)).cast("bigint").alias("violations"),
+                      F.col(f"_s{i}").alias("sample_key")) for i, r in enumerate(rules)]
+    items += [F.struct(F.lit(f"fk:{fk.name}").alias("rule"), F.lit("error").alias("severity"),
+                       F.lit(None).cast("bigint").alias("violations"), F.lit(None).cast("string").alias("sample_key"))
+              for fk in fks]
+    if items:
+        parts.append(one.select(F.col("_rows").cast("bigint").alias("n_rows"), F.explode(F.array(*items)).alias("_r"))
+                     .select("_r.rule", "_r.severity", "_r.violations", "n_rows", "_r.sample_key"))
     key_rules = []
     if spec.primary_key:
         key_rules.append(("primary_key", spec.primary_key, True))
@@ -281,22 +286,21 @@ def quality_report(df: DataFrame, spec: S.TableSpec, parents: dict[str, DataFram
             F.lit(name).alias("rule"), F.lit("error").alias("severity"),
             F.coalesce(F.sum(F.when(bad, F.col("_n"))), F.lit(0)).cast("bigint").alias("violations"),
             F.sum("_n").cast("bigint").alias("n_rows"), F.min(F.when(bad, F.col("_sk"))).alias("sample_key")))
-    for fk in spec.foreign_keys:
-        if parents is None or fk.parent not in parents:
-            continue
+    for fk in fks:
         v = fk_violations(df, parents[fk.parent], fk.columns, fk.parent_columns, fk.match)
         parts.append(v.agg(F.lit(f"fk:{fk.name}").alias("rule"), F.lit("error").alias("severity"),
                            F.count(F.lit(1)).cast("bigint").alias("violations"),
                            F.lit(None).cast("bigint").alias("n_rows"), F.min(kc).alias("sample_key")))
-    if not rules and not key_rules:
-        parts.append(df.agg(F.lit("rows").alias("rule"), F.lit("info").alias("severity"),
-                            F.lit(0).cast("bigint").alias("violations"),
-                            F.count(F.lit(1)).cast("bigint").alias("n_rows"),
-                            F.lit(None).cast("string").alias("sample_key")))
+    if not parts:
+        parts.append(one.select(F.lit("rows").alias("rule"), F.lit("info").alias("severity"),
+                                F.lit(0).cast("bigint").alias("violations"),
+                                F.col("_rows").cast("bigint").alias("n_rows"),
+                                F.lit(None).cast("string").alias("sample_key")))
     report = reduce(lambda a, b: a.unionByName(b), parts)
-    # the report has one row per rule: a whole-table window over it is tiny
-    from pyspark.sql.window import Window
-    return report.withColumn("n_rows", F.max("n_rows").over(Window.partitionBy()))
+    # at most two rows per rule (FK: violations + row count): merge them
+    return report.groupBy("rule", "severity").agg(
+        F.max("violations").alias("violations"), F.max("n_rows").alias("n_rows"),
+        F.min("sample_key").alias("sample_key"))
 
 
 def split_clean(df: DataFrame, spec: S.TableSpec, reasons: str = "_reasons") -> tuple[DataFrame, DataFrame]:
