@@ -157,3 +157,40 @@ FROM tx GROUP BY server_uuid
 def q_change_log_audit(spark, sf_dir):
     im = X.changelog_images(spark, sf_dir)
     return C.change_log_audit(im.unionByName(im.where(F.col("seq") % 10 == 3)), ["type", "value"])
+
+
+@register("applied_set_text", f"""
+WITH {X.CHANGELOG_SQL},
+d AS (SELECT DISTINCT server_uuid, txn_no FROM changelog),
+g AS (SELECT server_uuid, txn_no, txn_no - ROW_NUMBER() OVER (PARTITION BY server_uuid ORDER BY txn_no) AS grp FROM d),
+i AS (SELECT server_uuid, MIN(txn_no) AS lo, MAX(txn_no) AS hi FROM g GROUP BY server_uuid, grp)
+SELECT server_uuid, CAST(FLOOR(lo / 256) AS BIGINT) AS chunk,
+       string_agg(CASE WHEN lo = hi THEN CAST(lo AS VARCHAR) ELSE CAST(lo AS VARCHAR) || '-' || CAST(hi AS VARCHAR) END,
+                  ':' ORDER BY lo) AS text
+FROM i GROUP BY server_uuid, CAST(FLOOR(lo / 256) AS BIGINT)
+""")
+def q_applied_set_text(spark, sf_dir):
+    """The ``uuid:1-5:7-9`` text of the applied set, in ordered per-block chunks."""
+    return C.interval_text(C.applied_set(X.changelog(spark, sf_dir), block=256), block=256)
+
+
+@register("apply_with_tombstones", f"""
+WITH {X.REPLAYED_SQL}, {X.BASE_USERS_SQL},
+last AS (SELECT pk, seq, op, value, ROW_NUMBER() OVER (PARTITION BY pk ORDER BY seq DESC) AS rn
+         FROM changelog_replayed),
+l AS (SELECT * FROM last WHERE rn = 1),
+j AS (
+  SELECT COALESCE(l.pk, b.pk) AS pk,
+         (l.pk IS NOT NULL AND (b.pk IS NULL OR l.seq > b.seq)) AS take_change,
+         l.seq AS l_seq, l.op AS l_op, l.value AS l_value, b.seq AS b_seq, b.value AS b_value
+  FROM l FULL OUTER JOIN base_users b ON l.pk = b.pk)
+SELECT pk, CASE WHEN take_change THEN l_seq ELSE b_seq END AS seq,
+       CASE WHEN take_change THEN l_value ELSE b_value END AS value,
+       COALESCE(take_change AND l_op = 'delete', false) AS _deleted
+FROM j WHERE NOT (take_change AND l_op = 'delete' AND l_seq < 2000)
+""")
+def q_apply_with_tombstones(spark, sf_dir):
+    """Apply keeping tombstones, then compact those older than seq 2000 (H5)."""
+    state = C.apply_changes(X.base_users(spark, sf_dir), X.changelog_replayed(spark, sf_dir), "pk", "seq", "op",
+                            columns=["value"], keep_tombstones=True)
+    return C.compact_tombstones(state, 2000).select("pk", "seq", "value", "_deleted")
