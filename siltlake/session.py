@@ -41,3 +41,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
+
+
+def put_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small metadata file (a pointer, a manifest entry) through the
+    Hadoop FileSystem of ``path`` — any shared store. It is written under a
+    hidden temporary name (Spark's file listing skips names starting with
+    ``.``) and renamed into place, so readers never see a partial file."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    final = jvm.org.apache.hadoop.fs.Path(path)
+    tmp = jvm.org.apache.hadoop.fs.Path(final.getParent(), "." + final.getName() + ".tmp")
+    fs = final.getFileSystem(conf)
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(final):
+        fs.delete(final, False)
+    if not fs.rename(tmp, final):
+        raise IOError(f"could not publish {path}")

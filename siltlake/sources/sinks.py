@@ -3,6 +3,8 @@ warehouse sink (S8), and member-table union (S9)."""
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from functools import reduce
 
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.functions.columns import csv_line
+from siltlake.session import put_small_file
 
 
 def union_members(tables: list[DataFrame]) -> DataFrame:
@@ -49,7 +52,8 @@ def publish_staged(df: DataFrame, target: str, gate=None, version: str | None =
 
     The data goes to ``target/v=<version>``; ``gate(staged_df)`` (e.g. a
     row-count or quality check returning bool) runs on the written copy;
-    only then is the pointer ``target/_current`` rewritten. Readers that go
+    only then is a new pointer file added under ``target/_current`` (written
+    aside, renamed into place; the newest one wins). Readers that go
     through :func:`read_published` never see a half-written table, and the
     previous version stays readable until cleaned up."""
     spark = df.sparkSession
@@ -62,13 +66,17 @@ def publish_staged(df: DataFrame, target: str, gate=None, version: str | None =
     staged = spark.read.parquet(path)
     if gate is not None and not gate(staged):
         raise ValueError(f"staged version {version} rejected by gate; pointer unchanged")
-    spark.createDataFrame([(version, path)], "version string, path string").coalesce(1).write.mode(
-        "overwrite").json(_pointer_dir(target))
+    # a new pointer file per publish; the newest name wins, nothing is rewritten
+    stamp = f"{time.time_ns():020d}"
+    put_small_file(spark, f"{_pointer_dir(target)}/{stamp}-{version}.json",
+                   json.dumps({"stamp": stamp, "version": version, "path": path}) + "\n")
     return path
 
 
 def read_published(spark: SparkSession, target: str) -> DataFrame:
-    ptr = spark.read.json(_pointer_dir(target)).select("path").first()
+    """The newest published version (pointer files are tiny: one per publish)."""
+    ptr = spark.read.schema("stamp string, version string, path string").json(_pointer_dir(target)) \
+        .orderBy(F.col("stamp").desc()).select("path").first()
     return spark.read.parquet(ptr["path"])
 
 
@@ -90,14 +98,16 @@ def write_jdbc(df: DataFrame, url: str, table: str, schema: str = "datalake", pr
                num_partitions: int = 8, batch_size: int = 10000, swap_sql: list[str] | None = None) -> None:
     """Write to ``schema.table`` through a staging table.
 
-    Tasks write ``schema.table__staging`` in parallel (at most
+    Tasks write ``schema.table__staging`` in parallel (exactly
     ``num_partitions`` connections); the caller's ``swap_sql`` (for example
     ``ALTER TABLE … RENAME``) runs afterwards through the warehouse's own
     session, so readers see the old table or the whole new one."""
     props = dict(properties or {})
     props.setdefault("batchsize", str(batch_size))
     staging = f"{schema}.{table}__staging"
-    df.coalesce(num_partitions).write.mode("overwrite").jdbc(url, staging, properties=props)
+    # repartition (not coalesce): limits the connections without shrinking
+    # the parallelism of whatever computes ``df``
+    df.repartition(num_partitions).write.mode("overwrite").jdbc(url, staging, properties=props)
     if swap_sql:
         spark = df.sparkSession
         jvm = spark.sparkContext._jvm

@@ -50,16 +50,29 @@ def read_snapshot(spark: SparkSession, source: str, spec: S.TableSpec | None = N
     * files: ``source`` is a path, ``fmt`` parquet/csv/json; with a spec,
       text formats use the all-text schema (no inference pass).
     * JDBC: ``jdbc={'url':…, 'user':…, 'password':…}``, ``source`` the table.
-      With ``partition_column`` and bounds, Spark opens ``num_partitions``
-      connections (capped at the source pool size) each reading one range."""
+      The read is split on ``partition_column`` (default: a single integer
+      primary key of the spec) into ``num_partitions`` ranges, capped at the
+      source pool size; missing bounds come from one MIN/MAX query. Columns
+      are read as text (see :func:`jdbc_query`) so zero dates survive."""
     if jdbc is not None:
         props = dict(jdbc)
         url = props.pop("url")
         dbtable = f"({jdbc_query(spec, source)}) AS snap" if spec is not None and props.pop("as_text", True) else source
         n = min(num_partitions, MAX_SOURCE_CONNECTIONS)
+        if partition_column is None and spec is not None and len(spec.primary_key) == 1:
+            pk = spec.column(spec.primary_key[0].column)
+            if pk.kind in S.INTEGER_TYPES:
+                partition_column = pk.name
         if partition_column is not None:
-            return spark.read.jdbc(url, dbtable, column=partition_column, lowerBound=lower_bound,
-                                   upperBound=upper_bound, numPartitions=n, properties=props)
+            if lower_bound is None or upper_bound is None:
+                # one tiny source-side query for the bounds (a single row)
+                b = spark.read.jdbc(url, f"(SELECT MIN(`{partition_column}`) AS lo, MAX(`{partition_column}`) AS hi "
+                                         f"FROM {source}) AS bounds", properties=props).first()
+                lower_bound = b["lo"] if lower_bound is None else lower_bound
+                upper_bound = b["hi"] if upper_bound is None else upper_bound
+            if lower_bound is not None and upper_bound is not None:
+                return spark.read.jdbc(url, dbtable, column=partition_column, lowerBound=int(lower_bound),
+                                       upperBound=int(upper_bound) + 1, numPartitions=n, properties=props)
         return spark.read.jdbc(url, dbtable, properties=props)
     reader = spark.read.options(**(options or {}))
     if fmt in ("csv", "json") and spec is not None:

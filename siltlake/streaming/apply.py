@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siltlake.operators.changes import DELETE, latest_state
+from siltlake.session import put_small_file
 
 DELETED = "_deleted"
 BUCKET = "bucket"
@@ -77,24 +78,6 @@ class VersionedTable:
         self._cache = ({b: v for b, v in cur.items() if b != self.MARKER}, cur.get(self.MARKER))
         return self._cache
 
-    def _put_file(self, path: str, text: str) -> None:
-        """Small metadata file through the Hadoop FileSystem of ``path``
-        (any shared store): written under a temporary name, then renamed."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        final = jvm.org.apache.hadoop.fs.Path(path)
-        tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-        fs = final.getFileSystem(conf)
-        out = fs.create(tmp, True)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
-        if fs.exists(final):
-            fs.delete(final, False)
-        if not fs.rename(tmp, final):
-            raise IOError(f"could not publish {path}")
-
     def is_committed(self, batch_id: int) -> bool:
         last = self._snapshot()[1]
         return last is not None and batch_id <= last
@@ -132,7 +115,7 @@ class VersionedTable:
                     f"{self.data_path(version)}/bucket={b}")
         entries = [(b, version) for b in touched] + [(self.MARKER, version)]
         text = "".join(f'{{"bucket": {b}, "version": {v}}}\n' for b, v in entries)
-        self._put_file(f"{self.manifest_path}/batch={version}/entries.json", text)
+        put_small_file(self.spark, f"{self.manifest_path}/batch={version}/entries.json", text)
         cur, _ = self._snapshot()
         cur = dict(cur)
         cur.update({b: version for b in touched})
