@@ -18,6 +18,12 @@ from siltlake.spec import KeyPart
 ZERO_DATE_TEXTS = ("0000-00-00", "0000-00-00 00:00:00")
 
 
+def int_lit(v: int, precision: int = 38) -> Column:
+    """An exact integer literal of any size (Python ints beyond BIGINT, such
+    as the BIGINT UNSIGNED maximum, cannot go through ``F.lit`` directly)."""
+    return F.lit(str(int(v))).cast(f"decimal({precision},0)")
+
+
 def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltlake import spec as S
-from siltlake.functions.columns import bit_unsigned, is_zero_date, zero_date_null
+from siltlake.functions.columns import bit_unsigned, int_lit, is_zero_date, zero_date_null
 from siltlake.functions.spatial import wkb_to_wkt
 from siltlake.session import checkpoint_dir
 
@@ -75,6 +75,13 @@ def _time_interval(raw: Column) -> Column:
     return F.when(ok, F.when(sign == "-", -iv).otherwise(iv))
 
 
+# The value ranges of the source date/time types (TIMESTAMP in UTC).
+DATE_RANGE = {
+    "date": ("1000-01-01", "9999-12-31"),
+    "datetime": ("1000-01-01 00:00:00", "9999-12-31 23:59:59.999999"),
+    "timestamp": ("1970-01-01 00:00:01", "2038-01-19 03:14:07.999999"),
+}
+
 _INTEGRAL_RANGE = {"byte": (-128, 127), "short": (-32768, 32767), "integer": (-2 ** 31, 2 ** 31 - 1),
                    "long": (-2 ** 63, 2 ** 63 - 1)}
 
@@ -97,7 +104,7 @@ def typed_expr(df: DataFrame, c: S.ColumnSpec) -> tuple[Column, Column]:
         else:
             v = raw.try_cast("decimal(20,0)")
         width = c.length or 1
-        v = F.when((v >= 0) & (v <= F.lit(2 ** width - 1).cast("decimal(20,0)")), v)
+        v = F.when((v >= 0) & (v <= int_lit(2 ** width - 1, 20)), v)
         out = v if isinstance(target, T.DecimalType) else v.cast(target)
     elif k in S.INTEGER_TYPES:
         lo, hi = (0, S.UNSIGNED_MAX[k]) if c.unsigned else S.SIGNED_RANGE[k]
@@ -115,7 +122,7 @@ def typed_expr(df: DataFrame, c: S.ColumnSpec) -> tuple[Column, Column]:
             out = F.when(v.between(lo, hi), v.cast(target))
         else:  # BIGINT UNSIGNED needs DECIMAL(20,0)
             v = raw.try_cast("decimal(38,4)")
-            ok = (v >= 0) & (v <= F.lit(hi).cast("decimal(20,0)")) & (v == F.floor(v))
+            ok = (v >= 0) & (v <= int_lit(hi, 20)) & (v == F.floor(v))
             out = F.when(ok, v.cast(target))
     elif k == "year":
         v = raw.try_cast("int")
@@ -126,6 +133,8 @@ def typed_expr(df: DataFrame, c: S.ColumnSpec) -> tuple[Column, Column]:
             out = F.when(zero, F.lit(None).cast(target)).otherwise(raw.try_cast(target))
         else:
             out = col.try_cast(target)
+        lo, hi = DATE_RANGE[k]
+        out = F.when(out.between(F.lit(lo).cast(target), F.lit(hi).cast(target)), out)
     elif k == "time":
         out = _time_interval(raw)
     elif k in S.BINARY_TYPES or k in S.SPATIAL_TYPES:

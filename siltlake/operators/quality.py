@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltlake import spec as S
-from siltlake.functions.columns import all_null, any_null, key_part_col, key_part_name
+from siltlake.functions.columns import all_null, any_null, int_lit, key_part_col, key_part_name
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,7 @@ def range_rules(spec: S.TableSpec, df: DataFrame) -> list[Rule]:
         else:
             continue
         v = _num(F.col(c.name))
-        bad = v.isNotNull() & ((v < F.lit(lo).cast("decimal(38,0)")) | (v > F.lit(hi).cast("decimal(38,0)")))
+        bad = v.isNotNull() & ((v < int_lit(lo)) | (v > int_lit(hi)))
         out.append(Rule(f"range:{c.name}", F.coalesce(bad, F.lit(False))))
     return out
 
