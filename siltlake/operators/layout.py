@@ -157,8 +157,9 @@ def clustered(df: DataFrame, key_parts, num_partitions: int | None = None) -> Da
     ASC/DESC, column prefixes and expressions. Each output file then covers a
     narrow key range, so Parquet min/max statistics prune scans."""
     order = cluster_exprs(key_parts)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without an explicit count, adaptive execution sizes the range partitions
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
 
 
 def write_clustered(df: DataFrame, path: str, key_parts, num_partitions: int | None = None,

@@ -58,7 +58,8 @@ WITH {X.DIRTY_ORDERS_SQL}
 SELECT o_orderkey, TRY_CAST(NULLIF(order_date, '0000-00-00 00:00:00') AS TIMESTAMP) AS order_date FROM dirty_orders
 """)
 def q_zero_dates(spark, sf_dir):
-    return N.normalize(X.dirty_orders(spark, sf_dir), DIRTY_SPEC).select("o_orderkey", "order_date")
+    n = N.normalize(X.dirty_orders(spark, sf_dir), DIRTY_SPEC)
+    return n.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "order_date")
 
 
 @register("loosen_rescued", f"""

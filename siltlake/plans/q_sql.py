@@ -79,7 +79,7 @@ def q_distinct(spark, sf_dir):
 
 
 @register("group_by", """
-SELECT o_orderpriority, COUNT(*) AS n_orders, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS total,
+SELECT o_orderpriority, COUNT(*) AS n_orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total,
        MIN(o_totalprice) AS min_price, MAX(o_totalprice) AS max_price, COUNT(DISTINCT o_custkey) AS n_customers
 FROM orders GROUP BY o_orderpriority
 """)
