@@ -40,6 +40,7 @@ class VersionedTable:
         self.seq = seq
         self.buckets = buckets
         self._cache: tuple[dict[int, int], int | None] | None = None  # single writer: our own commits
+        self._schema = None  # schema of the last version this writer committed
 
     # -- layout -----------------------------------------------------------
     @property
@@ -90,6 +91,10 @@ class VersionedTable:
         paths = [f"{self.data_path(v)}/bucket={b}" for b, v in versions]
         if not paths:
             return None
+        if self._schema is not None:
+            # known schema (this writer's last commit): no footer merge; older
+            # buckets lacking a newer column read it as NULL
+            return self.spark.read.schema(self._schema).parquet(*paths)
         # buckets written before a schema change lack the new columns: merge footers
         return self.spark.read.option("mergeSchema", "true").parquet(*paths)
 
@@ -103,6 +108,7 @@ class VersionedTable:
 
     # -- write ------------------------------------------------------------
     def _write_version(self, rows: DataFrame, version: int, touched: list[int], may_be_empty: bool) -> None:
+        schema = rows.schema
         rows = rows.withColumn(BUCKET, self.bucket_of())
         rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(self.data_path(version))
         if may_be_empty and touched:
@@ -120,6 +126,8 @@ class VersionedTable:
         cur = dict(cur)
         cur.update({b: version for b in touched})
         self._cache = (cur, version)
+        if self._schema is None or set(schema.fieldNames()) >= set(self._schema.fieldNames()):
+            self._schema = schema
 
     def initialize(self, rows: DataFrame, version: int = -1) -> None:
         """Publish an initial snapshot (key…, seq, columns…) as ``version``."""
