@@ -165,7 +165,7 @@ def loosen(df: DataFrame, spec: S.TableSpec, rescued: str = "_rescued") -> DataF
         out, zero = typed_expr(df, c)
         raw = F.col(c.name).cast("string") if not _is_binary(df, c.name) else F.hex(F.col(c.name))
         lost = raw.isNotNull() & out.isNull() & ~F.coalesce(zero, F.lit(False))
-        typed.append(out.alias(c.name))
+        typed.append(out.alias(c.name, metadata=S.column_metadata(c)))
         entries += [F.lit(c.name), F.when(lost, raw)]
     declared = {c.name for c in spec.columns}
     extra = [F.col(n) for n in df.columns if n not in declared]

@@ -8,7 +8,7 @@ which Spark expressions to build; it never holds data rows.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import types as T
@@ -214,21 +214,24 @@ def spark_type(col: ColumnSpec) -> T.DataType:
     return T.StringType()
 
 
+def column_metadata(c: ColumnSpec) -> dict:
+    """What the Spark type loses about the source column (unsigned, length,
+    domain, collation), kept as field metadata of the landed column."""
+    meta = {"source_type": c.kind}
+    if c.length is not None:
+        meta["length"] = c.length
+    if c.unsigned:
+        meta["unsigned"] = True
+    if c.members:
+        meta["members"] = list(c.members)
+    if c.collation:
+        meta["collation"] = c.collation
+    return meta
+
+
 def struct_type(spec: TableSpec) -> T.StructType:
     """Spark schema of the landed table; what Spark types lose rides in metadata."""
-    fields = []
-    for c in spec.columns:
-        meta = {"source_type": c.kind}
-        if c.length is not None:
-            meta["length"] = c.length
-        if c.unsigned:
-            meta["unsigned"] = True
-        if c.members:
-            meta["members"] = list(c.members)
-        if c.collation:
-            meta["collation"] = c.collation
-        fields.append(T.StructField(c.name, spark_type(c), c.nullable, meta))
-    return T.StructType(fields)
+    return T.StructType([T.StructField(c.name, spark_type(c), c.nullable, column_metadata(c)) for c in spec.columns])
 
 
 # --------------------------------------------------------------------------
@@ -294,12 +297,8 @@ def key_columns(parts: tuple[KeyPart, ...] | list) -> list[KeyPart]:
     return [p if isinstance(p, KeyPart) else KeyPart(p) for p in parts]
 
 
-def field_names(spec: TableSpec) -> list[str]:
-    return spec.column_names
-
-
 __all__ = [
     "NO_DEFAULT", "ColumnSpec", "KeyPart", "Check", "ForeignKey", "PartitionSpec", "TableSpec",
     "spark_type", "struct_type", "spec_from_columns", "column_from_metadata", "parse_members",
-    "key_columns", "field",
+    "key_columns",
 ]

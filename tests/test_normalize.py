@@ -116,3 +116,11 @@ def test_spatial_rescue(spark):
     # normalize spells every non-special column as text, ids included
     assert rows["1"] == ("POINT(17 7)", {}) and rows["2"] == (None, {"g": good[:7].hex().upper()})
     assert rows["3"] == (None, {})
+
+
+def test_loosen_keeps_source_metadata(spark):
+    spec = S.TableSpec("t", (S.ColumnSpec("u", "int", unsigned=True), S.ColumnSpec("e", "enum", members=("a", "b"))))
+    out = N.loosen(spark.createDataFrame([("1", "a")], "u string, e string"), spec)
+    assert out.schema["u"].metadata == {"source_type": "int", "unsigned": True}
+    assert out.schema["e"].metadata["members"] == ["a", "b"]
+    assert str(out.schema["u"].dataType) == "LongType()"
