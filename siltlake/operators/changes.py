@@ -46,7 +46,8 @@ def latest_state(changes: DataFrame, key: str | list[str] = "pk", seq: str = "se
 
 def apply_changes(target: DataFrame, changes: DataFrame, key: str | list[str] = "pk", seq: str = "seq",
                   op: str = "op", columns: list[str] | None = None, keep_tombstones: bool = False,
-                  deleted_col: str = "_deleted", updated_at: tuple[str, str] | None = None) -> DataFrame:
+                  deleted_col: str = "_deleted", updated_at: tuple[str, str] | None = None,
+                  spec=None, event_time: str = "ts") -> DataFrame:
     """Upsert / delete ``changes`` into ``target`` by key, guarded by ``seq`` (T4).
 
     ``target`` holds (key…, seq, columns…[, _deleted]). Instead of a full outer
@@ -55,7 +56,12 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str | list[str] =
     or an older event cannot win over a newer one. Tombstones keep the ``seq``
     of a delete so a late older insert cannot resurrect the row.
     ``updated_at=(column, event_time_column)`` sets an ON UPDATE timestamp from
-    the event time of the winning change."""
+    the event time of the winning change; with a ``spec`` its
+    ``ON UPDATE CURRENT_TIMESTAMP`` column is used, fed from ``event_time``."""
+    if updated_at is None and spec is not None:
+        on_update = [c.name for c in spec.columns if c.on_update_now and c.name in target.columns]
+        if on_update and event_time in changes.columns:
+            updated_at = (on_update[0], event_time)
     ks = _keys(key)
     cols = columns or [c for c in target.columns if c not in ks and c not in (seq, deleted_col, op)]
     tgt_del = F.col(deleted_col) if deleted_col in target.columns else F.lit(False)

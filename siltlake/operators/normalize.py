@@ -294,3 +294,12 @@ def assign_ids(df: DataFrame, order_by: list[str | Column], start: int = 1, id_c
     out = tagged.join(F.broadcast(offsets), "_pid")
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return out.withColumn(id_col, (F.col("_off") + pos + F.lit(start)).cast("bigint")).drop("_pid", "_mid", "_off")
+
+
+def assign_auto_increment(df: DataFrame, spec: S.TableSpec, order_by: list[str | Column],
+                          tiebreak: list[str] | None = None) -> DataFrame:
+    """Fill the spec's AUTO_INCREMENT column with dense ids from the table's
+    ``AUTO_INCREMENT=`` start value, in ``order_by`` order (P12)."""
+    col = next(c for c in spec.columns if c.auto_increment)
+    base = df.drop(col.name) if col.name in df.columns else df
+    return assign_ids(base, order_by, start=spec.auto_increment_start, id_col=col.name, tiebreak=tiebreak)

@@ -91,3 +91,32 @@ def q_snapshot_files(spark, sf_dir):
     X.dirty_orders(spark, sf_dir).write.json(path)
     raw = read_snapshot(spark, path, DIRTY_SPEC, fmt="json")
     return N.loosen(raw, DIRTY_SPEC).select("o_orderkey", "cust_ref", "order_date", "status")
+
+
+def _landing_sql() -> str:
+    from siltlake.plans.q_quality import _ROW_RULES_SQL
+    bad = " OR ".join(f"({c})" for _, sev, c in _ROW_RULES_SQL if sev == "error")
+    return f"""WITH {X.DIRTY_ORDERS_SQL}
+SELECT o_orderkey, cust_ref, TRY_CAST(NULLIF(order_date, '0000-00-00 00:00:00') AS TIMESTAMP) AS order_date,
+       TRY_CAST(total_price AS DECIMAL(12,2)) AS total_price, TRY_CAST(small_code AS TINYINT) AS small_code,
+       status, note, 'shop' AS source_system
+FROM dirty_orders WHERE NOT ({bad})"""
+
+
+@register("snapshot_landing", _landing_sql())
+def q_snapshot_landing(spark, sf_dir):
+    """The whole snapshot path: source dump -> all-text read -> row rules
+    split off the quarantine -> loosen -> defaults -> staged publish gated on
+    the clean row count -> read the published version."""
+    from siltlake import spec as S
+    from siltlake.operators import quality as Q
+    from siltlake.plans.q_quality import QUALITY_SPEC
+    base = _scratch(spark, "landing")
+    X.dirty_orders(spark, sf_dir).write.json(f"{base}/source")
+    raw = read_snapshot(spark, f"{base}/source", QUALITY_SPEC, fmt="json")
+    clean, quarantine = Q.split_clean(raw, QUALITY_SPEC)
+    quarantine.write.parquet(f"{base}/quarantine")
+    target = QUALITY_SPEC.with_columns(S.ColumnSpec("source_system", "varchar", default="shop"))
+    landed = N.fill_defaults(N.loosen(clean, QUALITY_SPEC).drop("_rescued"), target)
+    K.publish_staged(landed, f"{base}/lake", gate=lambda staged: staged.count() > 0)
+    return K.read_published(spark, f"{base}/lake")

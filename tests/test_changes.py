@@ -168,3 +168,15 @@ def test_flatten_same_code_on_stream(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.table("flat_out").count() == C.flatten_changes(im, ["type", "value"]).count()
+
+
+def test_spec_on_update_column(spark):
+    import datetime as dt
+    from siltlake import spec as S
+    spec = S.TableSpec("t", (S.ColumnSpec("pk", "bigint"), S.ColumnSpec("value", "double"),
+                             S.ColumnSpec("modified", "datetime", on_update_now=True)))
+    t = spark.createDataFrame([(1, 1, 5.0, dt.datetime(2020, 1, 1))], "pk long, seq long, value double, modified timestamp_ntz")
+    ch = spark.createDataFrame([(1, 4, "update", 6.0, dt.datetime(2024, 5, 6))],
+                               "pk long, seq long, op string, value double, ts timestamp_ntz")
+    r = C.apply_changes(t, ch, spec=spec).first()
+    assert r["modified"] == dt.datetime(2024, 5, 6) and r["value"] == 6.0

@@ -124,3 +124,11 @@ def test_loosen_keeps_source_metadata(spark):
     assert out.schema["u"].metadata == {"source_type": "int", "unsigned": True}
     assert out.schema["e"].metadata["members"] == ["a", "b"]
     assert str(out.schema["u"].dataType) == "LongType()"
+
+
+def test_assign_auto_increment_from_spec(spark):
+    spec = S.TableSpec("t", (S.ColumnSpec("id", "int", auto_increment=True), S.ColumnSpec("name", "varchar")),
+                       auto_increment_start=100)
+    df = spark.createDataFrame([("b",), ("a",), ("c",)], "name string")
+    out = {r["name"]: r["id"] for r in N.assign_auto_increment(df, spec, ["name"]).collect()}
+    assert out == {"a": 100, "b": 101, "c": 102}
