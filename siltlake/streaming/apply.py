@@ -112,9 +112,9 @@ class VersionedTable:
         rows = rows.withColumn(BUCKET, self.bucket_of())
         rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(self.data_path(version))
         if may_be_empty and touched:
-            # a touched bucket with no rows still gets a (schema-only) version
-            written = {r[BUCKET] for r in self.spark.read.parquet(self.data_path(version))
-                       .select(BUCKET).distinct().collect()}
+            # a touched bucket with no rows still gets a (schema-only) version;
+            # which ones were written is one directory listing, not a job
+            written = self._listed_buckets(version)
             schema = rows.drop(BUCKET).schema
             for b in (b for b in touched if b not in written):
                 self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(
@@ -129,6 +129,15 @@ class VersionedTable:
         if self._schema is None or set(schema.fieldNames()) >= set(self._schema.fieldNames()):
             self._schema = schema
 
+    def _listed_buckets(self, version: int) -> set[int]:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.data_path(version))
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return set()
+        names = [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
+        return {int(n.split("=", 1)[1]) for n in names if n.startswith(f"{BUCKET}=")}
+
     def initialize(self, rows: DataFrame, version: int = -1) -> None:
         """Publish an initial snapshot (key…, seq, columns…) as ``version``."""
         if self.is_committed(version):
