@@ -5,7 +5,7 @@ directories, plus a manifest that says which version of each bucket is
 current::
 
     <target>/data/v=<batch>/bucket=<b>/part-*.parquet
-    <target>/_manifest/batch=<batch>/part-*.json     rows (bucket, version)
+    <target>/_manifest/batch=<batch>/entries.json    rows (bucket, version), plus (-1, batch)
 
 A micro-batch collapses its changes per key (last by ``seq``, tombstones
 kept), finds the buckets it touches, merges those buckets only, writes them
@@ -83,8 +83,8 @@ class VersionedTable:
         last = self._snapshot()[1]
         return last is not None and batch_id <= last
 
-    def current_versions(self, buckets: list[int] | None = None) -> list[tuple[int, int]]:
-        cur = self._snapshot()[0]
+    def current_versions(self, buckets: list[int] | None = None, refresh: bool = False) -> list[tuple[int, int]]:
+        cur = self._snapshot(refresh)[0]
         return sorted((b, v) for b, v in cur.items() if buckets is None or b in buckets)
 
     def _read_buckets(self, versions: list[tuple[int, int]]) -> DataFrame | None:
@@ -100,8 +100,9 @@ class VersionedTable:
 
     # -- read -------------------------------------------------------------
     def state(self, with_tombstones: bool = False) -> DataFrame:
-        """Current rows (live only unless ``with_tombstones``)."""
-        df = self._read_buckets(self.current_versions())
+        """Current rows (live only unless ``with_tombstones``); re-reads the
+        manifest, so a long-lived reader sees every commit."""
+        df = self._read_buckets(self.current_versions(refresh=True))
         if df is None:
             raise ValueError(f"{self.path} has no committed version")
         return df if with_tombstones else df.where(~F.col(DELETED)).drop(DELETED)
