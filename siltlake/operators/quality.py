@@ -250,9 +250,12 @@ def quality_report(df: DataFrame, spec: S.TableSpec, parents: dict[str, DataFram
 
     All row-local rules are conditional sums in **one** aggregate; each key
     rule is one aggregate; each FK one anti join. ``sample_key`` is the
-    smallest offending key (deterministic)."""
+    smallest offending key in the key's own order (deterministic), shown as
+    text. It stays typed through every aggregate, so a numeric key keeps
+    them hash-based; it becomes text only in the few-row result."""
     key = sample_key or (spec.primary_key[0].column if spec.primary_key else df.columns[0])
-    kc = F.col(key).cast("string")
+    kc = F.col(key)
+    ktype = df.schema[key].dataType
     rules = row_rules(spec, df)
     fks = [fk for fk in spec.foreign_keys if parents is not None and fk.parent in parents]
     parts = []
@@ -266,7 +269,7 @@ def quality_report(df: DataFrame, spec: S.TableSpec, parents: dict[str, DataFram
                       F.coalesce(F.col(f"_v{i}"), F.lit(0)).cast("bigint").alias("violations"),
                       F.col(f"_s{i}").alias("sample_key")) for i, r in enumerate(rules)]
     items += [F.struct(F.lit(f"fk:{fk.name}").alias("rule"), F.lit("error").alias("severity"),
-                       F.lit(None).cast("bigint").alias("violations"), F.lit(None).cast("string").alias("sample_key"))
+                       F.lit(None).cast("bigint").alias("violations"), F.lit(None).cast(ktype).alias("sample_key"))
               for fk in fks]
     if items:
         parts.append(one.select(F.col("_rows").cast("bigint").alias("n_rows"), F.explode(F.array(*items)).alias("_r"))
@@ -295,12 +298,12 @@ def quality_report(df: DataFrame, spec: S.TableSpec, parents: dict[str, DataFram
         parts.append(one.select(F.lit("rows").alias("rule"), F.lit("info").alias("severity"),
                                 F.lit(0).cast("bigint").alias("violations"),
                                 F.col("_rows").cast("bigint").alias("n_rows"),
-                                F.lit(None).cast("string").alias("sample_key")))
+                                F.lit(None).cast(ktype).alias("sample_key")))
     report = reduce(lambda a, b: a.unionByName(b), parts)
     # at most two rows per rule (FK: violations + row count): merge them
     return report.groupBy("rule", "severity").agg(
         F.max("violations").alias("violations"), F.max("n_rows").alias("n_rows"),
-        F.min("sample_key").alias("sample_key"))
+        F.min("sample_key").cast("string").alias("sample_key"))
 
 
 def split_clean(df: DataFrame, spec: S.TableSpec, reasons: str = "_reasons") -> tuple[DataFrame, DataFrame]:

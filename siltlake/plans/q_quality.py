@@ -198,18 +198,19 @@ def _report_sql() -> str:
     for name, sev, cond in _ROW_RULES_SQL:
         rows.append(f"""SELECT '{name}' AS rule, '{sev}' AS severity,
   CAST(COALESCE(SUM(CASE WHEN {cond} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations,
-  CAST(COUNT(*) AS BIGINT) AS n_rows, MIN(CASE WHEN {cond} THEN CAST(o_orderkey AS VARCHAR) END) AS sample_key
+  CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(MIN(CASE WHEN {cond} THEN o_orderkey END) AS VARCHAR) AS sample_key
 FROM dirty_orders""")
     rows.append("""SELECT 'primary_key', 'error', CAST(COALESCE(SUM(CASE WHEN o_orderkey IS NULL OR n > 1 THEN n END), 0) AS BIGINT),
-  (SELECT COUNT(*) FROM dirty_orders), MIN(CASE WHEN o_orderkey IS NULL OR n > 1 THEN sk END)
-FROM (SELECT o_orderkey, COUNT(*) AS n, MIN(CAST(o_orderkey AS VARCHAR)) AS sk FROM dirty_orders GROUP BY o_orderkey) g""")
+  (SELECT COUNT(*) FROM dirty_orders), CAST(MIN(CASE WHEN o_orderkey IS NULL OR n > 1 THEN sk END) AS VARCHAR)
+FROM (SELECT o_orderkey, COUNT(*) AS n, MIN(o_orderkey) AS sk FROM dirty_orders GROUP BY o_orderkey) g""")
     rows.append("""SELECT 'unique:cust_ref,order_date', 'error',
   CAST(COALESCE(SUM(CASE WHEN cust_ref IS NOT NULL AND order_date IS NOT NULL AND n > 1 THEN n END), 0) AS BIGINT),
-  (SELECT COUNT(*) FROM dirty_orders), MIN(CASE WHEN cust_ref IS NOT NULL AND order_date IS NOT NULL AND n > 1 THEN sk END)
-FROM (SELECT cust_ref, order_date, COUNT(*) AS n, MIN(CAST(o_orderkey AS VARCHAR)) AS sk
+  (SELECT COUNT(*) FROM dirty_orders),
+  CAST(MIN(CASE WHEN cust_ref IS NOT NULL AND order_date IS NOT NULL AND n > 1 THEN sk END) AS VARCHAR)
+FROM (SELECT cust_ref, order_date, COUNT(*) AS n, MIN(o_orderkey) AS sk
       FROM dirty_orders GROUP BY cust_ref, order_date) g""")
     rows.append("""SELECT 'fk:fk_cust', 'error', CAST(COUNT(*) AS BIGINT), (SELECT COUNT(*) FROM dirty_orders),
-  MIN(CAST(o_orderkey AS VARCHAR))
+  CAST(MIN(o_orderkey) AS VARCHAR)
 FROM dirty_orders d WHERE cust_ref IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = d.cust_ref)""")
     return f"WITH {X.DIRTY_ORDERS_SQL}\n" + "\nUNION ALL\n".join(rows)
 
