@@ -59,11 +59,48 @@ class VersionedTable:
     # each bucket" come from one small aggregate (at most B + 1 rows).
     MARKER = -1
 
+    @property
+    def snapshots_path(self) -> str:
+        return f"{self.path}/_snapshots"
+
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        return jvm, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _list(self, path: str, prefix: str) -> list[str]:
+        """Names under ``path`` starting with ``prefix`` (one listing call)."""
+        jvm, fs = self._fs()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p) if st.getPath().getName().startswith(prefix)]
+
     def _manifest(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("bucket int, version long").json(self.manifest_path)
-        except Exception:  # noqa: BLE001 - no manifest yet
+        """Manifest rows still needed: the latest compacted snapshot (if any)
+        plus the batch entries committed after it."""
+        snaps = sorted(int(n[len("snap-"):-len(".json")]) for n in self._list(self.snapshots_path, "snap-")
+                       if n.endswith(".json"))
+        since = snaps[-1] if snaps else None
+        batches = [int(n.split("=", 1)[1]) for n in self._list(self.manifest_path, "batch=")]
+        paths = [f"{self.manifest_path}/batch={b}" for b in batches if since is None or b > since]
+        if since is not None:
+            paths.append(f"{self.snapshots_path}/snap-{since}.json")
+        if not paths:
             return None
+        return self.spark.read.schema("bucket int, version long").json(paths)
+
+    def compact_manifest(self) -> int | None:
+        """Write the current (bucket, version) pairs — at most B + 1 rows — as a
+        snapshot; readers then skip every batch entry up to it, so restart cost
+        does not grow with the length of the stream. Returns the batch it covers."""
+        current, last = self._snapshot(refresh=True)
+        if last is None:
+            return None
+        entries = sorted(current.items()) + [(self.MARKER, last)]
+        text = "".join(f'{{"bucket": {b}, "version": {v}}}\n' for b, v in entries)
+        put_small_file(self.spark, f"{self.snapshots_path}/snap-{last}.json", text)
+        return last
 
     def _snapshot(self, refresh: bool = False) -> tuple[dict[int, int], int | None]:
         """({bucket: current version}, last committed batch). Read from the
@@ -200,9 +237,10 @@ def apply_stream(changes: DataFrame, target: VersionedTable, checkpoint: str, op
 def vacuum_plan(target: VersionedTable) -> DataFrame:
     """(version, bucket) directories no longer current: safe to delete once
     no reader holds an older manifest."""
-    m = target._manifest()
-    if m is None:
-        raise ValueError("nothing committed")
+    try:  # the whole history, not just what readers need since the last snapshot
+        m = target.spark.read.schema("bucket int, version long").json(target.manifest_path)
+    except Exception as e:  # noqa: BLE001
+        raise ValueError("nothing committed") from e
     m = m.where(F.col("bucket") != VersionedTable.MARKER)
     w = Window.partitionBy("bucket")
     return m.withColumn("_cur", F.max("version").over(w)).where(F.col("version") < F.col("_cur")).select(

@@ -180,3 +180,22 @@ def test_spec_on_update_column(spark):
                                "pk long, seq long, op string, value double, ts timestamp_ntz")
     r = C.apply_changes(t, ch, spec=spec).first()
     assert r["modified"] == dt.datetime(2024, 5, 6) and r["value"] == 6.0
+
+
+def test_manifest_compaction(spark, tmp_path):
+    from siltlake.streaming.apply import VersionedTable
+    t = VersionedTable(spark, str(tmp_path / "t"), buckets=4)
+    t.initialize(spark.createDataFrame([(1, 0, 1.0), (2, 0, 2.0)], "pk long, seq long, value double"))
+    for b in range(3):
+        t.apply_batch(spark.createDataFrame([(b + 1, 10 + b, "update", float(b))],
+                                            "pk long, seq long, op string, value double"), b)
+    before = sorted(tuple(r) for r in t.state().collect())
+    assert t.compact_manifest() == 2
+    t.apply_batch(spark.createDataFrame([(9, 50, "insert", 9.0)], "pk long, seq long, op string, value double"), 3)
+    reader = VersionedTable(spark, str(tmp_path / "t"), buckets=4)  # a fresh process
+    assert reader._manifest().count() <= 4 + 1 + 2  # snapshot rows + one later batch
+    assert sorted(tuple(r) for r in reader.state().collect()) == sorted(before + [(9, 50, 9.0)])
+    assert reader.is_committed(3) and not reader.is_committed(4)
+    from siltlake.streaming.apply import vacuum_plan
+    stale = {(r["version"], r["bucket"]) for r in vacuum_plan(reader).collect()}
+    assert stale and all(v < 3 for v, _ in stale)
