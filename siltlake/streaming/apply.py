@@ -216,15 +216,17 @@ class VersionedTable:
 
 def apply_stream(changes: DataFrame, target: VersionedTable, checkpoint: str, op: str = "op",
                  available_now: bool = True, processing_time: str | None = None,
-                 dedup: tuple[str, ...] | None = None):
+                 dedup: tuple[str, ...] | None = None, compact_every: int = 100):
     """Start the streaming apply (S7): ``foreachBatch`` runs
     :meth:`VersionedTable.apply_batch` with the micro-batch id; the source
-    position lives in ``checkpoint``. Returns the ``StreamingQuery``."""
+    position lives in ``checkpoint``. Every ``compact_every`` batches the
+    manifest is compacted. Returns the ``StreamingQuery``."""
     src = changes.dropDuplicates(list(dedup)) if dedup and not changes.isStreaming else changes
 
     def run(batch: DataFrame, batch_id: int) -> None:
         b = batch.dropDuplicates(list(dedup)) if dedup else batch
-        target.apply_batch(b, batch_id, op)
+        if target.apply_batch(b, batch_id, op) and compact_every and batch_id % compact_every == compact_every - 1:
+            target.compact_manifest()
 
     w = src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if processing_time:
