@@ -33,12 +33,15 @@ class VersionedTable:
     """A keyed table stored as versioned hash buckets behind a manifest."""
 
     def __init__(self, spark: SparkSession, path: str, key: str | list[str] = "pk", seq: str = "seq",
-                 buckets: int = 64):
+                 buckets: int = 64, tombstone_retention: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = [key] if isinstance(key, str) else list(key)
         self.seq = seq
         self.buckets = buckets
+        # H5: a tombstone is dropped once it is this many seq units older than
+        # the newest event of the batch that rewrites its bucket (None: keep)
+        self.tombstone_retention = tombstone_retention
         self._cache: tuple[dict[int, int], int | None] | None = None  # single writer: our own commits
         self._schema = None  # schema of the last version this writer committed
 
@@ -207,8 +210,13 @@ class VersionedTable:
                 F.max(F.struct(F.col(self.seq), *[F.col(c) for c in rest])).alias("_l"))
             merged = last_ev.select(*self.keys, F.col("_l." + self.seq).alias(self.seq),
                                     *[F.col("_l." + c).alias(c) for c in rest])
-            # every touched bucket keeps at least its incoming rows (tombstones included)
-            self._write_version(merged, batch_id, touched, may_be_empty=False)
+            may_be_empty = False  # every touched bucket keeps at least its incoming rows
+            if self.tombstone_retention is not None:
+                newest = ch.agg(F.max(self.seq)).first()[0]  # one number, from the cached batch
+                floor = F.lit(newest - self.tombstone_retention)
+                merged = merged.where(~(F.col(DELETED) & (F.col(self.seq) < floor)))
+                may_be_empty = True
+            self._write_version(merged, batch_id, touched, may_be_empty=may_be_empty)
             return True
         finally:
             ch.unpersist()

@@ -221,3 +221,16 @@ def test_stream_resumes_from_checkpoint(spark, tmp_path):
     apply_stream(read_changes(spark, src, schema, stream=True, max_files_per_trigger=2), restarted, ck).awaitTermination()
     want = C.apply_changes(base, log, columns=["value"]).select("pk", "seq", "value")
     assert _state(restarted.state().select("pk", "seq", "value")) == _state(want)
+
+
+def test_versioned_tombstone_retention(spark, tmp_path):
+    from siltlake.streaming.apply import VersionedTable
+    t = VersionedTable(spark, str(tmp_path / "t"), buckets=2, tombstone_retention=100)
+    t.initialize(spark.createDataFrame([(1, 0, 1.0), (2, 0, 2.0)], "pk long, seq long, value double"))
+    t.apply_batch(spark.createDataFrame([(1, 10, "delete", None)], "pk long, seq long, op string, value double"), 0)
+    assert sorted(r["pk"] for r in t.state(with_tombstones=True).collect()) == [1, 2]
+    # a much later batch rewrites every bucket: the old tombstone is past retention
+    t.apply_batch(spark.createDataFrame([(k, 500, "update", 5.0) for k in range(3, 20)],
+                                        "pk long, seq long, op string, value double"), 1)
+    tomb = t.state(with_tombstones=True).where("_deleted")
+    assert tomb.count() == 0 and t.state().count() == 18
