@@ -55,6 +55,9 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str | list[str] =
     last event per key — one shuffle, partial aggregation, idempotent: a replay
     or an older event cannot win over a newer one. Tombstones keep the ``seq``
     of a delete so a late older insert cannot resurrect the row.
+    This rewrites the whole target; for a large target keep it as a
+    :class:`siltlake.streaming.apply.VersionedTable` and call its
+    ``apply_batch`` (batch jobs too), which rewrites only touched buckets.
     ``updated_at=(column, event_time_column)`` sets an ON UPDATE timestamp from
     the event time of the winning change; with a ``spec`` its
     ``ON UPDATE CURRENT_TIMESTAMP`` column is used, fed from ``event_time``."""
