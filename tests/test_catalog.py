@@ -70,3 +70,26 @@ def test_profile_approx_and_exact(spark):
     assert ex["x"]["n_distinct"] == 2 and ex["s"]["n_null"] == 1 and ex["s"]["max_length"] == 3
     ap = {r["column_name"]: r for r in profile(df).collect()}
     assert ap["x"]["n_distinct"] == 2 and ap["x"]["min_value"] == "1"
+
+
+def test_type_map_matches_the_loose_contract():
+    from pyspark.sql import types as T
+    want = {
+        ("bit", None, False): T.LongType(), ("bit", 64, False): T.DecimalType(20, 0),
+        ("tinyint", None, False): T.ByteType(), ("tinyint", None, True): T.ShortType(),
+        ("smallint", None, True): T.IntegerType(), ("mediumint", None, False): T.IntegerType(),
+        ("int", None, True): T.LongType(), ("bigint", None, False): T.LongType(),
+        ("bigint", None, True): T.DecimalType(20, 0), ("bool", None, False): T.BooleanType(),
+        ("float", None, False): T.FloatType(), ("double", None, False): T.DoubleType(),
+        ("real", None, False): T.DoubleType(), ("date", None, False): T.DateType(),
+        ("datetime", None, False): T.TimestampNTZType(), ("timestamp", None, False): T.TimestampType(),
+        ("year", None, False): T.ShortType(), ("varchar", 20, False): T.StringType(),
+        ("longblob", None, False): T.BinaryType(), ("multipolygon", None, False): T.BinaryType(),
+        ("enum", None, False): T.StringType(), ("set", None, False): T.ArrayType(T.StringType()),
+        ("json", None, False): T.StringType(),
+    }
+    for (kind, length, unsigned), t in want.items():
+        assert S.spark_type(S.ColumnSpec("c", kind, length=length, unsigned=unsigned)) == t, kind
+    assert S.spark_type(S.ColumnSpec("c", "decimal", precision=12, scale=2)) == T.DecimalType(12, 2)
+    assert S.spark_type(S.ColumnSpec("c", "decimal", precision=65, scale=2)) == T.StringType()
+    assert isinstance(S.spark_type(S.ColumnSpec("c", "time")), T.DayTimeIntervalType)
