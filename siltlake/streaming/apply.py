@@ -211,7 +211,7 @@ class VersionedTable:
             merged = last_ev.select(*self.keys, F.col("_l." + self.seq).alias(self.seq),
                                     *[F.col("_l." + c).alias(c) for c in rest])
             may_be_empty = False  # every touched bucket keeps at least its incoming rows
-            if self.tombstone_retention is not None:
+            if self.tombstone_retention is not None and touched:
                 newest = ch.agg(F.max(self.seq)).first()[0]  # one number, from the cached batch
                 floor = F.lit(newest - self.tombstone_retention)
                 merged = merged.where(~(F.col(DELETED) & (F.col(self.seq) < floor)))

@@ -234,3 +234,12 @@ def test_versioned_tombstone_retention(spark, tmp_path):
                                         "pk long, seq long, op string, value double"), 1)
     tomb = t.state(with_tombstones=True).where("_deleted")
     assert tomb.count() == 0 and t.state().count() == 18
+
+
+def test_versioned_empty_batch(spark, tmp_path):
+    from siltlake.streaming.apply import VersionedTable
+    t = VersionedTable(spark, str(tmp_path / "t"), buckets=2, tombstone_retention=10)
+    t.initialize(spark.createDataFrame([(1, 0, 1.0)], "pk long, seq long, value double"))
+    empty = spark.createDataFrame([], "pk long, seq long, op string, value double")
+    assert t.apply_batch(empty, 0) is True and t.is_committed(0)
+    assert [tuple(r) for r in t.state().collect()] == [(1, 0, 1.0)]
