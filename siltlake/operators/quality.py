@@ -47,7 +47,9 @@ def domain_rules(spec: S.TableSpec, df: DataFrame) -> list[Rule]:
         if c.kind == "enum":
             out.append(Rule(f"enum:{c.name}", F.coalesce(x.isNotNull() & ~x.isin(*c.members), F.lit(False))))
         elif c.kind == "set":
-            arr = x if df.schema[c.name].dataType.typeName() == "array" else F.split(x, ",")
+            # '' is the empty set, as in loosen
+            arr = x if df.schema[c.name].dataType.typeName() == "array" else F.when(
+                x == "", F.array().cast("array<string>")).otherwise(F.split(x, ","))
             bad = F.size(F.array_except(arr, F.array(*[F.lit(m) for m in c.members]))) > 0
             out.append(Rule(f"set:{c.name}", F.coalesce(x.isNotNull() & bad, F.lit(False))))
     return out
@@ -130,7 +132,9 @@ def domain_violations_join(df: DataFrame, column: str, members: DataFrame, is_se
     if not is_set:
         return df.where(F.col(column).isNotNull()).join(m, F.col(column) == m["member"], "left_anti")
     ids = df.withColumn("_row", F.monotonically_increasing_id())
-    el = ids.select("_row", F.explode(F.split(F.col(column), ",")).alias("_el"))
+    x = F.col(column)
+    elements = F.when(x == "", F.array().cast("array<string>")).otherwise(F.split(x, ","))  # '' = empty set
+    el = ids.select("_row", F.explode(elements).alias("_el"))
     bad = el.join(m, el["_el"] == m["member"], "left_anti").select("_row").distinct()
     return ids.join(bad, "_row", "left_semi").drop("_row")
 

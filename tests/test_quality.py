@@ -112,3 +112,20 @@ def test_cascade_deep_chain_and_cycle(spark):
     assert sorted(r["k"] for r in out.collect()) == list(range(500)) + [2000, 2001, 2002]
     out = R.cascade_self_delete(t, ["parent"], ["k"], spark.createDataFrame([(2001,), (-5,)], "k int"))
     assert out.count() == 1000
+
+
+def test_set_domain_on_loosened_arrays(spark):
+    spec = S.TableSpec("t", (S.ColumnSpec("id", "int"), S.ColumnSpec("tags", "set", members=("red", "blue"))))
+    raw = spark.createDataFrame([("1", "red,blue"), ("2", "red,pink"), ("3", ""), ("4", None)], "id string, tags string")
+    from siltlake.operators import normalize as N
+    typed = N.loosen(raw, spec)
+    assert str(typed.schema["tags"].dataType) == "ArrayType(StringType(), True)"
+    bad = sorted(r["id"] for r in Q.domain_violations(typed, spec).collect())
+    assert bad == [2]
+    assert sorted(r["id"] for r in Q.domain_violations(raw, spec).collect()) == ["2"]
+
+
+def test_set_domain_join_empty_set(spark):
+    df = spark.createDataFrame([(1, "red"), (2, "red,pink"), (3, ""), (4, None)], "id int, tags string")
+    members = spark.createDataFrame([("red",), ("blue",)], "member string")
+    assert [r["id"] for r in Q.domain_violations_join(df, "tags", members, is_set=True).collect()] == [2]
