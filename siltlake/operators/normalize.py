@@ -189,6 +189,10 @@ def default_value(c: S.ColumnSpec) -> Column:
         return F.current_timestamp().cast(S.spark_type(c))
     if c.kind == "set" and isinstance(d, str):
         return F.split(F.lit(d), ",")
+    if c.kind == "bit" and isinstance(d, str) and d.lower().startswith("b'") and d.endswith("'"):
+        return F.lit(str(int(d[2:-1] or "0", 2))).cast(S.spark_type(c))  # catalog spelling b'0101'
+    if isinstance(d, str) and len(d) >= 2 and d[0] == d[-1] == "'":
+        d = d[1:-1].replace("''", "'")  # a quoted literal as some catalogs spell it
     if isinstance(d, (list, tuple)):
         return F.array(*[F.lit(x) for x in d]).cast(S.spark_type(c))
     return F.lit(d).cast("string").try_cast(S.spark_type(c)) if isinstance(d, str) else F.lit(d).cast(S.spark_type(c))

@@ -132,3 +132,10 @@ def test_assign_auto_increment_from_spec(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",)], "name string")
     out = {r["name"]: r["id"] for r in N.assign_auto_increment(df, spec, ["name"]).collect()}
     assert out == {"a": 100, "b": 101, "c": 102}
+
+
+def test_catalog_default_spellings(spark):
+    spec = S.TableSpec("t", (S.ColumnSpec("a", "int"), S.ColumnSpec("flags", "bit", length=5, default="b'0101'"),
+                             S.ColumnSpec("name", "varchar", default="'it''s'"), S.ColumnSpec("n", "int", default="7")))
+    r = N.fill_defaults(spark.createDataFrame([(1,)], "a int"), spec).first()
+    assert r["flags"] == 5 and r["name"] == "it's" and r["n"] == 7
