@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltlake.llm import urls
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -30,3 +32,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_pack(spark, sf_dir):
     from siltlake.llm.packing import pack
     return pack(table(spark, sf_dir, "documents"), PACK_TOKENIZER)
+
+
+@register("op2_skip_chain_pii")
+def op2_skip_chain_pii(spark, sf_dir):
+    from siltlake.llm.pii import find_pii, pii_digest
+    return pii_digest(find_pii(table(spark, sf_dir, "documents")))
+
+
+@register("op3_url_vocabulary", urls.judge_sql())
+def op3_url_vocabulary(spark, sf_dir):
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@register("op4_byte_shards")
+def op4_byte_shards(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from siltlake.llm.sharding import shard_by_bytes
+    return shard_by_bytes(table(spark, sf_dir, "documents"), 16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op5_spaced_seeds")
+def op5_spaced_seeds(spark, sf_dir):
+    from siltlake.llm.decontam import find_overlaps
+    return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op7_p_stable_hashing")
+def op7_p_stable_hashing(spark, sf_dir):
+    from siltlake.llm.embeddings import near_vectors
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register("op8_pigeonring")
+def op8_pigeonring(spark, sf_dir):
+    from siltlake.llm.simhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op9_segment_edit_join")
+def op9_segment_edit_join(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from siltlake.llm.lines import dedup_lines
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    return kept.select("doc_id", "n_lines", "n_removed", "n_near", F.length("text").alias("n_chars"),
+                       F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
