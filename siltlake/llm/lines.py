@@ -150,7 +150,8 @@ def line_decisions(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
         index = lines.select("_id", "_pos", F.explode(index_keys(F.col("_line"), max_edits)).alias("_key"))
         probe = (lines.select("_id", "_pos", F.explode(probe_keys(F.col("_line"), max_edits)).alias("_k")).where("_k IS NOT NULL")
                  .select(F.col("_id").alias("_id2"), F.col("_pos").alias("_pos2"), F.col("_k.key").alias("_key"), F.col("_k.delta").alias("_delta")))
-        a, b = F.struct("_id", "_pos"), F.struct("_id2", "_pos2")
+        a = F.struct(F.col("_id").alias("_id"), F.col("_pos").alias("_pos"))
+        b = F.struct(F.col("_id2").alias("_id"), F.col("_pos2").alias("_pos"))
         met = index.join(probe, "_key").where((a < b) | (F.col("_delta") > 0) & (a > b)).select(
             F.least(a, b).alias("_a"), F.greatest(a, b).alias("_b")).distinct()
         ends = met.select(F.explode(F.array("_a", "_b")).alias("_x")).distinct().select("_x._id", "_x._pos")

@@ -24,6 +24,11 @@ the id and the text are ignored.
 from __future__ import annotations
 
 import bisect
+import os
+import re
+import sys
+import types
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,39 +41,80 @@ from siltlake.session import checkpoint_dir
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, block int, rank long"
 
+#: letters that lower-casing maps one to one and no normal form changes, then punctuation alone; or a line
+_PARTS = re.compile(r"^(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)|(.*))$", re.M)
 
-def word_ids(tokenizer, cache_words: int = CACHE_WORDS):
-    """``texts -> [little-endian uint32 id bytes per text]`` for a tokenizer
-    whose pre-tokeniser never joins characters across ASCII white space.
+
+class WordEncoder:
+    """Ids of whole texts, as little-endian uint32 bytes, for a tokenizer that
+    lower-cases, splits at white space and between letters and punctuation,
+    and marks the last token of a word.
 
     The ids of a text are then those of its white-space separated chunks, one
-    after another, so each chunk is encoded once and kept. The memory is
-    emptied when it holds ``cache_words`` chunks; long chunks are not kept."""
-    known: dict[str, bytes] = {}
-
-    def encode(words: list[str]) -> None:
-        for word, e in zip(words, tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            known[word] = np.asarray(e.ids, dtype="<u4").tobytes()
-
-    def ids_of(texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").replace("\v", " ").replace("\f", " ").split(" ")
-            try:
-                yield b"".join(map(known.__getitem__, words))
-                continue
-            except KeyError:
-                pass
-            if len(known) > cache_words:
-                known.clear()
-            encode([w for w in set(words) if w not in known])
-            yield b"".join(map(known.__getitem__, words))
-            for w in [w for w in set(words) if len(w) > 64]:
-                del known[w]
-
-    return ids_of
+    after another, and each chunk is encoded once: chunks of plain letters and
+    trailing punctuation as a word and a rest (words many at a time, without
+    the normaliser, which would not change them), all others by the full
+    tokenizer as they are. Both memories are emptied when they are full, and
+    long chunks are not kept."""
+
+    def __init__(self, path: str, room: int = CACHE_WORDS):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        self.full, self.light = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.light.normalizer = normalizers.Sequence([])
+        self.light.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.full.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[v for k, v in vocabulary.items() if k.endswith("</w>")]] = True
+        self.room, self.chunks, self.words = room, {}, {"": b""}
+
+    def _exactly(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.full.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, chunks: list[str]) -> None:
+        known = self.words
+        parts = _PARTS.findall("\n".join(chunks)) if chunks else []  # word, rest, or else the chunk
+        words = [w.lower() for w, _, _ in parts]
+        new = list(set(words).difference(known))
+        for at in range(0, len(new), 256):
+            part = new[at:at + 256]
+            ids = np.array(self.light.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            flat = ids.tobytes()
+            known.update(zip(part, [flat[i:j] for i, j in zip([0, *ends], ends)], strict=True))
+        odd = list({x for _, r, c in parts for x in (r, c)}.difference(known))
+        known.update(zip(odd, self._exactly(odd)))
+        self.chunks.update(zip(chunks, [known[w] + known[r] + known[c] for w, (_, r, c) in zip(words, parts)], strict=True))
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), 256):
+            split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").replace("\v", " ").replace("\f", " ").split(" ")
+                     for t in texts[at:at + 256]]
+            if len(self.chunks) > self.room:
+                self.chunks.clear()
+            if len(self.words) > self.room:
+                self.words = {"": b""}
+            new = list(set().union(*split).difference(self.chunks))
+            self._learn(new)
+            known = self.chunks.__getitem__
+            for words in split:
+                yield b"".join(map(known, words))
+            for c in new:
+                if len(c) > 64:
+                    del self.chunks[c]
+                    self.words.pop(c, None)
+                    self.words.pop(c.lower(), None)
+
+
+def worker_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a worker process."""
+    kept = sys.modules.setdefault("_siltlake_worker", types.ModuleType("_siltlake_worker")).__dict__
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
 
 
 def piece_table(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -80,23 +126,19 @@ def piece_table(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_i
     worker has or a name in the public tokenizer folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-        import zlib
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
         path = tokenizer
         if not os.path.isabs(path):
             import public_tokenizers
             path = public_tokenizers.path(path)
-        ids_of = word_ids(Tokenizer.from_file(path))
+        encoder = worker_encoder(path)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         block, used = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             doc, piece, start, length, crc, rank = [], [], [], [], [], []
-            texts = (t or "" for t in batch.column(1).to_pylist())
-            for d, ids in zip(doc_ids, ids_of(texts)):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for d, ids in zip(doc_ids, encoder.encode(texts)):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
