@@ -79,3 +79,24 @@ def op9_segment_edit_join(spark, sf_dir):
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
     return kept.select("doc_id", "n_lines", "n_removed", "n_near", F.length("text").alias("n_chars"),
                        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+def held_out(doc_id):
+    """The rows whose labels are never learned from."""
+    from pyspark.sql import functions as F
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
+
+
+@register("op10_kneser_ney_toxicity")
+def op10_kneser_ney_toxicity(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from siltlake.llm.toxicity import THRESHOLD, toxicity
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out("doc_id"))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "words", "evidence")
+
+
+@register("op6_bucket_pointer_refinement")
+def op6_bucket_pointer_refinement(spark, sf_dir):
+    from siltlake.llm.substrings import repeated_bytes
+    return repeated_bytes(table(spark, sf_dir, "documents")).drop("spans")

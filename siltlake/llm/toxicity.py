@@ -1,0 +1,180 @@
+"""Toxicity scores from class-conditional Kneser-Ney models.
+
+The classes are the histories of the models. With n_c(w) the occurrences of
+expression w (a word) in the labelled texts of class c, N_c their sum, N both
+sums, and T(w) the number of classes in which w occurs (the Kneser-Ney
+continuation count),
+
+    P_c(w) = max(n_c(w) - D, 0) / N_c + D * T(w) / N
+
+so what is discounted from either class goes into one backoff shared by both:
+rare expressions are smoothed towards no evidence, expressions in neither are
+none. D = n1 / (n1 + 2 n2) from the counts. The two log-likelihoods of a text
+are compared per word; a logistic map of that difference and of its standard
+error, 1 / sqrt(words), gives the score. The map is fitted on at most
+``CALIBRATION_ROWS`` labelled texts, each scored without its own counts.
+
+Counts cover every labelled text and the vocabulary of every document, and
+neither meets in one place: texts are dealt to blocks, each block asks the
+word buckets it needs for the totals of its own distinct words, and a bucket
+answers each block in the order it asked. Nothing is broadcast but the map.
+
+Labels, language, source and ids never enter a score; labels are learned only
+from the rows that ``learn`` selects. Defined results: a label of several rows
+is 1 if any is; a document without words (null, empty) gets the score of no
+evidence; repeated rows each get a score; with no labels, or only one class,
+the score is 0.5 for no evidence; empty tables give no rows; other columns are
+ignored.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from siltlake.llm.arrays import utf8_column, word_hashes, word_table
+from siltlake.llm.blocks import block_count, block_of, open_block, pack_arrays, to_blocks, unpack_arrays
+from siltlake.session import checkpoint_dir
+
+CALIBRATION_ROWS = 50_000
+THRESHOLD = 0.3
+
+
+def _words(payloads) -> tuple:
+    """A block's ids, flags, words (as numbers of its distinct words), word
+    offsets of the documents, and the sorted hashes of the distinct words."""
+    ids, flags, data, at = open_block(payloads)
+    hashes, begin = word_hashes(data, at, word_table())
+    distinct, number = np.unique(hashes, return_inverse=True)
+    return ids, flags, number, begin, distinct
+
+
+def _labels(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ids with a label, and the label."""
+    own = rows.filter(rows.column("toxic").is_valid())
+    ids, toxic = (own.column(c).to_numpy() for c in ("id", "toxic"))
+    order = np.lexsort((toxic, ids))
+    last = np.flatnonzero(np.diff(ids[order], append=-2) != 0) if len(ids) else np.empty(0, np.int64)
+    return ids[order][last], toxic[order][last]
+
+
+def _label_of(ids: np.ndarray, flags: np.ndarray, labels: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The label of each document, -1 for none."""
+    known, toxic = labels
+    if not len(known):
+        return np.full(len(ids), -1)
+    at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
+    return np.where((known[at] == ids) & (flags < 2), toxic[at], -1)
+
+
+def _bounds(distinct: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's hashes begin among the sorted hashes."""
+    edges = [np.uint64((i << 64) // buckets) for i in range(1, buckets)]
+    return np.concatenate([[0], np.searchsorted(distinct, np.array(edges, dtype=np.uint64)), [len(distinct)]]).astype(np.int64)
+
+
+def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, label, flag, words, evidence)``: the log-likelihood ratio of
+    each text, for labelled texts without their own counts. ``labels(id,
+    toxic)``; documents are kept whole in their blocks."""
+    n = block_count(docs, text_col)
+    blocks = to_blocks(docs, n, id_col, text_col)
+    dealt = labels.select(block_of("id", n).alias("block"), F.col("id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"),
+                          F.lit(None).cast("binary").alias("answer"), F.lit(None).cast("int").alias("bucket"))
+
+    def ask(block: tuple, texts: pa.Table, rows: pa.Table) -> pa.Table:
+        ids, flags, number, begin, distinct = _words(texts.column("payload").to_pylist())
+        label = np.repeat(_label_of(ids, flags, _labels(rows)), np.diff(begin))
+        counts = [np.bincount(number[label == c], minlength=len(distinct)).astype(np.uint32) for c in (1, 0)]
+        at = _bounds(distinct, n)
+        asked = [pack_arrays(distinct[i:j], *(c[i:j] for c in counts)) for i, j in zip(at, at[1:])]
+        return pa.table({"bucket": pa.array(np.arange(n, dtype=np.int32)), "block": pa.array(np.full(n, block[0].as_py(), dtype=np.int32)),
+                         "asked": pa.array(asked, pa.binary())})
+
+    def answer(bucket: tuple, rows: pa.Table) -> pa.Table:
+        parts = [unpack_arrays(p, "<u8", "<u4", "<u4") for p in rows.column("asked").to_pylist()]
+        sizes = np.cumsum([len(p[0]) for p in parts])[:-1]
+        distinct, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        totals = [np.bincount(number, weights=np.concatenate([p[k] for p in parts]), minlength=len(distinct)).astype(np.int64) for k in (1, 2)]
+        # the sums that the discount and the class sizes need go along with every answer
+        sums = np.array([totals[0].sum(), totals[1].sum(), *(sum(int((t == k).sum()) for t in totals) for k in (1, 2))], dtype=np.int64)
+        each = zip(*(np.split(t[number].astype(np.uint32), sizes) for t in totals))
+        none = pa.nulls(len(parts))
+        return pa.table({"block": rows.column("block").combine_chunks(), "id": none.cast(pa.int64()), "toxic": none.cast(pa.int32()),
+                         "answer": pa.array([pack_arrays(sums, *e) for e in each], pa.binary()), "bucket": rows.column("bucket").combine_chunks()})
+
+    def score(block: tuple, texts: pa.Table, rows: pa.Table) -> pa.Table:
+        ids, flags, number, begin, distinct = _words(texts.column("payload").to_pylist())
+        label = _label_of(ids, flags, _labels(rows))
+        got = rows.filter(rows.column("answer").is_valid())
+        order = np.argsort(got.column("bucket").to_numpy(), kind="stable")
+        answers = got.column("answer").to_pylist()
+        parts = [unpack_arrays(answers[i], "<i8", "<u4", "<u4") for i in order]
+        sums = np.sum([p[0] for p in parts], axis=0) if parts else np.zeros(4, np.int64)
+        toxic, plain = (np.concatenate([np.empty(0, np.int64), *(p[k] for p in parts)]).astype(np.int64) for k in (1, 2))
+        words = np.diff(begin)
+        doc = np.repeat(np.arange(len(ids)), words)
+        # each document's distinct words and how often it has them
+        pair, often = np.unique(doc * max(1, len(distinct)) + number, return_counts=True)
+        doc, word = pair // max(1, len(distinct)), pair % max(1, len(distinct))
+        own = label[doc]
+        weight = log_ratio(toxic[word] - often * (own == 1), plain[word] - often * (own == 0), *sums.tolist())
+        evidence = np.bincount(doc, weights=weight * often, minlength=len(ids))
+        return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=flags >= 2), "label": pa.array(label, pa.int32()),
+                         "words": pa.array(words, pa.int64()), "evidence": pa.array(evidence, pa.float64())})
+
+    by_block = blocks.groupBy("block")
+    asked = by_block.cogroup(dealt.select("block", "id", "toxic").groupBy("block")).applyInArrow(ask, "bucket int, block int, asked binary")
+    answered = asked.groupBy("bucket").applyInArrow(answer, "block int, id long, toxic int, answer binary, bucket int")
+    back = answered.union(dealt.select("block", "id", "toxic", "answer", "bucket"))
+    return by_block.cogroup(back.groupBy("block")).applyInArrow(score, "doc_id long, label int, words long, evidence double")
+
+
+def log_ratio(toxic: np.ndarray, plain: np.ndarray, all_toxic: int, all_plain: int, once: int, twice: int) -> np.ndarray:
+    """log P_1(w) - log P_0(w) from the counts of expressions in both classes,
+    the class sizes, and how many counts are 1 and 2."""
+    if not all_toxic or not all_plain:
+        return np.zeros(len(toxic))
+    d = once / (once + 2 * twice) if once and twice else 0.5
+    shared = d * ((toxic > 0).astype(float) + (plain > 0)) / (all_toxic + all_plain)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.log((np.maximum(toxic - d, 0) / all_toxic + shared) / (np.maximum(plain - d, 0) / all_plain + shared))
+    return np.where(shared > 0, ratio, 0.0)
+
+
+def fit_map(x: np.ndarray, y: np.ndarray) -> list[float]:
+    """Logistic regression by Newton steps, lightly regularised; the last
+    weight is the constant."""
+    x = np.column_stack([x, np.ones(len(x))])
+    w = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(w)), x.T @ (y - p) - 1e-3 * w)
+        w += np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    return w.tolist()
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
+             label_col: str = "toxic", calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
+    """doc_id, words, evidence (log-likelihood ratio per word), score.
+    ``learn``: which label rows may be learned from (all, if not given)."""
+    checkpoint_dir(docs.sparkSession)
+    usable = labels.where(learn) if learn is not None else labels
+    usable = usable.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
+    usable = usable.where("id IS NOT NULL AND toxic IN (0, 1)")
+    found = word_evidence(docs, usable, id_col, text_col).checkpoint()
+    per_word = F.when(F.col("words") > 0, F.col("evidence") / F.col("words")).otherwise(F.lit(0.0))
+    error = 1 / F.sqrt(F.greatest("words", F.lit(1)))
+    scored = found.select("doc_id", "label", "words", per_word.alias("evidence"), error.alias("error"))
+    # a bounded sample in a fixed random order: only the three numbers of the map are fitted on it
+    rows = (scored.where("label >= 0").orderBy(F.xxhash64("doc_id"), "doc_id", "words", "evidence").limit(calibration_rows)
+            .select("evidence", "error", "label").collect())
+    y = np.array([r["label"] for r in rows], dtype=float)
+    x = np.array([[r["evidence"], r["error"]] for r in rows], dtype=float).reshape(-1, 2)
+    a, b, c = fit_map(x, y) if 0 < y.sum() < len(y) else (1.0, 0.0, 0.0)
+    z = F.col("evidence") * a + F.col("error") * b + c
+    return scored.select("doc_id", "words", "evidence", (1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))).alias("score"))
