@@ -15,8 +15,8 @@ edit distance: one machine word holds the band of a column, one step of
 ``aggregate`` goes to the next.
 
 A line travels as two 64-bit hashes and its place; texts are shuffled whole by
-document id (once, as all uses share that exchange), and only texts of lines
-that met a key go on to the verification.
+document id, once to make the keys of first occurrences and once for the
+result, and only texts of lines that met a key go on to the verification.
 
 Defined results: a null text stays null, an empty text stays empty; documents
 with one id count as one place, so a line that both hold at the same place
@@ -29,17 +29,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltlake.session import checkpoint_dir
+
 MAX_EDITS, MIN_CHARS = 1, 30
+#: places of lines that met a key: up to this number (some 50 bytes each) they are sent to every task
+BROADCAST_LINES = 500_000
 _SEP = "\n"
 
 
+def _bind(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def edit_distance_within(a: Column, b: Column, limit: int) -> Column:
     """Edits between two texts of at least ``limit`` characters if these are
     at most ``limit``, else any larger number. Bit k of a word stands for row
     ``column - limit + k``; the score follows the band's lower edge down to
     the last row and then that row to the last column."""
-    width = 2 * limit + 1
-    full, top = (1 << width) - 1, 2 * limit
+    width, top = 2 * limit + 1, 2 * limit
+    full = F.lit((1 << width) - 1).cast("long")
 
     def codes(c: Column) -> Column:
         return F.transform(F.split(c, ""), lambda x: F.ascii(x))
@@ -48,34 +57,32 @@ def edit_distance_within(a: Column, b: Column, limit: int) -> Column:
         bits = [F.when(F.get(rows, j + (k - limit - 1)) == x, F.lit(1 << k)).otherwise(0) for k in range(width)]
         return sum(bits[1:], bits[0]).cast("long")
 
-    def step(n: Column):
-        def next_column(acc: Column, col: Column) -> Column:
+    def bit(word: Column, k) -> Column:
+        return F.shiftright(word, k).bitwiseAND(F.lit(1))
+
+    def next_column(n: Column):
+        def step(acc: Column, col: Column) -> Column:
             vp, vn, x, j = acc["vp"], acc["vn"], col["x"], col["j"]
-            d0 = (((x.bitwiseAND(vp) + vp).bitwiseXOR(vp)).bitwiseOR(x).bitwiseOR(vn)).bitwiseAND(F.lit(full).cast("long"))
-
-            def rest(d: Column) -> Column:
-                hp = vn.bitwiseOR(F.bitwise_not(d.bitwiseOR(vp))).bitwiseAND(F.lit(full).cast("long"))
-                hn = d.bitwiseAND(vp)
-                down = F.shiftright(d, 1)
-                at = n - j + limit
-                bit = [F.when(at == k, F.shiftright(hp, k).bitwiseAND(F.lit(1)) - F.shiftright(hn, k).bitwiseAND(F.lit(1))) for k in range(top + 1)]
-                score = F.when(j <= n - limit, 1 - F.shiftright(d, top).bitwiseAND(F.lit(1))).otherwise(F.coalesce(*bit, F.lit(0)))
-                return F.struct(
-                    hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp))).bitwiseAND(F.lit(full).cast("long")).alias("vp"),
-                    down.bitwiseAND(hp).alias("vn"), (acc["dist"] + score).cast("long").alias("dist"))
-            return F.transform(F.array(d0), rest)[0]
-        return next_column
-
-    rows, cols = codes(a), codes(b)
-    n = F.length(a)
-    columns = F.transform(cols, lambda x, i: F.struct((i + 1).alias("j"), x.alias("x")))
-    # the match word of each column first: a column needs it twice
-    words = F.transform(F.array(F.struct(rows.alias("r"), columns.alias("c"))), lambda p: F.transform(
-        p["c"], lambda c: F.struct(c["j"].alias("j"), matches(p["r"], c["x"], c["j"]).alias("x"))))[0]
+
+            def rest(d: Column) -> Column:  # d: the diagonal word
+                hp = vn.bitwiseOR(F.bitwise_not(d.bitwiseOR(vp))).bitwiseAND(full)
+                hn, down, at = d.bitwiseAND(vp), F.shiftright(d, 1), n - j + limit
+                last = [F.when(at == k, bit(hp, k) - bit(hn, k)) for k in range(top + 1)]
+                score = F.when(j <= n - limit, 1 - bit(d, top)).otherwise(F.coalesce(*last, F.lit(0)))
+                return F.struct(hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp))).bitwiseAND(full).alias("vp"),
+                                down.bitwiseAND(hp).alias("vn"), (acc["dist"] + score).cast("long").alias("dist"))
+            return _bind((x.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(x).bitwiseOR(vn).bitwiseAND(full), rest)
+        return step
+
     start = F.struct(F.lit(((1 << limit + 1) - 1) << limit).cast("long").alias("vp"), F.lit(0).cast("long").alias("vn"),
                      F.lit(limit).cast("long").alias("dist"))
-    found = F.aggregate(words, start, step(n), lambda acc: acc["dist"])
-    return F.when(F.abs(F.length(a) - F.length(b)) > limit, F.lit(limit + 1).cast("long")).otherwise(found)
+
+    def score(p: Column) -> Column:
+        columns = F.transform(p["c"], lambda x, i: F.struct((i + 1).alias("j"), matches(p["r"], x, i + 1).alias("x")))
+        found = F.aggregate(columns, start, next_column(p["n"]), lambda acc: acc["dist"])
+        return F.when(F.abs(p["n"] - F.size(p["c"])) > limit, F.lit(limit + 1).cast("long")).otherwise(found)
+
+    return _bind(F.struct(codes(a).alias("r"), codes(b).alias("c"), F.length(a).alias("n")), score)
 
 
 def _common(a: Column, b: Column, piece) -> Column:
@@ -85,21 +92,25 @@ def _common(a: Column, b: Column, piece) -> Column:
 
     def halve(acc: Column, _: Column) -> Column:
         mid = ((acc["lo"] + acc["hi"] + 1) / 2).cast("int")
-        same = piece(a, mid) == piece(b, mid)
-        return F.struct(F.when(same, mid).otherwise(acc["lo"]).alias("lo"), F.when(same, acc["hi"]).otherwise(F.greatest(mid - 1, acc["lo"])).alias("hi"))
+        return _bind(mid, lambda m: F.when(piece(a, m) == piece(b, m), F.struct(m.alias("lo"), acc["hi"].alias("hi")))
+                     .otherwise(F.struct(acc["lo"].alias("lo"), F.greatest(m - 1, acc["lo"]).alias("hi"))))
 
     steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 2)).cast("int"))
     return F.aggregate(steps, start, halve, lambda acc: acc["lo"])
 
 
-def differing_middles(pairs: DataFrame, a: str, b: str, limit: int) -> DataFrame:
-    """``pairs`` with both texts cut to where they differ (edits keep what is
-    equal at both ends), leaving enough on either side for the band."""
-    spare = limit + 1
-    left = pairs.withColumn("_p", F.greatest(_common(F.col(a), F.col(b), lambda c, n: F.substring(c, F.lit(1), n)) - spare, F.lit(0)))
-    left = left.withColumns({c: F.substring(F.col(c), F.col("_p") + 1, F.length(c)) for c in (a, b)})
-    right = left.withColumn("_s", F.greatest(_common(F.col(a), F.col(b), lambda c, n: F.right(c, n)) - spare, F.lit(0)))
-    return right.withColumns({c: F.substring(F.col(c), F.lit(1), F.length(c) - F.col("_s")) for c in (a, b)}).drop("_p", "_s")
+def differing_middles(a: Column, b: Column, limit: int) -> Column:
+    """``struct(a, b)``: both texts cut to where they differ (edits keep what
+    is equal at both ends), leaving enough on either side for the band."""
+    def texts(x: Column, y: Column) -> Column:
+        return F.struct(x.alias("a"), y.alias("b"))
+
+    def cut(p: Column, piece, rest) -> Column:
+        n = F.greatest(_common(p["a"], p["b"], piece) - (limit + 1), F.lit(0))
+        return _bind(n, lambda k: texts(rest(p["a"], k), rest(p["b"], k)))
+
+    tails = _bind(texts(a, b), lambda p: cut(p, lambda c, n: F.substring(c, F.lit(1), n), lambda c, k: F.substring(c, k + 1, F.length(c))))
+    return _bind(tails, lambda p: cut(p, lambda c, n: F.right(c, n), lambda c, k: F.substring(c, F.lit(1), F.length(c) - k)))
 
 
 def _cut(n: Column, i: int, limit: int) -> Column:
@@ -131,37 +142,15 @@ def line_decisions(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(_id, _stay, _near)`` per document with a judged line: the places of
     first occurrences that stay, and of those that go as near repeats."""
+    checkpoint_dir(docs.sparkSession)
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_text IS NOT NULL")
     judged = F.length("_line") >= min_chars
     placed = own.select("_id", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line")).where(judged)
     first = (placed.select(F.xxhash64("_line").alias("_h"), F.xxhash64(F.lit(1), "_line").alias("_g"), F.struct("_id", "_pos").alias("_at"))
              .groupBy("_h", "_g").agg(F.min("_at").alias("_at")).select("_at._id", "_at._pos"))
-    firsts = first.groupBy("_id").agg(F.collect_set("_pos").alias("_firsts"))  # no longer than the document
-
-    def lines_of(places: DataFrame, column: str) -> DataFrame:
-        """The texts of the lines at these places."""
-        at = places.withColumnRenamed("_id", "_i")
-        return (own.join(at, F.col("_id").eqNullSafe(F.col("_i")))
-                .select("_id", column, F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
-                .where(F.array_contains(column, F.col("_pos"))).select("_id", "_pos", "_line"))
-
+    firsts = first.groupBy("_id").agg(F.collect_set("_pos").alias("_firsts")).checkpoint()  # no longer than the document
     if max_edits:
-        lines = lines_of(firsts, "_firsts")
-        index = lines.select("_id", "_pos", F.explode(index_keys(F.col("_line"), max_edits)).alias("_key"))
-        probe = (lines.select("_id", "_pos", F.explode(probe_keys(F.col("_line"), max_edits)).alias("_k")).where("_k IS NOT NULL")
-                 .select(F.col("_id").alias("_id2"), F.col("_pos").alias("_pos2"), F.col("_k.key").alias("_key"), F.col("_k.delta").alias("_delta")))
-        a = F.struct(F.col("_id").alias("_id"), F.col("_pos").alias("_pos"))
-        b = F.struct(F.col("_id2").alias("_id"), F.col("_pos2").alias("_pos"))
-        met = index.join(probe, "_key").where((a < b) | (F.col("_delta") > 0) & (a > b)).select(
-            F.least(a, b).alias("_a"), F.greatest(a, b).alias("_b")).distinct()
-        ends = met.select(F.explode(F.array("_a", "_b")).alias("_x")).distinct().select("_x._id", "_x._pos")
-        texts = lines_of(ends.groupBy("_id").agg(F.collect_set("_pos").alias("_ends")), "_ends")
-        texts = texts.select(F.struct("_id", "_pos").alias("_x"), "_line")
-        both = (met.join(texts.select(F.col("_x").alias("_a"), F.col("_line").alias("_la")), "_a")
-                .join(texts.select(F.col("_x").alias("_b"), F.col("_line").alias("_lb")), "_b"))
-        cut = differing_middles(both, "_la", "_lb", max_edits)
-        near = cut.where(edit_distance_within(F.col("_la"), F.col("_lb"), max_edits) <= max_edits).select("_b").distinct()
-        near = near.select("_b._id", "_b._pos").groupBy("_id").agg(F.collect_set("_pos").alias("_near"))
+        near = _near_repeats(own, firsts, max_edits).groupBy("_id").agg(F.collect_set("_pos").alias("_near"))
         firsts = firsts.join(near.withColumnRenamed("_id", "_n"), F.col("_id").eqNullSafe(F.col("_n")), "left").drop("_n")
     else:
         firsts = firsts.withColumn("_near", F.lit(None).cast("array<int>"))
@@ -169,6 +158,32 @@ def line_decisions(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
     return firsts.select("_id", F.array_except("_firsts", near).alias("_stay"), near.alias("_near"))
 
 
+def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int) -> DataFrame:
+    """``(_id, _pos)`` of the first occurrences that an earlier line is near."""
+    at = firsts.withColumnRenamed("_id", "_i")
+    lines = (own.join(at, F.col("_id").eqNullSafe(F.col("_i")))
+             .select("_id", "_firsts", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
+             .where(F.array_contains("_firsts", F.col("_pos"))))
+    index = lines.select("_id", "_pos", F.explode(index_keys(F.col("_line"), max_edits)).alias("_key"))
+    probe = (lines.select("_id", "_pos", F.explode(probe_keys(F.col("_line"), max_edits)).alias("_k")).where("_k IS NOT NULL")
+             .select(F.col("_id").alias("_id2"), F.col("_pos").alias("_pos2"), F.col("_k.key").alias("_key"), F.col("_k.delta").alias("_delta")))
+    a = F.struct(F.col("_id").alias("_id"), F.col("_pos").alias("_pos"))
+    b = F.struct(F.col("_id2").alias("_id"), F.col("_pos2").alias("_pos"))
+    met = (index.join(probe, "_key").where((a < b) | (F.col("_delta") > 0) & (a > b))
+           .select(F.least(a, b).alias("_a"), F.greatest(a, b).alias("_b")).distinct().checkpoint())
+    ends = met.select(F.explode(F.array("_a", "_b")).alias("_x")).distinct().checkpoint()
+    needed = ends.select(F.col("_x._id").alias("_i"), F.col("_x._pos").alias("_p"), "_x")
+    if ends.count() <= BROADCAST_LINES:
+        needed = F.broadcast(needed)  # else the texts are shuffled to the places
+    texts = (own.select("_id", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
+             .join(needed, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_pos") == F.col("_p"))).select("_x", "_line").checkpoint())
+    both = (met.join(texts.select(F.col("_x").alias("_a"), F.col("_line").alias("_la")), "_a")
+            .join(texts.select(F.col("_x").alias("_b"), F.col("_line").alias("_lb")), "_b"))
+    middles = differing_middles(F.col("_la"), F.col("_lb"), max_edits)
+    close = _bind(middles, lambda p: edit_distance_within(p["a"], p["b"], max_edits)) <= max_edits
+    return both.where(close).select("_b").distinct().select("_b._id", "_b._pos").checkpoint()
+
+
 def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
                 id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
     """``docs`` without the repeated lines of their texts. With ``counts``
