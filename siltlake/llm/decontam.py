@@ -55,10 +55,10 @@ def masked_hashes(tokens: np.ndarray, mask: str) -> np.ndarray:
 class _Index:
     """The masked hashes of a block of items: sorted, with item and place."""
 
-    def __init__(self, item_ids: list[int], texts: list[str], masks=MASKS):
+    def __init__(self, item_ids: list[int | None], texts: list[str], masks=MASKS):
         data, offsets = utf8_column(pa.array(texts, pa.string()))
         self.tokens, self.begin = word_hashes(data, offsets, word_table())
-        self.ids = np.array(item_ids, dtype=np.int64)
+        self.ids = item_ids
         size = np.diff(self.begin)
         self.masks = []  # mask, sorted hashes, place of each, bitmap
         short = [("1" * n, size == n) for n in range(LEAST, WINDOW) if (size == n).any()]
@@ -116,7 +116,7 @@ class _Index:
         return first + int(good[0]), int(covered.sum()), int((equal & covered).sum())
 
 
-def _blocks(benchmark: DataFrame) -> list[tuple[list[int], list[str]]]:
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[int | None], list[str]]]:
     """The items, in blocks of about ``BLOCK_BYTES``, read block by block."""
     size = F.octet_length("text")
     total = benchmark.agg(F.sum(size)).first()[0] or 0
@@ -149,10 +149,11 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 best: dict[tuple[int, int], tuple[int, int, int]] = {}
                 for row, item, diagonal in index.hits(tokens, begin):
                     found = index.verify(tokens[begin[row]:begin[row + 1]], item, diagonal)
-                    if found and (found[2], -found[0]) > (lambda b: (b[2], -b[0]))(best.get((row, item), (0, 0, 0))):
+                    known = best.get((row, item), (0, 0, 0))
+                    if found and (found[2], -found[0]) > (known[2], -known[0]):
                         best[row, item] = found
                 for (row, item), found in best.items():
-                    out.append((doc_ids[row], int(index.ids[item]), *found))
+                    out.append((doc_ids[row], index.ids[item], *found))
                 columns = list(zip(*out)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                                  names=["doc_id", "item_id", "start_token", "n_tokens", "n_equal"])
