@@ -22,21 +22,30 @@ def _keys(key: str | list[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def last_rows(rows: DataFrame, key: str | list[str], seq: str) -> DataFrame:
+    """The row with the largest ``seq`` of each key, ``key`` columns first.
+
+    ``max_by`` is an ordinary aggregate with a partial (map-side) step: each
+    task reduces its own rows to one per key before the shuffle (a struct
+    buffer makes it sort-based: tasks sort only their own split, with spill),
+    so a hot key costs one row per task, not one task. Columns of any type may
+    be carried, maps too; ties on ``seq`` are broken by a hash of the row, so
+    the result is deterministic."""
+    ks = _keys(key)
+    rest = [c for c in rows.columns if c not in ks and c != seq]
+    maps = {f.name for f in rows.schema.fields if f.dataType.typeName() == "map"}
+    text = [F.to_json(F.struct(c)) if c in maps or rows.schema[c].dataType.typeName() in ("struct", "array") else F.col(c) for c in rest]
+    order = F.struct(F.col(seq), F.xxhash64(*text) if text else F.lit(0).cast("long"))
+    last = rows.groupBy(*ks).agg(F.max_by(F.struct(F.col(seq), *[F.col(c) for c in rest]), order).alias("_last"))
+    return last.select(*ks, F.col("_last." + seq).alias(seq), *[F.col(f"_last.`{c}`").alias(c) for c in rest])
+
+
 def latest_state(changes: DataFrame, key: str | list[str] = "pk", seq: str = "seq", op: str = "op",
                  keep_deletes: bool = False, deleted_col: str | None = None) -> DataFrame:
-    """Last event per key by ``seq`` (T3); a delete removes the key.
-
-    ``max(struct(seq, …))`` is an ordinary aggregate with a partial
-    (map-side) step: each task reduces its own rows to one per key before the
-    shuffle (a struct buffer makes it sort-based: tasks sort only their own
-    split, with spill), so a hot key costs one row per task, not one task.
-    Ties on ``seq`` are broken by the remaining fields, so the result is
-    deterministic.
-    With ``keep_deletes`` the tombstones stay (flag in ``deleted_col``)."""
-    ks = _keys(key)
-    rest = [c for c in changes.columns if c not in ks and c != seq]
-    last = changes.groupBy(*ks).agg(F.max(F.struct(F.col(seq), *[F.col(c) for c in rest])).alias("_last"))
-    out = last.select(*ks, F.col("_last." + seq).alias(seq), *[F.col("_last." + c).alias(c) for c in rest])
+    """Last event per key by ``seq`` (T3, see :func:`last_rows`); a delete
+    removes the key. With ``keep_deletes`` the tombstones stay (flag in
+    ``deleted_col``)."""
+    out = last_rows(changes, key, seq)
     if keep_deletes:
         if deleted_col:
             out = out.withColumn(deleted_col, F.col(op) == DELETE)
@@ -264,12 +273,18 @@ def change_log_audit(images: DataFrame, columns: list[str], server: str = "serve
                      seq: str = "seq", op: str = "op", before: str = "before_", after: str = "after_") -> DataFrame:
     """Per server: events, update/delete without a before image,
     insert/update without an after image, duplicated ``(server, txn, seq)``
-    and transaction numbers missing between the first and last seen.
+    and transaction numbers missing between the first and last seen. An image
+    is missing where its flag column (``before_present`` / ``after_present``)
+    says so; without that column, where all its columns are NULL.
 
     Three stacked partial aggregates (event -> transaction -> server);
     nothing is collected per group."""
-    no_before = reduce(lambda a, b: a & b, [F.col(before + c).isNull() for c in columns])
-    no_after = reduce(lambda a, b: a & b, [F.col(after + c).isNull() for c in columns])
+    def missing(prefix: str) -> Column:
+        if prefix + "present" in images.columns:  # an all-NULL row is an image too
+            return ~F.coalesce(F.col(prefix + "present"), F.lit(False))
+        return reduce(lambda a, b: a & b, [F.col(prefix + c).isNull() for c in columns])
+
+    no_before, no_after = missing(before), missing(after)
     ev = images.groupBy(server, txn, seq).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum((F.col(op).isin("update", DELETE) & no_before).cast("int")).alias("_nb"),

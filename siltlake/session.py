@@ -31,12 +31,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set (a folder every executor can reach) and is used
-    as is; only when it is unset — tests — is a fresh temporary folder made.
+    as is; where it is unset a local master gets a fresh temporary folder, and
+    any other master an error: its executors would each write their own disk.
     The SparkContext's checkpoint folder is pointed at the same place so
     ``DataFrame.checkpoint()`` writes there."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="siltlake-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
@@ -62,3 +65,23 @@ def put_small_file(spark: SparkSession, path: str, text: str) -> None:
         fs.delete(final, False)
     if not fs.rename(tmp, final):
         raise IOError(f"could not publish {path}")
+
+
+def put_new_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small metadata file; False, and nothing done, if it exists."""
+    jvm = spark.sparkContext._jvm
+    final = jvm.org.apache.hadoop.fs.Path(path)
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(final):
+        return False
+    try:
+        out = fs.create(final, False)
+    except Exception as e:  # noqa: BLE001
+        if fs.exists(final):  # another writer was first
+            return False
+        raise e
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True

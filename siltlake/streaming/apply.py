@@ -1,71 +1,109 @@
 """Keep a lake table current from a change stream (S6, S7, T4 streaming, T10).
 
-The target is stored as ``B`` hash buckets of the key, each in versioned
-directories, plus a manifest that says which version of each bucket is
-current::
+The target is stored as ``B`` hash buckets of the key. Every commit has a
+number; its files lie in a folder of their own, and one small manifest file,
+created only if it is not there yet, makes them part of the table::
 
-    <target>/data/v=<batch>/bucket=<b>/part-*.parquet
-    <target>/_manifest/batch=<batch>/entries.json    rows (bucket, version), plus (-1, batch)
+    <target>/table.json                             keys, seq column, bucket count
+    <target>/_schemas/<id>.json                      a schema (with defaults of added columns)
+    <target>/data/v=<commit>-<random>/bucket=<b>/    base or delta rows of a bucket
+    <target>/_manifest/batch=<commit>/entries.json   (bucket, version, dir, delta, rows, schema), and
+                                                     (-1, version, writer, batch) as the last row
 
 A micro-batch collapses its changes per key (last by ``seq``, tombstones
-kept), finds the buckets it touches, merges those buckets only, writes them
-as a new version, and then commits a manifest entry for the batch. Readers
-resolve the manifest first, so they see either the old or the new version of
-every bucket, never a half-written one. A retried batch (same id) finds its
-manifest entry and does nothing; an older event never wins over a newer one
-because every merge is guarded by ``seq``. Nothing is overwritten in place.
+kept). A bucket that gets few changes against its size only gets a delta
+beside its base; one whose deltas would exceed ``delta_share`` of its base, or
+``MAX_DELTAS`` in number, is rewritten. So a batch of random keys over a large
+table writes about its own size, and readers merge a bounded number of deltas.
+
+A batch is skipped only if the same writer has committed the same batch id;
+two writers, a new checkpoint or a batch job never hide each other's batches.
+A writer that finds its commit number taken reads the manifest again and
+redoes its batch. An older event never wins over a newer one, because every
+merge is by ``seq``. Nothing is overwritten in place.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from siltlake.operators.changes import DELETE, latest_state
-from siltlake.session import put_small_file
+from siltlake.operators.changes import DELETE, last_rows, latest_state
+from siltlake.session import put_new_file, put_small_file
 
 DELETED = "_deleted"
 BUCKET = "bucket"
+MAX_DELTAS = 8
+_ROWS = ("bucket int, version long, dir string, delta boolean, rows long, schema string, writer string, batch long")
+#: numeric types from narrow to wide; a column may only move to the right
+_WIDER = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def wider_type(name: str, old: T.DataType, new: T.DataType) -> T.DataType:
+    """The type that holds both; an error where none of them does."""
+    a, b = old.simpleString(), new.simpleString()
+    if a == b or b == "void":
+        return old
+    if a == "void":
+        return new
+    if a in _WIDER and b in _WIDER and "float" not in (a, b):
+        return old if _WIDER.index(a) >= _WIDER.index(b) else new
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        scale = max(old.scale, new.scale)
+        whole = max(old.precision - old.scale, new.precision - new.scale)
+        if whole + scale <= 38:
+            return T.DecimalType(whole + scale, scale)
+    raise ValueError(f"column {name}: {a} and {b} have no common wider type")
 
 
 class VersionedTable:
-    """A keyed table stored as versioned hash buckets behind a manifest."""
+    """A keyed table stored as hash buckets (base and deltas) behind a manifest."""
+
+    MARKER = -1
 
     def __init__(self, spark: SparkSession, path: str, key: str | list[str] = "pk", seq: str = "seq",
-                 buckets: int = 64, tombstone_retention: int | None = None):
+                 buckets: int | None = None, tombstone_retention: int | None = None, writer: str | None = None,
+                 delta_share: float = 0.25, updated_at: tuple[str, str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = [key] if isinstance(key, str) else list(key)
         self.seq = seq
-        self.buckets = buckets
         # H5: a tombstone is dropped once it is this many seq units older than
         # the newest event of the batch that rewrites its bucket (None: keep)
         self.tombstone_retention = tombstone_retention
-        self._cache: tuple[dict[int, int], int | None] | None = None  # single writer: our own commits
-        self._schema = None  # schema of the last version this writer committed
+        self.writer = writer or uuid.uuid4().hex
+        self.delta_share = delta_share
+        self.updated_at = updated_at  # ON UPDATE timestamp column and the event time it takes
+        stored = self._stored()
+        if stored is None:
+            stored = {"keys": self.keys, "seq": seq, "buckets": buckets or 64}
+            if not put_new_file(spark, f"{self.path}/table.json", json.dumps(stored)):
+                stored = self._stored()
+        for what, asked in (("keys", self.keys), ("seq", seq), ("buckets", buckets or stored["buckets"])):
+            if stored[what] != asked:
+                raise ValueError(f"{self.path} has {what} {stored[what]!r}, not {asked!r}")
+        self.buckets = stored["buckets"]
+        self._cache = None
+        self._schemas: dict[str, T.StructType] = {}
 
     # -- layout -----------------------------------------------------------
     @property
     def manifest_path(self) -> str:
         return f"{self.path}/_manifest"
 
-    def data_path(self, version: int) -> str:
-        return f"{self.path}/data/v={version}"
-
-    def bucket_of(self) -> F.Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-    # -- manifest ---------------------------------------------------------
-    # rows (bucket, version); every committed batch also writes a marker row
-    # with bucket = -1, so "was batch N committed" and "current version of
-    # each bucket" come from one small aggregate (at most B + 1 rows).
-    MARKER = -1
-
     @property
     def snapshots_path(self) -> str:
         return f"{self.path}/_snapshots"
 
+    def bucket_of(self) -> F.Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(self.path)
@@ -79,147 +117,231 @@ class VersionedTable:
             return []
         return [st.getPath().getName() for st in fs.listStatus(p) if st.getPath().getName().startswith(prefix)]
 
+    def _text(self, path: str) -> str:
+        return "\n".join(r["value"] for r in self.spark.read.text(path).collect())  # a metadata file of our own
+
+    def _stored(self) -> dict | None:
+        return json.loads(self._text(f"{self.path}/table.json")) if self._list(self.path, "table.json") else None
+
+    # -- schemas ----------------------------------------------------------
+    def _schema_id(self, schema: T.StructType) -> str:
+        text = schema.json()
+        name = f"{zlib.crc32(text.encode()):08x}-{len(text)}"
+        put_new_file(self.spark, f"{self.path}/_schemas/{name}.json", text)
+        self._schemas[name] = schema
+        return name
+
+    def _schema_of(self, name: str) -> T.StructType:
+        if name not in self._schemas:
+            self._schemas[name] = T.StructType.fromJson(json.loads(self._text(f"{self.path}/_schemas/{name}.json")))
+        return self._schemas[name]
+
+    @staticmethod
+    def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
+        """``df`` with the columns and types of ``schema``; a missing column
+        gets the default it was added with."""
+        have = set(df.columns)
+        return df.select(*[
+            (F.col(f.name) if f.name in have else F.lit(f.metadata.get("default"))).cast(f.dataType).alias(f.name, metadata=f.metadata)
+            for f in schema.fields])
+
+    def _merged_schema(self, current: T.StructType | None, incoming: T.StructType) -> T.StructType:
+        if current is None:
+            return incoming
+        new = {f.name: f for f in incoming.fields}
+        fields = [T.StructField(f.name, wider_type(f.name, f.dataType, new[f.name].dataType) if f.name in new else f.dataType, True, f.metadata)
+                  for f in current.fields]
+        return T.StructType(fields + [T.StructField(f.name, f.dataType, True, f.metadata) for f in incoming.fields if f.name not in current.fieldNames()])
+
+    # -- manifest ---------------------------------------------------------
     def _manifest(self) -> DataFrame | None:
         """Manifest rows still needed: the latest compacted snapshot (if any)
-        plus the batch entries committed after it."""
-        snaps = sorted(int(n[len("snap-"):-len(".json")]) for n in self._list(self.snapshots_path, "snap-")
-                       if n.endswith(".json"))
+        plus the commits after it. A commit counts once its last row is there."""
+        snaps = sorted(int(n[len("snap-"):-len(".json")]) for n in self._list(self.snapshots_path, "snap-") if n.endswith(".json"))
         since = snaps[-1] if snaps else None
-        batches = [int(n.split("=", 1)[1]) for n in self._list(self.manifest_path, "batch=")]
-        paths = [f"{self.manifest_path}/batch={b}" for b in batches if since is None or b > since]
+        commits = [int(n.split("=", 1)[1]) for n in self._list(self.manifest_path, "batch=")]
+        paths = [f"{self.manifest_path}/batch={b}" for b in commits if since is None or b > since]
         if since is not None:
             paths.append(f"{self.snapshots_path}/snap-{since}.json")
-        if not paths:
-            return None
-        return self.spark.read.schema("bucket int, version long").json(paths)
+        return self.spark.read.schema(_ROWS).json(paths) if paths else None
 
-    def compact_manifest(self) -> int | None:
-        """Write the current (bucket, version) pairs — at most B + 1 rows — as a
-        snapshot; readers then skip every batch entry up to it, so restart cost
-        does not grow with the length of the stream. Returns the batch it covers."""
-        current, last = self._snapshot(refresh=True)
-        if last is None:
-            return None
-        entries = sorted(current.items()) + [(self.MARKER, last)]
-        text = "".join(f'{{"bucket": {b}, "version": {v}}}\n' for b, v in entries)
-        put_small_file(self.spark, f"{self.snapshots_path}/snap-{last}.json", text)
-        return last
-
-    def _snapshot(self, refresh: bool = False) -> tuple[dict[int, int], int | None]:
-        """({bucket: current version}, last committed batch). Read from the
-        manifest once, then kept up to date by this writer's own commits (a
-        target has one writer: its streaming query)."""
+    def _snapshot(self, refresh: bool = False) -> dict:
+        """``live``: per bucket its base row and later delta rows; ``writers``:
+        last batch of each; ``last``: the last commit; ``schema``: its id. The
+        live rows are at most ``buckets * (1 + MAX_DELTAS)``."""
         if self._cache is not None and not refresh:
             return self._cache
         m = self._manifest()
-        if m is None:
-            return {}, None
-        rows = m.groupBy("bucket").agg(F.max("version").alias("version")).collect()
-        cur = {r["bucket"]: r["version"] for r in rows}
-        self._cache = ({b: v for b, v in cur.items() if b != self.MARKER}, cur.get(self.MARKER))
+        live: dict[int, list] = {}
+        writers: dict[str, int] = {}
+        last, schema = None, None
+        if m is not None:
+            at = Window.partitionBy("bucket")
+            base = F.max(F.when(~F.col("delta"), F.col("version"))).over(at)
+            rows = m.withColumn("_base", F.coalesce(base, F.lit(-2))).where(
+                (F.col("bucket") == self.MARKER) | (F.col("version") >= F.col("_base"))).drop("_base").collect()
+            marks = [r for r in rows if r["bucket"] == self.MARKER]
+            for r in marks:
+                writers[r["writer"]] = max(r["batch"], writers.get(r["writer"], r["batch"]))
+            newest = max(marks, key=lambda r: r["version"])
+            last, schema = newest["version"], newest["schema"]
+            done = {r["version"] for r in marks}
+            for r in sorted((r for r in rows if r["bucket"] != self.MARKER), key=lambda r: r["version"]):
+                if r["version"] in done or r["version"] <= min(done):
+                    live.setdefault(r["bucket"], []).append(r.asDict())
+        self._cache = {"live": live, "writers": writers, "last": last, "schema": schema}
         return self._cache
 
-    def is_committed(self, batch_id: int) -> bool:
-        last = self._snapshot()[1]
-        return last is not None and batch_id <= last
-
-    def current_versions(self, buckets: list[int] | None = None, refresh: bool = False) -> list[tuple[int, int]]:
-        cur = self._snapshot(refresh)[0]
-        return sorted((b, v) for b, v in cur.items() if buckets is None or b in buckets)
-
-    def _read_buckets(self, versions: list[tuple[int, int]]) -> DataFrame | None:
-        paths = [f"{self.data_path(v)}/bucket={b}" for b, v in versions]
-        if not paths:
+    def compact_manifest(self) -> int | None:
+        """Write the live rows as a snapshot; readers then skip every commit up
+        to it, so restart cost does not grow with the length of the stream.
+        Returns the commit it covers."""
+        s = self._snapshot(refresh=True)
+        if s["last"] is None:
             return None
-        if self._schema is not None:
-            # known schema (this writer's last commit): no footer merge; older
-            # buckets lacking a newer column read it as NULL
-            return self.spark.read.schema(self._schema).parquet(*paths)
-        # buckets written before a schema change lack the new columns: merge footers
-        return self.spark.read.option("mergeSchema", "true").parquet(*paths)
+        entries = [r for rows in s["live"].values() for r in rows]
+        entries += [{"bucket": self.MARKER, "version": s["last"], "schema": s["schema"], "writer": w, "batch": b} for w, b in s["writers"].items()]
+        put_small_file(self.spark, f"{self.snapshots_path}/snap-{s['last']}.json", "".join(json.dumps(e) + "\n" for e in entries))
+        return s["last"]
+
+    def is_committed(self, batch_id: int, writer: str | None = None) -> bool:
+        """Whether the writer (any, if not given) has committed the batch."""
+        s = self._snapshot()["writers"]
+        return any(batch_id <= b for w, b in s.items() if writer in (None, w))
 
     # -- read -------------------------------------------------------------
+    def _read(self, rows: list[dict], schema: T.StructType) -> DataFrame | None:
+        by_schema: dict[str, list[str]] = {}
+        for r in rows:
+            by_schema.setdefault(r["schema"], []).append(f"{self.path}/data/{r['dir']}/bucket={r['bucket']}")
+        parts = [self._aligned(self.spark.read.schema(self._schema_of(name)).parquet(*paths), schema) for name, paths in sorted(by_schema.items())]
+        out = None
+        for p in parts:
+            out = p if out is None else out.unionByName(p)
+        return out
+
+    def _current(self, live: dict[int, list], schema: T.StructType) -> DataFrame | None:
+        """Last row per key; buckets without deltas are read as they are."""
+        plain = self._read([rows[0] for rows in live.values() if len(rows) == 1], schema)
+        mixed = self._read([r for rows in live.values() if len(rows) > 1 for r in rows], schema)
+        if mixed is None:
+            return plain
+        mixed = last_rows(mixed, self.keys, self.seq).select(*schema.fieldNames())
+        return mixed if plain is None else plain.unionByName(mixed)
+
     def state(self, with_tombstones: bool = False) -> DataFrame:
         """Current rows (live only unless ``with_tombstones``); re-reads the
         manifest, so a long-lived reader sees every commit."""
-        df = self._read_buckets(self.current_versions(refresh=True))
-        if df is None:
+        s = self._snapshot(refresh=True)
+        if s["last"] is None:
             raise ValueError(f"{self.path} has no committed version")
+        schema = self._schema_of(s["schema"])
+        df = self._current(s["live"], schema)
+        if df is None:
+            df = self.spark.createDataFrame([], schema)
         return df if with_tombstones else df.where(~F.col(DELETED)).drop(DELETED)
 
     # -- write ------------------------------------------------------------
-    def _write_version(self, rows: DataFrame, version: int, touched: list[int], may_be_empty: bool) -> None:
-        schema = rows.schema
-        rows = rows.withColumn(BUCKET, self.bucket_of())
-        rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(self.data_path(version))
-        if may_be_empty and touched:
-            # a touched bucket with no rows still gets a (schema-only) version;
-            # which ones were written is one directory listing, not a job
-            written = self._listed_buckets(version)
-            schema = rows.drop(BUCKET).schema
-            for b in (b for b in touched if b not in written):
-                self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(
-                    f"{self.data_path(version)}/bucket={b}")
-        entries = [(b, version) for b in touched] + [(self.MARKER, version)]
-        text = "".join(f'{{"bucket": {b}, "version": {v}}}\n' for b, v in entries)
-        put_small_file(self.spark, f"{self.manifest_path}/batch={version}/entries.json", text)
-        cur, _ = self._snapshot()
-        cur = dict(cur)
-        cur.update({b: version for b in touched})
-        self._cache = (cur, version)
-        if self._schema is None or set(schema.fieldNames()) >= set(self._schema.fieldNames()):
-            self._schema = schema
-
-    def _listed_buckets(self, version: int) -> set[int]:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.data_path(version))
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return set()
-        names = [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
-        return {int(n.split("=", 1)[1]) for n in names if n.startswith(f"{BUCKET}=")}
+    def _write(self, rows: DataFrame, version: int, touched: list[int]) -> str:
+        """The rows under their buckets, in a new folder; a touched bucket
+        without rows gets a (schema-only) file."""
+        folder = f"v={version}-{uuid.uuid4().hex[:8]}"
+        path = f"{self.path}/data/{folder}"
+        rows.withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+        written = {int(n.split("=", 1)[1]) for n in self._list(path, f"{BUCKET}=")}
+        for b in (b for b in touched if b not in written):
+            self.spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(f"{path}/bucket={b}")
+        return folder
+
+    def _commit(self, version: int, entries: list[dict], schema: str, batch: int) -> bool:
+        """False if another writer has taken this commit number."""
+        entries = [*entries, {"bucket": self.MARKER, "version": version, "schema": schema, "writer": self.writer, "batch": batch}]
+        done = put_new_file(self.spark, f"{self.manifest_path}/batch={version}/entries.json", "".join(json.dumps(e) + "\n" for e in entries))
+        self._cache = None
+        return done
 
     def initialize(self, rows: DataFrame, version: int = -1) -> None:
-        """Publish an initial snapshot (key…, seq, columns…) as ``version``."""
-        if self.is_committed(version):
+        """Publish an initial snapshot (key…, seq, columns…), unless the table
+        has a commit already."""
+        if self._snapshot(refresh=True)["last"] is not None:
             return
         if DELETED not in rows.columns:
             rows = rows.withColumn(DELETED, F.lit(False))
-        self._write_version(rows, version, list(range(self.buckets)), may_be_empty=True)
+        schema = self._schema_id(rows.schema)
+        folder = self._write(rows, version, list(range(self.buckets)))
+        sizes = {r[BUCKET]: r["count"] for r in rows.groupBy(self.bucket_of().alias(BUCKET)).count().collect()}
+        self._commit(version, [{"bucket": b, "version": version, "dir": folder, "delta": False, "rows": sizes.get(b, 0), "schema": schema}
+                               for b in range(self.buckets)], schema, version)
+
+    def add_column(self, name: str, data_type: str, default: str | None = None) -> None:
+        """ADD COLUMN on the live table (T10): rows written before get the default."""
+        while True:
+            s = self._snapshot(refresh=True)
+            old = self._schema_of(s["schema"])
+            field = T.StructField(name, T._parse_datatype_string(data_type), True, {} if default is None else {"default": default})
+            fields = [f for f in old.fields if f.name != DELETED] + [field] + [f for f in old.fields if f.name == DELETED]
+            batch = s["writers"].get(self.writer, -1)
+            if self._commit(s["last"] + 1, [], self._schema_id(T.StructType(fields)), batch):
+                return
 
     def apply_batch(self, changes: DataFrame, batch_id: int, op: str = "op") -> bool:
-        """Merge one batch of changes; returns False when ``batch_id`` was
-        already committed (a retry) and nothing was done."""
-        current, last = self._snapshot()
-        if last is not None and batch_id <= last:
-            return False
-        ch = latest_state(changes, self.keys, self.seq, op, keep_deletes=True)
-        ch = ch.withColumn(DELETED, F.col(op) == DELETE).drop(op).withColumn(BUCKET, self.bucket_of())
-        ch = ch.persist()
+        """Merge one batch of changes; returns False when this writer has
+        committed ``batch_id`` (a retry) and nothing was done. The batch ids
+        of a writer ascend."""
+        if self.updated_at:
+            column, event_time = self.updated_at
+            changes = changes.withColumn(column, F.col(event_time)).drop(*({event_time} - {column}))
+        incoming = latest_state(changes, self.keys, self.seq, op, keep_deletes=True)
+        incoming = incoming.withColumn(DELETED, F.col(op) == DELETE).drop(op).persist()
         try:
-            touched = sorted(r[BUCKET] for r in ch.select(BUCKET).distinct().collect())  # <= B values
-            incoming = ch.drop(BUCKET)
-            cur = self._read_buckets(sorted((b, current[b]) for b in touched if b in current))
-            if cur is not None:
-                # Columns new in the stream widen the target (NULL for old rows)
-                merged_in = cur.drop(BUCKET).unionByName(incoming, allowMissingColumns=True)
-            else:
-                merged_in = incoming
-            rest = [c for c in merged_in.columns if c not in self.keys and c != self.seq]
-            last_ev = merged_in.groupBy(*self.keys).agg(
-                F.max(F.struct(F.col(self.seq), *[F.col(c) for c in rest])).alias("_l"))
-            merged = last_ev.select(*self.keys, F.col("_l." + self.seq).alias(self.seq),
-                                    *[F.col("_l." + c).alias(c) for c in rest])
-            may_be_empty = False  # every touched bucket keeps at least its incoming rows
-            if self.tombstone_retention is not None and touched:
-                newest = ch.agg(F.max(self.seq)).first()[0]  # one number, from the cached batch
-                floor = F.lit(newest - self.tombstone_retention)
-                merged = merged.where(~(F.col(DELETED) & (F.col(self.seq) < floor)))
-                may_be_empty = True
-            self._write_version(merged, batch_id, touched, may_be_empty=may_be_empty)
-            return True
+            sizes = {r[BUCKET]: r["count"] for r in incoming.groupBy(self.bucket_of().alias(BUCKET)).count().collect()}  # <= B rows
+            newest = incoming.agg(F.max(self.seq)).first()[0] if self.tombstone_retention is not None else None
+            while True:
+                s = self._snapshot(refresh=True)
+                if batch_id <= s["writers"].get(self.writer, batch_id - 1):
+                    return False
+                if self._apply(incoming, sizes, newest, s, batch_id):
+                    return True
         finally:
-            ch.unpersist()
+            incoming.unpersist()
+
+    def _apply(self, incoming: DataFrame, sizes: dict[int, int], newest, s: dict, batch_id: int) -> bool:
+        version = 0 if s["last"] is None else s["last"] + 1
+        schema = self._merged_schema(self._schema_of(s["schema"]) if s["schema"] else None, incoming.schema)
+        rewrite, append = {}, []
+        for b, n in sizes.items():
+            rows = s["live"].get(b, [])
+            later = sum(r["rows"] for r in rows[1:]) + n
+            if not rows or len(rows) > MAX_DELTAS or later > self.delta_share * rows[0]["rows"]:
+                rewrite[b] = rows
+            else:
+                append.append(b)
+        aligned = self._aligned(incoming, schema)
+        own = aligned.where(self.bucket_of().isin(append)) if append else None
+        merged = aligned.where(~self.bucket_of().isin(append)) if append else aligned
+        old = self._read([r for rows in rewrite.values() for r in rows], schema)
+        if old is not None:
+            merged = last_rows(old.unionByName(merged), self.keys, self.seq).select(*schema.fieldNames())
+        if newest is not None:
+            merged = merged.where(~(F.col(DELETED) & (F.col(self.seq) < F.lit(newest - self.tombstone_retention))))
+        name = self._schema_id(schema)
+        folder = self._write(merged if own is None else merged.unionByName(own), version, sorted(sizes)) if sizes else None
+        entries = [{"bucket": b, "version": version, "dir": folder, "delta": False, "schema": name,
+                    "rows": sum(r["rows"] for r in rows) + sizes[b]} for b, rows in rewrite.items()]
+        entries += [{"bucket": b, "version": version, "dir": folder, "delta": True, "rows": sizes[b], "schema": name} for b in append]
+        return self._commit(version, entries, name, batch_id)
+
+    def vacuum(self, keep_commits: int = 10) -> int:
+        """Delete bucket folders that a rewrite replaced at least
+        ``keep_commits`` commits ago (readers on an older manifest have gone).
+        Returns how many."""
+        jvm, fs = self._fs()
+        last = self._snapshot(refresh=True)["last"]
+        gone = 0
+        for r in vacuum_plan(self).where(F.col("replaced_by") <= last - keep_commits).toLocalIterator():
+            p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/{r['dir']}/bucket={r['bucket']}")
+            gone += bool(fs.exists(p) and fs.delete(p, True))
+        return gone
 
 
 def apply_stream(changes: DataFrame, target: VersionedTable, checkpoint: str, op: str = "op",
@@ -228,7 +350,11 @@ def apply_stream(changes: DataFrame, target: VersionedTable, checkpoint: str, op
     """Start the streaming apply (S7): ``foreachBatch`` runs
     :meth:`VersionedTable.apply_batch` with the micro-batch id; the source
     position lives in ``checkpoint``. Every ``compact_every`` batches the
-    manifest is compacted. Returns the ``StreamingQuery``."""
+    manifest is compacted. The writer is named after the checkpoint, so a
+    restart skips what it has committed and other streams do not interfere.
+    ``dedup`` is not needed for replays: merging by ``seq`` makes them
+    harmless. Returns the ``StreamingQuery``."""
+    target.writer = f"stream:{checkpoint.rstrip('/')}"
     src = changes.dropDuplicates(list(dedup)) if dedup and not changes.isStreaming else changes
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -245,13 +371,13 @@ def apply_stream(changes: DataFrame, target: VersionedTable, checkpoint: str, op
 
 
 def vacuum_plan(target: VersionedTable) -> DataFrame:
-    """(version, bucket) directories no longer current: safe to delete once
-    no reader holds an older manifest."""
+    """(version, bucket, dir, replaced_by): folders that a later base of their
+    bucket replaced; safe to delete once no reader holds an older manifest."""
     try:  # the whole history, not just what readers need since the last snapshot
-        m = target.spark.read.schema("bucket int, version long").json(target.manifest_path)
+        m = target.spark.read.schema(_ROWS).json(target.manifest_path)
     except Exception as e:  # noqa: BLE001
         raise ValueError("nothing committed") from e
     m = m.where(F.col("bucket") != VersionedTable.MARKER)
-    w = Window.partitionBy("bucket")
-    return m.withColumn("_cur", F.max("version").over(w)).where(F.col("version") < F.col("_cur")).select(
-        "version", "bucket")
+    base = F.max(F.when(~F.col("delta"), F.col("version"))).over(Window.partitionBy("bucket"))
+    return m.withColumn("replaced_by", base).where(F.col("version") < F.col("replaced_by")).select(
+        "version", "bucket", "dir", "replaced_by")
