@@ -134,9 +134,11 @@ def linear_hash_label(expr: str | Column, n: int) -> Column:
 
 def key_hash(cols: list[str | Column]) -> Column:
     """Engine-neutral hash of a column list: the first 32 bits of md5 over
-    the ``|``-joined text of the values, as a non-negative BIGINT."""
+    the ``|``-joined text of the values, as a non-negative BIGINT; NULL if any
+    value is (such a row has no partition)."""
     txt = F.concat_ws("|", *[col_of(c).cast("string") for c in cols])
-    return F.conv(F.substring(F.md5(txt), 1, 8), 16, 10).cast("bigint")
+    h = F.conv(F.substring(F.md5(txt), 1, 8), 16, 10).cast("bigint")
+    return F.when(~any_null([col_of(c) for c in cols]), h)
 
 
 def key_label(cols: list[str | Column], n: int, linear: bool = False) -> Column:

@@ -8,21 +8,19 @@ files instead of landing in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltlake import spec as S
 from siltlake.functions.columns import (
-    hash_label, key_label, key_part_col, linear_hash_label, list_label, range_label,
+    hash_label, key_label, key_part_col, linear_hash_label, range_label,
 )
 
 LABEL = "_part"
 SUBLABEL = "_subpart"
 
-# Above this many declared members a LIST layout is routed by a join with
-# a small (value -> label) table instead of an inline CASE.
-INLINE_LIST_LIMIT = 500
-
 
 def _exprs(p: S.PartitionSpec) -> list[Column]:
     if p.columns:
@@ -60,9 +58,10 @@ def partition_list(df: DataFrame, values: str | list[str] | Column, lists: list,
                    label: str = LABEL) -> DataFrame:
     """``PARTITION BY LIST(expr)`` / ``LIST COLUMNS`` (L5): membership; none -> NULL.
 
-    Small declarations become one CASE; large ones a left join with the
-    (member -> label) table built from the declaration, which AQE
-    broadcasts when its measured size allows."""
+    One path for any number of members: a left join with the (member -> label)
+    table of the declaration, typed like the values; a member that is declared
+    twice has its first label. The table is as small as the declaration, so
+    Spark broadcasts it by its size."""
     if isinstance(values, Column):
         vals = [values]
     elif isinstance(values, str):
@@ -70,25 +69,21 @@ def partition_list(df: DataFrame, values: str | list[str] | Column, lists: list,
     else:
         vals = [F.col(c) if isinstance(c, str) else c for c in values]
     names = names or [f"p{i}" for i in range(len(lists))]
-    total = sum(len(m) for m in lists)
-    if total <= INLINE_LIST_LIMIT:
-        return df.withColumn(label, list_label(vals, lists, names))
-    spark = df.sparkSession
-    k = len(vals)
-    rows = []
+    keys = [f"_lv{i}" for i in range(len(vals))]
+    tagged = df.select("*", *[v.alias(k) for v, k in zip(vals, keys)])
+    types = [tagged.schema[k].dataType for k in keys]
+    labels: dict[tuple, str] = {}
     for name, members in zip(names, lists):
         for m in members:
-            tup = m if isinstance(m, tuple) else (m,)
-            rows.append((*tup, name))
-    keys = [f"_lv{i}" for i in range(k)]
-    table = spark.createDataFrame(rows, keys + [label])
-    tagged = df.select("*", *[v.alias(kname) for v, kname in zip(vals, keys)])
-    cond = None
-    for kname in keys:
-        c = tagged[kname] == table[kname]
-        cond = c if cond is None else cond & c
-    return tagged.join(table, cond, "left").drop(*[tagged[kname] for kname in keys]).drop(
-        *[table[kname] for kname in keys])
+            member = tuple(None if x is None else str(x) for x in (m if isinstance(m, tuple) else (m,)))
+            labels.setdefault(member, name)
+    members = df.sparkSession.createDataFrame([(*m, name) for m, name in labels.items()],
+                                              ", ".join(f"_lm{i} string" for i in range(len(keys))) + f", `{label}` string")
+    # two spellings of one value ('1', '1.0') meet after the cast: keep one row
+    members = members.select(*[F.col(f"_lm{i}").try_cast(t).alias(f"_lm{i}") for i, t in enumerate(types)], label)
+    members = members.groupBy(*[f"_lm{i}" for i in range(len(keys))]).agg(F.min(label).alias(label))
+    cond = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"_lm{i}") for i, k in enumerate(keys)])
+    return tagged.join(members, cond, "left").select(*[F.col(f"`{c}`") for c in df.columns], label)
 
 
 def apply_partitioning(df: DataFrame, p: S.PartitionSpec, label: str = LABEL) -> DataFrame:

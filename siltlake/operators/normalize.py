@@ -185,7 +185,7 @@ def default_value(c: S.ColumnSpec) -> Column:
     if not c.has_default() or c.default is None:
         return F.lit(None).cast(S.spark_type(c))
     d = c.default
-    if isinstance(d, str) and d.lower() in ("current_timestamp", "now()", "current_timestamp()"):
+    if c.kind in ("date", "datetime", "timestamp", "time") and isinstance(d, str) and d.lower() in ("current_timestamp", "now()", "current_timestamp()"):
         return F.current_timestamp().cast(S.spark_type(c))
     if c.kind == "set" and isinstance(d, str):
         return F.split(F.lit(d), ",")

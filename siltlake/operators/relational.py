@@ -131,7 +131,9 @@ def apply_parent_changes(child: DataFrame, columns: list[str] | tuple, deleted:
     if rekeyed is not None:
         onames = [f"_o{i}" for i in range(k)]
         nnames = [f"_n{i}" for i in range(k)]
-        r = rekeyed.toDF(*onames, *nnames)
+        r = rekeyed.toDF(*onames, *nnames).distinct()
+        if not r.groupBy(*onames).count().where("count > 1").isEmpty():
+            raise ValueError("one old parent key has two new ones")
         action = on_update.upper()
         if action in ("RESTRICT", "NO ACTION"):
             rej = r.join(out.select(*cols).distinct(),

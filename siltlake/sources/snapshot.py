@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from siltlake import spec as S
 
-# Fixed value: the source's connection pool holds at most ten connections.
+# Fixed value: the source's connection pool holds ten connections; the default number of readers.
 MAX_SOURCE_CONNECTIONS = 10
 
 
@@ -27,17 +27,31 @@ def raw_schema(spec: S.TableSpec) -> T.StructType:
     return T.StructType(fields)
 
 
-def jdbc_query(spec: S.TableSpec, table: str) -> str:
+#: the split column under a name of its own, still a number
+SPLIT = "_split"
+
+
+def _quoted(name: str, quote: str) -> str:
+    return quote + name.replace(quote, quote * 2) + quote
+
+
+def jdbc_query(spec: S.TableSpec, table: str, split: str | None = None, quote: str = "`") -> str:
     """Source-side SELECT that returns every column as text (binary and
-    spatial as bytes), so the JDBC driver never rejects a zero date."""
+    spatial as bytes, BIT as the text of an unsigned number), so the JDBC
+    driver never rejects a zero date. ``split`` is added once more, as the
+    number it is, for a partitioned read."""
     cols = []
     for c in spec.columns:
         if c.kind in S.BINARY_TYPES:
-            cols.append(f"`{c.name}`")
+            cols.append(_quoted(c.name, quote))
         elif c.kind in S.SPATIAL_TYPES:
-            cols.append(f"ST_AsBinary(`{c.name}`) AS `{c.name}`")
+            cols.append(f"ST_AsBinary({_quoted(c.name, quote)}) AS {_quoted(c.name, quote)}")
+        elif c.kind == "bit":
+            cols.append(f"CAST(CAST({_quoted(c.name, quote)} AS UNSIGNED) AS CHAR) AS {_quoted(c.name, quote)}")
         else:
-            cols.append(f"CAST(`{c.name}` AS CHAR) AS `{c.name}`")
+            cols.append(f"CAST({_quoted(c.name, quote)} AS CHAR) AS {_quoted(c.name, quote)}")
+    if split is not None:
+        cols.append(f"{_quoted(split, quote)} AS {_quoted(SPLIT, quote)}")
     return f"SELECT {', '.join(cols)} FROM {table}"
 
 
@@ -51,29 +65,30 @@ def read_snapshot(spark: SparkSession, source: str, spec: S.TableSpec | None = N
       text formats use the all-text schema (no inference pass).
     * JDBC: ``jdbc={'url':…, 'user':…, 'password':…}``, ``source`` the table.
       The read is split on ``partition_column`` (default: a single integer
-      primary key of the spec) into ``num_partitions`` ranges, capped at the
-      source pool size; missing bounds come from one MIN/MAX query. Columns
+      primary key of the spec) into ``num_partitions`` ranges (default: the
+      source's pool size); missing bounds come from one MIN/MAX query. Columns
       are read as text (see :func:`jdbc_query`) so zero dates survive."""
     if jdbc is not None:
         props = dict(jdbc)
-        url = props.pop("url")
-        dbtable = f"({jdbc_query(spec, source)}) AS snap" if spec is not None and props.pop("as_text", True) else source
-        n = min(num_partitions, MAX_SOURCE_CONNECTIONS)
+        url, quote, as_text = props.pop("url"), props.pop("quote", "`"), props.pop("as_text", True)
         if partition_column is None and spec is not None and len(spec.primary_key) == 1:
             pk = spec.column(spec.primary_key[0].column)
             if pk.kind in S.INTEGER_TYPES:
                 partition_column = pk.name
+        textual = spec is not None and as_text
+        split = SPLIT if textual and partition_column is not None else partition_column
+        dbtable = f"({jdbc_query(spec, source, partition_column, quote)}) AS snap" if textual else source
         if partition_column is not None:
             if lower_bound is None or upper_bound is None:
                 # one tiny source-side query for the bounds (a single row)
-                b = spark.read.jdbc(url, f"(SELECT MIN(`{partition_column}`) AS lo, MAX(`{partition_column}`) AS hi "
-                                         f"FROM {source}) AS bounds", properties=props).first()
+                at = _quoted(partition_column, quote)
+                b = spark.read.jdbc(url, f"(SELECT MIN({at}) AS lo, MAX({at}) AS hi FROM {source}) AS bounds", properties=props).first()
                 lower_bound = b["lo"] if lower_bound is None else lower_bound
                 upper_bound = b["hi"] if upper_bound is None else upper_bound
             if lower_bound is not None and upper_bound is not None:
-                return spark.read.jdbc(url, dbtable, column=partition_column, lowerBound=int(lower_bound),
-                                       upperBound=int(upper_bound) + 1, numPartitions=n, properties=props)
-        return spark.read.jdbc(url, dbtable, properties=props)
+                return spark.read.jdbc(url, dbtable, column=split, lowerBound=int(lower_bound), upperBound=int(upper_bound) + 1,
+                                       numPartitions=num_partitions, properties=props).drop(SPLIT)
+        return spark.read.jdbc(url, dbtable, properties=props).drop(SPLIT)
     reader = spark.read.options(**(options or {}))
     if fmt in ("csv", "json") and spec is not None:
         reader = reader.schema(raw_schema(spec))

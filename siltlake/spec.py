@@ -250,7 +250,9 @@ def parse_members(enum_list: str | None) -> tuple[str, ...]:
 
 def column_from_metadata(row: dict) -> ColumnSpec:
     """One ``information_schema.columns``-shaped row -> ColumnSpec."""
-    column_type = (row.get("column_type") or "").lower()
+    declared = row.get("column_type") or ""
+    column_type = declared.lower()
+    modifiers = column_type.rpartition(")")[2] if "(" in column_type else column_type  # members may hold any word
     data_type = (row.get("data_type") or "varchar").lower()
     length = row.get("character_maximum_length")
     m = re.match(r"^\w+\s*\((\d+)", column_type)
@@ -258,7 +260,7 @@ def column_from_metadata(row: dict) -> ColumnSpec:
         length = int(m.group(1))
     members = ()
     if data_type in ("enum", "set"):
-        members = parse_members(row.get("enum_list") or column_type[len(data_type):])
+        members = parse_members(row.get("enum_list") or declared[len(data_type):])
     extra = (row.get("extra") or "").lower()
     default = row.get("column_default")
     return ColumnSpec(
@@ -267,8 +269,8 @@ def column_from_metadata(row: dict) -> ColumnSpec:
         length=length,
         precision=row.get("numeric_precision"),
         scale=row.get("numeric_scale"),
-        unsigned="unsigned" in column_type,
-        zerofill="zerofill" in column_type,
+        unsigned="unsigned" in modifiers,
+        zerofill="zerofill" in modifiers,
         nullable=(row.get("is_nullable") or "YES").upper() == "YES",
         default=NO_DEFAULT if default is None else default,
         members=members,
