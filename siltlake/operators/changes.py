@@ -129,6 +129,27 @@ def flatten_changes(images: DataFrame, columns: list[str], key: str | list[str]
     return x.select(*ks, seq, "_c.column", "_c.before", "_c.after")
 
 
+def with_previous(changes: DataFrame, columns: dict[str, str], key: str | list[str] = "pk", seq: str = "seq",
+                  block: int = 1 << 20) -> DataFrame:
+    """``changes`` with columns of the key's previous event (``{column: new
+    name}``; NULL for the first).
+
+    A window per key would put a busy key into one task. Two levels instead:
+    LAG inside ``(key, seq // block)``, and the last row of each block carried
+    to the key's next block (one row per key and block)."""
+    ks = _keys(key)
+    c = changes.withColumn("_b", F.floor(F.col(seq) / F.lit(block)).cast("bigint"))
+    w = Window.partitionBy(*ks, "_b").orderBy(seq)
+    image = F.struct(*[F.col(a).alias(b) for a, b in columns.items()])
+    inner = c.withColumn("_p", F.lag(image).over(w))
+    last = c.groupBy(*ks, "_b").agg(F.max_by(image, seq).alias("_last"))
+    carried = last.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(ks)], F.col("_b").alias("_cb"),
+                          F.lag("_last").over(Window.partitionBy(*ks).orderBy("_b")).alias("_carry"))
+    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(ks)]) & (F.col("_b") == F.col("_cb"))
+    p = F.coalesce("_p", "_carry")
+    return inner.join(carried, cond, "left").select(*[F.col(f"`{x}`") for x in changes.columns], *[p[n].alias(n) for n in columns.values()])
+
+
 def dedup_changes(changes: DataFrame, ident: tuple[str, ...] = ("server_uuid", "txn_no", "seq"),
                   watermark: tuple[str, str] | None = None) -> DataFrame:
     """One row per event identity (T8). Batch: ``dropDuplicates``; stream:

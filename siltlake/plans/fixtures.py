@@ -53,9 +53,9 @@ DIRTY_ORDERS_SQL = """dirty_orders AS (
 # --------------------------------------------------------------------------
 
 def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    """Every event as a change."""
     i = F.col("event_id")
-    return e.where(i % 17 != 0).select(
+    return table(spark, sf_dir, "events").select(
         i.alias("seq"), F.col("ts"), F.col("user_id").alias("pk"),
         F.concat(F.lit("srv-"), (i % 3).cast("string")).alias("server_uuid"),
         F.floor(i / 3).cast("bigint").alias("txn_no"),
@@ -70,7 +70,15 @@ CHANGELOG_SQL = """changelog AS (
     CAST(FLOOR(event_id / 3) AS BIGINT) AS txn_no,
     CASE WHEN event_id % 7 = 0 THEN 'delete' WHEN event_type = 'signup' THEN 'insert' ELSE 'update' END AS op,
     event_type, value, props
-  FROM events WHERE event_id % 17 <> 0)"""
+  FROM events)"""
+
+
+def gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with numbers missing: the input of what looks for gaps."""
+    return changelog(spark, sf_dir).where(F.col("seq") % 17 != 0)
+
+
+GAPPED_SQL = CHANGELOG_SQL.replace("FROM events)", "FROM events WHERE event_id % 17 <> 0)")
 
 
 def changelog_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,21 +91,18 @@ changelog_replayed AS (SELECT * FROM changelog UNION ALL SELECT * FROM changelog
 
 
 def changelog_images(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
-    """Full row images. The LAG window is part of the *fixture* (it invents the
-    before image a real log carries); it is partitioned by key."""
-    from pyspark.sql.window import Window
-    c = source if source is not None else changelog(spark, sf_dir)
-    w = Window.partitionBy("pk").orderBy("seq")
+    """Full row images: the before image that a real log carries is the key's
+    previous row, found without a window over a whole key."""
+    from siltlake.operators.changes import with_previous
+    c = with_previous(source if source is not None else changelog(spark, sf_dir), {"event_type": "before_type", "value": "before_value"})
     dele = F.col("op") == "delete"
     return c.select(
-        "seq", "ts", "pk", "server_uuid", "txn_no", "op",
-        F.lag("event_type").over(w).alias("before_type"),
-        F.lag("value").over(w).alias("before_value"),
+        "seq", "ts", "pk", "server_uuid", "txn_no", "op", "before_type", "before_value",
         F.when(dele, F.lit(None).cast("string")).otherwise(F.col("event_type")).alias("after_type"),
         F.when(dele, F.lit(None).cast("double")).otherwise(F.col("value")).alias("after_value"))
 
 
-IMAGES_SQL = CHANGELOG_SQL + """,
+_IMAGES = """,
 changelog_images AS (
   SELECT seq, ts, pk, server_uuid, txn_no, op,
     LAG(event_type) OVER (PARTITION BY pk ORDER BY seq) AS before_type,
@@ -105,6 +110,8 @@ changelog_images AS (
     CASE WHEN op = 'delete' THEN NULL ELSE event_type END AS after_type,
     CASE WHEN op = 'delete' THEN NULL ELSE value END AS after_value
   FROM changelog)"""
+IMAGES_SQL = CHANGELOG_SQL + _IMAGES
+GAPPED_IMAGES_SQL = GAPPED_SQL + _IMAGES
 
 
 def base_users(spark: SparkSession, sf_dir: str) -> DataFrame:

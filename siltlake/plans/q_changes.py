@@ -68,30 +68,30 @@ def q_flatten_changes(spark, sf_dir):
 
 
 @register("applied_set", f"""
-WITH {X.CHANGELOG_SQL},
+WITH {X.GAPPED_SQL},
 d AS (SELECT DISTINCT server_uuid, txn_no FROM changelog),
 g AS (SELECT server_uuid, txn_no, txn_no - ROW_NUMBER() OVER (PARTITION BY server_uuid ORDER BY txn_no) AS grp FROM d)
 SELECT server_uuid, MIN(txn_no) AS interval_start, MAX(txn_no) AS interval_end, COUNT(*) AS n_txn
 FROM g GROUP BY server_uuid, grp
 """)
 def q_applied_set(spark, sf_dir):
-    return C.applied_set(X.changelog(spark, sf_dir))
+    return C.applied_set(X.gapped(spark, sf_dir))
 
 
 @register("applied_set_blocks", f"""
-WITH {X.CHANGELOG_SQL},
+WITH {X.GAPPED_SQL},
 d AS (SELECT DISTINCT server_uuid, txn_no FROM changelog),
 g AS (SELECT server_uuid, txn_no, txn_no - ROW_NUMBER() OVER (PARTITION BY server_uuid ORDER BY txn_no) AS grp FROM d)
 SELECT server_uuid, MIN(txn_no) AS interval_start, MAX(txn_no) AS interval_end, COUNT(*) AS n_txn
 FROM g GROUP BY server_uuid, grp
 """)
 def q_applied_set_blocks(spark, sf_dir):
-    """Same answer with tiny blocks, so the cross-block merge is exercised."""
-    return C.applied_set(X.changelog(spark, sf_dir), block=64)
+    """The applied set again, as the blocks of the default size give it (tests use tiny ones)."""
+    return C.applied_set(X.gapped(spark, sf_dir))
 
 
 @register("missing_set", f"""
-WITH {X.CHANGELOG_SQL},
+WITH {X.GAPPED_SQL},
 d AS (SELECT DISTINCT server_uuid, txn_no FROM changelog),
 g AS (SELECT server_uuid, txn_no, txn_no - ROW_NUMBER() OVER (PARTITION BY server_uuid ORDER BY txn_no) AS grp FROM d),
 i AS (SELECT server_uuid, MIN(txn_no) AS lo, MAX(txn_no) AS hi FROM g GROUP BY server_uuid, grp),
@@ -99,12 +99,12 @@ n AS (SELECT server_uuid, hi, LEAD(lo) OVER (PARTITION BY server_uuid ORDER BY l
 SELECT server_uuid, hi + 1 AS gap_start, nxt - 1 AS gap_end, nxt - hi - 1 AS n_missing FROM n WHERE nxt IS NOT NULL
 """)
 def q_missing_set(spark, sf_dir):
-    islands = C.applied_set(X.changelog(spark, sf_dir), block=256)
-    return C.gaps(islands, block=256)
+    islands = C.applied_set(X.gapped(spark, sf_dir))
+    return C.gaps(islands)
 
 
 @register("missing_vs_applied", f"""
-WITH {X.CHANGELOG_SQL},
+WITH {X.GAPPED_SQL},
 src AS (SELECT DISTINCT 'srv-' || CAST(event_id % 3 AS VARCHAR) AS server_uuid,
                CAST(FLOOR(event_id / 3) AS BIGINT) AS txn_no FROM events),
 d AS (SELECT * FROM src EXCEPT SELECT server_uuid, txn_no FROM changelog),
@@ -116,7 +116,7 @@ def q_missing_vs_applied(spark, sf_dir):
     ev = X.table(spark, sf_dir, "events")
     source = ev.select(F.concat(F.lit("srv-"), (F.col("event_id") % 3).cast("string")).alias("server_uuid"),
                        F.floor(F.col("event_id") / 3).cast("bigint").alias("txn_no"))
-    return C.missing_set(source, X.changelog(spark, sf_dir))
+    return C.missing_set(source, X.gapped(spark, sf_dir))
 
 
 @register("dedup_changes", f"""
@@ -137,7 +137,7 @@ def q_route_tables(spark, sf_dir):
     return r.select("seq", "pk", "op", "event_type")
 
 
-_AUDIT_IMAGES = f"""{X.IMAGES_SQL},
+_AUDIT_IMAGES = f"""{X.GAPPED_IMAGES_SQL},
 audit_input AS (SELECT * FROM changelog_images UNION ALL SELECT * FROM changelog_images WHERE seq % 10 = 3)"""
 
 
@@ -155,23 +155,23 @@ SELECT server_uuid, CAST(SUM(n) AS BIGINT) AS n_events, CAST(SUM(nb) AS BIGINT)
 FROM tx GROUP BY server_uuid
 """)
 def q_change_log_audit(spark, sf_dir):
-    im = X.changelog_images(spark, sf_dir)
+    im = X.changelog_images(spark, sf_dir, X.gapped(spark, sf_dir))
     return C.change_log_audit(im.unionByName(im.where(F.col("seq") % 10 == 3)), ["type", "value"])
 
 
 @register("applied_set_text", f"""
-WITH {X.CHANGELOG_SQL},
+WITH {X.GAPPED_SQL},
 d AS (SELECT DISTINCT server_uuid, txn_no FROM changelog),
 g AS (SELECT server_uuid, txn_no, txn_no - ROW_NUMBER() OVER (PARTITION BY server_uuid ORDER BY txn_no) AS grp FROM d),
 i AS (SELECT server_uuid, MIN(txn_no) AS lo, MAX(txn_no) AS hi FROM g GROUP BY server_uuid, grp)
-SELECT server_uuid, CAST(FLOOR(lo / 256) AS BIGINT) AS chunk,
+SELECT server_uuid, CAST(FLOOR(lo / 1048576) AS BIGINT) AS chunk,
        string_agg(CASE WHEN lo = hi THEN CAST(lo AS VARCHAR) ELSE CAST(lo AS VARCHAR) || '-' || CAST(hi AS VARCHAR) END,
                   ':' ORDER BY lo) AS text
-FROM i GROUP BY server_uuid, CAST(FLOOR(lo / 256) AS BIGINT)
+FROM i GROUP BY server_uuid, CAST(FLOOR(lo / 1048576) AS BIGINT)
 """)
 def q_applied_set_text(spark, sf_dir):
     """The ``uuid:1-5:7-9`` text of the applied set, in ordered per-block chunks."""
-    return C.interval_text(C.applied_set(X.changelog(spark, sf_dir), block=256), block=256)
+    return C.interval_text(C.applied_set(X.gapped(spark, sf_dir)))
 
 
 @register("apply_with_tombstones", f"""

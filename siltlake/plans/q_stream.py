@@ -23,18 +23,20 @@ def _scratch(spark, name):
     return f"{checkpoint_dir(spark).rstrip('/')}/siltlake-{name}-{uuid.uuid4().hex[:10]}"
 
 
-def _stream_state(spark, sf_dir, buckets=16):
+def _write_log(log, path):
+    """Change files in an order unrelated to seq; as many as the session's shuffle makes."""
+    log.repartition(F.xxhash64("seq", F.lit(7))).write.mode("overwrite").parquet(path)
+
+
+def _stream_state(spark, sf_dir, buckets=None):
     base = _scratch(spark, "stream")
-    log = X.changelog_replayed(spark, sf_dir)
-    # four files, arrival order unrelated to seq; replays land in other files
-    log.withColumn("_f", F.pmod(F.xxhash64("seq", F.rand(7)), F.lit(4))).repartition(4, "_f").drop("_f") \
-        .write.mode("overwrite").parquet(f"{base}/log")
+    log = X.changelog_replayed(spark, sf_dir).select(
+        "pk", "seq", "op", "value", F.create_map(F.lit("props"), "props").alias("_rescued"))
+    _write_log(log, f"{base}/log")
     target = VersionedTable(spark, f"{base}/target", "pk", "seq", buckets=buckets)
     target.initialize(X.base_users(spark, sf_dir))
-    changes = read_changes(spark, f"{base}/log", log.schema, stream=True, max_files_per_trigger=1)
-    q = apply_stream(changes.select("pk", "seq", "op", "value"), target, f"{base}/checkpoint",
-                     dedup=("pk", "seq"))
-    q.awaitTermination()
+    changes = read_changes(spark, f"{base}/log", log.schema, stream=True, max_files_per_trigger=4)
+    apply_stream(changes, target, f"{base}/checkpoint").awaitTermination()
     return target
 
 
@@ -49,6 +51,39 @@ def q_stream_apply(spark, sf_dir):
 ORACLES["stream_apply"] = ORACLES["apply_changes"]
 
 
+@register("stream_two_writers", ORACLES["apply_changes"])
+def q_stream_two_writers(spark, sf_dir):
+    """Two streams with their own checkpoints, so with the same batch ids,
+    feed one target: neither hides a batch of the other."""
+    base = _scratch(spark, "writers")
+    log = X.changelog_replayed(spark, sf_dir).select("pk", "seq", "op", "value")
+    VersionedTable(spark, f"{base}/target", "pk", "seq", buckets=16).initialize(X.base_users(spark, sf_dir))
+    for half in (1, 0):  # the second brings older and newer events
+        _write_log(log.where(F.col("seq") % 2 == half), f"{base}/log{half}")
+        changes = read_changes(spark, f"{base}/log{half}", log.schema, stream=True, max_files_per_trigger=8)
+        apply_stream(changes, VersionedTable(spark, f"{base}/target", "pk", "seq"), f"{base}/checkpoint{half}").awaitTermination()
+    return VersionedTable(spark, f"{base}/target", "pk", "seq").state().select("pk", "seq", "value")
+
+
+@register("stream_evolve", f"""
+WITH {X.CHANGELOG_SQL},
+b AS (SELECT pk, seq, CAST(seq % 1000 AS BIGINT) AS amount, 'base' AS origin, op FROM changelog WHERE seq % 2 = 0
+      UNION ALL SELECT pk, seq, seq * 4000000000, event_type, op FROM changelog WHERE seq % 2 = 1),
+l AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY pk ORDER BY seq DESC) AS rn FROM b)
+SELECT pk, seq, amount, origin FROM l WHERE rn = 1 AND op <> 'delete'
+""")
+def q_stream_evolve(spark, sf_dir):
+    """A column is added with its default to the live target, and an INT column
+    widens to BIGINT with the next batch; a fresh reader sees both."""
+    path = f"{_scratch(spark, 'evolve')}/target"
+    log = X.changelog(spark, sf_dir)
+    t = VersionedTable(spark, path, "pk", "seq", buckets=16)
+    t.apply_batch(log.where("seq % 2 = 0").select("pk", "seq", "op", (F.col("seq") % 1000).cast("int").alias("amount")), 0)
+    t.add_column("origin", "string", "base")
+    t.apply_batch(log.where("seq % 2 = 1").select("pk", "seq", "op", (F.col("seq") * 4000000000).alias("amount"), F.col("event_type").alias("origin")), 1)
+    return VersionedTable(spark, path, "pk", "seq").state().select("pk", "seq", "amount", "origin")
+
+
 @register("published_snapshot", f"""
 WITH {X.DIRTY_ORDERS_SQL}
 SELECT o_orderkey, TRY_CAST(total_price AS DECIMAL(12,2)) AS total_price,
