@@ -14,12 +14,15 @@ from siltlake.llm import toxicity as T
 from siltlake.llm.queries import held_out
 
 
-def distance(a, b):
+def distance(a, b, enough=10**9):
+    """Edits, or some number over ``enough``."""
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         before, row[0] = row[0], i
         for j, y in enumerate(b, 1):
             before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        if min(row) > enough:
+            return min(row)
     return row[-1]
 
 
@@ -58,7 +61,7 @@ def brute_lines(rows, edits, least):
     for d, p, x in placed:
         key = (d is not None, d or 0, p)
         first[x] = min(first.get(x, key), key)
-    near = {x for x in first for y in first if x != y and first[y] < first[x] and abs(len(x) - len(y)) <= edits and edits and distance(x, y) <= edits}
+    near = {x for x in first for y in first if x != y and first[y] < first[x] and abs(len(x) - len(y)) <= edits and edits and distance(x, y, edits) <= edits}
     out = []
     for d, t in rows:
         if t is None:
