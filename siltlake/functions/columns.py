@@ -162,12 +162,17 @@ def range_label(values: list[Column], bounds: list, names: list[str] | None = No
     """First partition whose bound is strictly greater than the value
     (``VALUES LESS THAN``); None = MAXVALUE; unrouted and NULL -> NULL."""
     names = names or [f"p{i}" for i in range(len(bounds))]
-    out = None
-    for name, bound in zip(names, bounds):
-        tup = bound if isinstance(bound, tuple) else (bound,)
-        cond = _lt_tuple(values, tup)
-        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
-    return F.when(any_null(values), F.lit(None).cast("string")).otherwise(out)
+    below = [_lt_tuple(values, b if isinstance(b, tuple) else (b,)) for b in bounds]
+
+    def search(lo: int, hi: int) -> Column:
+        """Among partitions lo..hi-1 (bounds ascend), by halving: a row
+        evaluates about log2 of the bounds, not all of them."""
+        if hi - lo == 1:
+            return F.when(below[lo], F.lit(names[lo]))
+        mid = (lo + hi) // 2
+        return F.when(below[mid - 1], search(lo, mid)).otherwise(search(mid, hi))
+
+    return F.when(~any_null(values), search(0, len(bounds))) if bounds else F.lit(None).cast("string")
 
 
 def list_label(values: list[Column], lists: list, names: list[str] | None = None) -> Column:

@@ -141,3 +141,22 @@ def q_clustered_write(spark, sf_dir):
     o = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate", "o_custkey")
     L.write_clustered(o, base, [S.KeyPart("o_orderdate", descending=True), S.KeyPart("o_custkey")])
     return spark.read.parquet(base)
+
+
+@register("part_key_null", f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST({_KEY_HASH_SQL} % 8 AS INTEGER) END AS _part FROM orders
+""")
+def q_part_key_null(spark, sf_dir):
+    """A row with a NULL key part has no partition."""
+    o = _orders(spark, sf_dir).withColumn("o_custkey", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_custkey")))
+    return L.partition_key(o, ["o_custkey", "o_orderstatus"], 8).select("o_orderkey", "_part")
+
+
+@register("part_range_many", """
+SELECT o_orderkey, CASE WHEN o_totalprice < 700 * 600 THEN 'p' || CAST(CAST(FLOOR(GREATEST(o_totalprice, 0) / 700) AS INTEGER) AS VARCHAR) END AS _part
+FROM orders
+""")
+def q_part_range_many(spark, sf_dir):
+    """600 bounds: found by halving, not one by one."""
+    o = _orders(spark, sf_dir).select("o_orderkey", "o_totalprice")
+    return L.partition_range(o, "o_totalprice", [700 * (i + 1) for i in range(600)]).select("o_orderkey", "_part")

@@ -207,6 +207,19 @@ def q_profile(spark, sf_dir):
     return profile(X.table(spark, sf_dir, "orders"), _PROFILE_COLS, exact=True)
 
 
+@register("profile_approx", f"""
+SELECT column_name, n_rows, n_null, min_value, max_value, max_length, TRUE AS distinct_within_tenth
+FROM ({_profile_sql(_PROFILE_COLS)}) p
+""")
+def q_profile_approx(spark, sf_dir):
+    """The one-pass form; its distinct counts are held against the exact ones."""
+    o = X.table(spark, sf_dir, "orders")
+    exact = profile(o, _PROFILE_COLS, exact=True).select("column_name", F.col("n_distinct").alias("_exact"))
+    near = F.abs(F.col("n_distinct") - F.col("_exact")) <= F.col("_exact") * 0.1
+    return profile(o, _PROFILE_COLS).join(exact, "column_name").select(
+        "column_name", "n_rows", "n_null", "min_value", "max_value", "max_length", near.alias("distinct_within_tenth"))
+
+
 @register("union_members", """
 SELECT 'customer' AS member, c_custkey AS id, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal,
        c_mktsegment AS segment FROM customer

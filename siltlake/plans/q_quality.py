@@ -251,3 +251,21 @@ SELECT NULL, 'null_part', COUNT(*) FROM orders WHERE o_orderkey IS NULL HAVING C
 """)
 def q_rule_holds(spark, sf_dir):
     return Q.rule_holds(X.table(spark, sf_dir, "orders"), "primary_key", parts=["o_orderkey"])
+
+
+@register("rule_broken", """
+SELECT l_orderkey, l_linenumber, 'duplicate' AS reason, COUNT(*) AS n_rows FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
+""")
+def q_rule_broken(spark, sf_dir):
+    """A key about to be added that the table does not have."""
+    return Q.rule_holds(X.table(spark, sf_dir, "lineitem"), "primary_key", parts=["l_orderkey", "l_linenumber"])
+
+
+@register("quarantined_landing", f"""
+WITH {X.DIRTY_ORDERS_SQL}
+SELECT o_orderkey FROM dirty_orders WHERE {" OR ".join(f"({c})" for _, sev, c in _ROW_RULES_SQL if sev == "error")}
+""")
+def q_quarantined_landing(spark, sf_dir):
+    """The other side of the landing split: what goes to quarantine."""
+    return Q.split_clean(X.dirty_orders(spark, sf_dir), QUALITY_SPEC)[1].select("o_orderkey")

@@ -169,3 +169,55 @@ def q_cascade_self(spark, sf_dir):
     out, _ = R.apply_parent_changes(t.select("k", "parent"), ["parent"], deleted=deleted, on_delete="CASCADE",
                                     self_parent=["k"])
     return out
+
+
+# --------------------------------------------------------------------------
+# more actions, and comparisons that some rows pass
+# --------------------------------------------------------------------------
+
+def _rekeyed(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+    return o.select("o_orderkey", (F.col("o_orderkey") + 1000000).alias("new_key"))
+
+
+@register("set_null_update", """
+SELECT CASE WHEN EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus = 'P' AND o.o_orderkey = l.l_orderkey)
+            THEN NULL ELSE l_orderkey END AS l_orderkey, l_linenumber, l_partkey
+FROM lineitem l
+""")
+def q_set_null_update(spark, sf_dir):
+    out, _ = R.apply_parent_changes(_lines(spark, sf_dir), ["l_orderkey"], rekeyed=_rekeyed(spark, sf_dir), on_update="SET NULL")
+    return out
+
+
+@register("no_action_update", """
+SELECT o_orderkey AS old_key, o_orderkey + 1000000 AS new_key FROM orders o WHERE o_orderstatus = 'P'
+  AND EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+""")
+def q_no_action_update(spark, sf_dir):
+    _, rejected = R.apply_parent_changes(_lines(spark, sf_dir), ["l_orderkey"], rekeyed=_rekeyed(spark, sf_dir), on_update="NO ACTION")
+    return rejected.select(F.col("_o0").alias("old_key"), F.col("_n0").alias("new_key"))
+
+
+@register("lt_all_rows", """
+SELECT o_orderkey FROM orders WHERE o_totalprice < ALL (SELECT s_acctbal * 3 + 60000 FROM supplier WHERE s_acctbal > 0)
+""")
+def q_lt_all_rows(spark, sf_dir):
+    s = X.table(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 0)
+    return R.compare_all(X.table(spark, sf_dir, "orders"), "o_totalprice", "<", s, F.col("s_acctbal") * 3 + 60000).select("o_orderkey")
+
+
+@register("eq_all_rows", """
+SELECT p_partkey, p_size FROM part WHERE p_size = ALL (SELECT MAX(p_size) FROM part)
+""")
+def q_eq_all_rows(spark, sf_dir):
+    p = X.table(spark, sf_dir, "part")
+    return R.compare_all(p.select("p_partkey", "p_size"), "p_size", "=", p.agg(F.max("p_size").alias("m")), "m")
+
+
+@register("ne_all_rows", """
+SELECT c_custkey FROM customer WHERE c_custkey <> ALL (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 5 = 0)
+""")
+def q_ne_all_rows(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders").where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderkey") % 5 == 0))
+    return R.compare_all(X.table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", "<>", o, "o_custkey")

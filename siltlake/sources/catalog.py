@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltlake import spec as S
+
 # The twelve column-metadata fields, in the order the source reads them.
 COLUMN_FIELDS = (
     "column_name", "column_default", "ordinal_position", "data_type", "column_type",
@@ -49,6 +51,19 @@ def enum_members(columns_df: DataFrame) -> DataFrame:
     return out.withColumn("members", F.when(dt.isin("enum", "set"), members))
 
 
+def specs_from_catalog(tables_df: DataFrame, columns_df: DataFrame, database: str | None = None,
+                       limit: list[str] | None = None, skip: list[str] | None = None) -> dict[tuple[str, str], S.TableSpec]:
+    """A spec for every selected table, ``{(schema, table): spec}``: the whole
+    loop from a catalog dump to the snapshot jobs. Only metadata of the
+    selected tables reaches the driver, one row per column."""
+    chosen = select_tables(tables_df, database, limit, skip)
+    rows = table_columns(columns_df.join(chosen, ["table_schema", "table_name"], "left_semi"), database).toLocalIterator()
+    by_table: dict[tuple[str, str], list] = {}
+    for r in rows:
+        by_table.setdefault((r["table_schema"], r["table_name"]), []).append(r)
+    return {k: S.spec_from_columns(k[1], v) for k, v in by_table.items()}
+
+
 def table_columns(columns_df: DataFrame, database: str | None = None, table: str | None = None) -> DataFrame:
     """Column metadata of one table (or of every table when unset), with the
     twelve fields, ordered by ``ordinal_position`` (S2)."""
