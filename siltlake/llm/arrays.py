@@ -33,6 +33,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * _ODD)
+
+
 def word_table(separators: bytes | None = None) -> np.ndarray:
     """For each byte, what it is in a word: 0 where it separates words, A-Z
     lowered. Words are runs of bytes not in ``separators``; without it, runs
@@ -55,15 +58,22 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(p)
 
 
+def hash_runs(chars: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The 64-bit hash of each run of bytes; a run begins at each ``first``
+    (ascending, from 0) and goes on to the next."""
+    lengths = np.diff(first, append=len(chars))
+    powers = _powers(int(lengths.max()))
+    place = np.arange(len(chars)) - np.repeat(first, lengths)
+    return mix64(np.add.reduceat(_VALUES[chars] * powers[place], first))
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The 64-bit hash of every word of every row, in order, and the n + 1
     positions at which the rows' words begin. No word crosses a row."""
-    values = mix64(np.arange(1, 257, dtype=np.uint64) * _ODD)
     n, at = len(data), 0
     hashes, starts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     row_starts = np.unique(offsets[:-1])
     row_starts = row_starts[row_starts < n]
-    powers = _powers(1024)
     while at < n:
         end = min(at + CHUNK, n)
         while end < n and table[data[end]] and table[data[end - 1]]:  # not inside a word
@@ -80,11 +90,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tup
         if len(where):
             chars = x[word]
             first = np.cumsum(word)[where] - 1
-            lengths = np.diff(first, append=len(chars))
-            if lengths.max() > len(powers):
-                powers = _powers(int(lengths.max()))
-            place = np.arange(len(chars)) - np.repeat(first, lengths)
-            hashes.append(mix64(np.add.reduceat(values[chars] * powers[place], first)))
+            hashes.append(hash_runs(chars, first))
             starts.append(where + at)
         at = end
     starts = np.concatenate(starts)

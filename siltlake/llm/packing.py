@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import bisect
 import os
-import re
 import sys
 import types
 import zlib
@@ -37,28 +36,78 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltlake.llm.arrays import hash_runs, utf8_column
 from siltlake.session import checkpoint_dir
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
+STEP_BYTES = 8 << 20
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, block int, rank long"
 
-#: letters that lower-casing maps one to one and no normal form changes, then punctuation alone; or a line
-_PARTS = re.compile(r"^(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)|(.*))$", re.M)
+_SPACE, _LETTER, _MARK, _OTHER = range(4)
+
+
+def _byte_kinds() -> np.ndarray:
+    kinds = np.full(256, _OTHER, dtype=np.uint8)
+    kinds[33:127] = _MARK
+    kinds[48:58] = _OTHER
+    kinds[65:91] = kinds[97:123] = _LETTER
+    kinds[list(b" \n\t\r\v\f")] = _SPACE
+    return kinds
+
+
+_KINDS = _byte_kinds()
+
+
+def split_units(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Units of the texts: hash, first byte and end of each, and whether it is
+    letters alone.
+
+    A chunk (a run without ASCII white space) of letters and then punctuation
+    alone is two units, in lower case; any other chunk is one, as it is.
+    Letters are a-z and those from U+00C0 to U+00FF, which lower-casing maps one
+    to one and no normal form changes."""
+    kind = _KINDS[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = _LETTER
+    inside = kind != _SPACE
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    rows = at[:-1][at[:-1] < len(data)]
+    first[rows] = inside[rows]
+    begin = np.flatnonzero(first)
+    if not len(begin):
+        return np.empty(0, np.uint64), begin, begin, begin > 0
+    # what keeps a chunk whole: another kind of byte, a mark in front, a letter after a mark
+    odd = kind == _OTHER
+    odd[1:] |= (kind[1:] == _LETTER) & (kind[:-1] == _MARK) & ~first[1:]
+    odd[begin] |= kind[begin] == _MARK
+    plain = ~np.logical_or.reduceat(odd, begin)
+    chunk = np.cumsum(first) - 1
+    turn = np.zeros(len(data), dtype=bool)
+    turn[1:] = (kind[1:] == _MARK) & (kind[:-1] == _LETTER)
+    turn = np.flatnonzero(turn)
+    first[turn[plain[chunk[turn]]]] = True
+    begin = np.flatnonzero(first)
+    place = np.cumsum(inside) - 1  # among the bytes of chunks
+    chars = data[inside]
+    small = plain[chunk[inside]] & (chars >= 65) & (chars <= 90)
+    chars = chars + np.where(small, np.uint8(32), np.uint8(0))
+    ends = begin + np.diff(place[begin], append=len(chars))
+    return hash_runs(chars, place[begin]), begin, ends, plain[chunk[begin]] & (kind[begin] == _LETTER)
 
 
 class WordEncoder:
-    """Ids of whole texts, as little-endian uint32 bytes, for a tokenizer that
-    lower-cases, splits at white space and between letters and punctuation,
-    and marks the last token of a word.
+    """Ids of whole texts, for a tokenizer that lower-cases, splits at white
+    space and between letters and punctuation, and marks the last token of a
+    word. The ids of a text are then those of its units, one after another.
 
-    The ids of a text are then those of its white-space separated chunks, one
-    after another, and each chunk is encoded once: chunks of plain letters and
-    trailing punctuation as a word and a rest (words many at a time, without
-    the normaliser, which would not change them), all others by the full
-    tokenizer as they are. Both memories are emptied when they are full, and
-    long chunks are not kept."""
+    Each unit is encoded once: words many at a time, without the normaliser
+    (which would not change them), all others by the full tokenizer as they
+    are. Units are told apart by a 64-bit hash, so only one of each becomes a
+    string. What is known is emptied when it is full; long units are not kept."""
 
     def __init__(self, path: str, room: int = CACHE_WORDS):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -69,44 +118,41 @@ class WordEncoder:
         vocabulary = self.full.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[v for k, v in vocabulary.items() if k.endswith("</w>")]] = True
-        self.room, self.chunks, self.words = room, {}, {"": b""}
-
-    def _exactly(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.full.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        known = self.words
-        parts = _PARTS.findall("\n".join(chunks)) if chunks else []  # word, rest, or else the chunk
-        words = [w.lower() for w, _, _ in parts]
-        new = list(set(words).difference(known))
-        for at in range(0, len(new), 256):
-            part = new[at:at + 256]
+        self.room, self.known = room, {}
+
+    def _learn(self, words: list[str], rest: list[str]) -> None:
+        for at in range(0, len(words), 256):
+            part = words[at:at + 256]
             ids = np.array(self.light.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
             flat = ids.tobytes()
-            known.update(zip(part, [flat[i:j] for i, j in zip([0, *ends], ends)], strict=True))
-        odd = list({x for _, r, c in parts for x in (r, c)}.difference(known))
-        known.update(zip(odd, self._exactly(odd)))
-        self.chunks.update(zip(chunks, [known[w] + known[r] + known[c] for w, (_, r, c) in zip(words, parts)], strict=True))
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 256):
-            split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").replace("\v", " ").replace("\f", " ").split(" ")
-                     for t in texts[at:at + 256]]
-            if len(self.chunks) > self.room:
-                self.chunks.clear()
-            if len(self.words) > self.room:
-                self.words = {"": b""}
-            new = list(set().union(*split).difference(self.chunks))
-            self._learn(new)
-            known = self.chunks.__getitem__
-            for words in split:
-                yield b"".join(map(known, words))
-            for c in new:
-                if len(c) > 64:
-                    del self.chunks[c]
-                    self.words.pop(c, None)
-                    self.words.pop(c.lower(), None)
+            self.known.update(zip(part, [flat[i:j] for i, j in zip([0, *ends], ends)], strict=True))
+        self.known.update((u, np.array(e.ids, dtype="<u4").tobytes())
+                          for u, e in zip(rest, self.full.encode_batch_fast(rest, add_special_tokens=False)))
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and the n + 1 places where
+        each text's begin."""
+        data, at = utf8_column(column)
+        hashes, starts, ends, word = split_units(data, at)
+        _, one, number = np.unique(hashes, return_index=True, return_inverse=True)
+        flat, known = data.tobytes(), self.known
+        units = [flat[i:j].decode() for i, j in zip(starts[one].tolist(), ends[one].tolist())]
+        word = word[one].tolist()
+        units = [u.lower() if w else u for u, w in zip(units, word)]
+        if len(known) > self.room:
+            known.clear()
+        new = dict((u, w) for u, w in zip(units, word) if u not in known)
+        self._learn([u for u, w in new.items() if w], [u for u, w in new.items() if not w])
+        ids_of = [known[u] for u in units]
+        for u in new:
+            if len(u) > 64:  # long units seldom come again
+                del known[u]
+        each = np.array([len(x) for x in ids_of], dtype=np.int64) // 4
+        ids, first = np.frombuffer(b"".join(ids_of), dtype="<u4"), np.cumsum(each) - each
+        many = each[number]
+        place = np.concatenate([[0], np.cumsum(many)])
+        return ids[np.arange(place[-1]) + np.repeat(first[number] - place[:-1], many)], place[np.searchsorted(starts, at)]
 
 
 def worker_encoder(path: str) -> WordEncoder:
@@ -117,6 +163,15 @@ def worker_encoder(path: str) -> WordEncoder:
     return kept[path]
 
 
+def steps(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts (second column) have about ``STEP_BYTES``."""
+    at, i = utf8_column(batch.column(1))[1], 0
+    while i < batch.num_rows:
+        j = max(i + 1, int(np.searchsorted(at, at[i] + STEP_BYTES, side="right")) - 1)
+        yield batch.slice(i, j - i)
+        i = j
+
+
 def piece_table(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: where it starts in its document, its length, the CRC
@@ -134,14 +189,14 @@ def piece_table(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_i
         encoder = worker_encoder(path)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         block, used = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
-        for batch in batches:
-            doc_ids = batch.column(0).to_pylist()
+        for batch in (part for b in batches for part in steps(b)):
             doc, piece, start, length, crc, rank = [], [], [], [], [], []
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for d, ids in zip(doc_ids, encoder.encode(texts)):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
+            ids, places = encoder.encode(batch.column(1))
+            flat, places = ids.astype("<u4").tobytes(), (4 * places).tolist()
+            for d, i, j in zip(batch.column(0).to_pylist(), places, places[1:]):
+                text = flat[i:j] + end
+                for k, at in enumerate(range(0, len(text), 4 * capacity)):
+                    part = text[at:at + 4 * capacity]
                     n = len(part) // 4
                     doc.append(d)
                     piece.append(k)
