@@ -42,9 +42,10 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
              .withColumn("_block", F.spark_partition_id())
              .checkpoint())  # block numbers are only used as written here
     totals = dealt.groupBy("_block").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_rows"))
-    # one row per block: the only window over all, bounded by the number of blocks
-    before = Window.partitionBy(F.lit(0)).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy(F.lit(0))
+    # one short row per block: the only window over all of them, bounded by the number of blocks
+    totals = totals.withColumn("_all", F.col("_block") >= 0)
+    every = Window.partitionBy("_all")
+    before = every.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("_block", F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_start"),
                            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first"),
                            F.sum("_bytes").over(every).alias("_total"))
