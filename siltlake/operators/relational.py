@@ -164,7 +164,8 @@ def cascade_self_delete(table: DataFrame, parent_cols: list[str], key_cols: list
     in the ancestor's hit flag, so after ``r`` rounds the first ``2^r``
     ancestors have been seen: ``log2(depth)`` rounds, not one per level, and
     no more than ``log2(rows) + 1`` even for a cyclic reference. A row that
-    is hit stops jumping. Each round is written to the shared checkpoint
+    is hit stops jumping, and a row whose pointer has run out joins no more, so
+    no round joins on a NULL pointer. Each round is written to the shared checkpoint
     folder, so lineage stays one round long and a lost executor recomputes
     one round. Only a row count and one "anything left?" flag per round reach
     the driver. A root with many descendants is a skewed join key on the
@@ -189,16 +190,19 @@ def cascade_self_delete(table: DataFrame, parent_cols: list[str], key_cols: list
     nodes = nodes.select(*kn, *[F.when(F.col("_hit"), F.lit(None)).otherwise(F.col(n)).alias(n) for n in an],
                          "_hit").checkpoint(eager=True)
     rounds = math.ceil(math.log2(max(nodes.count(), 2))) + 1
+    # a node without a pointer is settled: it is looked up, but jumps and is written no more
+    done, active = nodes.where(F.col(an[0]).isNull()), nodes.where(F.col(an[0]).isNotNull())
     for _ in range(rounds):
-        if nodes.where(F.col(an[0]).isNotNull()).isEmpty():
+        if active.isEmpty():
             break
-        look = nodes.select(*[F.col(x).alias(f"_l{x}") for x in kn], *[F.col(x).alias(f"_l{x}") for x in an],
-                            F.col("_hit").alias("_lhit"))
-        cond = reduce(lambda a, b: a & b, [nodes[a] == look[f"_l{kk}"] for a, kk in zip(an, kn)])
-        j = nodes.join(look, cond, "left")
+        look = done.unionByName(active).select(*[F.col(x).alias(f"_l{x}") for x in kn], *[F.col(x).alias(f"_l{x}") for x in an],
+                                               F.col("_hit").alias("_lhit"))
+        cond = reduce(lambda a, b: a & b, [active[a] == look[f"_l{kk}"] for a, kk in zip(an, kn)])
         hit = F.col("_hit") | F.coalesce(F.col("_lhit"), F.lit(False))
-        nodes = j.select(*kn, *[F.when(hit, F.lit(None)).otherwise(F.col(f"_l{a}")).alias(a) for a in an],
-                         hit.alias("_hit")).checkpoint(eager=True)
-    gone = nodes.where(F.col("_hit")).select(*kn)
+        jumped = active.join(look, cond, "left").select(
+            *kn, *[F.when(hit, F.lit(None)).otherwise(F.col(f"_l{a}")).alias(a) for a in an], hit.alias("_hit")).checkpoint(eager=True)
+        done = done.unionByName(jumped.where(F.col(an[0]).isNull()))
+        active = jumped.where(F.col(an[0]).isNotNull())
+    gone = done.where(F.col("_hit")).select(*kn)
     cond = reduce(lambda a, b: a & b, [table[c] == gone[n] for c, n in zip(key_cols, kn)])
     return table.join(gone, cond, "left_anti")
