@@ -4,7 +4,6 @@ warehouse sink (S8), and member-table union (S9)."""
 from __future__ import annotations
 
 import json
-import time
 import uuid
 from functools import reduce
 
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.functions.columns import csv_line
-from siltlake.session import put_small_file
+from siltlake.session import put_new_file
 
 
 def union_members(tables: list[DataFrame]) -> DataFrame:
@@ -46,14 +45,22 @@ def _pointer_dir(target: str) -> str:
     return f"{target.rstrip('/')}/_current"
 
 
+def _pointer_numbers(spark: SparkSession, target: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(_pointer_dir(target))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return [int(n[:-len(".json")]) for n in names if n.endswith(".json") and n[:-len(".json")].isdigit()]
+
+
 def publish_staged(df: DataFrame, target: str, gate=None, version: str | None = None,
                    partition_by: list[str] | None = None) -> str:
     """Publish ``df`` as the new whole version of ``target``.
 
     The data goes to ``target/v=<version>``; ``gate(staged_df)`` (e.g. a
     row-count or quality check returning bool) runs on the written copy;
-    only then is a new pointer file added under ``target/_current`` (written
-    aside, renamed into place; the newest one wins). Readers that go
+    only then is a new pointer file added under ``target/_current``, under the
+    next free number (the largest wins). Readers that go
     through :func:`read_published` never see a half-written table, and the
     previous version stays readable until cleaned up."""
     spark = df.sparkSession
@@ -66,17 +73,18 @@ def publish_staged(df: DataFrame, target: str, gate=None, version: str | None =
     staged = spark.read.parquet(path)
     if gate is not None and not gate(staged):
         raise ValueError(f"staged version {version} rejected by gate; pointer unchanged")
-    # a new pointer file per publish; the newest name wins, nothing is rewritten
-    stamp = f"{time.time_ns():020d}"
-    put_small_file(spark, f"{_pointer_dir(target)}/{stamp}-{version}.json",
-                   json.dumps({"stamp": stamp, "version": version, "path": path}) + "\n")
+    # the next free number is taken by creating its file: two publishers never share one, none is rewritten
+    number = max(_pointer_numbers(spark, target), default=0) + 1
+    while not put_new_file(spark, f"{_pointer_dir(target)}/{number:012d}.json",
+                           json.dumps({"number": number, "version": version, "path": path}) + "\n"):
+        number += 1
     return path
 
 
 def read_published(spark: SparkSession, target: str) -> DataFrame:
-    """The newest published version (pointer files are tiny: one per publish)."""
-    ptr = spark.read.schema("stamp string, version string, path string").json(_pointer_dir(target)) \
-        .orderBy(F.col("stamp").desc()).select("path").first()
+    """The version published last (pointer files are tiny: one per publish)."""
+    ptr = spark.read.schema("number long, version string, path string").json(_pointer_dir(target)) \
+        .where("path IS NOT NULL").orderBy(F.col("number").desc()).select("path").first()
     return spark.read.parquet(ptr["path"])
 
 
