@@ -36,6 +36,17 @@ def unpack_arrays(value: bytes, *types: str) -> list[np.ndarray]:
             for t, n, e in zip(types, sizes.tolist(), ends.tolist())]
 
 
+def freed(result):
+    """``result``, after the memory that its making used has gone back to the
+    system: a worker goes on to other tasks beside the executor's own memory."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+    return result
+
+
 def block_count(docs: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> int:
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("binary")))).first()[0] or 0
     return int(total // block_bytes) + 1

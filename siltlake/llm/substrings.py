@@ -38,10 +38,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from siltlake.llm.arrays import mix64
-from siltlake.llm.blocks import block_count, open_block, pack_arrays, to_blocks, unpack_arrays
+from siltlake.llm.blocks import block_count, freed, open_block, pack_arrays, to_blocks, unpack_arrays
 
 WIDTH, GRAM = 50, 16
-_CHUNK, _PLACE = 1 << 20, 24
+_CHUNK, _PLACE = 1 << 16, 24
+#: text of a block, and of the regions sorted at once; raise them with the executors' memory
+BLOCK_BYTES, SORT_BYTES = 4 << 20, 1 << 20
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0xA0761D6478BD642F)
@@ -209,7 +211,7 @@ def held_strings(doc: np.ndarray, count: np.ndarray, text: np.ndarray, width: in
 def repeated_bytes(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (removed byte
     ranges, end exclusive)."""
-    n = block_count(docs, text_col)
+    n = block_count(docs, text_col, BLOCK_BYTES)
     blocks = to_blocks(docs, n, id_col, text_col).groupBy("block")
     message = "bucket int, block int, kind string, value binary"
 
@@ -221,8 +223,9 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     def report(key: tuple, texts: pa.Table) -> pa.Table:
         b = _Block(texts.column("payload").to_pylist(), width)
         cut = b.buckets(n)
-        values = [pack_arrays(b.anchor[i:j], b.region[i:j], b.smallest[i:j]) for i, j in zip(cut, cut[1:])]
-        return table(np.arange(n), key[0].as_py(), "pairs", values)
+        some = np.flatnonzero(np.diff(cut))
+        values = [pack_arrays(*(x[cut[k]:cut[k + 1]] for x in (b.anchor, b.region, b.smallest))) for k in some]
+        return table(some, key[0].as_py(), "pairs", values)
 
     def judge(key: tuple, rows: pa.Table) -> pa.Table:
         flags = judge_pairs([unpack_arrays(v, "<u8", "<u8", "<i8") for v in rows.column("value").to_pylist()])
@@ -254,7 +257,7 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
         parts = [unpack_arrays(v, "<u8", "<i8", "<i8", "<i8", "u1") for v in rows.column("value").to_pylist()]
         held: dict[int, list] = {}
         # equal strings have equal anchors: ranges of anchors are sorted one after another
-        pieces = max(1, sum(len(p[4]) for p in parts) // (4 << 20))
+        pieces = max(1, sum(len(p[4]) for p in parts) // SORT_BYTES)
         low, wide = (key[0].as_py() << 64) // n, (1 << 64) // n // pieces + 1
         at = [np.searchsorted(p[0], np.array([min(low + i * wide, (1 << 64) - 1) for i in range(1, pieces)], dtype=np.uint64)) for p in parts]
         for i in range(pieces):
@@ -308,9 +311,8 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
             "kept_sha256": pa.array(kept, pa.string()),
             "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))})
 
-    pairs = blocks.applyInArrow(report, message)
-    flags = pairs.groupBy("bucket").applyInArrow(judge, message)
-    sent = blocks.cogroup(flags.groupBy("block")).applyInArrow(send, message)
-    strings = sent.groupBy("bucket").applyInArrow(sort, message)
-    return blocks.cogroup(flags.union(strings).groupBy("block")).applyInArrow(
-        mark, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>")
+    pairs = blocks.applyInArrow(lambda key, rows: freed(report(key, rows)), message)
+    flags = pairs.groupBy("bucket").applyInArrow(lambda key, rows: freed(judge(key, rows)), message)
+    sent = blocks.cogroup(flags.groupBy("block")).applyInArrow(lambda key, texts, rows: freed(send(key, texts, rows)), message)
+    strings = sent.groupBy("bucket").applyInArrow(lambda key, rows: freed(sort(key, rows)), message)
+    return blocks.cogroup(flags.union(strings).groupBy("block")).applyInArrow(lambda key, texts, rows: freed(mark(key, texts, rows)), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.llm.arrays import utf8_column, word_hashes, word_table
-from siltlake.llm.blocks import block_count, block_of, open_block, pack_arrays, to_blocks, unpack_arrays
+from siltlake.llm.blocks import block_count, block_of, freed, open_block, pack_arrays, to_blocks, unpack_arrays
 from siltlake.session import checkpoint_dir
 
 CALIBRATION_ROWS = 50_000
@@ -126,10 +126,10 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                          "words": pa.array(words, pa.int64()), "evidence": pa.array(evidence, pa.float64())})
 
     by_block = blocks.groupBy("block")
-    asked = by_block.cogroup(dealt.select("block", "id", "toxic").groupBy("block")).applyInArrow(ask, "bucket int, block int, asked binary")
-    answered = asked.groupBy("bucket").applyInArrow(answer, "block int, id long, toxic int, answer binary, bucket int")
+    asked = by_block.cogroup(dealt.select("block", "id", "toxic").groupBy("block")).applyInArrow(lambda key, texts, rows: freed(ask(key, texts, rows)), "bucket int, block int, asked binary")
+    answered = asked.groupBy("bucket").applyInArrow(lambda key, rows: freed(answer(key, rows)), "block int, id long, toxic int, answer binary, bucket int")
     back = answered.union(dealt.select("block", "id", "toxic", "answer", "bucket"))
-    return by_block.cogroup(back.groupBy("block")).applyInArrow(score, "doc_id long, label int, words long, evidence double")
+    return by_block.cogroup(back.groupBy("block")).applyInArrow(lambda key, texts, rows: freed(score(key, texts, rows)), "doc_id long, label int, words long, evidence double")
 
 
 def log_ratio(toxic: np.ndarray, plain: np.ndarray, all_toxic: int, all_plain: int, once: int, twice: int) -> np.ndarray:
@@ -170,9 +170,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id
     per_word = F.when(F.col("words") > 0, F.col("evidence") / F.col("words")).otherwise(F.lit(0.0))
     error = 1 / F.sqrt(F.greatest("words", F.lit(1)))
     scored = found.select("doc_id", "label", "words", per_word.alias("evidence"), error.alias("error"))
-    # a bounded sample in a fixed random order: only the three numbers of the map are fitted on it
-    rows = (scored.where("label >= 0").orderBy(F.xxhash64("doc_id"), "doc_id", "words", "evidence").limit(calibration_rows)
-            .select("evidence", "error", "label").collect())
+    # a sample by a hash of the id, of about that many rows however many are labelled: the map has three numbers
+    labelled = scored.where("label >= 0")
+    share = min(1.0, calibration_rows / max(1, labelled.count()))
+    rows = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30))).select("evidence", "error", "label").collect()
     y = np.array([r["label"] for r in rows], dtype=float)
     x = np.array([[r["evidence"], r["error"]] for r in rows], dtype=float).reshape(-1, 2)
     a, b, c = fit_map(x, y) if 0 < y.sum() < len(y) else (1.0, 0.0, 0.0)
