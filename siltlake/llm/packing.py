@@ -41,8 +41,8 @@ from siltlake.session import checkpoint_dir
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 1_000_000
-STEP_BYTES = 8 << 20
+CACHE_WORDS = 600_000
+STEP_BYTES = 4 << 20
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, block int, rank long"
 
 _SPACE, _LETTER, _MARK, _OTHER = range(4)
