@@ -11,7 +11,8 @@ as blocks; then
    document, and learns which regions are wholly in a smaller document and
    which anchors stand in differing regions, so that parts may agree;
 2. only the differing regions of such anchors, one copy of each, have their
-   strings sorted, by bucket-pointer refinement: buckets of equal 8-byte grams
+   strings sorted (those of an anchor with very many regions are dealt out by
+   their first bytes, so no bucket grows with one frequent gram), by bucket-pointer refinement: buckets of equal 8-byte grams
    are refined by the bucket identifiers of later offsets (8, then 16, then 18
    on), each pass sorting on the identifiers the last one made and leaving out
    what is alone in its bucket;
@@ -47,7 +48,9 @@ BLOCK_BYTES, SORT_BYTES = 4 << 20, 1 << 20
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0xA0761D6478BD642F)
-HELD, SEND = 1, 2
+HELD, SEND, SPLIT = 1, 2, 4
+#: an anchor with more regions than this sends its strings one by one, each to a bucket of its own first bytes
+HOT_REGIONS = 1024
 
 
 def _words8(data: np.ndarray) -> np.ndarray:
@@ -137,15 +140,18 @@ class _Block:
         self.example_at = np.searchsorted(self.pair[self.of_smallest], np.arange(len(begin) + 1))
         self.example = self.of_smallest[self.example_at[:-1]]
 
-    def buckets(self, n: int) -> np.ndarray:
-        edges = np.array([(i << 64) // n for i in range(1, n)], dtype=np.uint64)
-        return np.concatenate([[0], np.searchsorted(self.anchor, edges), [len(self.anchor)]]).astype(np.int64)
+
+def _cut(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Where each of n buckets begins among sorted hashes, and their end."""
+    edges = np.array([(i << 64) // n for i in range(1, n)], dtype=np.uint64)
+    return np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]]).astype(np.int64)
 
 
 def judge_pairs(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
     """For the (anchor, region, smallest document) lists of several blocks,
     flags in the same order: HELD, a smaller document in another block has the
-    region; SEND, this block's copy stands for it and the anchor has others."""
+    region; SEND, this block's copy stands for it and the anchor has others;
+    SPLIT, it has so many that one bucket should not hold them."""
     sizes = np.cumsum([len(p[0]) for p in parts])[:-1]
     anchor, region, doc = (np.concatenate(x) for x in zip(*parts))
     order = np.lexsort((doc, region, anchor))
@@ -156,9 +162,9 @@ def judge_pairs(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
     new_pair[1:] |= r[1:] != r[:-1]
     smallest = d[new_pair][np.cumsum(new_pair) - 1]
     group = np.cumsum(new_anchor) - 1
-    several = np.bincount(group, weights=new_pair, minlength=group[-1] + 1 if len(group) else 0)[group] > 1 if len(group) else new_pair
+    several = np.bincount(group, weights=new_pair)[group] if len(group) else group
     flags = np.zeros(len(a), dtype=np.uint8)
-    flags[order] = np.where(d > smallest, HELD, 0) | np.where(several & new_pair, SEND, 0)
+    flags[order] = np.where(d > smallest, HELD, 0) | np.where((several > 1) & new_pair, SEND, 0) | np.where(several > HOT_REGIONS, SPLIT, 0)
     return np.split(flags, sizes)
 
 
@@ -222,7 +228,7 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
 
     def report(key: tuple, texts: pa.Table) -> pa.Table:
         b = _Block(texts.column("payload").to_pylist(), width)
-        cut = b.buckets(n)
+        cut = _cut(b.anchor, n)
         some = np.flatnonzero(np.diff(cut))
         values = [pack_arrays(*(x[cut[k]:cut[k + 1]] for x in (b.anchor, b.region, b.smallest))) for k in some]
         return table(some, key[0].as_py(), "pairs", values)
@@ -239,40 +245,50 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     def send(key: tuple, texts: pa.Table, rows: pa.Table) -> pa.Table:
         b = _Block(texts.column("payload").to_pylist(), width)
         flags = flags_of(rows)
-        cut, buckets, values = b.buckets(n), [], []
+        pair = np.flatnonzero(flags & SEND)
+        route, shift, count = b.anchor[pair], np.zeros(len(pair), np.int64), b.count[b.example[pair]]
+        hot = flags[pair] & SPLIT > 0
+        if hot.any():
+            each = count[hot]
+            one = np.repeat(pair[hot], each)
+            place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            first = mix64(_words8(np.append(b.data, np.zeros(8, np.uint8)))[b.start[b.example[one]] + place])
+            pair, route = np.concatenate([pair[~hot], one]), np.concatenate([route[~hot], first])
+            shift, count = np.concatenate([shift[~hot], place]), np.concatenate([count[~hot], np.ones(len(one), np.int64)])
+        order = np.argsort(route, kind="stable")
+        pair, route, shift, count = pair[order], route[order], shift[order], count[order]
+        cut, buckets, values = _cut(route, n), [], []
         for k, (i, j) in enumerate(zip(cut, cut[1:])):
-            pairs = i + np.flatnonzero(flags[i:j] & SEND)
-            if not len(pairs):
+            if i == j:
                 continue
-            own = b.example[pairs]
-            count = b.count[own]
-            lengths = count + width - 1
-            place = np.repeat(b.start[own] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+            own = b.example[pair[i:j]]
+            lengths = count[i:j] + width - 1
+            place = np.repeat(b.start[own] + shift[i:j] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
             buckets.append(k)
-            values.append(pack_arrays(b.anchor[pairs], b.ids[b.doc[own]], pairs, count, b.data[place]))
+            values.append(pack_arrays(route[i:j], b.ids[b.doc[own]], pair[i:j], shift[i:j], count[i:j], b.data[place]))
         return table(np.array(buckets, dtype=np.int32), key[0].as_py(), "regions", values)
 
     def sort(key: tuple, rows: pa.Table) -> pa.Table:
         source = rows.column("block").to_numpy()
-        parts = [unpack_arrays(v, "<u8", "<i8", "<i8", "<i8", "u1") for v in rows.column("value").to_pylist()]
+        parts = [unpack_arrays(v, "<u8", "<i8", "<i8", "<i8", "<i8", "u1") for v in rows.column("value").to_pylist()]
         held: dict[int, list] = {}
-        # equal strings have equal anchors: ranges of anchors are sorted one after another
-        pieces = max(1, sum(len(p[4]) for p in parts) // SORT_BYTES)
+        # equal strings came by equal hashes: ranges of these are sorted one after another
+        pieces = max(1, sum(len(p[5]) for p in parts) // SORT_BYTES)
         low, wide = (key[0].as_py() << 64) // n, (1 << 64) // n // pieces + 1
         at = [np.searchsorted(p[0], np.array([min(low + i * wide, (1 << 64) - 1) for i in range(1, pieces)], dtype=np.uint64)) for p in parts]
         for i in range(pieces):
             sel = []
             for p, cut in zip(parts, at):
                 edges = [0, *cut.tolist(), len(p[0])]
-                lengths = np.concatenate([[0], np.cumsum(p[3] + width - 1)])
+                lengths = np.concatenate([[0], np.cumsum(p[4] + width - 1)])
                 x, y = edges[i], edges[i + 1]
-                sel.append([*(q[x:y] for q in p[1:4]), p[4][lengths[x]:lengths[y]]])
-            ids, pair, count, text = (np.concatenate(x) for x in zip(*sel))
+                sel.append([*(q[x:y] for q in p[1:5]), p[5][lengths[x]:lengths[y]]])
+            ids, pair, shift, count, text = (np.concatenate(x) for x in zip(*sel))
             block = np.repeat(source, [len(x[0]) for x in sel])
             region, first, last = held_strings(ids, count, text, width)
             for s in np.unique(block[region]).tolist():
                 own = block[region] == s
-                held.setdefault(s, []).append((pair[region[own]], first[own], last[own]))
+                held.setdefault(s, []).append((pair[region[own]], (first + shift[region])[own], (last + shift[region])[own]))
         values = [pack_arrays(*(np.concatenate(x) for x in zip(*v))) for v in held.values()]
         return table(key[0].as_py(), np.array(list(held), dtype=np.int32), "strings", values)
 

@@ -114,8 +114,9 @@ def passages(seed, n):
         yield rng.choice([d, d, d - 1, None]) if d > 3 else d, rng.choice([text, text, None, ""]) if d % 7 == 0 else text
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 24, 5000])
-def test_removed_bytes_against_all_strings(spark, monkeypatch, block_bytes):
+@pytest.mark.parametrize("block_bytes,hot", [(1 << 24, 1024), (5000, 1024), (5000, 3)])
+def test_removed_bytes_against_all_strings(spark, monkeypatch, block_bytes, hot):
+    monkeypatch.setattr(S, "HOT_REGIONS", hot)
     rows = list(passages(5, 120))
     monkeypatch.setattr(S, "BLOCK_BYTES", block_bytes)
     assert removed(spark.createDataFrame(rows, "doc_id long, text string")) == brute_removed(rows)
