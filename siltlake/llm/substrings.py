@@ -113,7 +113,8 @@ def regions(data: np.ndarray, at: np.ndarray, width: int = WIDTH) -> tuple[np.nd
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(v * power[:len(v)])])
         region = (total[end + width - 8] - total[begin]) * inverse[begin]
         region = mix64(region + (where[begin] - begin).astype(np.uint64) * _A + (end - begin).astype(np.uint64) * _B)
-        out.append((anchors[where[begin]], region, np.searchsorted(at, begin + lo, side="right") - 1, begin + lo, end - begin))
+        # smallest hashes crowd at the low end of their range: mixed again, they spread over the buckets
+        out.append((mix64(anchors[where[begin]]), region, np.searchsorted(at, begin + lo, side="right") - 1, begin + lo, end - begin))
     if not out:
         return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(x) for x in zip(*out))
