@@ -3,16 +3,19 @@
 Only built-in DataFrame functions are used. A line of at least ``min_chars``
 characters is judged, a shorter one always stays. A line goes if an equal line
 comes before it (by document id, then place), or if its first occurrence comes
-after that of a line within ``max_edits`` edits.
-
-Near lines are found by a segment-partition edit join. A line is cut into
-``max_edits + 1`` segments, so lines within ``max_edits`` edits share at least
-one of the shorter's segments whole; the index has a key for each segment
-(line length, number, text), and a line probes, for each length it may match,
-the substrings at the places where that segment can lie under the
-multi-match-aware bounds. What meets is verified with a banded bit-parallel
-edit distance: one machine word holds the band of a column, one step of
-``aggregate`` goes to the next.
+after that of a line within the edits that the shorter of the two allows: one
+up to 49 characters, two from 50, and one more with each doubling (100, 200,
+400, ...); or ``max_edits`` for every length, if given.
+
+Near lines are found by a segment-partition edit join, by classes of lengths
+that double. In a class of t edits a line has t + 1 segments of one size, the
+first half of them placed from the line's start, the others from its end. Of
+t + 1 separate segments one is untouched with exactly as many edits before it
+as segments, so a later line looks for segment k at most k places off if it is
+placed from the start, at most t - k if from the end. A line whose partner may
+lie in the class below has keys there too. What meets is verified with a banded
+bit-parallel edit distance: one machine word holds the band of a column, one
+step of ``aggregate`` goes to the next.
 
 A line travels as two 64-bit hashes and its place; texts are shuffled whole by
 document id, once to make the keys of first occurrences and once for the
@@ -31,7 +34,9 @@ from pyspark.sql import functions as F
 
 from siltlake.session import checkpoint_dir
 
-MAX_EDITS, MIN_CHARS = 1, 30
+MIN_CHARS = 30
+#: a shorter line may differ in one edit, one of this length in two, and each doubling allows one more
+TWO_EDITS = 50
 #: places of lines that met a key: up to this number (some 50 bytes each) they are sent to every task
 BROADCAST_LINES = 500_000
 _SEP = "\n"
@@ -113,32 +118,44 @@ def differing_middles(a: Column, b: Column, limit: int) -> Column:
     return _bind(tails, lambda p: cut(p, lambda c, n: F.right(c, n), lambda c, k: F.substring(c, F.lit(1), F.length(c) - k)))
 
 
-def _cut(n: Column, i: int, limit: int) -> Column:
-    """Where segment i of a line of n characters begins (from 0)."""
-    return (n * i / (limit + 1)).cast("int")
+def length_class(n: Column, max_edits: int | None, min_chars: int) -> Column:
+    """``struct(lo, edits)`` of a line of n >= ``min_chars`` characters: where
+    its class of lengths begins, and the edits that the class allows."""
+    def doubled(base: int) -> Column:  # by the bits of a whole number: exact, where a logarithm is not
+        return (F.length(F.bin(F.floor(n / base))) - 1).cast("int")
+
+    def entry(lo: Column, edits: Column) -> Column:
+        return F.struct(lo.cast("int").alias("lo"), edits.cast("int").alias("edits"))
+
+    if max_edits is not None:
+        base = max(1, min_chars)
+        return entry(F.lit(base) * F.pow(F.lit(2), doubled(base)), F.lit(max_edits))
+    above = entry(F.lit(TWO_EDITS) * F.pow(F.lit(2), doubled(TWO_EDITS)), doubled(TWO_EDITS) + 2)
+    return F.when(n < TWO_EDITS, entry(F.lit(max(2, min_chars)), F.lit(1))).otherwise(above)
+
 
+def own_classes(n: Column, max_edits: int | None, min_chars: int) -> Column:
+    """The classes in which a line may have a partner that is no longer."""
+    most = length_class(n, max_edits, min_chars)["edits"]
+    shorter = F.filter(F.transform(F.sequence(F.lit(0), most), lambda d: n - d), lambda m: m >= max(1, min_chars))
+    return F.array_distinct(F.transform(shorter, lambda m: length_class(m, max_edits, min_chars)))
 
-def index_keys(line: Column, limit: int) -> Column:
-    n = F.length(line)
-    return F.array(*(F.xxhash64(n, F.lit(i), F.substring(line, _cut(n, i, limit) + 1, _cut(n, i + 1, limit) - _cut(n, i, limit)))
-                     for i in range(limit + 1)))
 
+def segment_keys(line: Column, n: Column, lo: Column, edits: Column, shifted: bool) -> Column:
+    """Keys of a line's segments in a class; ``shifted``: of the substrings
+    that may be a segment of an earlier line, null where one would leave the line."""
+    size = F.floor(lo / (edits + 1)).cast("int")
 
-def probe_keys(line: Column, limit: int) -> Column:
-    """Keys of the substrings that may be a segment of a line of equal or
-    smaller length; null where a substring would leave the line."""
-    n, keys = F.length(line), []
-    for delta in range(limit + 1):
-        for i in range(limit + 1):
-            size = _cut(n - delta, i + 1, limit) - _cut(n - delta, i, limit)
-            for shift in range(max(-i, delta - (limit - i)), min(i, delta + (limit - i)) + 1):
-                at = _cut(n - delta, i, limit) + shift
-                keys.append(F.when((at >= 0) & (at + size <= n), F.struct(
-                    F.xxhash64(n - delta, F.lit(i), F.substring(line, at + 1, size)).alias("key"), F.lit(delta).alias("delta"))))
-    return F.array(*keys)
+    def segment(k: Column) -> Column:
+        left = k * 2 <= edits
+        start = F.when(left, k * size).otherwise(n - (edits + 1 - k) * size)
+        off = F.when(left, k).otherwise(edits - k) if shifted else F.lit(0)
+        return F.transform(F.sequence(-off, off), lambda s: F.when((start + s >= 0) & (start + s + size <= n),
+                                                                   F.xxhash64(lo, k, F.substring(line, start + s + 1, size))))
+    return F.flatten(F.transform(F.sequence(F.lit(0), edits), segment))
 
 
-def line_decisions(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+def line_decisions(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(_id, _stay, _near)`` per document with a judged line: the places of
     first occurrences that stay, and of those that go as near repeats."""
@@ -149,8 +166,8 @@ def line_decisions(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
     first = (placed.select(F.xxhash64("_line").alias("_h"), F.xxhash64(F.lit(1), "_line").alias("_g"), F.struct("_id", "_pos").alias("_at"))
              .groupBy("_h", "_g").agg(F.min("_at").alias("_at")).select("_at._id", "_at._pos"))
     firsts = first.groupBy("_id").agg(F.collect_set("_pos").alias("_firsts")).checkpoint()  # no longer than the document
-    if max_edits:
-        near = _near_repeats(own, firsts, max_edits).groupBy("_id").agg(F.collect_set("_pos").alias("_near"))
+    if max_edits != 0:
+        near = _near_repeats(own, firsts, max_edits, min_chars).groupBy("_id").agg(F.collect_set("_pos").alias("_near"))
         firsts = firsts.join(near.withColumnRenamed("_id", "_n"), F.col("_id").eqNullSafe(F.col("_n")), "left").drop("_n")
     else:
         firsts = firsts.withColumn("_near", F.lit(None).cast("array<int>"))
@@ -158,19 +175,23 @@ def line_decisions(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
     return firsts.select("_id", F.array_except("_firsts", near).alias("_stay"), near.alias("_near"))
 
 
-def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int) -> DataFrame:
+def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_chars: int) -> DataFrame:
     """``(_id, _pos)`` of the first occurrences that an earlier line is near."""
     at = firsts.withColumnRenamed("_id", "_i")
+    n, entry = F.length("_line"), F.col("_c")
     lines = (own.join(at, F.col("_id").eqNullSafe(F.col("_i")))
              .select("_id", "_firsts", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
-             .where(F.array_contains("_firsts", F.col("_pos"))))
-    index = lines.select("_id", "_pos", F.explode(index_keys(F.col("_line"), max_edits)).alias("_key"))
-    probe = (lines.select("_id", "_pos", F.explode(probe_keys(F.col("_line"), max_edits)).alias("_k")).where("_k IS NOT NULL")
-             .select(F.col("_id").alias("_id2"), F.col("_pos").alias("_pos2"), F.col("_k.key").alias("_key"), F.col("_k.delta").alias("_delta")))
-    a = F.struct(F.col("_id").alias("_id"), F.col("_pos").alias("_pos"))
-    b = F.struct(F.col("_id2").alias("_id"), F.col("_pos2").alias("_pos"))
-    met = (index.join(probe, "_key").where((a < b) | (F.col("_delta") > 0) & (a > b))
-           .select(F.least(a, b).alias("_a"), F.greatest(a, b).alias("_b")).distinct().checkpoint())
+             .where(F.array_contains("_firsts", F.col("_pos")))
+             .select(F.struct("_id", "_pos").alias("_at"), "_line", n.alias("_n"), F.explode(own_classes(n, max_edits, min_chars)).alias("_c")))
+
+    def keyed(shifted: bool, at: str, n: str) -> DataFrame:
+        keys = segment_keys(F.col("_line"), F.col("_n"), entry["lo"], entry["edits"], shifted)
+        return (lines.select(F.col("_at").alias(at), F.col("_n").alias(n), F.explode(keys).alias("_key")).where("_key IS NOT NULL"))
+
+    allowed = length_class(F.least("_na", "_nb"), max_edits, min_chars)["edits"]
+    met = (keyed(False, "_a", "_na").join(keyed(True, "_b", "_nb"), "_key")
+           .where((F.col("_a") < F.col("_b")) & (F.abs(F.col("_na") - F.col("_nb")) <= allowed))
+           .select("_a", "_b", allowed.alias("_e")).distinct().checkpoint())
     ends = met.select(F.explode(F.array("_a", "_b")).alias("_x")).distinct().checkpoint()
     needed = ends.select(F.col("_x._id").alias("_i"), F.col("_x._pos").alias("_p"), "_x")
     if ends.count() <= BROADCAST_LINES:
@@ -179,12 +200,17 @@ def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int) -> DataFram
              .join(needed, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_pos") == F.col("_p"))).select("_x", "_line").checkpoint())
     both = (met.join(texts.select(F.col("_x").alias("_a"), F.col("_line").alias("_la")), "_a")
             .join(texts.select(F.col("_x").alias("_b"), F.col("_line").alias("_lb")), "_b"))
-    middles = differing_middles(F.col("_la"), F.col("_lb"), max_edits)
-    close = _bind(middles, lambda p: edit_distance_within(p["a"], p["b"], max_edits)) <= max_edits
+    def near(limit: int) -> Column:
+        middles = differing_middles(F.col("_la"), F.col("_lb"), limit)
+        return _bind(middles, lambda p: edit_distance_within(p["a"], p["b"], limit)) <= limit
+
+    close = F.lit(False)
+    for limit in sorted(r["_e"] for r in met.select("_e").distinct().collect()):  # one a doubling of lengths
+        close = F.when(F.col("_e") == limit, near(limit)).otherwise(close)
     return both.where(close).select("_b").distinct().select("_b._id", "_b._pos").checkpoint()
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+def dedup_lines(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS,
                 id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
     """``docs`` without the repeated lines of their texts. With ``counts``
     also ``n_lines``, ``n_removed`` and ``n_near`` (removed as near repeats)."""

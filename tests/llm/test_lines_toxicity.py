@@ -87,6 +87,27 @@ def test_lines_against_all_pairs(spark, monkeypatch, edits):
     assert edits == 0 or any(r[3] for r in got)
 
 
+def test_edits_grow_with_the_length(spark):
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcde fghé") for _ in range(n)) for n in (29, 30, 48, 49, 50, 59, 98, 99, 100, 101, 150, 199, 200, 324, 399, 401, 810)]
+    allowed = lambda n: 0 if n < 30 else 1 if n < 50 else 2 + int(math.log2(n // 50))
+    rows = [(0, "\n".join(base))]
+    rows += [(d, edited(rng, x, allowed(len(x)) + 2, "XYZ")) for d, x in enumerate([x for x in base for _ in range(12)], 1)]
+    rows += [(900, "q" * 100 + base[13][4:] + "last"), (901, "p" * 100 + base[13])]
+    first, near = {}, set()
+    for d, t in rows:
+        for p, x in enumerate(t.split("\n")):
+            first.setdefault(x, (d, p))
+    for x in first:
+        for y in first:
+            most = allowed(min(len(x), len(y)))
+            if most and first[y] < first[x] and abs(len(x) - len(y)) <= most and distance(x, y, most) <= most:
+                near.add(first[x])
+    got = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), counts=True)
+    assert {r["doc_id"] for r in got.where("n_near > 0").collect()} == {d for d, _ in near}
+    assert len(near) > 50
+
+
 def test_lines_edge_rows(edge_docs, no_docs):
     got = L.dedup_lines(edge_docs, counts=True)
     assert got.columns == [*edge_docs.columns, "n_lines", "n_removed", "n_near"]
