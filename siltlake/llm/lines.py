@@ -15,7 +15,12 @@ as segments, so a later line looks for segment k at most k places off if it is
 placed from the start, at most t - k if from the end. A line whose partner may
 lie in the class below has keys there too. What meets is verified with a banded
 bit-parallel edit distance: one machine word holds the band of a column, one
-step of ``aggregate`` goes to the next.
+step of ``aggregate`` goes to the next. Before that, lines that share a key
+must agree in length and in a signature, the parities of the counts of 32
+characters, of which an edit turns at most two; this is checked inside the
+join, so no other pair is written. Of the earlier lines left to a line, the
+best by signature is verified first; a line that is near it is settled, and
+its other pairs are never looked at.
 
 A line travels as two 64-bit hashes and its place; texts are shuffled whole by
 document id, once to make the keys of first occurrences and once for the
@@ -29,6 +34,8 @@ table gives no rows; other columns are kept, whatever their names.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +46,8 @@ MIN_CHARS = 30
 TWO_EDITS = 50
 #: places of lines that met a key: up to this number (some 50 bytes each) they are sent to every task
 BROADCAST_LINES = 500_000
+#: characters whose parities make the signature
+_SIGNED = "0123456789etaoinsrhldcumpgfbvk,."
 _SEP = "\n"
 
 
@@ -141,6 +150,13 @@ def own_classes(n: Column, max_edits: int | None, min_chars: int) -> Column:
     return F.array_distinct(F.transform(shorter, lambda m: length_class(m, max_edits, min_chars)))
 
 
+def signature(line: Column) -> Column:
+    """32 parities, those of how often a line has each of ``_SIGNED``."""
+    size = F.octet_length(line)
+    odd = [(size - F.octet_length(F.replace(line, F.lit(x)))).bitwiseAND(1) for x in _SIGNED]
+    return reduce(lambda a, b: a.bitwiseOR(b), (F.shiftleft(x, i) for i, x in enumerate(odd)))
+
+
 def segment_keys(line: Column, n: Column, lo: Column, edits: Column, shifted: bool) -> Column:
     """Keys of a line's segments in a class; ``shifted``: of the substrings
     that may be a segment of an earlier line, null where one would leave the line."""
@@ -182,24 +198,23 @@ def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_
     lines = (own.join(at, F.col("_id").eqNullSafe(F.col("_i")))
              .select("_id", "_firsts", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
              .where(F.array_contains("_firsts", F.col("_pos")))
-             .select(F.struct("_id", "_pos").alias("_at"), "_line", n.alias("_n"), F.explode(own_classes(n, max_edits, min_chars)).alias("_c")))
+             .select(F.struct("_id", "_pos").alias("_at"), "_line", n.alias("_n"), signature(F.col("_line")).alias("_s"), F.explode(own_classes(n, max_edits, min_chars)).alias("_c")))
 
-    def keyed(shifted: bool, at: str, n: str) -> DataFrame:
+    def keyed(shifted: bool, at: str, n: str, s: str) -> DataFrame:
         keys = segment_keys(F.col("_line"), F.col("_n"), entry["lo"], entry["edits"], shifted)
-        return (lines.select(F.col("_at").alias(at), F.col("_n").alias(n), F.explode(keys).alias("_key")).where("_key IS NOT NULL"))
+        return (lines.select(F.col("_at").alias(at), F.col("_n").alias(n), F.col("_s").alias(s), F.explode(keys).alias("_key")).where("_key IS NOT NULL"))
 
     allowed = length_class(F.least("_na", "_nb"), max_edits, min_chars)["edits"]
-    met = (keyed(False, "_a", "_na").join(keyed(True, "_b", "_nb"), "_key")
-           .where((F.col("_a") < F.col("_b")) & (F.abs(F.col("_na") - F.col("_nb")) <= allowed))
-           .select("_a", "_b", allowed.alias("_e")).distinct().checkpoint())
+    turned = F.bit_count(F.col("_sa").bitwiseXOR(F.col("_sb")))
+    met = (keyed(False, "_a", "_na", "_sa").join(keyed(True, "_b", "_nb", "_sb"), "_key")
+           .where((F.col("_a") < F.col("_b")) & (F.abs(F.col("_na") - F.col("_nb")) <= allowed) & (turned <= 2 * allowed))
+           .select("_a", "_b", allowed.alias("_e"), turned.alias("_d")).distinct().checkpoint())
     ends = met.select(F.explode(F.array("_a", "_b")).alias("_x")).distinct().checkpoint()
     needed = ends.select(F.col("_x._id").alias("_i"), F.col("_x._pos").alias("_p"), "_x")
     if ends.count() <= BROADCAST_LINES:
         needed = F.broadcast(needed)  # else the texts are shuffled to the places
     texts = (own.select("_id", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
              .join(needed, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_pos") == F.col("_p"))).select("_x", "_line").checkpoint())
-    both = (met.join(texts.select(F.col("_x").alias("_a"), F.col("_line").alias("_la")), "_a")
-            .join(texts.select(F.col("_x").alias("_b"), F.col("_line").alias("_lb")), "_b"))
     def near(limit: int) -> Column:
         middles = differing_middles(F.col("_la"), F.col("_lb"), limit)
         return _bind(middles, lambda p: edit_distance_within(p["a"], p["b"], limit)) <= limit
@@ -207,7 +222,16 @@ def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_
     close = F.lit(False)
     for limit in sorted(r["_e"] for r in met.select("_e").distinct().collect()):  # one a doubling of lengths
         close = F.when(F.col("_e") == limit, near(limit)).otherwise(close)
-    return both.where(close).select("_b").distinct().select("_b._id", "_b._pos").checkpoint()
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = (pairs.join(texts.select(F.col("_x").alias("_a"), F.col("_line").alias("_la")), "_a")
+                .join(texts.select(F.col("_x").alias("_b"), F.col("_line").alias("_lb")), "_b"))
+        return both.where(close).select("_b").distinct().checkpoint()
+
+    best = met.groupBy("_b").agg(F.min(F.struct("_d", "_a", "_e")).alias("_m")).select("_b", "_m._a", "_m._e")
+    settled = verified(best)
+    rest = verified(met.join(settled, "_b", "left_anti").join(best, ["_a", "_b"], "left_anti"))
+    return settled.union(rest).select("_b._id", "_b._pos")
 
 
 def dedup_lines(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS,

@@ -108,6 +108,26 @@ def test_edits_grow_with_the_length(spark):
     assert len(near) > 50
 
 
+def test_far_lines_of_one_template_are_not_written(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(d, "The article of this page has the ID: " + "".join(rng.choice("0123456789") for _ in range(12))) for d in range(1500)]
+    rows += [(2000 + d, t[:-1] + "x") for d, t in rows[:50]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    own = docs.selectExpr("doc_id _id", "text _text")
+    firsts = docs.selectExpr("doc_id _id", "array(0) _firsts")
+    written, real = [], type(docs).checkpoint
+
+    def counted(df, *args, **more):
+        out = real(df, *args, **more)
+        written.append(out.count() if "_d" in out.columns else 0)
+        return out
+
+    monkeypatch.setattr(type(docs), "checkpoint", counted)
+    near = {r["_id"] for r in L._near_repeats(own, firsts, None, 30).collect()}
+    assert near >= set(range(2000, 2050)) and len(near) < 60
+    assert sum(written) < 1500 * 1500 / 2 / 10
+
+
 def test_lines_edge_rows(edge_docs, no_docs):
     got = L.dedup_lines(edge_docs, counts=True)
     assert got.columns == [*edge_docs.columns, "n_lines", "n_removed", "n_near"]
