@@ -29,6 +29,8 @@ from siltlake.session import checkpoint_dir
 
 #: ids up to this number (16 bytes each in a hash table) are sent to every task; more are joined by a shuffle
 BROADCAST_IDS = 1_000_000
+#: a line too short for the edit join is boilerplate if it stands this often in all documents
+SHORT_REPEATS = 10
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -49,7 +51,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and documents of which nothing but white space is left."""
-    kept = dedup_lines(docs, counts=True)
+    kept = dedup_lines(docs, counts=True, short_repeats=SHORT_REPEATS)
     return kept.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S")).select(*docs.columns)
 
 

@@ -1,11 +1,14 @@
 """Line dedup across all documents: exact repeats, and lines within a few edits.
 
 Only built-in DataFrame functions are used. A line of at least ``min_chars``
-characters is judged, a shorter one always stays. A line goes if an equal line
+characters is judged. A line goes if an equal line
 comes before it (by document id, then place), or if its first occurrence comes
 after that of a line within the edits that the shorter of the two allows: one
 up to 49 characters, two from 50, and one more with each doubling (100, 200,
 400, ...); or ``max_edits`` for every length, if given.
+A shorter line that is not blank goes only as an exact repeat, and only with
+``short_repeats``: if it stands that often or more over all documents, all but
+its first place go. Blank lines always stay.
 
 Near lines are found by a segment-partition edit join, by classes of lengths
 that double. In a class of t edits a line has t + 1 segments of one size, the
@@ -234,17 +237,35 @@ def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_
     return settled.union(rest).select("_b._id", "_b._pos")
 
 
-def dedup_lines(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS,
-                id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
-    """``docs`` without the repeated lines of their texts. With ``counts``
-    also ``n_lines``, ``n_removed`` and ``n_near`` (removed as near repeats)."""
+def _short_repeats(docs: DataFrame, times: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+    """``(_id, _short)`` per document: the places of its shorter lines that go."""
+    placed = (docs.select(F.col(id_col).alias("_id"), F.posexplode(F.split(text_col, _SEP)).alias("_pos", "_line"))
+              .where((F.length("_line") < min_chars) & F.col("_line").rlike(r"\S"))
+              .select(F.xxhash64("_line").alias("_h"), F.xxhash64(F.lit(1), "_line").alias("_g"), F.struct("_id", "_pos").alias("_at")))
+    often = (placed.groupBy("_h", "_g").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+             .where(F.col("_n") >= times).drop("_n").checkpoint())
+    if often.count() <= BROADCAST_LINES:
+        often = F.broadcast(often)
+    gone = placed.join(often, ["_h", "_g"]).where(F.col("_at") > F.col("_first"))
+    return gone.groupBy("_at._id").agg(F.collect_set("_at._pos").alias("_short"))
+
+
+def dedup_lines(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
+                text_col: str = "text", counts: bool = False, short_repeats: int | None = None) -> DataFrame:
+    """``docs`` without the repeated lines of their texts; of lines under
+    ``min_chars`` those that stand ``short_repeats`` times or more (2: every
+    exact repeat; none, if not given) keep their first place only. With
+    ``counts`` also ``n_lines``, ``n_removed`` and ``n_near`` (removed as near repeats)."""
     found = line_decisions(docs, max_edits, min_chars, id_col, text_col).select(
         F.col("_id").alias("_who"), "_stay", "_near")
     # no row in ``found``: no line of the document is a first occurrence
     stay = F.coalesce("_stay", F.array().cast("array<int>"))
     lines = F.split(text_col, _SEP)
-    kept = F.filter(lines, lambda x, i: (F.length(x) < min_chars) | F.array_contains(stay, i))
-    joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("_who")), "left")
+    joined, short = docs.join(found, F.col(id_col).eqNullSafe(F.col("_who")), "left"), F.array().cast("array<int>")
+    if short_repeats:
+        gone = _short_repeats(docs, max(2, short_repeats), min_chars, id_col, text_col).select(F.col("_id").alias("_whose"), "_short")
+        joined, short = joined.join(gone, F.col(id_col).eqNullSafe(F.col("_whose")), "left"), F.coalesce("_short", short)
+    kept = F.filter(lines, lambda x, i: F.when(F.length(x) < min_chars, ~F.array_contains(short, i)).otherwise(F.array_contains(stay, i)))
     text = F.array_join(kept, _SEP)
     more = [F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).alias("n_removed"),
             F.coalesce(F.size("_near"), F.lit(0)).alias("n_near")] if counts else []

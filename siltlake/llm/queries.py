@@ -76,7 +76,7 @@ def op8_pigeonring(spark, sf_dir):
 def op9_segment_edit_join(spark, sf_dir):
     from pyspark.sql import functions as F
     from siltlake.llm.lines import dedup_lines
-    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True, short_repeats=2)
     return kept.select("doc_id", "n_lines", "n_removed", "n_near", F.length("text").alias("n_chars"),
                        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 

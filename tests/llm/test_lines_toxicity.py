@@ -128,6 +128,18 @@ def test_far_lines_of_one_template_are_not_written(spark, monkeypatch):
     assert sum(written) < 1500 * 1500 / 2 / 10
 
 
+@pytest.mark.parametrize("times", [2, 3])
+def test_short_lines_that_stand_often(spark, monkeypatch, times):
+    if times == 3:
+        monkeypatch.setattr(L, "BROADCAST_LINES", 0)
+    rows = [(1, "All rights reserved.\nown\n\n"), (2, "Share\nAll rights reserved.\n \nShare"), (3, "All rights reserved.\n\n \nb"), (None, "b\nx"), (4, None)]
+    got = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), counts=True, short_repeats=times).collect()
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in got}
+    assert got[1] == (rows[0][1], 0) and got[None] == ("b\nx", 0) and got[4] == (None, 0)
+    assert got[2] == (("Share\n ", 2) if times == 2 else ("Share\n \nShare", 1))
+    assert got[3] == (("\n ", 2) if times == 2 else ("\n \nb", 1))
+
+
 def test_lines_edge_rows(edge_docs, no_docs):
     got = L.dedup_lines(edge_docs, counts=True)
     assert got.columns == [*edge_docs.columns, "n_lines", "n_removed", "n_near"]
