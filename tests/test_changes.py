@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from table_dirs import SF001
 from siltlake.operators import changes as C
 from siltlake.plans import fixtures as X
 

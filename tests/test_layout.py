@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from table_dirs import SF001
 from siltlake import spec as S
 from siltlake.operators import layout as L
 from siltlake.plans import fixtures as X

@@ -6,7 +6,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import SF001
+from table_dirs import SF001
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 import __spark_entry__ as E  # noqa: E402

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from conftest import SF001
+from table_dirs import SF001
 import __spark_entry__ as E
 
 QUERIES = E.queries()

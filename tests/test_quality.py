@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from table_dirs import SF001
 from siltlake import spec as S
 from siltlake.operators import quality as Q
 from siltlake.operators import relational as R
