@@ -100,3 +100,10 @@ def op10_kneser_ney_toxicity(spark, sf_dir):
 def op6_bucket_pointer_refinement(spark, sf_dir):
     from siltlake.llm.substrings import repeated_bytes
     return repeated_bytes(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@register("op12_suffix_dawg")
+def op12_suffix_dawg(spark, sf_dir):
+    from siltlake.llm.conversations import damaged, repair_digest
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_digest(conversations, damaged(conversations))
