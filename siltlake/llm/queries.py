@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltlake.llm import urls
+from siltlake.llm import ranked, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,8 @@ def op12_suffix_dawg(spark, sf_dir):
     from siltlake.llm.conversations import damaged, repair_digest
     conversations = table(spark, sf_dir, "conversations")
     return repair_digest(conversations, damaged(conversations))
+
+
+@register("op13_best_position", ranked.search_sql())
+def op13_best_position(spark, sf_dir):
+    return ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
