@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltlake.llm import ranked, urls
+from siltlake.llm import ranked, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -112,3 +112,9 @@ def op12_suffix_dawg(spark, sf_dir):
 @register("op13_best_position", ranked.search_sql())
 def op13_best_position(spark, sf_dir):
     return ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op11_norm_buckets", topk.top_sql())
+def op11_norm_buckets(spark, sf_dir):
+    from pyspark.sql import functions as F
+    return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
