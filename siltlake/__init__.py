@@ -10,7 +10,8 @@ from siltlake.spec import (  # noqa: F401
 from siltlake.sources.catalog import enum_members, select_tables, table_columns  # noqa: F401
 from siltlake.sources.snapshot import read_changes, read_snapshot  # noqa: F401
 from siltlake.sources.sinks import (  # noqa: F401
-    csv_lines, export_csv, publish_staged, read_published, swap_tables, union_members, write_jdbc,
+    csv_lines, export_csv, publish_schema, publish_staged, published_tables, read_published, swap_tables, sweep_schema,
+    union_members, write_jdbc,
 )
 from siltlake.operators.normalize import (  # noqa: F401
     add_columns, add_generated, apply_zerofill, assign_auto_increment, assign_ids, fill_defaults, loosen, normalize,

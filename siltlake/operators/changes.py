@@ -209,23 +209,37 @@ def applied_set(changes: DataFrame, server: str = "server_uuid", txn: str = "txn
     d = d.withColumn("_b", F.floor(F.col("_t") / F.lit(block)).cast("bigint"))
     w = Window.partitionBy("_s", "_b").orderBy("_t")
     d = d.withColumn("_g", F.col("_t") - F.row_number().over(w))
-    local = d.groupBy("_s", "_b", "_g").agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"),
-                                            F.count(F.lit(1)).alias("_n"))
+    local = d.groupBy("_s", "_b", "_g").agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
+    return join_blocks(local.select(F.col("_s").alias("server"), F.col("_b").alias("block"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi")),
+                       block).withColumnRenamed("server", server)
+
+
+def merge_intervals(intervals: DataFrame) -> DataFrame:
+    """Maximal intervals of the union of ``(server, block, lo, hi)`` rows,
+    which may overlap or repeat; a task sees one block at a time."""
+    w = Window.partitionBy("server", "block").orderBy("lo", "hi")
+    reach = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.coalesce((F.col("lo") > reach + 1).cast("int"), F.lit(1))
+    run = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return (intervals.withColumn("_new", begins).withColumn("_run", run).groupBy("server", "block", "_run")
+            .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_run"))
+
+
+def join_blocks(local: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``(server, interval_start, interval_end, n_txn)`` from the maximal
+    intervals ``(server, block, lo, hi)`` of each block: only those at a block
+    edge, at most two a block, are joined."""
     # coalesce keeps the two filters free of inferred IS NOT NULL predicates,
     # so both branches share one scan + shuffle (exchange reuse)
-    edge = F.coalesce((F.col("_lo") == F.col("_b") * block) | (F.col("_hi") == (F.col("_b") + 1) * block - 1),
-                      F.lit(False))
-    inner = local.where(~edge)
-    touching = local.where(edge)
-    w2 = Window.partitionBy("_s").orderBy("_lo")
-    starts = touching.withColumn(
-        "_new", F.coalesce((F.lag("_hi").over(w2) + 1 != F.col("_lo")).cast("int"), F.lit(1)))
-    starts = starts.withColumn("_grp", F.sum("_new").over(w2.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = starts.groupBy("_s", "_grp").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
-                                              F.sum("_n").alias("_n"))
-    out = inner.select("_s", "_lo", "_hi", "_n").unionByName(merged.select("_s", "_lo", "_hi", "_n"))
-    return out.select(F.col("_s").alias(server), F.col("_lo").alias("interval_start"),
-                      F.col("_hi").alias("interval_end"), F.col("_n").cast("bigint").alias("n_txn"))
+    edge = F.coalesce((F.col("lo") == F.col("block") * block) | (F.col("hi") == (F.col("block") + 1) * block - 1), F.lit(False))
+    inner, touching = local.where(~edge), local.where(edge)
+    w = Window.partitionBy("server").orderBy("lo")
+    starts = touching.withColumn("_new", F.coalesce((F.lag("hi").over(w) + 1 != F.col("lo")).cast("int"), F.lit(1)))
+    starts = starts.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = starts.groupBy("server", "_run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    out = inner.select("server", "lo", "hi").unionByName(merged.select("server", "lo", "hi"))
+    return out.select("server", F.col("lo").alias("interval_start"), F.col("hi").alias("interval_end"),
+                      (F.col("hi") - F.col("lo") + 1).cast("bigint").alias("n_txn"))
 
 
 def interval_text(islands: DataFrame, server: str = "server_uuid", block: int = BLOCK) -> DataFrame:

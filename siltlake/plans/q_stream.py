@@ -42,7 +42,7 @@ def _stream_state(spark, sf_dir, buckets=None):
 
 @register("stream_apply")
 def q_stream_apply(spark, sf_dir):
-    """Change files -> readStream (one file per trigger) -> foreachBatch apply
+    """Change files -> readStream (four files per trigger) -> foreachBatch apply
     into the bucketed target -> current live rows. Same answer as the batch
     ``apply_changes``."""
     return _stream_state(spark, sf_dir).state().select("pk", "seq", "value")
@@ -142,7 +142,8 @@ FROM dirty_orders WHERE NOT ({bad})"""
 def q_snapshot_landing(spark, sf_dir):
     """The whole snapshot path: source dump -> all-text read -> row rules
     split off the quarantine -> loosen -> defaults -> staged publish gated on
-    the clean row count -> read the published version."""
+    having as many rows as the clean part of the source -> read the published
+    version."""
     from siltlake import spec as S
     from siltlake.operators import quality as Q
     from siltlake.plans.q_quality import QUALITY_SPEC
@@ -153,5 +154,97 @@ def q_snapshot_landing(spark, sf_dir):
     quarantine.write.parquet(f"{base}/quarantine")
     target = QUALITY_SPEC.with_columns(S.ColumnSpec("source_system", "varchar", default="shop"))
     landed = N.fill_defaults(N.loosen(clean, QUALITY_SPEC).drop("_rescued"), target)
-    K.publish_staged(landed, f"{base}/lake", gate=lambda staged: staged.count() > 0)
+    expected = clean.count()
+    K.publish_staged(landed, f"{base}/lake", gate=lambda staged: staged.count() == expected)
     return K.read_published(spark, f"{base}/lake")
+
+
+@register("applied_set_incremental", ORACLES["applied_set"])
+def q_applied_set_incremental(spark, sf_dir):
+    """The applied set kept with the target's commits: a stream of the gapped
+    log, then batches that repeat a tenth of it; each merges the blocks that
+    it touches, and the answer reads no log."""
+    base = _scratch(spark, "applied")
+    log = X.gapped(spark, sf_dir).select("pk", "seq", "op", "value", "server_uuid", "txn_no")
+    track = ("server_uuid", "txn_no")
+    _write_log(log, f"{base}/log")
+    target = VersionedTable(spark, f"{base}/target", "pk", "seq", buckets=8, track=track, block=1024)
+    changes = read_changes(spark, f"{base}/log", log.schema, stream=True, max_files_per_trigger=3)
+    apply_stream(changes, target, f"{base}/checkpoint").awaitTermination()
+    for k, replay in enumerate((log.where("seq % 10 = 3"), log.where("op = 'delete'"))):
+        VersionedTable(spark, f"{base}/target", "pk", "seq", track=track, writer="replay").apply_batch(replay, k)
+    return VersionedTable(spark, f"{base}/target", "pk", "seq").applied()
+
+
+@register("bucket_growth", ORACLES["apply_changes"])
+def q_bucket_growth(spark, sf_dir):
+    """The target grows from 4 to 7 buckets between two batches, one split at a
+    time; the state is that of a target of a fixed size."""
+    base = _scratch(spark, "growth")
+    log = X.changelog_replayed(spark, sf_dir).select("pk", "seq", "op", "value")
+    target = VersionedTable(spark, f"{base}/target", "pk", "seq", buckets=4)
+    target.initialize(X.base_users(spark, sf_dir))
+    target.apply_batch(log.where("seq % 2 = 0"), 0)
+    target.grow(7)
+    target.apply_batch(log.where("seq % 2 = 1"), 1)
+    return VersionedTable(spark, f"{base}/target", "pk", "seq").state().select("pk", "seq", "value")
+
+
+@register("on_update_changed", f"""
+WITH {X.CHANGELOG_SQL},
+i AS (SELECT seq, ts, pk, op, event_type, ROW_NUMBER() OVER (PARTITION BY pk ORDER BY seq DESC) AS rn,
+        ROW_NUMBER() OVER (PARTITION BY pk ORDER BY seq) = 1 OR LAG(event_type) OVER (PARTITION BY pk ORDER BY seq) IS DISTINCT FROM event_type
+          OR (LAG(op) OVER (PARTITION BY pk ORDER BY seq) = 'delete') IS DISTINCT FROM (op = 'delete') AS changed
+      FROM changelog),
+l AS (SELECT pk, MAX(CASE WHEN changed THEN seq END) AS at FROM i GROUP BY pk)
+SELECT n.pk, n.seq, n.event_type, i.ts AS modified FROM i n JOIN l ON n.pk = l.pk JOIN i ON i.pk = l.pk AND i.seq = l.at
+WHERE n.rn = 1 AND n.op <> 'delete'
+""")
+def q_on_update_changed(spark, sf_dir):
+    """ON UPDATE CURRENT_TIMESTAMP in three batches of the log: an update that
+    changes no other column leaves the timestamp as it was (X6)."""
+    log = X.changelog(spark, sf_dir).select("pk", "seq", "op", "event_type", "ts")
+    target = VersionedTable(spark, f"{_scratch(spark, 'modified')}/target", "pk", "seq", buckets=8, updated_at=("modified", "ts"))
+    bounds = log.agg(F.expr("approx_percentile(seq, array(0.33, 0.66))").alias("b")).first()["b"]
+    for k, (lo, hi) in enumerate(zip([None, *bounds], [*bounds, None])):
+        part = log if lo is None else log.where(F.col("seq") > lo)
+        target.apply_batch(part if hi is None else part.where(F.col("seq") <= hi), k)
+    return target.state().select("pk", "seq", "event_type", "modified")
+
+
+def _schema_rows(tables, label):
+    """One row a table and flag: what a reader of the schema sees."""
+    from functools import reduce
+    keys = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+    return reduce(lambda a, b: a.unionByName(b), [
+        tables[name].groupBy("flag").agg(F.count("*").alias("n"), F.sum(key).cast("bigint").alias("keys"))
+        .select(F.lit(label).alias("seen"), F.lit(name).alias("table_name"), "flag", "n", "keys") for name, key in keys.items()])
+
+
+_SCHEMA_SQL = """SELECT '{seen}' AS seen, 'customer' AS table_name, '{c}' AS flag, COUNT(*) AS n, CAST(SUM(c_custkey) AS BIGINT) AS keys FROM customer
+UNION ALL SELECT '{seen}', 'orders', '{o}', COUNT(*), CAST(SUM(o_orderkey) AS BIGINT) FROM orders
+UNION ALL SELECT '{seen}', 'lineitem', '{l}', COUNT(*), CAST(SUM(l_orderkey) AS BIGINT) FROM lineitem"""
+
+
+@register("schema_swap", "\nUNION ALL ".join(_SCHEMA_SQL.format(seen=s, c=f, o=f, l=l) for s, f, l in (
+    ("after reject", "old", "old"), ("after publish", "new", "new"), ("two tables", "newer", "new"))))
+def q_schema_swap(spark, sf_dir):
+    """Three tables published as one schema; a publish with one rejected table
+    moves none; the next moves all; the last moves two and keeps the third."""
+    root = _scratch(spark, "schema")
+
+    def version(flag, names=("customer", "orders", "lineitem")):
+        return {n: X.table(spark, sf_dir, n).withColumn("flag", F.lit(flag)) for n in names}
+
+    K.publish_schema(version("old"), root)
+    try:
+        K.publish_schema(version("new"), root, gates={"orders": lambda staged: staged.where("o_orderkey IS NULL").count() > 0})
+        raise AssertionError("the gate was passed")
+    except K.RejectedTables as e:
+        if e.names != ["orders"]:
+            raise
+    seen = [_schema_rows(K.published_tables(spark, root), "after reject")]
+    second = K.publish_schema(version("new"), root, gates={"orders": lambda staged: staged.where("o_orderkey IS NULL").count() == 0})
+    third = K.publish_schema(version("newer", ("customer", "orders")), root)
+    seen += [_schema_rows(K.published_tables(spark, root, n), label) for n, label in ((second, "after publish"), (third, "two tables"))]
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])

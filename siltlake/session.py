@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -46,42 +48,45 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def put_small_file(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small metadata file (a pointer, a manifest entry) through the
-    Hadoop FileSystem of ``path`` — any shared store. It is written under a
-    hidden temporary name (Spark's file listing skips names starting with
-    ``.``) and renamed into place, so readers never see a partial file."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    final = jvm.org.apache.hadoop.fs.Path(path)
-    tmp = jvm.org.apache.hadoop.fs.Path(final.getParent(), "." + final.getName() + ".tmp")
-    fs = final.getFileSystem(conf)
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(final):
-        fs.delete(final, False)
-    if not fs.rename(tmp, final):
-        raise IOError(f"could not publish {path}")
-
-
 def put_new_file(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small metadata file; False, and nothing done, if it exists."""
+    """Publish a small metadata file (a pointer, a manifest entry); False, and
+    nothing done, if it is there already.
+
+    The text is written whole under a hidden name of its own and then takes its
+    final name, which fails if that is taken. So the file is never seen in part
+    and never replaced, and a writer that dies leaves at most a hidden file
+    that nobody reads. The store must have such a rename (HDFS) or hard links
+    (a shared POSIX folder)."""
     jvm = spark.sparkContext._jvm
     final = jvm.org.apache.hadoop.fs.Path(path)
     fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(final):
         return False
-    try:
-        out = fs.create(final, False)
-    except Exception as e:  # noqa: BLE001
-        if fs.exists(final):  # another writer was first
-            return False
-        raise e
+    tmp = jvm.org.apache.hadoop.fs.Path(final.getParent(), f".{final.getName()}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    return True
+    try:
+        return _take_name(jvm, fs, tmp, final)
+    finally:
+        fs.delete(tmp, False)
+
+
+def _take_name(jvm, fs, tmp, final) -> bool:
+    """Give ``tmp``'s file the name ``final`` unless that exists."""
+    if fs.getUri().getScheme() == "file":  # a local rename would replace the other file; a link does not
+        names = [jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).toPath() for p in (final, tmp)]
+        try:
+            jvm.java.nio.file.Files.createLink(*names)
+            return True
+        except Py4JJavaError as e:
+            if e.java_exception.getClass().getName() == "java.nio.file.FileAlreadyExistsException":
+                return False
+            raise
+    if fs.rename(tmp, final):
+        return True
+    if fs.exists(final):
+        return False
+    raise IOError(f"could not publish {final}")

@@ -88,8 +88,103 @@ def read_published(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(ptr["path"])
 
 
+# --------------------------------------------------------------------------
+# S6 for a whole schema: every table staged, one pointer that moves them all
+# --------------------------------------------------------------------------
+
+#: schema pointers that a publish may lose to other publishers before it gives up
+MAX_TRIES = 20
+
+
+class RejectedTables(ValueError):
+    """Tables that their gate rejected; nothing was published."""
+
+    def __init__(self, names: list[str]):
+        super().__init__(f"rejected by their gates: {', '.join(names)}; pointer unchanged")
+        self.names = names
+
+
+def _schema_pointer(spark: SparkSession, root: str, number: int | None = None) -> tuple[int, dict[str, str]]:
+    """The newest schema pointer (or the one asked for): its number and each table's folder."""
+    numbers = _pointer_numbers(spark, root)
+    number = max(numbers, default=0) if number is None else number
+    if not number:
+        return 0, {}
+    if number not in numbers:
+        raise ValueError(f"{root} has no version {number}")
+    text = "\n".join(r["value"] for r in spark.read.text(f"{_pointer_dir(root)}/{number:012d}.json").collect())  # one small file
+    return number, json.loads(text)["tables"]
+
+
+def publish_schema(tables: dict[str, DataFrame], root: str, gates: dict | None = None, drop: list[str] | None = None) -> int:
+    """Publish new versions of several tables of one schema at once.
+
+    Each table is written to ``root/<name>/v=<version>`` and its gate runs on
+    the written copy. If all pass, one pointer file names the folders of every
+    table of the schema (those not published keep theirs, those in ``drop`` go),
+    so a reader of :func:`published_tables` sees the whole old schema or the
+    whole new one. If any gate rejects, :class:`RejectedTables` is raised and
+    nothing moves. Publishers of different tables do not undo each other: one
+    that finds its number taken starts from the newer pointer. Returns the
+    number of the new pointer."""
+    if not tables and not drop:
+        raise ValueError("no tables to publish")
+    root, version = root.rstrip("/"), uuid.uuid4().hex[:12]
+    spark = next(iter(tables.values())).sparkSession if tables else SparkSession.getActiveSession()
+    staged, rejected = {}, []
+    for name, df in tables.items():
+        path = f"{root}/{name}/v={version}"
+        df.write.mode("errorifexists").parquet(path)
+        gate = (gates or {}).get(name)
+        if gate is not None and not gate(spark.read.parquet(path)):
+            rejected.append(name)
+        staged[name] = path
+    if rejected:
+        raise RejectedTables(rejected)
+    for _ in range(MAX_TRIES):
+        number, current = _schema_pointer(spark, root)
+        new = {k: v for k, v in {**current, **staged}.items() if k not in (drop or [])}
+        if put_new_file(spark, f"{_pointer_dir(root)}/{number + 1:012d}.json", json.dumps({"number": number + 1, "tables": new}) + "\n"):
+            return number + 1
+    raise RuntimeError(f"{root}: {MAX_TRIES} pointers were taken by other publishers")
+
+
+def published_tables(spark: SparkSession, root: str, number: int | None = None) -> dict[str, DataFrame]:
+    """Every table of a published schema, all from one pointer: the newest, or
+    version ``number``."""
+    return {name: spark.read.parquet(path) for name, path in _schema_pointer(spark, root, number)[1].items()}
+
+
+def sweep_schema(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete the table folders that the last ``keep`` pointers do not name and
+    that are older than the newest pointer (of earlier versions, rejected or
+    abandoned publishes), and the pointers before them."""
+    jvm = spark.sparkContext._jvm
+    root = root.rstrip("/")
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    numbers = sorted(_pointer_numbers(spark, root))
+    if not numbers:
+        return []
+    known = {p.rsplit("/", 2)[1] + "/" + p.rsplit("/", 2)[2] for n in numbers[-keep:] for p in _schema_pointer(spark, root, n)[1].values()}
+    newest = fs.getFileStatus(path(f"{_pointer_dir(root)}/{numbers[-1]:012d}.json")).getModificationTime()
+    gone = []
+    for table in fs.listStatus(path(root)):
+        if not table.isDirectory() or table.getPath().getName() == "_current":
+            continue
+        for copy in fs.listStatus(table.getPath()):
+            name = f"{table.getPath().getName()}/{copy.getPath().getName()}"
+            if name not in known and copy.getModificationTime() < newest and fs.delete(copy.getPath(), True):
+                gone.append(name)
+    for n in numbers[:-keep]:
+        fs.delete(path(f"{_pointer_dir(root)}/{n:012d}.json"), False)
+    return gone
+
+
 def swap_tables(spark: SparkSession, staged: str, real: str) -> None:
-    """Catalog form of the swap: ``real`` is replaced by ``staged`` by renames."""
+    """Catalog form of the swap: ``real`` is replaced by ``staged`` by renames.
+    Between the two renames ``real`` does not exist; readers that must never
+    see that go through :func:`publish_staged` or :func:`publish_schema`."""
     old = f"{real}__old_{uuid.uuid4().hex[:6]}"
     if spark.catalog.tableExists(real):
         spark.sql(f"ALTER TABLE {real} RENAME TO {old}")
