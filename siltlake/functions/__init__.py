@@ -2,7 +2,7 @@
 
 from siltlake.functions.columns import (  # noqa: F401
     ZERO_DATE_TEXTS, binary_hex, bit_unsigned, csv_field, csv_line, hash_label, is_zero_date,
-    key_hash, key_label, key_part_col, key_part_name, linear_hash_label, list_label, range_label,
+    key_hash, key_label, key_part_col, key_part_name, linear_hash_label, range_label,
     to_text, zero_date_null, zerofill,
 )
 from siltlake.functions.spatial import wkb_to_wkt, wkb_to_wkt_value  # noqa: F401

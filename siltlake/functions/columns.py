@@ -173,18 +173,3 @@ def range_label(values: list[Column], bounds: list, names: list[str] | None = No
         return F.when(below[mid - 1], search(lo, mid)).otherwise(search(mid, hi))
 
     return F.when(~any_null(values), search(0, len(bounds))) if bounds else F.lit(None).cast("string")
-
-
-def list_label(values: list[Column], lists: list, names: list[str] | None = None) -> Column:
-    """Partition whose member list holds the value (tuple for COLUMNS); else NULL."""
-    names = names or [f"p{i}" for i in range(len(lists))]
-    out = None
-    for name, members in zip(names, lists):
-        if len(values) == 1:
-            cond = values[0].isin(*[m[0] if isinstance(m, tuple) else m for m in members])
-        else:
-            cond = reduce(lambda a, b: a | b, [
-                reduce(lambda x, y: x & y, [v == F.lit(m) for v, m in zip(values, tup)]) for tup in members
-            ])
-        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
-    return out

@@ -59,9 +59,9 @@ def partition_list(df: DataFrame, values: str | list[str] | Column, lists: list,
     """``PARTITION BY LIST(expr)`` / ``LIST COLUMNS`` (L5): membership; none -> NULL.
 
     One path for any number of members: a left join with the (member -> label)
-    table of the declaration, typed like the values; a member that is declared
-    twice has its first label. The table is as small as the declaration, so
-    Spark broadcasts it by its size."""
+    table of the declaration, typed like the values; a value that is declared
+    twice, in one spelling or in two, has the label declared first. The table is
+    as small as the declaration, so Spark broadcasts it by its size."""
     if isinstance(values, Column):
         vals = [values]
     elif isinstance(values, str):
@@ -77,11 +77,11 @@ def partition_list(df: DataFrame, values: str | list[str] | Column, lists: list,
         for m in members:
             member = tuple(None if x is None else str(x) for x in (m if isinstance(m, tuple) else (m,)))
             labels.setdefault(member, name)
-    members = df.sparkSession.createDataFrame([(*m, name) for m, name in labels.items()],
-                                              ", ".join(f"_lm{i} string" for i in range(len(keys))) + f", `{label}` string")
-    # two spellings of one value ('1', '1.0') meet after the cast: keep one row
-    members = members.select(*[F.col(f"_lm{i}").try_cast(t).alias(f"_lm{i}") for i, t in enumerate(types)], label)
-    members = members.groupBy(*[f"_lm{i}" for i in range(len(keys))]).agg(F.min(label).alias(label))
+    members = df.sparkSession.createDataFrame([(*m, name, k) for k, (m, name) in enumerate(labels.items())],
+                                              ", ".join(f"_lm{i} string" for i in range(len(keys))) + f", `{label}` string, _at int")
+    # two spellings of one value ('1', '1.0') meet after the cast: the first declared counts
+    members = members.select(*[F.col(f"_lm{i}").try_cast(t).alias(f"_lm{i}") for i, t in enumerate(types)], label, "_at")
+    members = members.groupBy(*[f"_lm{i}" for i in range(len(keys))]).agg(F.min_by(label, "_at").alias(label))
     cond = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"_lm{i}") for i, k in enumerate(keys)])
     return tagged.join(members, cond, "left").select(*[F.col(f"`{c}`") for c in df.columns], label)
 
