@@ -18,14 +18,20 @@ as segments, so a later line looks for segment k at most k places off if it is
 placed from the start, at most t - k if from the end. A line whose partner may
 lie in the class below has keys there too. What meets is verified with a banded
 bit-parallel edit distance: one machine word holds the band of a column, one
-step of ``aggregate`` goes to the next. Before that, lines that share a key
-must agree in length and in a signature, the parities of the counts of 32
-characters, of which an edit turns at most two; this is checked inside the
-join, so no other pair is written. Of the earlier lines left to a line, the
-best by signature is verified first; a line that is near it is settled, and
-its other pairs are never looked at.
-
-A line travels as two 64-bit hashes and its place; texts are shuffled whole by
+step of ``aggregate`` goes to the next; pairs that Spark's own thresholded
+distance rejects are not looked at.
+
+One near earlier line is enough to settle a line, so a group of near lines is
+not paired with itself. A key is first reduced to its earliest line and how
+many it has; a later line with that key is paired with that one line only, so
+this step is linear. Of a line's pairs the one with most keys in common is
+verified first, the others only if that fails. Lines still open whose keys
+have further earlier lines meet these in one more join, where both must agree
+in length and in a fingerprint, 512 parities of 4-gram hashes of which an edit
+turns at most eight; this is checked inside the join, so no other pair is
+written.
+
+A key row is a 64-bit hash and the line's place; texts are shuffled whole by
 document id, once to make the keys of first occurrences and once for the
 result, and only texts of lines that met a key go on to the verification.
 
@@ -49,8 +55,8 @@ MIN_CHARS = 30
 TWO_EDITS = 50
 #: places of lines that met a key: up to this number (some 50 bytes each) they are sent to every task
 BROADCAST_LINES = 500_000
-#: characters whose parities make the signature
-_SIGNED = "0123456789etaoinsrhldcumpgfbvk,."
+#: the fingerprint of a line: words of 64 parities, of grams of some bytes
+_WORDS, _GRAM = 8, 4
 _SEP = "\n"
 
 
@@ -153,25 +159,35 @@ def own_classes(n: Column, max_edits: int | None, min_chars: int) -> Column:
     return F.array_distinct(F.transform(shorter, lambda m: length_class(m, max_edits, min_chars)))
 
 
-def signature(line: Column) -> Column:
-    """32 parities, those of how often a line has each of ``_SIGNED``."""
-    size = F.octet_length(line)
-    odd = [(size - F.octet_length(F.replace(line, F.lit(x)))).bitwiseAND(1) for x in _SIGNED]
-    return reduce(lambda a, b: a.bitwiseOR(b), (F.shiftleft(x, i) for i, x in enumerate(odd)))
+def single_bytes(line: Column) -> Column:
+    """A line as one byte a character, so that its parts are cut without
+    counting characters; what has no such byte is one and the same."""
+    return F.encode(F.regexp_replace(line, r"[^\x00-\xFF]", "?"), "ISO-8859-1")
 
 
-def segment_keys(line: Column, n: Column, lo: Column, edits: Column, shifted: bool) -> Column:
-    """Keys of a line's segments in a class; ``shifted``: of the substrings
-    that may be a segment of an earlier line, null where one would leave the line."""
+def segment_keys(lines: DataFrame, keep: list[str], shifted: bool) -> DataFrame:
+    """``keep``, ``_own`` and ``_key`` of each segment of the lines (``_flat``,
+    ``_n``, class ``_c``); ``shifted``: of each substring that may be a segment
+    of an earlier line, those that are its own marked by ``_own``."""
+    lo, edits, k, off = F.col("_c.lo"), F.col("_c.edits"), F.col("_k"), F.col("_off")
+    most = F.when(k * 2 <= edits, k).otherwise(edits - k) if shifted else F.lit(0)
     size = F.floor(lo / (edits + 1)).cast("int")
+    cut = lines.select("*", F.explode(F.sequence(F.lit(0), edits)).alias("_k"))
+    cut = cut.select("*", F.explode(F.sequence(-most, most)).alias("_off")) if shifted else cut.withColumn("_off", F.lit(0))
+    start = F.when(k * 2 <= edits, k * size).otherwise(F.col("_n") - (edits + 1 - k) * size) + off
+    return (cut.where((start >= 0) & (start + size <= F.col("_n")))
+            .select(*keep, (off == 0).alias("_own"), F.xxhash64(lo, k, F.substring("_flat", start + 1, size)).alias("_key")))
 
-    def segment(k: Column) -> Column:
-        left = k * 2 <= edits
-        start = F.when(left, k * size).otherwise(n - (edits + 1 - k) * size)
-        off = F.when(left, k).otherwise(edits - k) if shifted else F.lit(0)
-        return F.transform(F.sequence(-off, off), lambda s: F.when((start + s >= 0) & (start + s + size <= n),
-                                                                   F.xxhash64(lo, k, F.substring(line, start + s + 1, size))))
-    return F.flatten(F.transform(F.sequence(F.lit(0), edits), segment))
+
+def fingerprints(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and ``_f``, the parities of the grams of each line (``_flat``,
+    ``_n``), a gram's place among them by its hash."""
+    grams = lines.select(*keys, "_flat", F.explode(F.sequence(F.lit(1), F.greatest(F.col("_n") - (_GRAM - 1), F.lit(1)))).alias("_i"))
+    h = F.xxhash64(F.substring("_flat", F.col("_i"), F.lit(_GRAM)))
+    hashed = grams.select(*keys, h.bitwiseAND(_WORDS - 1).alias("_w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 8).bitwiseAND(63).cast("int")).alias("_b"))
+    words = [F.bit_xor(F.when(F.col("_w") == i, F.col("_b")).otherwise(F.lit(0).cast("long"))) for i in range(_WORDS)]
+    return hashed.groupBy(*keys).agg(*[w.alias(f"_f{i}") for i, w in enumerate(words)]).select(
+        *keys, F.array(*[F.col(f"_f{i}") for i in range(_WORDS)]).alias("_f"))
 
 
 def line_decisions(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS,
@@ -197,44 +213,77 @@ def line_decisions(docs: DataFrame, max_edits: int | None = None, min_chars: int
 def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_chars: int) -> DataFrame:
     """``(_id, _pos)`` of the first occurrences that an earlier line is near."""
     at = firsts.withColumnRenamed("_id", "_i")
-    n, entry = F.length("_line"), F.col("_c")
+    n = F.length("_line")
     lines = (own.join(at, F.col("_id").eqNullSafe(F.col("_i")))
              .select("_id", "_firsts", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
              .where(F.array_contains("_firsts", F.col("_pos")))
-             .select(F.struct("_id", "_pos").alias("_at"), "_line", n.alias("_n"), signature(F.col("_line")).alias("_s"), F.explode(own_classes(n, max_edits, min_chars)).alias("_c")))
-
-    def keyed(shifted: bool, at: str, n: str, s: str) -> DataFrame:
-        keys = segment_keys(F.col("_line"), F.col("_n"), entry["lo"], entry["edits"], shifted)
-        return (lines.select(F.col("_at").alias(at), F.col("_n").alias(n), F.col("_s").alias(s), F.explode(keys).alias("_key")).where("_key IS NOT NULL"))
-
-    allowed = length_class(F.least("_na", "_nb"), max_edits, min_chars)["edits"]
-    turned = F.bit_count(F.col("_sa").bitwiseXOR(F.col("_sb")))
-    met = (keyed(False, "_a", "_na", "_sa").join(keyed(True, "_b", "_nb", "_sb"), "_key")
-           .where((F.col("_a") < F.col("_b")) & (F.abs(F.col("_na") - F.col("_nb")) <= allowed) & (turned <= 2 * allowed))
-           .select("_a", "_b", allowed.alias("_e"), turned.alias("_d")).distinct().checkpoint())
-    ends = met.select(F.explode(F.array("_a", "_b")).alias("_x")).distinct().checkpoint()
-    needed = ends.select(F.col("_x._id").alias("_i"), F.col("_x._pos").alias("_p"), "_x")
-    if ends.count() <= BROADCAST_LINES:
-        needed = F.broadcast(needed)  # else the texts are shuffled to the places
-    texts = (own.select("_id", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
-             .join(needed, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_pos") == F.col("_p"))).select("_x", "_line").checkpoint())
-    def near(limit: int) -> Column:
-        middles = differing_middles(F.col("_la"), F.col("_lb"), limit)
-        return _bind(middles, lambda p: edit_distance_within(p["a"], p["b"], limit)) <= limit
-
-    close = F.lit(False)
-    for limit in sorted(r["_e"] for r in met.select("_e").distinct().collect()):  # one a doubling of lengths
-        close = F.when(F.col("_e") == limit, near(limit)).otherwise(close)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        both = (pairs.join(texts.select(F.col("_x").alias("_a"), F.col("_line").alias("_la")), "_a")
+             .select("_id", "_pos", single_bytes(F.col("_line")).alias("_flat"), n.alias("_n"), F.explode(own_classes(n, max_edits, min_chars)).alias("_c")))
+    place = F.struct("_id", "_pos")
+    earliest = (segment_keys(lines, ["_id", "_pos"], False).groupBy("_key")
+                .agg(F.min(place).alias("_a"), F.count("*").alias("_in")).withColumnRenamed("_key", "_of"))
+    # a line of its own key is one of those that the key has
+    met = (segment_keys(lines, ["_id", "_pos"], True).join(earliest, F.col("_key") == F.col("_of")).where(F.col("_a") < place)
+           .select("_key", "_a", place.alias("_b"), (F.col("_in") > 1 + F.col("_own").cast("int")).alias("_more")).checkpoint())
+
+    def texts_of(places: DataFrame) -> DataFrame:
+        """``(_x, _line)`` of the places ``_x``."""
+        needed = places.select(F.col("_x._id").alias("_i"), F.col("_x._pos").alias("_p"), "_x")
+        if places.count() <= BROADCAST_LINES:
+            needed = F.broadcast(needed)  # else the texts are shuffled to the places
+        return (own.select("_id", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
+                .join(needed, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_pos") == F.col("_p"))).select("_x", "_line").checkpoint())
+
+    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """The ``_b`` of the pairs that are near."""
+        both = (pairs.select("_a", "_b").join(texts.select(F.col("_x").alias("_a"), F.col("_line").alias("_la")), "_a")
                 .join(texts.select(F.col("_x").alias("_b"), F.col("_line").alias("_lb")), "_b"))
-        return both.where(close).select("_b").distinct().checkpoint()
-
-    best = met.groupBy("_b").agg(F.min(F.struct("_d", "_a", "_e")).alias("_m")).select("_b", "_m._a", "_m._e")
-    settled = verified(best)
-    rest = verified(met.join(settled, "_b", "left_anti").join(best, ["_a", "_b"], "left_anti"))
-    return settled.union(rest).select("_b._id", "_b._pos")
+        allowed = length_class(F.least(F.length("_la"), F.length("_lb")), max_edits, min_chars)["edits"]
+        some = (both.withColumn("_e", allowed).where(F.abs(F.length("_la") - F.length("_lb")) <= F.col("_e"))
+                .where(F.expr("levenshtein(_la, _lb, _e) >= 0")).checkpoint())
+
+        def near(limit: int) -> Column:
+            middles = differing_middles(F.col("_la"), F.col("_lb"), limit)
+            return _bind(middles, lambda p: edit_distance_within(p["a"], p["b"], limit)) <= limit
+
+        close = F.lit(False)
+        for limit in sorted(r["_e"] for r in some.select("_e").distinct().collect()):  # one a doubling of lengths
+            close = F.when(F.col("_e") == limit, near(limit)).otherwise(close)
+        return some.where(close).select("_b").distinct().checkpoint()
+
+    texts = texts_of(met.select(F.explode(F.array("_a", "_b")).alias("_x")).distinct().checkpoint())
+    voted = met.groupBy("_b", "_a").agg(F.count("*").alias("_v"))
+    best = voted.groupBy("_b").agg(F.max_by("_a", F.struct("_v", "_a")).alias("_a")).checkpoint()
+    settled = verified(best, texts)
+    others = voted.join(settled, "_b", "left_anti").join(best, ["_a", "_b"], "left_anti").select("_a", "_b").checkpoint()
+    settled = settled.union(verified(others, texts))
+    rest = met.where("_more").join(settled, "_b", "left_anti").select("_key", "_b").distinct().checkpoint()
+    if not rest.isEmpty():
+        settled = settled.union(_rest(lines, rest, met, texts_of, verified, max_edits, min_chars))
+    return settled.select("_b._id", "_b._pos")
+
+
+def _rest(lines: DataFrame, rest: DataFrame, met: DataFrame, texts_of, verified, max_edits: int | None, min_chars: int) -> DataFrame:
+    """The lines of ``rest(_key, _b)`` that are near any earlier line of their
+    keys but the earliest, which ``met`` has paired them with."""
+    keys = rest.select(F.col("_key").alias("_of")).distinct().checkpoint()
+    if keys.count() <= BROADCAST_LINES:
+        keys = F.broadcast(keys)
+    holders = (segment_keys(lines, ["_id", "_pos"], False).join(keys, F.col("_key") == F.col("_of"), "left_semi")
+               .select("_key", F.struct("_id", "_pos").alias("_x")).checkpoint())
+    places = holders.select("_x").union(rest.select("_b")).distinct().checkpoint()
+    texts = texts_of(places)
+    flat = texts.select("_x", single_bytes(F.col("_line")).alias("_flat"), F.length("_line").alias("_n"))
+    signed = fingerprints(flat, ["_x", "_n"]).checkpoint()
+    early = holders.join(signed, "_x").select("_key", F.col("_x").alias("_a"), F.col("_n").alias("_na"), F.col("_f").alias("_fa"))
+    late = rest.join(signed.withColumnRenamed("_x", "_b"), "_b").select("_key", "_b", F.col("_n").alias("_nb"), F.col("_f").alias("_fb"))
+    allowed = length_class(F.least("_na", "_nb"), max_edits, min_chars)["edits"]
+    turned = reduce(lambda a, b: a + b, [F.bit_count(F.col("_fa")[i].bitwiseXOR(F.col("_fb")[i])) for i in range(_WORDS)])
+    pairs = (late.join(early, "_key").where((F.col("_a") < F.col("_b")) & (F.abs(F.col("_na") - F.col("_nb")) <= allowed) & (turned <= 2 * _GRAM * allowed))
+             .select("_a", "_b", turned.alias("_d")).distinct().join(met.select("_a", "_b").distinct(), ["_a", "_b"], "left_anti").checkpoint())
+    best = pairs.groupBy("_b").agg(F.min_by("_a", F.struct("_d", "_a")).alias("_a")).checkpoint()
+    settled = verified(best, texts)
+    left = pairs.join(settled, "_b", "left_anti").join(best, ["_a", "_b"], "left_anti").select("_a", "_b")
+    return settled.union(verified(left, texts))
 
 
 def _short_repeats(docs: DataFrame, times: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
