@@ -31,9 +31,11 @@ in length and in a fingerprint, 512 parities of 4-gram hashes of which an edit
 turns at most eight; this is checked inside the join, so no other pair is
 written.
 
-A key row is a 64-bit hash and the line's place; texts are shuffled whole by
-document id, once to make the keys of first occurrences and once for the
-result, and only texts of lines that met a key go on to the verification.
+A key row is a 64-bit hash and the line's number; first occurrences are
+numbered in the order of their places, so that the earliest is a minimum of
+plain numbers. Texts are shuffled whole by document id, once to make the keys
+of first occurrences and once for the result, and only texts of lines that met
+a key go on to the verification.
 
 Defined results: a null text stays null, an empty text stays empty; documents
 with one id count as one place, so a line that both hold at the same place
@@ -47,6 +49,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siltlake.session import checkpoint_dir
 
@@ -162,13 +165,14 @@ def own_classes(n: Column, max_edits: int | None, min_chars: int) -> Column:
 def single_bytes(line: Column) -> Column:
     """A line as one byte a character, so that its parts are cut without
     counting characters; what has no such byte is one and the same."""
-    return F.encode(F.regexp_replace(line, r"[^\x00-\xFF]", "?"), "ISO-8859-1")
+    others = F.encode(F.regexp_replace(line, r"[^\x00-\xFF]", "?"), "ISO-8859-1")
+    return F.when(F.octet_length(line) == F.length(line), line.cast("binary")).otherwise(others)
 
 
 def segment_keys(lines: DataFrame, keep: list[str], shifted: bool) -> DataFrame:
-    """``keep``, ``_own`` and ``_key`` of each segment of the lines (``_flat``,
+    """``keep``, ``_mine`` and ``_key`` of each segment of the lines (``_flat``,
     ``_n``, class ``_c``); ``shifted``: of each substring that may be a segment
-    of an earlier line, those that are its own marked by ``_own``."""
+    of an earlier line, those that are its own marked by ``_mine``."""
     lo, edits, k, off = F.col("_c.lo"), F.col("_c.edits"), F.col("_k"), F.col("_off")
     most = F.when(k * 2 <= edits, k).otherwise(edits - k) if shifted else F.lit(0)
     size = F.floor(lo / (edits + 1)).cast("int")
@@ -176,7 +180,7 @@ def segment_keys(lines: DataFrame, keep: list[str], shifted: bool) -> DataFrame:
     cut = cut.select("*", F.explode(F.sequence(-most, most)).alias("_off")) if shifted else cut.withColumn("_off", F.lit(0))
     start = F.when(k * 2 <= edits, k * size).otherwise(F.col("_n") - (edits + 1 - k) * size) + off
     return (cut.where((start >= 0) & (start + size <= F.col("_n")))
-            .select(*keep, (off == 0).alias("_own"), F.xxhash64(lo, k, F.substring("_flat", start + 1, size)).alias("_key")))
+            .select(*keep, (off == 0).cast("int").alias("_mine"), F.xxhash64(lo, k, F.substring("_flat", start + 1, size)).alias("_key")))
 
 
 def fingerprints(lines: DataFrame, keys: list[str]) -> DataFrame:
@@ -210,25 +214,39 @@ def line_decisions(docs: DataFrame, max_edits: int | None = None, min_chars: int
     return firsts.select("_id", F.array_except("_firsts", near).alias("_stay"), near.alias("_near"))
 
 
+def _numbered(firsts: DataFrame) -> DataFrame:
+    """``firsts(_id, _firsts)`` with ``_before``: the number of the first of
+    them is one more. Numbers ascend with the places."""
+    placed = (firsts.repartitionByRange("_id").sortWithinPartitions("_id")
+              .select("_id", F.array_sort("_firsts").alias("_firsts"), F.spark_partition_id().alias("_part")).checkpoint())
+    ahead = Window.partitionBy("_part").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    within = F.coalesce(F.sum(F.size("_firsts")).over(ahead), F.lit(0))
+    return placed.select("_id", "_firsts", (F.shiftleft(F.col("_part").cast("long"), 40) + within).alias("_before")).checkpoint()
+
+
 def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_chars: int) -> DataFrame:
     """``(_id, _pos)`` of the first occurrences that an earlier line is near."""
-    at = firsts.withColumnRenamed("_id", "_i")
-    n = F.length("_line")
-    lines = (own.join(at, F.col("_id").eqNullSafe(F.col("_i")))
-             .select("_id", "_firsts", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
-             .where(F.array_contains("_firsts", F.col("_pos")))
-             .select("_id", "_pos", single_bytes(F.col("_line")).alias("_flat"), n.alias("_n"), F.explode(own_classes(n, max_edits, min_chars)).alias("_c")))
-    place = F.struct("_id", "_pos")
-    earliest = (segment_keys(lines, ["_id", "_pos"], False).groupBy("_key")
-                .agg(F.min(place).alias("_a"), F.count("*").alias("_in")).withColumnRenamed("_key", "_of"))
+    numbered = _numbered(firsts)
+    n, entry = F.length("_line"), F.explode(own_classes(F.col("_n"), max_edits, min_chars)).alias("_c")
+    lines = (own.join(numbered.withColumnRenamed("_id", "_i"), F.col("_id").eqNullSafe(F.col("_i")))
+             .select("_firsts", "_before", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
+             .select("_before", F.array_position("_firsts", F.col("_pos")).alias("_at"), "_line").where("_at > 0")
+             .select((F.col("_before") + F.col("_at")).alias("_no"), single_bytes(F.col("_line")).alias("_flat"), n.alias("_n"))
+             .select("_no", "_flat", "_n", entry))
+    earliest = (segment_keys(lines, ["_no"], False).groupBy(F.col("_key").alias("_of"))
+                .agg(F.min("_no").alias("_a"), F.count("*").alias("_in")))
     # a line of its own key is one of those that the key has
-    met = (segment_keys(lines, ["_id", "_pos"], True).join(earliest, F.col("_key") == F.col("_of")).where(F.col("_a") < place)
-           .select("_key", "_a", place.alias("_b"), (F.col("_in") > 1 + F.col("_own").cast("int")).alias("_more")).checkpoint())
-
-    def texts_of(places: DataFrame) -> DataFrame:
-        """``(_x, _line)`` of the places ``_x``."""
-        needed = places.select(F.col("_x._id").alias("_i"), F.col("_x._pos").alias("_p"), "_x")
-        if places.count() <= BROADCAST_LINES:
+    met = (segment_keys(lines, ["_no"], True).join(earliest, F.col("_key") == F.col("_of")).where(F.col("_a") < F.col("_no"))
+           .select("_key", "_a", F.col("_no").alias("_b"), (F.col("_in") > 1 + F.col("_mine")).alias("_more")).checkpoint())
+    places = numbered.select("_id", "_before", F.posexplode("_firsts").alias("_at", "_pos")).select(
+        "_id", "_pos", (F.col("_before") + F.col("_at") + 1).alias("_no"))
+
+    def texts_of(numbers: DataFrame) -> DataFrame:
+        """``(_x, _line)`` of the lines with the numbers ``_x``."""
+        few = numbers.count() <= BROADCAST_LINES
+        needed = places.join(F.broadcast(numbers) if few else numbers, F.col("_no") == F.col("_x")).select(
+            F.col("_id").alias("_i"), F.col("_pos").alias("_p"), "_x")
+        if few:
             needed = F.broadcast(needed)  # else the texts are shuffled to the places
         return (own.select("_id", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
                 .join(needed, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_pos") == F.col("_p"))).select("_x", "_line").checkpoint())
@@ -258,20 +276,27 @@ def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_
     settled = settled.union(verified(others, texts))
     rest = met.where("_more").join(settled, "_b", "left_anti").select("_key", "_b").distinct().checkpoint()
     if not rest.isEmpty():
-        settled = settled.union(_rest(lines, rest, met, texts_of, verified, max_edits, min_chars))
-    return settled.select("_b._id", "_b._pos")
+        # without the join that tells first occurrences: few of all the keys are looked for
+        every = (own.select("_id", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line")).where(n >= min_chars)
+                 .select("_id", "_pos", single_bytes(F.col("_line")).alias("_flat"), n.alias("_n")).select("*", entry))
+        settled = settled.union(_rest(every, places, rest, met, texts_of, verified, max_edits, min_chars))
+    near = settled.distinct()
+    return places.join(near, F.col("_no") == F.col("_b")).select("_id", "_pos")
 
 
-def _rest(lines: DataFrame, rest: DataFrame, met: DataFrame, texts_of, verified, max_edits: int | None, min_chars: int) -> DataFrame:
+def _rest(every: DataFrame, places: DataFrame, rest: DataFrame, met: DataFrame, texts_of, verified, max_edits: int | None,
+          min_chars: int) -> DataFrame:
     """The lines of ``rest(_key, _b)`` that are near any earlier line of their
     keys but the earliest, which ``met`` has paired them with."""
     keys = rest.select(F.col("_key").alias("_of")).distinct().checkpoint()
     if keys.count() <= BROADCAST_LINES:
         keys = F.broadcast(keys)
-    holders = (segment_keys(lines, ["_id", "_pos"], False).join(keys, F.col("_key") == F.col("_of"), "left_semi")
-               .select("_key", F.struct("_id", "_pos").alias("_x")).checkpoint())
-    places = holders.select("_x").union(rest.select("_b")).distinct().checkpoint()
-    texts = texts_of(places)
+    found = segment_keys(every, ["_id", "_pos"], False).join(keys, F.col("_key") == F.col("_of"), "left_semi").checkpoint()
+    at = [F.col("_id").eqNullSafe(F.col("_i")), F.col("_pos") == F.col("_p")]
+    holders = (found.select("_key", F.col("_id").alias("_i"), F.col("_pos").alias("_p"))
+               .join(places, at).select("_key", F.col("_no").alias("_x")).distinct().checkpoint())
+    numbers = holders.select("_x").union(rest.select("_b")).distinct().checkpoint()
+    texts = texts_of(numbers)
     flat = texts.select("_x", single_bytes(F.col("_line")).alias("_flat"), F.length("_line").alias("_n"))
     signed = fingerprints(flat, ["_x", "_n"]).checkpoint()
     early = holders.join(signed, "_x").select("_key", F.col("_x").alias("_a"), F.col("_n").alias("_na"), F.col("_f").alias("_fa"))
