@@ -56,12 +56,16 @@ def block_of(id_col: str, n: int):
     return F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")
 
 
-def to_blocks(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", flag=None) -> DataFrame:
+def to_blocks(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", flag=None, spread_null_ids: bool = False) -> DataFrame:
     """``(block, payload)``: several rows a block, each with the ids, flags,
     text offsets and text bytes of some documents (null ids as ``NULL_ID``,
-    marked in the flags by 2; flag 1 is the given boolean column)."""
+    marked in the flags by 2; flag 1 is the given boolean column). With
+    ``spread_null_ids`` documents without an id are dealt by their text."""
+    block = block_of(id_col, n)
+    if spread_null_ids:
+        block = F.when(F.col(id_col).isNull(), block_of(text_col, n)).otherwise(block)
     flags = F.when(flag, 1).otherwise(0) if flag is not None else F.lit(0)
-    narrow = docs.select(block_of(id_col, n).alias("block"), F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
+    narrow = docs.select(block.alias("block"), F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
                          (flags + F.when(F.col(id_col).isNull(), 2).otherwise(0)).cast("byte").alias("flags"),
                          F.col(text_col).cast("string").alias("text"))
 

@@ -9,7 +9,7 @@ window with enough equal tokens.
 
 The text side is scanned once, where it lies, for each block of the benchmark;
 a block holds ``BLOCK_BYTES`` of items (and one item more at most), so what a
-task gets is bounded however large the benchmark is. Nothing is shuffled.
+task gets is bounded however large the benchmark is. Only what is found is shuffled.
 
 Tokens are runs of letters and digits, A-Z lowered. Items of 8 to 12 tokens
 count where all of them occur in a row; shorter items are no evidence and
@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.llm.arrays import mix64, utf8_column, word_hashes, word_table
+from siltlake.llm.blocks import freed
+from siltlake.session import checkpoint_dir
 
 WINDOW, MATCHES, LEAST = 13, 11, 8
 #: 1: the token counts. Any two mismatches in 13 places are avoided by one of
@@ -133,12 +135,13 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item_id, start_token, n_tokens (in passing windows of the best diagonal),
     n_equal (of these, how many agree)."""
     spark = docs.sparkSession
+    checkpoint_dir(spark)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_id_col).cast("long").alias("item_id"),
                              F.col(item_text_col).cast("string").alias("text")).where("text IS NOT NULL")
     schema = "doc_id long, item_id long, start_token long, n_tokens long, n_equal long"
 
-    def scan(ids: list[int], texts: list[str]) -> DataFrame:
+    def scan(ids: list[int], texts: list[str]) -> tuple:
         shared = spark.sparkContext.broadcast((ids, texts))  # at most BLOCK_BYTES and one item
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,10 +160,17 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 columns = list(zip(*out)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                                  names=["doc_id", "item_id", "start_token", "n_tokens", "n_equal"])
+            freed(None)
 
-        return narrow.mapInArrow(run, schema)
+        return narrow.mapInArrow(run, schema), shared
 
-    found = reduce(DataFrame.union, [scan(*block) for block in _blocks(items)])
+    parts, last = [], None
+    for block in _blocks(items):
+        if last is not None:  # one block is done with before the next is sent out
+            parts.append(last[0].checkpoint())
+            last[1].destroy()
+        last = scan(*block)
+    found = reduce(DataFrame.union, [*parts, last[0]])
     best = F.max(F.struct("n_equal", (-F.col("start_token")).alias("s"), "n_tokens")).alias("b")
     return found.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("b.s")).alias("start_token"), "b.n_tokens", "b.n_equal")

@@ -37,12 +37,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltlake.llm.arrays import hash_runs, utf8_column
+from siltlake.llm.blocks import freed
 from siltlake.session import checkpoint_dir
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 600_000
-STEP_BYTES = 4 << 20
+#: about so many bytes of known units are kept in a worker
+CACHE_BYTES = 48 << 20
+STEP_BYTES = 2 << 20
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, block int, rank long"
 
 _SPACE, _LETTER, _MARK, _OTHER = range(4)
@@ -109,7 +111,7 @@ class WordEncoder:
     are. Units are told apart by a 64-bit hash, so only one of each becomes a
     string. What is known is emptied when it is full; long units are not kept."""
 
-    def __init__(self, path: str, room: int = CACHE_WORDS):
+    def __init__(self, path: str, room: int = CACHE_BYTES):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.full, self.light = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.light.normalizer = normalizers.Sequence([])
@@ -118,7 +120,7 @@ class WordEncoder:
         vocabulary = self.full.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[v for k, v in vocabulary.items() if k.endswith("</w>")]] = True
-        self.room, self.known = room, {}
+        self.room, self.held, self.known = room, 0, {}
 
     def _learn(self, words: list[str], rest: list[str]) -> None:
         for at in range(0, len(words), 256):
@@ -140,14 +142,17 @@ class WordEncoder:
         units = [flat[i:j].decode() for i, j in zip(starts[one].tolist(), ends[one].tolist())]
         word = word[one].tolist()
         units = [u.lower() if w else u for u, w in zip(units, word)]
-        if len(known) > self.room:
+        if self.held > self.room:
             known.clear()
+            self.held = 0
         new = dict((u, w) for u, w in zip(units, word) if u not in known)
         self._learn([u for u, w in new.items() if w], [u for u, w in new.items() if not w])
         ids_of = [known[u] for u in units]
         for u in new:
             if len(u) > 64:  # long units seldom come again
                 del known[u]
+            else:
+                self.held += 200 + len(u)  # two objects and an entry
         each = np.array([len(x) for x in ids_of], dtype=np.int64) // 4
         ids, first = np.frombuffer(b"".join(ids_of), dtype="<u4"), np.cumsum(each) - each
         many = each[number]
@@ -210,6 +215,7 @@ def piece_table(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_i
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
                  pa.array(np.full(len(doc), block, dtype=np.int32)), pa.array(np.array(rank, dtype=np.int64))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "block", "rank"])
+        freed(None)
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return narrow.mapInArrow(run, PIECE_SCHEMA)

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltlake.llm.blocks import freed
 from siltlake.llm.components import components
 from siltlake.llm.groups import map_runs, merge, tiles
 from siltlake.session import checkpoint_dir
@@ -61,6 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
         for batch in batches:
             h = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h.view(np.int64))], names=["doc_id", "fp"])
+        freed(None)
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return narrow.mapInArrow(run, "doc_id long, fp long")

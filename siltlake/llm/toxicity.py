@@ -80,7 +80,7 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     each text, for labelled texts without their own counts. ``labels(id,
     toxic)``; documents are kept whole in their blocks."""
     n = block_count(docs, text_col)
-    blocks = to_blocks(docs, n, id_col, text_col)
+    blocks = to_blocks(docs, n, id_col, text_col, spread_null_ids=True)  # they have no label to meet
     dealt = labels.select(block_of("id", n).alias("block"), F.col("id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"),
                           F.lit(None).cast("binary").alias("answer"), F.lit(None).cast("int").alias("bucket"))
 

@@ -86,3 +86,17 @@ def test_larger_reject_lists_are_joined_by_shuffle(spark, monkeypatch):
         monkeypatch.setattr(C, "BROADCAST_IDS", most)
         out = C.without(docs, gone)
         assert sorted(r["doc_id"] for r in out.collect()) == [0, *range(3, 50)]
+
+
+def test_rows_without_an_id_are_judged_one_by_one(spark, tmp_path):
+    docs, labels, items = corpus()
+    sf_dir = folder(spark, tmp_path, docs, labels, items)
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = ["you idiotic awfully Rotten idiotic awfully Rotten idiotic thing", f"quite before it {items[0][1]} and after", "a clean and lonely text without an id at all", "a clean and lonely text without an id at all"]
+    nameless = spark.createDataFrame([(None, t, "en", "s", len(t)) for t in texts], COLUMNS)
+    both = table.unionByName(nameless)
+    left = lambda df: sorted(r["text"] for r in df.where("doc_id IS NULL").collect())
+    assert left(C.drop_toxic(spark, both, sf_dir)) == sorted(texts[1:])
+    assert left(C.drop_contaminated(spark, both, sf_dir)) == sorted([texts[0], *texts[2:]])
+    assert left(C.drop_near_duplicates(spark, both, sf_dir)) == sorted(texts)  # equal rows are one
+    assert C.drop_repeated_lines(spark, both, sf_dir).where("doc_id IS NULL").count() == 4
