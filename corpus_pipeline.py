@@ -6,7 +6,8 @@ sf_dir)`` and returns the documents that stay, with the columns of
 ``documents`` (the last one: the packed pieces). ``run`` writes each stage's
 result as Parquet to the shared folder and gives it to the next.
 
-Rows that share an id, or have none, stay or go together. A document goes if:
+Rows that share an id stay or go together; rows without an id are told apart by
+what they hold, so only equal ones do. A document goes if:
 it is scored toxic; all its lines were repeats of other lines; another
 document of its near-duplicate group has a smaller id; it shares a passage
 with a benchmark item. Empty tables give no rows.
@@ -29,40 +30,59 @@ from siltlake.session import checkpoint_dir
 
 #: ids up to this number (16 bytes each in a hash table) are sent to every task; more are joined by a shuffle
 BROADCAST_IDS = 1_000_000
-#: a line too short for the edit join is boilerplate if it stands this often in all documents
+#: a line too short for the edit join is boilerplate if it stands this often in all documents: short lines
+#: that stand a few times are headings, answers and list items, which a text needs where it has them
 SHORT_REPEATS = 10
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+ROW = "_row"
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """``docs`` with an id for every row: its own, or where it has none one
+    made from what it holds (from 2^62 on, so that given ids come first)."""
+    made = F.xxhash64("text", "lang", "source", "n_chars").bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    return docs.withColumn(ROW, F.coalesce(F.col("doc_id").cast("long"), made))
+
+
+def kept(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``identified`` documents whose id is not in ``gone(doc_id)``."""
+    return without(docs, gone, ROW).drop(ROW)
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose id is in ``gone(doc_id)``."""
     checkpoint_dir(docs.sparkSession)
     ids = gone.select(F.col("doc_id").alias("_gone")).distinct().checkpoint()
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(ids, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored at least ``THRESHOLD`` go."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity(docs, labels, ~held_out("doc_id"))
-    return without(docs, scored.where(F.col("score") >= THRESHOLD))
+    docs = identified(docs)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").withColumn(ROW, F.col("doc_id").cast("long"))
+    scored = toxicity(docs, labels, ~held_out("doc_id"), id_col=ROW)
+    return kept(docs, scored.where(F.col("score") >= THRESHOLD))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and documents of which nothing but white space is left."""
-    kept = dedup_lines(docs, counts=True, short_repeats=SHORT_REPEATS)
-    return kept.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S")).select(*docs.columns)
+    left = dedup_lines(identified(docs), id_col=ROW, counts=True, short_repeats=SHORT_REPEATS)
+    return left.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
-    return without(docs, near_duplicates(docs).where("doc_id <> component_id"))
+    docs = identified(docs)
+    return kept(docs, near_duplicates(docs, id_col=ROW).where("doc_id <> component_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share a passage with a benchmark item go."""
-    return without(docs, find_overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    docs = identified(docs)
+    return kept(docs, find_overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
