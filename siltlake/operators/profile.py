@@ -6,6 +6,8 @@ aggregate), then a narrow explode into one row per column.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +30,10 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
 
     ``exact=False`` (default) is one pass with HyperLogLog++
     (``approx_count_distinct``), fixed-size state per column. ``exact=True``
-    runs the plain statistics and the ``count(DISTINCT)`` columns as two
-    separate aggregates — mixing them in one would push every aggregate
-    through the Expand that distinct aggregation needs — and merges the two
-    one-row results by column name."""
+    runs the plain statistics in one pass and counts each column's distinct
+    values by itself (a scan of that column, partly aggregated before its
+    shuffle), so no row is expanded once a column, and merges the results by
+    column name."""
     cols = columns or df.columns
 
     def stats(with_approx: bool):
@@ -46,12 +48,11 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
 
     if not exact:
         return stats(True)
-    distinct = df.agg(*[F.count_distinct(F.col(c)).alias(f"_dis{i}") for i, c in enumerate(cols)])
-    nulls = [(f, n, t) if f == "_dis" else (None, n, t) for f, n, t in _FIELDS]
-    dist_long = distinct.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), *[
-            (F.col(f"_dis{i}") if f else F.lit(None)).cast(t).alias(n) for f, n, t in nulls])
-        for i, c in enumerate(cols)])).alias("_p")).select("_p.*")
+    # one narrow count a column: a count of all of them at once would read each row once a column
+    counts = [df.select(F.col(c).alias("_v")).where("_v IS NOT NULL").distinct().agg(F.count("*").alias("_n"))
+              .select(F.lit(c).alias("column_name"), *[(F.col("_n") if n == "n_distinct" else F.lit(None)).cast(t).alias(n) for _, n, t in _FIELDS])
+              for c in cols]
+    dist_long = reduce(lambda x, y: x.unionByName(y), counts)
     both = stats(False).unionByName(dist_long)
     # at most two rows per column: merge them
     return both.groupBy("column_name").agg(*[F.max(n).alias(n) for _, n, _ in _FIELDS])

@@ -27,5 +27,5 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from siltlake.plans import (  # noqa: F401
-        q_catalog, q_changes, q_graph, q_layout, q_normalize, q_quality, q_relational, q_sql, q_stream, q_synth,
+        q_catalog, q_changes, q_graph, q_history, q_layout, q_normalize, q_quality, q_relational, q_sql, q_stream, q_synth,
     )
