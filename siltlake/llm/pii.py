@@ -2,11 +2,14 @@
 
 Base spans come from four rules (email, ip, card, phone). A document that has
 one also gets a graph: its nodes are the tokens that hold a digit or an ``@``
-(any other token is fixed to "outside", which cuts the chain); neighbours in
-the text are joined by chain edges, and all mentions of one key, however far
-apart, share a hub node: the token itself, its digits, and the local part of
-an address. A hub stands for the skip edges among its mentions, so their
-number is linear in the mentions. Nodes in base spans are clamped to their
+and those that are the local part of one of its addresses (any other token is
+fixed to "outside", which cuts the chain); neighbours in the text are joined by
+chain edges, and all mentions of one key, however far apart, share a hub node.
+The keys are the token itself, its digits, the digits of a run of neighbours
+("+1 (523) 555-1055"), the last 10 and the last 7 of either, and the local part
+of an address: repeated mentions share the first, similar ones the others. A
+hub stands for the skip edges among its mentions, so their number is linear in
+the mentions. Nodes in base spans are clamped to their
 kind; loopy sum-product messages (damped, in logs) then give every other node
 a marginal, and a node that shares a hub with a base span, and whose marginal
 for a kind reaches ``LEAST``, is added. A document without a base span has no
@@ -14,7 +17,9 @@ label to spread.
 
 The potentials are trained piecewise on all documents: a maximum-entropy model
 of the token shape, and pointwise mutual information of labels along chain
-and skip edges. What reaches the driver is their count tables (feature
+and skip edges. A token outside of base spans that shares a hub with one has no
+known label: it is left out of the counts, so that the field is not taught that
+mentions of known data are none. What reaches the driver is their count tables (feature
 signatures x labels), whose size the features bound. Two passes: one over the
 texts, one over the token tables it leaves in the checkpoint folder.
 
@@ -42,7 +47,7 @@ LABELS = OUTSIDE + 1
 LEAST = 0.9
 ROUNDS, DAMPING = 40, 0.5
 #: categories of each shape feature, in the order of ``shape``
-SIZES = (3, 3, 2, 2, 3, 7, 2, 2, 2)
+SIZES = (4, 3, 2, 2, 3, 7, 2, 2, 2)
 
 _DIGIT = re.compile(r"[0-9]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -53,6 +58,10 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[0-9@]\S*")
 _NOT_DIGITS = re.compile(r"[^0-9]+")
+_NUMBER = re.compile(r"[0-9().+-]*[0-9][0-9().+-]*")
+_WORD = re.compile(r"\S+")
+#: numbers with as many last digits in common are similar: a phone number without its country, or without its area
+SUFFIXES = (7, 10)
 _QUAD = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _TRIM = "\"'()[]{}<>*#&$%,;:!?.|"
 
@@ -110,15 +119,35 @@ def tokens_of(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def shape(text: str, a: int, b: int, before: bool, after: bool) -> int:
-    """The feature signature of a token, as one number."""
+def address_mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Words outside of base spans that are the local part of one of the
+    text's addresses: one with a dot, digit or the like, not a plain word."""
+    locals_ = {text[a:b].split("@")[0].lower() for k, a, b in base if k == 0}
+    locals_ = {x for x in locals_ if len(x) >= 4 and not x.isalpha()}
+    if not locals_:
+        return []
+    out = []
+    for m in _WORD.finditer(text):
+        a, b = m.span()
+        while a < b and text[a] in _TRIM:
+            a += 1
+        while b > a and text[b - 1] in _TRIM:
+            b -= 1
+        if text[a:b].lower() in locals_:
+            out.append((a, b))
+    return out
+
+
+def shape(text: str, a: int, b: int, before: bool, after: bool, named: bool = False) -> int:
+    """The feature signature of a token, as one number; ``named``: it is the
+    local part of an address."""
     word = text[a:b]
     digits = _NOT_DIGITS.sub("", word)
     n = len(digits)
     at = word.find("@")
     quad = _QUAD.fullmatch(word) is not None
     cats = (
-        0 if at < 0 else 2 if at > 0 and _DOMAIN.match(word, at) else 1,
+        3 if named else 0 if at < 0 else 2 if at > 0 and _DOMAIN.match(word, at) else 1,
         0 if not quad else 2 if _octets(word) else 1,
         int(a > 0 and text[a - 1] == "+" or word[0] == "+"),
         int(a > 0 and text[a - 1] == "("),
@@ -147,6 +176,8 @@ def keys_of(word: str) -> list[str]:
     keys = {word} if len(digits) >= 3 or "@" in word else set()
     if len(digits) >= 6:
         keys.add(digits)
+    if _NUMBER.fullmatch(word):
+        keys |= {f"{n}:{digits[-n:]}" for n in SUFFIXES if len(digits) >= n}
     if 0 < word.find("@") and len(local := word.split("@")[0]) >= 4:
         keys.add(local)
     if "@" not in word and any(c.isalpha() for c in word) and len(word) >= 4:
@@ -154,13 +185,14 @@ def keys_of(word: str) -> list[str]:
     return sorted(keys)
 
 
-_TOKENS = ("doc_id long, base array<int>, starts array<int>, ends array<int>, shapes array<int>, labels array<int>, "
+_TOKENS = ("doc_id long, base array<int>, starts array<int>, ends array<int>, shapes array<int>, labels array<int>, known array<int>, "
            "near array<int>, hub_node array<int>, hub array<int>, chain_pairs array<int>, skip_pairs array<int>")
 
 
 def _token_row(text: str) -> tuple:
     base = base_spans(text)
-    spans = tokens_of(text)
+    named = set(address_mentions(text, base))
+    spans = sorted({*tokens_of(text), *named})
     labels, order = [OUTSIDE] * len(spans), sorted((s, e, k) for k, s, e in base)
     starts_only = [s for s, _, _ in order]
     # spans of different kinds may overlap: step back over all that can reach
@@ -175,20 +207,33 @@ def _token_row(text: str) -> tuple:
     # chain edges: only white space and punctuation between two tokens
     near = [int(j > 0 and not text[spans[j - 1][1]:a].strip(_TRIM + " \t\r\n+-") and a - spans[j - 1][1] <= 4)
             for j, (a, _) in enumerate(spans)]
-    shapes = [shape(text, a, b, bool(near[j]), j + 1 < len(spans) and bool(near[j + 1])) for j, (a, b) in enumerate(spans)]
+    shapes = [shape(text, a, b, bool(near[j]), j + 1 < len(spans) and bool(near[j + 1]), (a, b) in named)
+              for j, (a, b) in enumerate(spans)]
     hubs: dict[str, int] = {}
-    hub_node, hub, last, skip_pairs = [], [], {}, []
-    for j, (a, b) in enumerate(spans):
-        for key in keys_of(text[a:b]):
-            h = hubs.setdefault(key, len(hubs))
-            hub_node.append(j)
-            hub.append(h)
-            if h in last:
-                skip_pairs.append(labels[last[h]] * LABELS + labels[j])
-            last[h] = j
-    chain_pairs = [labels[j - 1] * LABELS + labels[j] for j in range(1, len(spans)) if near[j]]
-    return ([x for s in base for x in s], [a for a, _ in spans], [b for _, b in spans], shapes, labels, near,
-            hub_node, hub, chain_pairs, skip_pairs)
+    nodes: list[list[int]] = []
+    part_of_run = [_NUMBER.fullmatch(w) is not None and not _QUAD.fullmatch(w) for w in (text[a:b] for a, b in spans)]
+    at = 0
+    while at < len(spans):  # a run of neighbouring numbers
+        end = at + 1
+        while end < len(spans) and near[end] and labels[end] == labels[at] and part_of_run[end] and part_of_run[at]:
+            end += 1
+        words = [text[a:b] for a, b in spans[at:end]]
+        joined = keys_of("".join(words)) if end > at + 1 else []
+        for j, word in zip(range(at, end), words):
+            for key in {*keys_of(word), *(k for k in joined if len(_NOT_DIGITS.sub("", k)) >= SUFFIXES[0])}:
+                h = hubs.setdefault(key, len(hubs))
+                if h == len(nodes):
+                    nodes.append([])
+                nodes[h].append(j)
+        at = end
+    nodes = [sorted(own) for own in nodes]
+    fed = {h for h, own in enumerate(nodes) if any(labels[j] != OUTSIDE for j in own)}
+    unknown = {j for h in fed for j in nodes[h] if labels[j] == OUTSIDE}
+    hub_node, hub = [j for own in nodes for j in own], [h for h, own in enumerate(nodes) for _ in own]
+    skip_pairs = [labels[i] * LABELS + labels[j] for own in nodes for i, j in zip(own, own[1:]) if not {i, j} & unknown]
+    chain_pairs = [labels[j - 1] * LABELS + labels[j] for j in range(1, len(spans)) if near[j] and not {j - 1, j} & unknown]
+    return ([x for s in base for x in s], [a for a, _ in spans], [b for _, b in spans], shapes, labels, [int(j not in unknown) for j in range(len(spans))],
+            near, hub_node, hub, chain_pairs, skip_pairs)
 
 
 def token_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -313,7 +358,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
         return {r["x"]: r["count"] for r in rows.collect()}  # at most LABELS^2 rows
 
     # at most the number of signatures x LABELS rows
-    shapes = tokens.select(F.explode(F.arrays_zip("shapes", "labels")).alias("x")).groupBy("x.shapes", "x.labels").count()
+    shapes = tokens.select(F.explode(F.arrays_zip("shapes", "labels", "known")).alias("x")).where("x.known = 1").groupBy("x.shapes", "x.labels").count()
     p = Potentials({(r["shapes"], r["labels"]): r["count"] for r in shapes.collect()}, counts("chain_pairs"), counts("skip_pairs"))
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 

@@ -106,3 +106,39 @@ def test_edge_rows(edge_docs, no_docs):
             assert [r[f"n_{k}"] for k in P.KINDS] == [sum(x[0] == i for x in base) for i in range(4)]
             assert set(filter(None, named.split(","))) <= set(r["spans"].split(","))
     assert P.pii_digest(P.find_pii(no_docs)).collect() == []
+
+
+def planted(n):
+    """Texts with a base span, other forms of the same datum, and numbers that are none: text, expected added words."""
+    rng, out = random.Random(4), []
+    for i in range(n):
+        a, b, c = rng.randint(200, 999), rng.randint(200, 999), rng.randint(1000, 9999)
+        user = f"jo{rng.randint(1, 99)}.do{chr(97 + i % 26)}e"
+        out.append((f"call +1 ({a}) {b}-{c} today, words and words. later {a}-{b}-{c} or 1{a}{b}{c} or just {b}-{c} again; invoice 48{i:06d} of 1999",
+                    {f"{a}-{b}-{c}", f"1{a}{b}{c}", f"{b}-{c}"}))
+        out.append((f"mail {user}@example.org soon. then {user.upper()} at example.org wrote; order 12{i:05d}", {user.upper()}))
+    return out
+
+
+def test_planted_mentions_are_found(spark, corpus):
+    texts = planted(40)
+    docs = corpus.unionByName(spark.createDataFrame([(5000 + i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string"))
+    rows = {r["doc_id"]: r["added"] for r in P.find_pii(docs).collect()}
+    wanted = found = wrong = 0
+    for i, (text, expected) in enumerate(texts):
+        got = {text[s["start"]:s["end"]] for s in rows[5000 + i]}
+        wanted += len(expected)
+        found += len(got & expected)
+        wrong += len(got - expected)
+    assert found >= 0.95 * wanted and wrong == 0  # recall of planted repeats, nothing else added
+
+
+def test_mentions_without_a_known_label_are_not_trained_on():
+    row = P._token_row("call +1 (523) 555-1055 now. later 523-555-1055, and 1999")
+    labels, known = row[4], row[5]
+    assert labels == [3, 3, 3, P.OUTSIDE, P.OUTSIDE] and known == [1, 1, 1, 0, 1]
+
+
+def test_a_number_beside_a_span_is_not_part_of_it():
+    row = P._token_row("from 10.0.0.1 77 and 4845168114407329 7536784127813050")
+    assert row[5] == [1] * 4  # no hub joins a base span and its neighbour
