@@ -46,6 +46,8 @@ OUTSIDE = len(KINDS)  # the label of a token in no span
 LABELS = OUTSIDE + 1
 LEAST = 0.9
 ROUNDS, DAMPING = 40, 0.5
+#: pairs of equal labels that are taken as seen along skip edges, whose mentions are of one thing
+SAME = 20.0
 #: categories of each shape feature, in the order of ``shape``
 SIZES = (4, 3, 2, 2, 3, 7, 2, 2, 2)
 
@@ -211,6 +213,7 @@ def _token_row(text: str) -> tuple:
               for j, (a, b) in enumerate(spans)]
     hubs: dict[str, int] = {}
     nodes: list[list[int]] = []
+    run_of: list[int] = []  # where the run of each token begins
     part_of_run = [_NUMBER.fullmatch(w) is not None and not _QUAD.fullmatch(w) for w in (text[a:b] for a, b in spans)]
     at = 0
     while at < len(spans):  # a run of neighbouring numbers
@@ -218,6 +221,7 @@ def _token_row(text: str) -> tuple:
         while end < len(spans) and near[end] and labels[end] == labels[at] and part_of_run[end] and part_of_run[at]:
             end += 1
         words = [text[a:b] for a, b in spans[at:end]]
+        run_of += [at] * len(words)
         joined = keys_of("".join(words)) if end > at + 1 else []
         for j, word in zip(range(at, end), words):
             for key in {*keys_of(word), *(k for k in joined if len(_NOT_DIGITS.sub("", k)) >= SUFFIXES[0])}:
@@ -230,7 +234,8 @@ def _token_row(text: str) -> tuple:
     fed = {h for h, own in enumerate(nodes) if any(labels[j] != OUTSIDE for j in own)}
     unknown = {j for h in fed for j in nodes[h] if labels[j] == OUTSIDE}
     hub_node, hub = [j for own in nodes for j in own], [h for h, own in enumerate(nodes) for _ in own]
-    skip_pairs = [labels[i] * LABELS + labels[j] for own in nodes for i, j in zip(own, own[1:]) if not {i, j} & unknown]
+    skip_pairs = [labels[i] * LABELS + labels[j] for own in nodes for i, j in zip(own, own[1:])
+                  if run_of[i] != run_of[j] and not {i, j} & unknown]  # two mentions, not parts of one
     chain_pairs = [labels[j - 1] * LABELS + labels[j] for j in range(1, len(spans)) if near[j] and not {j - 1, j} & unknown]
     return ([x for s in base for x in s], [a for a, _ in spans], [b for _, b in spans], shapes, labels, [int(j not in unknown) for j in range(len(spans))],
             near, hub_node, hub, chain_pairs, skip_pairs)
@@ -255,7 +260,7 @@ class Potentials:
     """Log potentials, trained piecewise on label counts."""
 
     def __init__(self, shapes: dict[tuple[int, int], int], chain: dict[int, int], skip: dict[int, int]):
-        self.chain, self.skip = (self._mutual(x) for x in (chain, skip))
+        self.chain, self.skip = self._mutual(chain, 0.0), self._mutual(skip, SAME)
         codes = sorted({c for c, _ in shapes})
         counts = np.array([[shapes.get((c, l), 0) for l in range(LABELS)] for c in codes], dtype=float).reshape(-1, LABELS)
         x = _one_hot(np.array(codes, dtype=np.int64)) if codes else np.zeros((0, sum(SIZES) + 1))
@@ -268,8 +273,8 @@ class Potentials:
         self.weights = w
 
     @staticmethod
-    def _mutual(pairs: dict[int, int]) -> np.ndarray:
-        n = np.ones((LABELS, LABELS)) * 0.5
+    def _mutual(pairs: dict[int, int], same: float) -> np.ndarray:
+        n = np.ones((LABELS, LABELS)) * 0.5 + same * np.eye(LABELS)
         for code, count in pairs.items():
             n[code // LABELS, code % LABELS] += count
         n = (n + n.T) / 2 if len(pairs) else n
