@@ -269,3 +269,55 @@ def q_wkt(spark, sf_dir):
     spec = S.TableSpec("points", (S.ColumnSpec("c_custkey", "bigint"), S.ColumnSpec("geom", "point")))
     n = N.normalize(customer_points(spark, sf_dir), spec)
     return n.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "geom")
+
+
+def order_shapes(spark, sf_dir):
+    """A geometry per order, of each kind in turn, from the numbers a, b (key
+    and customer) and c (line count of the year): half in either byte order,
+    a quarter behind an SRID."""
+    o = X.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderkey").alias("a"), F.col("o_custkey").alias("b"), F.dayofyear("o_orderdate").alias("c"))
+    little = F.col("b") % 2 == 0
+
+    def swapped(h: Column, size: int) -> Column:
+        return F.concat(*[F.substring(h, 2 * i + 1, 2) for i in reversed(range(size))])
+
+    def u32(n: int) -> Column:
+        return F.when(little, F.lit(n.to_bytes(4, "little").hex())).otherwise(F.lit(n.to_bytes(4, "big").hex()))
+
+    def head(code: int) -> Column:
+        return F.concat(F.when(little, F.lit("01")).otherwise(F.lit("00")), u32(code))
+
+    big = {c: _double_hex(F.col(c)) for c in "abc"}
+    num = {c: F.when(little, swapped(big[c], 8)).otherwise(big[c]) for c in "abc"}
+
+    def points(*names: str) -> Column:
+        return F.concat(u32(len(names)), *[num[x] for p in names for x in p])
+
+    ring = points("ab", "bc", "ca", "ab")
+    line, polygon = F.concat(head(2), points("ab", "ca")), F.concat(head(3), u32(2), ring, points("aa", "bb", "aa"))
+    point = [F.concat(head(1), *[num[x] for x in p]) for p in ("ab", "cc")]
+    kinds = [point[0], line, polygon, F.concat(head(4), u32(2), *point), F.concat(head(5), u32(2), line, F.concat(head(2), points("bb", "cc", "ab"))),
+             F.concat(head(6), u32(2), polygon, F.concat(head(3), u32(1), ring))]
+    h = F.element_at(F.array(*kinds), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    return o.select("o_orderkey", F.unhex(F.when(F.col("c") % 4 == 0, F.concat(F.lit("E6100000"), h)).otherwise(h)).alias("geom"))
+
+
+@register("wkt_kinds", """
+WITH o AS (SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS a, CAST(o_custkey AS VARCHAR) AS b, CAST(dayofyear(o_orderdate) AS VARCHAR) AS c FROM orders),
+t AS (SELECT *, '(' || a || ' ' || b || ',' || b || ' ' || c || ',' || c || ' ' || a || ',' || a || ' ' || b || ')' AS ring,
+             '(' || a || ' ' || a || ',' || b || ' ' || b || ',' || a || ' ' || a || ')' AS hole, '(' || a || ' ' || b || ',' || c || ' ' || a || ')' AS line FROM o)
+SELECT o_orderkey, CASE o_orderkey % 6
+  WHEN 0 THEN 'POINT(' || a || ' ' || b || ')'
+  WHEN 1 THEN 'LINESTRING' || line
+  WHEN 2 THEN 'POLYGON(' || ring || ',' || hole || ')'
+  WHEN 3 THEN 'MULTIPOINT((' || a || ' ' || b || '),(' || c || ' ' || c || '))'
+  WHEN 4 THEN 'MULTILINESTRING(' || line || ',(' || b || ' ' || b || ',' || c || ' ' || c || ',' || a || ' ' || b || '))'
+  ELSE 'MULTIPOLYGON((' || ring || ',' || hole || '),(' || ring || '))' END AS geom
+FROM t
+""")
+def q_wkt_kinds(spark, sf_dir):
+    """Every kind but collections, in both byte orders, with and without SRID."""
+    spec = S.TableSpec("shapes", (S.ColumnSpec("o_orderkey", "bigint"), S.ColumnSpec("geom", "geometry")))
+    n = N.normalize(order_shapes(spark, sf_dir), spec)
+    return n.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "geom")
