@@ -288,15 +288,18 @@ def order_shapes(spark, sf_dir):
     def head(code: int) -> Column:
         return F.concat(F.when(little, F.lit("01")).otherwise(F.lit("00")), u32(code))
 
-    big = {c: _double_hex(F.col(c)) for c in "abc"}
-    num = {c: F.when(little, swapped(big[c], 8)).otherwise(big[c]) for c in "abc"}
+    for c in "abc":  # columns of their own: each is used many times
+        o = o.withColumn(f"_{c}", _double_hex(F.col(c)))
+    o = o.select("*", *[F.when(little, swapped(F.col(f"_{c}"), 8)).otherwise(F.col(f"_{c}")).alias(f"_n{c}") for c in "abc"])
+    num = {c: F.col(f"_n{c}") for c in "abc"}
 
     def points(*names: str) -> Column:
         return F.concat(u32(len(names)), *[num[x] for p in names for x in p])
 
-    ring = points("ab", "bc", "ca", "ab")
-    line, polygon = F.concat(head(2), points("ab", "ca")), F.concat(head(3), u32(2), ring, points("aa", "bb", "aa"))
-    point = [F.concat(head(1), *[num[x] for x in p]) for p in ("ab", "cc")]
+    o = o.select("*", points("ab", "bc", "ca", "ab").alias("_ring"), F.concat(head(2), points("ab", "ca")).alias("_line"))
+    ring, line = F.col("_ring"), F.col("_line")
+    o = o.withColumn("_polygon", F.concat(head(3), u32(2), ring, points("aa", "bb", "aa")))
+    polygon, point = F.col("_polygon"), [F.concat(head(1), *[num[x] for x in p]) for p in ("ab", "cc")]
     kinds = [point[0], line, polygon, F.concat(head(4), u32(2), *point), F.concat(head(5), u32(2), line, F.concat(head(2), points("bb", "cc", "ab"))),
              F.concat(head(6), u32(2), polygon, F.concat(head(3), u32(1), ring))]
     h = F.element_at(F.array(*kinds), (F.col("o_orderkey") % 6 + 1).cast("int"))
