@@ -14,26 +14,26 @@ SYNTH_SPEC = S.TableSpec(
     name="widgets",
     columns=(
         S.ColumnSpec("id", "int", nullable=False, auto_increment=True),
-        S.ColumnSpec("quantity", "smallint"),
-        S.ColumnSpec("amount", "decimal", precision=12, scale=2),
-        S.ColumnSpec("price", "double", nullable=False),
-        S.ColumnSpec("age", "tinyint", unsigned=True),
+        S.ColumnSpec("stock", "smallint"),
+        S.ColumnSpec("net_weight", "decimal", precision=12, scale=2),
+        S.ColumnSpec("unit_cost", "double", nullable=False),
+        S.ColumnSpec("shelf", "tinyint", unsigned=True),
         S.ColumnSpec("active", "bool"),
-        S.ColumnSpec("created_at", "date"),
-        S.ColumnSpec("updated_at", "datetime"),
+        S.ColumnSpec("made_on", "date"),
+        S.ColumnSpec("seen_at", "datetime"),
         S.ColumnSpec("start_year", "year"),
-        S.ColumnSpec("title", "varchar", length=12),
-        S.ColumnSpec("body", "text"),
+        S.ColumnSpec("marking", "varchar", length=12),
+        S.ColumnSpec("remarks", "text"),
         S.ColumnSpec("state", "enum", members=("new", "paid", "shipped")),
         S.ColumnSpec("tags", "set", members=("red", "green", "blue")),
         S.ColumnSpec("flags", "bit", length=5),
-        S.ColumnSpec("data", "blob"),
+        S.ColumnSpec("raw", "blob"),
     ),
     primary_key=(S.KeyPart("id"),),
 )
 
 
-_SYNTH_COLS = ", ".join("hex(data) AS data" if c.name == "data" else c.name for c in SYNTH_SPEC.columns)
+_SYNTH_COLS = ", ".join("hex(raw) AS raw" if c.name == "raw" else c.name for c in SYNTH_SPEC.columns)
 
 
 @register("synth_table", f"""
@@ -43,7 +43,7 @@ FROM ({G.synth_table_sql(SYNTH_SPEC, "(SELECT o_orderkey AS id FROM orders) ids"
 def q_synth_table(spark, sf_dir):
     """Generated rows; the blob column is shown as hex text."""
     ids = X.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
-    return G.synth_table(ids, SYNTH_SPEC, seed=42).withColumn("data", F.hex("data"))
+    return G.synth_table(ids, SYNTH_SPEC, seed=42).withColumn("raw", F.hex("raw"))
 
 
 @register("synth_changes", G.synth_changes_sql("(SELECT c_custkey AS id FROM customer) k", seed=7))
