@@ -20,11 +20,11 @@ BLOCK_BYTES = 16 << 20
 NULL_ID = -(1 << 63)
 
 
-def pack_arrays(*arrays: np.ndarray) -> bytes:
+def pack_arrays(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays as one compressed value; ``unpack_arrays`` needs their types."""
     import zstandard
     sizes = np.array([a.nbytes for a in arrays], dtype=np.int64)
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([sizes.tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)]))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join([sizes.tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)]))
 
 
 def unpack_arrays(value: bytes, *types: str) -> list[np.ndarray]:
@@ -56,11 +56,13 @@ def block_of(id_col: str, n: int):
     return F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")
 
 
-def to_blocks(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", flag=None, spread_null_ids: bool = False) -> DataFrame:
+def to_blocks(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", flag=None, spread_null_ids: bool = False,
+              level: int = 1) -> DataFrame:
     """``(block, payload)``: several rows a block, each with the ids, flags,
     text offsets and text bytes of some documents (null ids as ``NULL_ID``,
     marked in the flags by 2; flag 1 is the given boolean column). With
-    ``spread_null_ids`` documents without an id are dealt by their text."""
+    ``spread_null_ids`` documents without an id are dealt by their text;
+    ``level`` is that of the compression."""
     block = block_of(id_col, n)
     if spread_null_ids:
         block = F.when(F.col(id_col).isNull(), block_of(text_col, n)).otherwise(block)
@@ -81,7 +83,7 @@ def to_blocks(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "
                 text = np.concatenate([data[at[k]:at[k + 1]] for k in own])
                 lengths = at[own + 1] - at[own]
                 blocks.append(block[own[0]])
-                payloads.append(pack_arrays(ids[own], marks[own], lengths, text))
+                payloads.append(pack_arrays(ids[own], marks[own], lengths, text, level=level))
             yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(payloads, pa.binary())], names=["block", "payload"])
 
     return narrow.mapInArrow(run, "block int, payload binary")

@@ -1,23 +1,31 @@
 """Toxicity scores from class-conditional Kneser-Ney models.
 
-The classes are the histories of the models. With n_c(w) the occurrences of
-expression w (a word) in the labelled texts of class c, N_c their sum, N both
-sums, and T(w) the number of classes in which w occurs (the Kneser-Ney
-continuation count),
+Each class has a model of its words, given the word before (or the begin of
+the text). With n_c(v w) the occurrences of the pair v w in the labelled texts
+of class c, n_c(v) their sum over w, H_c(v) the number of words that follow v,
+T_c(w) the number of words that w follows, and T_c the number of pairs,
 
-    P_c(w) = max(n_c(w) - D, 0) / N_c + D * T(w) / N
+    P_c(w | v) = (max(n_c(v w) - D_c, 0) + D_c H_c(v) P_c(w)) / n_c(v)
+    P_c(w)     = max(T_c(w) - D, 0) / T_c + D S(w) / (T_0 + T_1)
 
-so what is discounted from either class goes into one backoff shared by both:
-rare expressions are smoothed towards no evidence, expressions in neither are
-none. D = n1 / (n1 + 2 n2) from the counts. The two log-likelihoods of a text
-are compared per word; a logistic map of that difference and of its standard
+A class that has not seen v backs off to P_c(w) whole. S(w) is the number of
+classes that hold w: what is discounted from either class's continuation
+counts goes into one backoff that both share, so rare expressions are smoothed
+towards no evidence, and words in neither class are none. D = n1 / (n1 + 2 n2)
+from how many counts are 1 and 2: of pairs for D_c, of continuations for D.
+The log-likelihoods of a text are compared per word, by the whole model and by
+the backoff alone; a logistic map of both differences and of their standard
 error, 1 / sqrt(words), gives the score. The map is fitted on at most
 ``CALIBRATION_ROWS`` labelled texts, each scored without its own counts.
 
-Counts cover every labelled text and the vocabulary of every document, and
-neither meets in one place: texts are dealt to blocks, each block asks the
-word buckets it needs for the totals of its own distinct words, and a bucket
-answers each block in the order it asked. Nothing is broadcast but the map.
+Counts cover every labelled text and the pairs and words of every document,
+and neither meets in one place: texts are dealt to blocks, each block asks the
+pair buckets for the totals of its own distinct pairs, then, with what they
+say on which pairs are counted where, the word buckets for the continuation
+counts of its distinct words. A bucket adds up what the blocks sent, one entry
+a block, so a frequent word is no heavy key, and answers each block in the
+order it asked. Pairs are known by codes whose length grows with the input, so
+that fewer than one in 10,000 shares its code. Nothing is broadcast but the map.
 
 Labels, language, source and ids never enter a score; labels are learned only
 from the rows that ``learn`` selects. Defined results: a label of several rows
@@ -31,24 +39,64 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltlake.llm.arrays import utf8_column, word_hashes, word_table
-from siltlake.llm.blocks import block_count, block_of, freed, open_block, pack_arrays, to_blocks, unpack_arrays
+from siltlake.llm.arrays import mix64, word_hashes, word_table
+from siltlake.llm.blocks import BLOCK_BYTES, block_count, block_of, freed, open_block, pack_arrays, to_blocks, unpack_arrays
 from siltlake.session import checkpoint_dir
 
 CALIBRATION_ROWS = 50_000
 THRESHOLD = 0.3
 
 
-def _words(payloads) -> tuple:
-    """A block's ids, flags, words (as numbers of its distinct words), word
-    offsets of the documents, and the sorted hashes of the distinct words."""
-    ids, flags, data, at = open_block(payloads)
-    hashes, begin = word_hashes(data, at, word_table())
-    distinct, number = np.unique(hashes, return_inverse=True)
-    return ids, flags, number, begin, distinct
+BEGIN = np.uint64(0)  # stands before the first word of a text
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class _Texts:
+    """A block's documents as numbers of its distinct words and pairs."""
+
+    def __init__(self, payloads, bits: int):
+        self.ids, self.flags, data, at = open_block(payloads)
+        hashes, self.begin = word_hashes(data, at, word_table())
+        before = np.concatenate([[BEGIN], hashes[:-1]])[:len(hashes)]
+        before[self.begin[:-1][np.diff(self.begin) > 0]] = BEGIN
+        codes = mix64(before * _ODD + hashes) >> np.uint64(64 - bits)
+        self.words = np.unique(np.append(hashes, BEGIN))
+        self.pairs, some, pair = np.unique(codes, return_index=True, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        # the first and second word of each pair
+        self.first, self.second = (np.searchsorted(self.words, x[some]).astype(np.int32) for x in (before, hashes))
+
+    def label(self, rows: pa.Table) -> np.ndarray:
+        return _label_of(self.ids, self.flags, _labels(rows)).astype(np.int8)
+
+    def pair_counts(self, label: np.ndarray) -> list[np.ndarray]:
+        """How often each pair stands in the toxic and in the plain texts."""
+        label = np.repeat(label, np.diff(self.begin))
+        return [np.bincount(self.pair[label == c], minlength=len(self.pairs)) for c in (1, 0)]
+
+
+def _planes(x: np.ndarray) -> np.ndarray:
+    """The first bytes of all numbers, then the second ones, and so on: small numbers compress well."""
+    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T)
+
+
+def _numbers(planes: np.ndarray, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def _sent(codes: np.ndarray, *counts: np.ndarray) -> bytes:
+    """Ascending codes, as their differences, and counts of each."""
+    return pack_arrays(_planes(np.diff(codes, prepend=np.uint64(0))), *(_planes(c.astype(np.int64)) for c in counts))
+
+
+def _received(value: bytes, counts: int) -> list[np.ndarray]:
+    codes, *rest = unpack_arrays(value, *["u1"] * (1 + counts))
+    return [np.cumsum(_numbers(codes, "<u8"), dtype=np.uint64), *(_numbers(c, "<i8") for c in rest)]
 
 
 def _labels(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -69,79 +117,160 @@ def _label_of(ids: np.ndarray, flags: np.ndarray, labels: tuple[np.ndarray, np.n
     return np.where((known[at] == ids) & (flags < 2), toxic[at], -1)
 
 
-def _bounds(distinct: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket's hashes begin among the sorted hashes."""
-    edges = [np.uint64((i << 64) // buckets) for i in range(1, buckets)]
-    return np.concatenate([[0], np.searchsorted(distinct, np.array(edges, dtype=np.uint64)), [len(distinct)]]).astype(np.int64)
+def _bounds(codes: np.ndarray, buckets: int, bits: int = 64) -> np.ndarray:
+    """Where each bucket's codes begin among the sorted codes."""
+    edges = [np.uint64((i << bits) // buckets) for i in range(1, buckets)]
+    return np.concatenate([[0], np.searchsorted(codes, np.array(edges, dtype=np.uint64)), [len(codes)]]).astype(np.int64)
+
+
+def _added(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """The counts of each distinct code over all parts, the number of every
+    part's code among them, one part after another, and the parts' ends."""
+    distinct, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    totals = [np.bincount(number, weights=np.concatenate([p[k] for p in parts]), minlength=len(distinct)).astype(np.int64)
+              for k in range(1, len(parts[0]))]
+    return number, totals, np.cumsum([len(p[0]) for p in parts])[:-1]
+
+
+def _census(counts: np.ndarray) -> list[int]:
+    """How many counts are above 0, 1 and 2."""
+    return [int((counts > 0).sum()), int((counts == 1).sum()), int((counts == 2).sum())]
+
+
+def _discount(once: int, twice: int) -> float:
+    return once / (once + 2 * twice) if once and twice else 0.5
+
+
+def _rows(kind: int, to: pa.Array, of: pa.Array, values: list[bytes]) -> pa.Table:
+    """Messages ``(to, of, kind, value)`` beside label rows that are null here."""
+    n = len(values)
+    return pa.table({"block": to, "id": pa.nulls(n, pa.int64()), "toxic": pa.nulls(n, pa.int32()), "of": of,
+                     "kind": pa.array(np.full(n, kind, dtype=np.int32)), "value": pa.array(values, pa.binary())})
+
+
+def _answers(rows: pa.Table, kind: int) -> list[bytes]:
+    """The answers of one kind in the order of their buckets."""
+    got = rows.filter(pa.compute.equal(rows.column("kind"), kind))
+    values = got.column("value").to_pylist()
+    return [values[i] for i in np.argsort(got.column("of").to_numpy(), kind="stable")]
+
+
+def _joined(values: list[bytes], sums: int, counts: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The sums over all answers and the counts one after another."""
+    parts = [unpack_arrays(v, "<i8", *["u1"] * counts) for v in values]
+    total = np.sum([p[0] for p in parts], axis=0) if parts else np.zeros(sums, np.int64)
+    return total, [np.concatenate([np.empty(0, np.int64), *(_numbers(p[1 + k], "<i8") for p in parts)]) for k in range(counts)]
+
+
+PAIRS, WORDS = 1, 2  # kinds of messages
+MESSAGE = "block int, id long, toxic int, of int, kind int, value binary"
 
 
 def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, label, flag, words, evidence)``: the log-likelihood ratio of
-    each text, for labelled texts without their own counts. ``labels(id,
-    toxic)``; documents are kept whole in their blocks."""
+    """``(doc_id, label, words, evidence, backoff)``: the log-likelihood ratio
+    of each text by the whole model and by the backoff alone, for labelled
+    texts without their own counts. ``labels(id, toxic)``; documents are kept
+    whole in their blocks."""
     n = block_count(docs, text_col)
-    blocks = to_blocks(docs, n, id_col, text_col, spread_null_ids=True)  # they have no label to meet
+    bits = min(64, (n * BLOCK_BYTES).bit_length() + 14)
+    blocks = to_blocks(docs, n, id_col, text_col, spread_null_ids=True, level=6)  # null ids have no label to meet
     dealt = labels.select(block_of("id", n).alias("block"), F.col("id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"),
-                          F.lit(None).cast("binary").alias("answer"), F.lit(None).cast("int").alias("bucket"))
-
-    def ask(block: tuple, texts: pa.Table, rows: pa.Table) -> pa.Table:
-        ids, flags, number, begin, distinct = _words(texts.column("payload").to_pylist())
-        label = np.repeat(_label_of(ids, flags, _labels(rows)), np.diff(begin))
-        counts = [np.bincount(number[label == c], minlength=len(distinct)).astype(np.uint32) for c in (1, 0)]
-        at = _bounds(distinct, n)
-        asked = [pack_arrays(distinct[i:j], *(c[i:j] for c in counts)) for i, j in zip(at, at[1:])]
-        return pa.table({"bucket": pa.array(np.arange(n, dtype=np.int32)), "block": pa.array(np.full(n, block[0].as_py(), dtype=np.int32)),
-                         "asked": pa.array(asked, pa.binary())})
-
-    def answer(bucket: tuple, rows: pa.Table) -> pa.Table:
-        parts = [unpack_arrays(p, "<u8", "<u4", "<u4") for p in rows.column("asked").to_pylist()]
-        sizes = np.cumsum([len(p[0]) for p in parts])[:-1]
-        distinct, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        totals = [np.bincount(number, weights=np.concatenate([p[k] for p in parts]), minlength=len(distinct)).astype(np.int64) for k in (1, 2)]
-        # the sums that the discount and the class sizes need go along with every answer
-        sums = np.array([totals[0].sum(), totals[1].sum(), *(sum(int((t == k).sum()) for t in totals) for k in (1, 2))], dtype=np.int64)
-        each = zip(*(np.split(t[number].astype(np.uint32), sizes) for t in totals))
-        none = pa.nulls(len(parts))
-        return pa.table({"block": rows.column("block").combine_chunks(), "id": none.cast(pa.int64()), "toxic": none.cast(pa.int32()),
-                         "answer": pa.array([pack_arrays(sums, *e) for e in each], pa.binary()), "bucket": rows.column("bucket").combine_chunks()})
+                          *[F.lit(None).cast(t).alias(c) for c, t in (("of", "int"), ("kind", "int"), ("value", "binary"))])
+    buckets = pa.array(np.arange(n, dtype=np.int32))
+
+    def ask(kind: int, block: tuple, codes: np.ndarray, counts: list[np.ndarray], bits: int) -> pa.Table:
+        at = _bounds(codes, n, bits)
+        return _rows(kind, buckets, pa.array(np.full(n, block[0].as_py(), dtype=np.int32)),
+                     [_sent(codes[i:j], *(c[i:j] for c in counts)) for i, j in zip(at, at[1:])])
+
+    def ask_pairs(block: tuple, texts: pa.Table, rows: pa.Table) -> pa.Table:
+        own = _Texts(texts.column("payload").to_pylist(), bits)
+        return ask(PAIRS, block, own.pairs, own.pair_counts(own.label(rows)), bits)
+
+    def answer_pairs(bucket: tuple, rows: pa.Table) -> pa.Table:
+        parts = [_received(v, 2) for v in rows.column("value").to_pylist()]
+        number, totals, ends = _added(parts)
+        # of the blocks that count a pair for a class one is told so: there it is a continuation
+        mark = np.zeros(len(number), dtype=np.int64)
+        for k in (1, 2):
+            has = np.flatnonzero(np.concatenate([p[k] for p in parts]))
+            mark[has[np.unique(number[has], return_index=True)[1]]] |= 1 << k
+        sums = np.array([x for t in totals for x in _census(t)], dtype=np.int64)
+        each = zip(*(np.split(x, ends) for x in (totals[0][number], totals[1][number], mark)))
+        return _rows(PAIRS, rows.column("of").combine_chunks(), rows.column("block").combine_chunks(),
+                     [pack_arrays(sums, *(_planes(x) for x in e)) for e in each])
+
+    def ask_words(block: tuple, texts: pa.Table, rows: pa.Table) -> pa.Table:
+        own = _Texts(texts.column("payload").to_pylist(), bits)
+        _, (*_, mark) = _joined(_answers(rows, PAIRS), 6, 3)
+        size, counts = len(own.words), []
+        for k, often in zip((1, 2), own.pair_counts(own.label(rows))):
+            marked = (mark >> k & 1).astype(bool)
+            counts += [np.bincount(own.second[marked], minlength=size), np.bincount(own.first[marked], minlength=size),
+                       np.bincount(own.first, weights=often, minlength=size)]
+        return ask(WORDS, block, own.words, counts, 64)
+
+    def answer_words(bucket: tuple, rows: pa.Table) -> pa.Table:
+        number, totals, ends = _added([_received(v, 6) for v in rows.column("value").to_pylist()])
+        sums = np.array([*_census(totals[0]), *_census(totals[3])], dtype=np.int64)
+        each = zip(*(np.split(t[number], ends) for t in totals))
+        return _rows(WORDS, rows.column("of").combine_chunks(), rows.column("block").combine_chunks(),
+                     [pack_arrays(sums, *(_planes(x) for x in e)) for e in each])
 
     def score(block: tuple, texts: pa.Table, rows: pa.Table) -> pa.Table:
-        ids, flags, number, begin, distinct = _words(texts.column("payload").to_pylist())
-        label = _label_of(ids, flags, _labels(rows))
-        got = rows.filter(rows.column("answer").is_valid())
-        order = np.argsort(got.column("bucket").to_numpy(), kind="stable")
-        answers = got.column("answer").to_pylist()
-        parts = [unpack_arrays(answers[i], "<i8", "<u4", "<u4") for i in order]
-        sums = np.sum([p[0] for p in parts], axis=0) if parts else np.zeros(4, np.int64)
-        toxic, plain = (np.concatenate([np.empty(0, np.int64), *(p[k] for p in parts)]).astype(np.int64) for k in (1, 2))
-        words = np.diff(begin)
-        doc = np.repeat(np.arange(len(ids)), words)
-        # each document's distinct words and how often it has them
-        pair, often = np.unique(doc * max(1, len(distinct)) + number, return_counts=True)
-        doc, word = pair // max(1, len(distinct)), pair % max(1, len(distinct))
-        own = label[doc]
-        weight = log_ratio(toxic[word] - often * (own == 1), plain[word] - often * (own == 0), *sums.tolist())
-        evidence = np.bincount(doc, weights=weight * often, minlength=len(ids))
-        return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=flags >= 2), "label": pa.array(label, pa.int32()),
-                         "words": pa.array(words, pa.int64()), "evidence": pa.array(evidence, pa.float64())})
+        own = _Texts(texts.column("payload").to_pylist(), bits)
+        label = own.label(rows)
+        types, (*pairs, _) = _joined(_answers(rows, PAIRS), 6, 3)
+        census, words = _joined(_answers(rows, WORDS), 6, 6)
+        length = np.diff(own.begin)
+        # each document's distinct pairs and how often it has them
+        many = max(1, len(own.pairs))
+        pair, often = np.unique(np.repeat(np.arange(len(own.ids)), length) * many + own.pair, return_counts=True)
+        doc, pair = pair // many, pair % many
+        first, second, mine = own.first[pair], own.second[pair], label[doc]
+        d = _discount(*(census[1:3] + census[4:6]).tolist())
+        found, backoff = [], []
+        held = np.zeros(len(pair), dtype=np.int64)  # classes that hold the second word
+        continued = []
+        for c, k in ((1, 0), (0, 1)):
+            # a labelled text's own counts are left out
+            ours = mine == c
+            n_pair = pairs[k][pair] - often * ours
+            sole = ours & (n_pair == 0)
+            followed, follow, total = (words[3 * k + j] for j in range(3))
+            w, at = np.unique(doc * len(own.words) + second, return_inverse=True)
+            t_w = followed[second] - np.bincount(at, weights=sole, minlength=len(w))[at]
+            v, at = np.unique(doc * len(own.words) + first, return_inverse=True)
+            h_v = follow[first] - np.bincount(at, weights=sole, minlength=len(v))[at]
+            n_v = total[first] - np.bincount(at, weights=often * ours, minlength=len(v))[at]
+            held += t_w > 0
+            continued.append((int(types[3 * k]), _discount(*types[3 * k + 1:3 * k + 3].tolist()), n_pair, t_w, h_v, n_v))
+        both = sum(c[0] for c in continued)
+        for size, d_c, n_pair, t_w, h_v, n_v in continued:
+            p = np.maximum(t_w - d, 0) / max(1, size) + d * held / max(1, both)
+            backoff.append(p)
+            found.append(np.where(n_v > 0, (np.maximum(n_pair - d_c, 0) + d_c * h_v * p) / np.maximum(n_v, 1), p))
+        known = (held > 0) & (min(c[0] for c in continued) > 0)
+        sums = []
+        for one, none in (found, backoff):
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ratio = np.where(known, np.log(one / none), 0.0)
+            sums.append(np.bincount(doc, weights=ratio * often, minlength=len(own.ids)))
+        return pa.table({"doc_id": pa.array(own.ids, pa.int64(), mask=own.flags >= 2), "label": pa.array(label.astype(np.int32)),
+                         "words": pa.array(length, pa.int64()), "evidence": pa.array(sums[0], pa.float64()), "backoff": pa.array(sums[1], pa.float64())})
 
     by_block = blocks.groupBy("block")
-    asked = by_block.cogroup(dealt.select("block", "id", "toxic").groupBy("block")).applyInArrow(lambda key, texts, rows: freed(ask(key, texts, rows)), "bucket int, block int, asked binary")
-    answered = asked.groupBy("bucket").applyInArrow(lambda key, rows: freed(answer(key, rows)), "block int, id long, toxic int, answer binary, bucket int")
-    back = answered.union(dealt.select("block", "id", "toxic", "answer", "bucket"))
-    return by_block.cogroup(back.groupBy("block")).applyInArrow(lambda key, texts, rows: freed(score(key, texts, rows)), "doc_id long, label int, words long, evidence double")
 
+    def met(answers: DataFrame, step, schema: str) -> DataFrame:
+        """``step`` over each block's texts with its labels and answers."""
+        return by_block.cogroup(answers.groupBy("block")).applyInArrow(lambda key, texts, rows: freed(step(key, texts, rows)), schema)
+
+    def summed(asked: DataFrame, step) -> DataFrame:
+        return asked.groupBy("block").applyInArrow(lambda key, rows: freed(step(key, rows)), MESSAGE)
 
-def log_ratio(toxic: np.ndarray, plain: np.ndarray, all_toxic: int, all_plain: int, once: int, twice: int) -> np.ndarray:
-    """log P_1(w) - log P_0(w) from the counts of expressions in both classes,
-    the class sizes, and how many counts are 1 and 2."""
-    if not all_toxic or not all_plain:
-        return np.zeros(len(toxic))
-    d = once / (once + 2 * twice) if once and twice else 0.5
-    shared = d * ((toxic > 0).astype(float) + (plain > 0)) / (all_toxic + all_plain)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = np.log((np.maximum(toxic - d, 0) / all_toxic + shared) / (np.maximum(plain - d, 0) / all_plain + shared))
-    return np.where(shared > 0, ratio, 0.0)
+    on_pairs = summed(met(dealt, ask_pairs, MESSAGE), answer_pairs)
+    on_words = summed(met(dealt.union(on_pairs), ask_words, MESSAGE), answer_words)
+    return met(dealt.union(on_pairs).union(on_words), score, "doc_id long, label int, words long, evidence double, backoff double")
 
 
 def fit_map(x: np.ndarray, y: np.ndarray) -> list[float]:
@@ -160,22 +289,22 @@ def fit_map(x: np.ndarray, y: np.ndarray) -> list[float]:
 
 def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
-    """doc_id, words, evidence (log-likelihood ratio per word), score.
+    """doc_id, words, evidence and backoff (log-likelihood ratios per word), score.
     ``learn``: which label rows may be learned from (all, if not given)."""
     checkpoint_dir(docs.sparkSession)
     usable = labels.where(learn) if learn is not None else labels
     usable = usable.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
     usable = usable.where("id IS NOT NULL AND toxic IN (0, 1)")
     found = word_evidence(docs, usable, id_col, text_col).checkpoint()
-    per_word = F.when(F.col("words") > 0, F.col("evidence") / F.col("words")).otherwise(F.lit(0.0))
-    error = 1 / F.sqrt(F.greatest("words", F.lit(1)))
-    scored = found.select("doc_id", "label", "words", per_word.alias("evidence"), error.alias("error"))
-    # a sample by a hash of the id, of about that many rows however many are labelled: the map has three numbers
+    words = F.greatest("words", F.lit(1))
+    scored = found.select("doc_id", "label", "words", (F.col("evidence") / words).alias("evidence"), (F.col("backoff") / words).alias("backoff"),
+                          (1 / F.sqrt(words)).alias("error"))
+    # a sample by a hash of the id, of about that many rows however many are labelled: the map has four numbers
     labelled = scored.where("label >= 0")
     share = min(1.0, calibration_rows / max(1, labelled.count()))
-    rows = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30))).select("evidence", "error", "label").collect()
+    rows = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30))).select("evidence", "backoff", "error", "label").collect()
     y = np.array([r["label"] for r in rows], dtype=float)
-    x = np.array([[r["evidence"], r["error"]] for r in rows], dtype=float).reshape(-1, 2)
-    a, b, c = fit_map(x, y) if 0 < y.sum() < len(y) else (1.0, 0.0, 0.0)
-    z = F.col("evidence") * a + F.col("error") * b + c
-    return scored.select("doc_id", "words", "evidence", (1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))).alias("score"))
+    x = np.array([[r["evidence"], r["backoff"], r["error"]] for r in rows], dtype=float).reshape(-1, 3)
+    a, b, c, d = fit_map(x, y) if 0 < y.sum() < len(y) else (1.0, 0.0, 0.0, 0.0)
+    z = F.col("evidence") * a + F.col("backoff") * b + F.col("error") * c + d
+    return scored.select("doc_id", "words", "evidence", "backoff", (1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))).alias("score"))

@@ -157,24 +157,40 @@ def test_line_plan_is_native(edge_docs):
 
 
 def brute_toxicity(rows, labels):
-    """(words, log-likelihood ratio) by document, own counts left out."""
-    words = [re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").encode().lower()) for _, t in rows]
+    """(words, log-likelihood ratios of the pair model and of its backoff) by document, own counts left out."""
+    texts = [re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").encode().lower()) for _, t in rows]
+    pairs = [Counter(zip([None, *w], w)) for w in texts]
     counts = {0: Counter(), 1: Counter()}
-    for (d, _), w in zip(rows, words):
+    for (d, _), p in zip(rows, pairs):
         if labels.get(d) is not None:
-            counts[labels[d]].update(w)
-    size = {c: sum(counts[c].values()) for c in counts}
-    once, twice = (sum(v == k for c in counts.values() for v in c.values()) for k in (1, 2))
-    d0 = once / (once + 2 * twice) if once and twice else 0.5
+            counts[labels[d]].update(p)
+    share = lambda c: c.count(1) / (c.count(1) + 2 * c.count(2)) if 1 in c and 2 in c else 0.5
+    pair_discount = {c: share(list(counts[c].values())) for c in counts}
+    discount = share([n for c in counts for n in Counter(w for _, w in counts[c]).values()])
+    types = {c: len(counts[c]) for c in counts}
     out = []
-    for (d, _), w in zip(rows, words):
-        total = 0.0
-        for x, often in Counter(w).items():
-            n = {c: counts[c][x] - (often if labels.get(d) == c else 0) for c in (0, 1)}
-            shared = d0 * sum(v > 0 for v in n.values()) / (size[0] + size[1]) if size[0] and size[1] else 0
-            if shared:
-                total += often * math.log((max(n[1] - d0, 0) / size[1] + shared) / (max(n[0] - d0, 0) / size[0] + shared))
-        out.append((d, len(w), round(total, 6)))
+    for (d, _), text, own in zip(rows, texts, pairs):
+        left = {c: +(counts[c] - own if labels.get(d) == c else counts[c]) for c in counts}
+        ends, begins, total = ({c: Counter() for c in counts} for _ in range(3))
+        for c in counts:
+            for (v, w), n in left[c].items():
+                ends[c][w] += 1
+                begins[c][v] += 1
+                total[c][v] += n
+        whole = backoff = 0.0
+        for v, w in zip([None, *text], text):
+            held = sum(ends[c][w] > 0 for c in counts)
+            if not held or not types[0] or not types[1]:
+                continue
+            p, q = {}, {}
+            for c in counts:
+                q[c] = max(ends[c][w] - discount, 0) / types[c] + discount * held / (types[0] + types[1])
+                p[c] = q[c]
+                if total[c][v]:
+                    p[c] = (max(left[c][v, w] - pair_discount[c], 0) + pair_discount[c] * begins[c][v] * q[c]) / total[c][v]
+            whole += math.log(p[1] / p[0])
+            backoff += math.log(q[1] / q[0])
+        out.append((d, len(text), round(whole, 5), round(backoff, 5)))
     return sorted(out, key=str)
 
 
@@ -205,7 +221,7 @@ def test_evidence_against_brute_force(spark, monkeypatch, block_bytes):
     known = {}
     for d, t in labels:
         known[d] = max(t, known.get(d, 0))
-    assert sorted(((r["doc_id"], r["words"], round(r["evidence"], 6)) for r in got), key=str) == brute_toxicity(rows, known)
+    assert sorted(((r["doc_id"], r["words"], round(r["evidence"], 5), round(r["backoff"], 5)) for r in got), key=str) == brute_toxicity(rows, known)
 
 
 def test_held_out_accuracy_and_no_leak(spark):
