@@ -93,7 +93,7 @@ def op10_kneser_ney_toxicity(spark, sf_dir):
     from siltlake.llm.toxicity import THRESHOLD, toxicity
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out("doc_id"))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
-                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "words", "evidence")
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "words", "evidence", "backoff")
 
 
 @register("op6_bucket_pointer_refinement")

@@ -3,16 +3,17 @@
 Each class has a model of its words, given the word before (or the begin of
 the text). With n_c(v w) the occurrences of the pair v w in the labelled texts
 of class c, n_c(v) their sum over w, H_c(v) the number of words that follow v,
-T_c(w) the number of words that w follows, and T_c the number of pairs,
+n_c(w) the occurrences of w, and N_c their sum,
 
     P_c(w | v) = (max(n_c(v w) - D_c, 0) + D_c H_c(v) P_c(w)) / n_c(v)
-    P_c(w)     = max(T_c(w) - D, 0) / T_c + D S(w) / (T_0 + T_1)
-
-A class that has not seen v backs off to P_c(w) whole. S(w) is the number of
-classes that hold w: what is discounted from either class's continuation
-counts goes into one backoff that both share, so rare expressions are smoothed
-towards no evidence, and words in neither class are none. D = n1 / (n1 + 2 n2)
-from how many counts are 1 and 2: of pairs for D_c, of continuations for D.
+    P_c(w)     = max(n_c(w) - D, 0) / N_c + D S(w) / (N_0 + N_1)
+
+A class that has not seen v backs off to P_c(w) whole. In P_c(w) the class is
+the history and S(w), the number of classes that hold w, the continuation
+count: what is discounted from either class goes into one backoff that both
+share, so rare expressions are smoothed towards no evidence, and words in
+neither class are none. D = n1 / (n1 + 2 n2) from how many counts are 1 and 2:
+of pairs for D_c, of words for D.
 The log-likelihoods of a text are compared per word, by the whole model and by
 the backoff alone; a logistic map of both differences and of their standard
 error, 1 / sqrt(words), gives the score. The map is fitted on at most
@@ -21,8 +22,8 @@ error, 1 / sqrt(words), gives the score. The map is fitted on at most
 Counts cover every labelled text and the pairs and words of every document,
 and neither meets in one place: texts are dealt to blocks, each block asks the
 pair buckets for the totals of its own distinct pairs, then, with what they
-say on which pairs are counted where, the word buckets for the continuation
-counts of its distinct words. A bucket adds up what the blocks sent, one entry
+say on which pairs are counted where, the word buckets for the counts of its
+distinct words, as a word and as a history. A bucket adds up what the blocks sent, one entry
 a block, so a frequent word is no heavy key, and answers each block in the
 order it asked. Pairs are known by codes whose length grows with the input, so
 that fewer than one in 10,000 shares its code. Nothing is broadcast but the map.
@@ -190,7 +191,7 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     def answer_pairs(bucket: tuple, rows: pa.Table) -> pa.Table:
         parts = [_received(v, 2) for v in rows.column("value").to_pylist()]
         number, totals, ends = _added(parts)
-        # of the blocks that count a pair for a class one is told so: there it is a continuation
+        # of the blocks that hold a pair in a class one is told so: there it counts as a word after its history
         mark = np.zeros(len(number), dtype=np.int64)
         for k in (1, 2):
             has = np.flatnonzero(np.concatenate([p[k] for p in parts]))
@@ -206,13 +207,13 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         size, counts = len(own.words), []
         for k, often in zip((1, 2), own.pair_counts(own.label(rows))):
             marked = (mark >> k & 1).astype(bool)
-            counts += [np.bincount(own.second[marked], minlength=size), np.bincount(own.first[marked], minlength=size),
-                       np.bincount(own.first, weights=often, minlength=size)]
+            counts += [np.bincount(own.first[marked], minlength=size), np.bincount(own.first, weights=often, minlength=size),
+                       np.bincount(own.second, weights=often, minlength=size)]
         return ask(WORDS, block, own.words, counts, 64)
 
     def answer_words(bucket: tuple, rows: pa.Table) -> pa.Table:
         number, totals, ends = _added([_received(v, 6) for v in rows.column("value").to_pylist()])
-        sums = np.array([*_census(totals[0]), *_census(totals[3])], dtype=np.int64)
+        sums = np.array([x for t in (totals[2], totals[5]) for x in (int(t.sum()), *_census(t))], dtype=np.int64)
         each = zip(*(np.split(t[number], ends) for t in totals))
         return _rows(WORDS, rows.column("of").combine_chunks(), rows.column("block").combine_chunks(),
                      [pack_arrays(sums, *(_planes(x) for x in e)) for e in each])
@@ -221,36 +222,36 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         own = _Texts(texts.column("payload").to_pylist(), bits)
         label = own.label(rows)
         types, (*pairs, _) = _joined(_answers(rows, PAIRS), 6, 3)
-        census, words = _joined(_answers(rows, WORDS), 6, 6)
+        census, words = _joined(_answers(rows, WORDS), 8, 6)
         length = np.diff(own.begin)
         # each document's distinct pairs and how often it has them
         many = max(1, len(own.pairs))
         pair, often = np.unique(np.repeat(np.arange(len(own.ids)), length) * many + own.pair, return_counts=True)
         doc, pair = pair // many, pair % many
         first, second, mine = own.first[pair], own.second[pair], label[doc]
-        d = _discount(*(census[1:3] + census[4:6]).tolist())
+        d = _discount(*(census[2:4] + census[6:8]).tolist())
         found, backoff = [], []
         held = np.zeros(len(pair), dtype=np.int64)  # classes that hold the second word
-        continued = []
+        counts = []
         for c, k in ((1, 0), (0, 1)):
             # a labelled text's own counts are left out
             ours = mine == c
             n_pair = pairs[k][pair] - often * ours
             sole = ours & (n_pair == 0)
-            followed, follow, total = (words[3 * k + j] for j in range(3))
+            follow, total, stands = words[3 * k:3 * k + 3]
             w, at = np.unique(doc * len(own.words) + second, return_inverse=True)
-            t_w = followed[second] - np.bincount(at, weights=sole, minlength=len(w))[at]
+            n_w = stands[second] - np.bincount(at, weights=often * ours, minlength=len(w))[at]
             v, at = np.unique(doc * len(own.words) + first, return_inverse=True)
             h_v = follow[first] - np.bincount(at, weights=sole, minlength=len(v))[at]
             n_v = total[first] - np.bincount(at, weights=often * ours, minlength=len(v))[at]
-            held += t_w > 0
-            continued.append((int(types[3 * k]), _discount(*types[3 * k + 1:3 * k + 3].tolist()), n_pair, t_w, h_v, n_v))
-        both = sum(c[0] for c in continued)
-        for size, d_c, n_pair, t_w, h_v, n_v in continued:
-            p = np.maximum(t_w - d, 0) / max(1, size) + d * held / max(1, both)
+            held += n_w > 0
+            counts.append((int(census[4 * k]), _discount(*types[3 * k + 1:3 * k + 3].tolist()), n_pair, n_w, h_v, n_v))
+        both = sum(c[0] for c in counts)
+        for size, d_c, n_pair, n_w, h_v, n_v in counts:
+            p = np.maximum(n_w - d, 0) / max(1, size) + d * held / max(1, both)
             backoff.append(p)
             found.append(np.where(n_v > 0, (np.maximum(n_pair - d_c, 0) + d_c * h_v * p) / np.maximum(n_v, 1), p))
-        known = (held > 0) & (min(c[0] for c in continued) > 0)
+        known = (held > 0) & (min(c[0] for c in counts) > 0)
         sums = []
         for one, none in (found, backoff):
             with np.errstate(divide="ignore", invalid="ignore"):

@@ -166,25 +166,26 @@ def brute_toxicity(rows, labels):
             counts[labels[d]].update(p)
     share = lambda c: c.count(1) / (c.count(1) + 2 * c.count(2)) if 1 in c and 2 in c else 0.5
     pair_discount = {c: share(list(counts[c].values())) for c in counts}
-    discount = share([n for c in counts for n in Counter(w for _, w in counts[c]).values()])
-    types = {c: len(counts[c]) for c in counts}
+    words = {c: Counter(w for _, w in counts[c].elements()) for c in counts}
+    discount = share([n for c in counts for n in words[c].values()])
+    size = {c: sum(words[c].values()) for c in counts}
     out = []
     for (d, _), text, own in zip(rows, texts, pairs):
         left = {c: +(counts[c] - own if labels.get(d) == c else counts[c]) for c in counts}
         ends, begins, total = ({c: Counter() for c in counts} for _ in range(3))
         for c in counts:
             for (v, w), n in left[c].items():
-                ends[c][w] += 1
+                ends[c][w] += n
                 begins[c][v] += 1
                 total[c][v] += n
         whole = backoff = 0.0
         for v, w in zip([None, *text], text):
             held = sum(ends[c][w] > 0 for c in counts)
-            if not held or not types[0] or not types[1]:
+            if not held or not size[0] or not size[1]:
                 continue
             p, q = {}, {}
             for c in counts:
-                q[c] = max(ends[c][w] - discount, 0) / types[c] + discount * held / (types[0] + types[1])
+                q[c] = max(ends[c][w] - discount, 0) / size[c] + discount * held / (size[0] + size[1])
                 p[c] = q[c]
                 if total[c][v]:
                     p[c] = (max(left[c][v, w] - pair_discount[c], 0) + pair_discount[c] * begins[c][v] * q[c]) / total[c][v]
