@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.llm.arrays import mix64, word_hashes, word_table
-from siltlake.llm.blocks import BLOCK_BYTES, block_count, block_of, freed, open_block, pack_arrays, to_blocks, unpack_arrays
+from siltlake.llm.blocks import BLOCK_BYTES, block_count, block_of, freed, open_block, to_blocks
 from siltlake.session import checkpoint_dir
 
 CALIBRATION_ROWS = 50_000
@@ -64,12 +64,13 @@ class _Texts:
         hashes, self.begin = word_hashes(data, at, word_table())
         before = np.concatenate([[BEGIN], hashes[:-1]])[:len(hashes)]
         before[self.begin[:-1][np.diff(self.begin) > 0]] = BEGIN
-        codes = mix64(before * _ODD + hashes) >> np.uint64(64 - bits)
-        self.words = np.unique(np.append(hashes, BEGIN))
+        short = np.uint64(64 - bits)
+        codes = mix64(before * _ODD + hashes) >> short
+        self.words = np.unique(np.append(hashes, BEGIN) >> short)
         self.pairs, some, pair = np.unique(codes, return_index=True, return_inverse=True)
         self.pair = pair.astype(np.int32)
         # the first and second word of each pair
-        self.first, self.second = (np.searchsorted(self.words, x[some]).astype(np.int32) for x in (before, hashes))
+        self.first, self.second = (np.searchsorted(self.words, x[some] >> short).astype(np.int32) for x in (before, hashes))
 
     def label(self, rows: pa.Table) -> np.ndarray:
         return _label_of(self.ids, self.flags, _labels(rows)).astype(np.int8)
@@ -80,24 +81,40 @@ class _Texts:
         return [np.bincount(self.pair[label == c], minlength=len(self.pairs)) for c in (1, 0)]
 
 
-def _planes(x: np.ndarray) -> np.ndarray:
-    """The first bytes of all numbers, then the second ones, and so on: small numbers compress well."""
-    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T)
-
-
-def _numbers(planes: np.ndarray, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Whole numbers as one value: of each array the lowest bytes of all its
+    numbers, then the next ones, and so on, each run compressed by itself
+    (they differ in kind), and nothing for a run of zeros."""
+    import zstandard
+    packer = zstandard.ZstdCompressor(level=1)
+    runs = [run for a in arrays for run in a.astype(np.int64).view(np.uint8).reshape(-1, 8).T]
+    runs = [packer.compress(run.tobytes()) if run.any() else b"" for run in runs]
+    return b"".join([np.array([*map(len, arrays), *map(len, runs)], dtype=np.int32).tobytes(), *runs])
+
+
+def _unpack(value: bytes, arrays: int) -> list[np.ndarray]:
+    import zstandard
+    unpacker = zstandard.ZstdDecompressor()
+    head = np.frombuffer(value, dtype=np.int32, count=9 * arrays).tolist()
+    out, at = [], 36 * arrays
+    for k, n in enumerate(head[:arrays]):
+        flat = np.zeros((n, 8), dtype=np.uint8)
+        for byte, size in enumerate(head[arrays + 8 * k:arrays + 8 * k + 8]):
+            if size:
+                flat[:, byte] = np.frombuffer(unpacker.decompress(value[at:at + size]), dtype=np.uint8)
+                at += size
+        out.append(flat.reshape(-1).view(np.int64))
+    return out
 
 
 def _sent(codes: np.ndarray, *counts: np.ndarray) -> bytes:
     """Ascending codes, as their differences, and counts of each."""
-    return pack_arrays(_planes(np.diff(codes, prepend=np.uint64(0))), *(_planes(c.astype(np.int64)) for c in counts))
+    return _pack(np.diff(codes, prepend=np.uint64(0)), *counts)
 
 
 def _received(value: bytes, counts: int) -> list[np.ndarray]:
-    codes, *rest = unpack_arrays(value, *["u1"] * (1 + counts))
-    return [np.cumsum(_numbers(codes, "<u8"), dtype=np.uint64), *(_numbers(c, "<i8") for c in rest)]
+    codes, *rest = _unpack(value, 1 + counts)
+    return [np.cumsum(codes.view(np.uint64), dtype=np.uint64), *rest]
 
 
 def _labels(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +135,7 @@ def _label_of(ids: np.ndarray, flags: np.ndarray, labels: tuple[np.ndarray, np.n
     return np.where((known[at] == ids) & (flags < 2), toxic[at], -1)
 
 
-def _bounds(codes: np.ndarray, buckets: int, bits: int = 64) -> np.ndarray:
+def _bounds(codes: np.ndarray, buckets: int, bits: int) -> np.ndarray:
     """Where each bucket's codes begin among the sorted codes."""
     edges = [np.uint64((i << bits) // buckets) for i in range(1, buckets)]
     return np.concatenate([[0], np.searchsorted(codes, np.array(edges, dtype=np.uint64)), [len(codes)]]).astype(np.int64)
@@ -158,12 +175,12 @@ def _answers(rows: pa.Table, kind: int) -> list[bytes]:
 
 def _joined(values: list[bytes], sums: int, counts: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """The sums over all answers and the counts one after another."""
-    parts = [unpack_arrays(v, "<i8", *["u1"] * counts) for v in values]
-    total = np.sum([p[0] for p in parts], axis=0) if parts else np.zeros(sums, np.int64)
-    return total, [np.concatenate([np.empty(0, np.int64), *(_numbers(p[1 + k], "<i8") for p in parts)]) for k in range(counts)]
+    parts = [_unpack(v, 1 + counts) for v in values]
+    return (np.sum([np.zeros(sums, np.int64), *(p[0] for p in parts)], axis=0),
+            [np.concatenate([np.empty(0, np.int64), *(p[1 + k] for p in parts)]) for k in range(counts)])
 
 
-PAIRS, WORDS = 1, 2  # kinds of messages
+PAIRS, MARKS, WORDS = 1, 2, 3  # kinds of messages
 MESSAGE = "block int, id long, toxic int, of int, kind int, value binary"
 
 
@@ -173,55 +190,57 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     texts without their own counts. ``labels(id, toxic)``; documents are kept
     whole in their blocks."""
     n = block_count(docs, text_col)
-    bits = min(64, (n * BLOCK_BYTES).bit_length() + 14)
+    bits = min(64, (n * BLOCK_BYTES).bit_length() + 10)
     blocks = to_blocks(docs, n, id_col, text_col, spread_null_ids=True, level=6)  # null ids have no label to meet
     dealt = labels.select(block_of("id", n).alias("block"), F.col("id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"),
                           *[F.lit(None).cast(t).alias(c) for c, t in (("of", "int"), ("kind", "int"), ("value", "binary"))])
     buckets = pa.array(np.arange(n, dtype=np.int32))
 
-    def ask(kind: int, block: tuple, codes: np.ndarray, counts: list[np.ndarray], bits: int) -> pa.Table:
+    def ask(kind: int, block: tuple, codes: np.ndarray, counts: list[np.ndarray]) -> pa.Table:
         at = _bounds(codes, n, bits)
         return _rows(kind, buckets, pa.array(np.full(n, block[0].as_py(), dtype=np.int32)),
                      [_sent(codes[i:j], *(c[i:j] for c in counts)) for i, j in zip(at, at[1:])])
 
     def ask_pairs(block: tuple, texts: pa.Table, rows: pa.Table) -> pa.Table:
         own = _Texts(texts.column("payload").to_pylist(), bits)
-        return ask(PAIRS, block, own.pairs, own.pair_counts(own.label(rows)), bits)
+        return ask(PAIRS, block, own.pairs, own.pair_counts(own.label(rows)))
+
+    def answer(kind: int, rows: pa.Table, sums: list[int], counts: list[np.ndarray], ends: np.ndarray) -> pa.Table:
+        return _rows(kind, rows.column("of").combine_chunks(), rows.column("block").combine_chunks(),
+                     [_pack(np.array(sums, dtype=np.int64), *e) for e in zip(*(np.split(x, ends) for x in counts))])
 
     def answer_pairs(bucket: tuple, rows: pa.Table) -> pa.Table:
+        number, totals, ends = _added([_received(v, 2) for v in rows.column("value").to_pylist()])
+        return answer(PAIRS, rows, [x for t in totals for x in _census(t)], [t[number] for t in totals], ends)
+
+    def mark_pairs(bucket: tuple, rows: pa.Table) -> pa.Table:
         parts = [_received(v, 2) for v in rows.column("value").to_pylist()]
-        number, totals, ends = _added(parts)
+        number, _, ends = _added(parts)
         # of the blocks that hold a pair in a class one is told so: there it counts as a word after its history
         mark = np.zeros(len(number), dtype=np.int64)
         for k in (1, 2):
             has = np.flatnonzero(np.concatenate([p[k] for p in parts]))
-            mark[has[np.unique(number[has], return_index=True)[1]]] |= 1 << k
-        sums = np.array([x for t in totals for x in _census(t)], dtype=np.int64)
-        each = zip(*(np.split(x, ends) for x in (totals[0][number], totals[1][number], mark)))
-        return _rows(PAIRS, rows.column("of").combine_chunks(), rows.column("block").combine_chunks(),
-                     [pack_arrays(sums, *(_planes(x) for x in e)) for e in each])
+            mark[has[np.unique(number[has], return_index=True)[1]]] |= k
+        return answer(MARKS, rows, [], [mark], ends)
 
     def ask_words(block: tuple, texts: pa.Table, rows: pa.Table) -> pa.Table:
         own = _Texts(texts.column("payload").to_pylist(), bits)
-        _, (*_, mark) = _joined(_answers(rows, PAIRS), 6, 3)
+        _, (mark,) = _joined(_answers(rows, MARKS), 0, 1)
         size, counts = len(own.words), []
         for k, often in zip((1, 2), own.pair_counts(own.label(rows))):
-            marked = (mark >> k & 1).astype(bool)
+            marked = mark & k > 0
             counts += [np.bincount(own.first[marked], minlength=size), np.bincount(own.first, weights=often, minlength=size),
                        np.bincount(own.second, weights=often, minlength=size)]
-        return ask(WORDS, block, own.words, counts, 64)
+        return ask(WORDS, block, own.words, counts)
 
     def answer_words(bucket: tuple, rows: pa.Table) -> pa.Table:
         number, totals, ends = _added([_received(v, 6) for v in rows.column("value").to_pylist()])
-        sums = np.array([x for t in (totals[2], totals[5]) for x in (int(t.sum()), *_census(t))], dtype=np.int64)
-        each = zip(*(np.split(t[number], ends) for t in totals))
-        return _rows(WORDS, rows.column("of").combine_chunks(), rows.column("block").combine_chunks(),
-                     [pack_arrays(sums, *(_planes(x) for x in e)) for e in each])
+        return answer(WORDS, rows, [x for t in (totals[2], totals[5]) for x in (int(t.sum()), *_census(t))], [t[number] for t in totals], ends)
 
     def score(block: tuple, texts: pa.Table, rows: pa.Table) -> pa.Table:
         own = _Texts(texts.column("payload").to_pylist(), bits)
         label = own.label(rows)
-        types, (*pairs, _) = _joined(_answers(rows, PAIRS), 6, 3)
+        types, pairs = _joined(_answers(rows, PAIRS), 6, 2)
         census, words = _joined(_answers(rows, WORDS), 8, 6)
         length = np.diff(own.begin)
         # each document's distinct pairs and how often it has them
@@ -269,9 +288,9 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     def summed(asked: DataFrame, step) -> DataFrame:
         return asked.groupBy("block").applyInArrow(lambda key, rows: freed(step(key, rows)), MESSAGE)
 
-    on_pairs = summed(met(dealt, ask_pairs, MESSAGE), answer_pairs)
-    on_words = summed(met(dealt.union(on_pairs), ask_words, MESSAGE), answer_words)
-    return met(dealt.union(on_pairs).union(on_words), score, "doc_id long, label int, words long, evidence double, backoff double")
+    asked = met(dealt, ask_pairs, MESSAGE)
+    on_words = summed(met(dealt.union(summed(asked, mark_pairs)), ask_words, MESSAGE), answer_words)
+    return met(dealt.union(summed(asked, answer_pairs)).union(on_words), score, "doc_id long, label int, words long, evidence double, backoff double")
 
 
 def fit_map(x: np.ndarray, y: np.ndarray) -> list[float]:
