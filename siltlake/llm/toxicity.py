@@ -229,8 +229,9 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         size, counts = len(own.words), []
         for k, often in zip((1, 2), own.pair_counts(own.label(rows))):
             marked = mark & k > 0
-            counts += [np.bincount(own.first[marked], minlength=size), np.bincount(own.first, weights=often, minlength=size),
-                       np.bincount(own.second, weights=often, minlength=size)]
+            stands = np.bincount(own.second, weights=often, minlength=size)
+            # as a history a word stands as often, but for the ends of texts
+            counts += [np.bincount(own.first[marked], minlength=size), stands - np.bincount(own.first, weights=often, minlength=size), stands]
         return ask(WORDS, block, own.words, counts)
 
     def answer_words(bucket: tuple, rows: pa.Table) -> pa.Table:
@@ -249,28 +250,29 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         doc, pair = pair // many, pair % many
         first, second, mine = own.first[pair], own.second[pair], label[doc]
         d = _discount(*(census[2:4] + census[6:8]).tolist())
+        # what a labelled text's own counts add to its pairs, words and histories is left out
+        some = np.flatnonzero(mine >= 0)
+        sole = np.where(mine[some] == 1, pairs[0][pair[some]], pairs[1][pair[some]]) == often[some]
+        own_word, own_history, own_follow = (np.zeros(len(pair), dtype=np.int32) for _ in range(3))
+        _, at = np.unique(doc[some] * len(own.words) + second[some], return_inverse=True)
+        own_word[some] = np.bincount(at, weights=often[some])[at]
+        _, at = np.unique(doc[some] * len(own.words) + first[some], return_inverse=True)
+        own_history[some] = np.bincount(at, weights=often[some])[at]
+        own_follow[some] = np.bincount(at, weights=sole)[at]
+        n_w = [words[3 * k + 2][second] - own_word * (mine == c) for c, k in ((1, 0), (0, 1))]
+        held = (n_w[0] > 0).astype(np.int8) + (n_w[1] > 0)
+        sizes = [int(census[0]), int(census[4])]
         found, backoff = [], []
-        held = np.zeros(len(pair), dtype=np.int64)  # classes that hold the second word
-        counts = []
         for c, k in ((1, 0), (0, 1)):
-            # a labelled text's own counts are left out
-            ours = mine == c
-            n_pair = pairs[k][pair] - often * ours
-            sole = ours & (n_pair == 0)
-            follow, total, stands = words[3 * k:3 * k + 3]
-            w, at = np.unique(doc * len(own.words) + second, return_inverse=True)
-            n_w = stands[second] - np.bincount(at, weights=often * ours, minlength=len(w))[at]
-            v, at = np.unique(doc * len(own.words) + first, return_inverse=True)
-            h_v = follow[first] - np.bincount(at, weights=sole, minlength=len(v))[at]
-            n_v = total[first] - np.bincount(at, weights=often * ours, minlength=len(v))[at]
-            held += n_w > 0
-            counts.append((int(census[4 * k]), _discount(*types[3 * k + 1:3 * k + 3].tolist()), n_pair, n_w, h_v, n_v))
-        both = sum(c[0] for c in counts)
-        for size, d_c, n_pair, n_w, h_v, n_v in counts:
-            p = np.maximum(n_w - d, 0) / max(1, size) + d * held / max(1, both)
+            follow, ends, stands = words[3 * k:3 * k + 3]
+            d_c = _discount(*types[3 * k + 1:3 * k + 3].tolist())
+            p = np.maximum(n_w[k] - d, 0) / max(1, sizes[k]) + d * held / max(1, sum(sizes))
+            n_v = (stands - ends)[first] - own_history * (mine == c)
+            h_v = follow[first] - own_follow * (mine == c)
+            seen = np.maximum(pairs[k][pair] - often * (mine == c) - d_c, 0) + d_c * h_v * p
             backoff.append(p)
-            found.append(np.where(n_v > 0, (np.maximum(n_pair - d_c, 0) + d_c * h_v * p) / np.maximum(n_v, 1), p))
-        known = (held > 0) & (min(c[0] for c in counts) > 0)
+            found.append(np.where(n_v > 0, seen / np.maximum(n_v, 1), p))
+        known = (held > 0) & (min(sizes) > 0)
         sums = []
         for one, none in (found, backoff):
             with np.errstate(divide="ignore", invalid="ignore"):
