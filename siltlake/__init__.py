@@ -35,6 +35,7 @@ from siltlake.operators.changes import (  # noqa: F401
 )
 from siltlake.operators.profile import profile, type_census  # noqa: F401
 from siltlake.operators.synth import synth_changes, synth_table  # noqa: F401
+from siltlake.operators.synth_typed import synth_typed  # noqa: F401
 from siltlake.streaming.apply import VersionedTable, apply_stream, vacuum_plan  # noqa: F401
 
 __version__ = "0.1.0"
