@@ -52,6 +52,7 @@ CALIBRATION_ROWS = 50_000
 THRESHOLD = 0.3
 
 
+SLICE = 1 << 19  # words scored at once, and the rest of the last text
 BEGIN = np.uint64(0)  # stands before the first word of a text
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -67,8 +68,15 @@ class _Texts:
         short = np.uint64(64 - bits)
         codes = mix64(before * _ODD + hashes) >> short
         self.words = np.unique(np.append(hashes, BEGIN) >> short)
-        self.pairs, some, pair = np.unique(codes, return_index=True, return_inverse=True)
-        self.pair = pair.astype(np.int32)
+        del data
+        # distinct codes, the number of each pair among them, and one place of each, in as few arrays as may be
+        order = np.argsort(codes)
+        codes = codes[order]
+        new = np.concatenate([[True], codes[1:] != codes[:-1]])[:len(codes)]
+        self.pairs, some = codes[new], order[new]
+        self.pair = np.empty(len(codes), dtype=np.int32)
+        self.pair[order] = np.cumsum(new, dtype=np.int32) - 1
+        del codes, order, new
         # the first and second word of each pair
         self.first, self.second = (np.searchsorted(self.words, x[some] >> short).astype(np.int32) for x in (before, hashes))
 
@@ -150,6 +158,12 @@ def _added(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray],
     return number, totals, np.cumsum([len(p[0]) for p in parts])[:-1]
 
 
+def _slices(begin: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of whole documents of about ``SLICE`` words, or of one longer document."""
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(begin, np.arange(SLICE, begin[-1], SLICE)), [len(begin) - 1]])).tolist()
+    return list(zip(cuts, cuts[1:]))
+
+
 def _census(counts: np.ndarray) -> list[int]:
     """How many counts are above 0, 1 and 2."""
     return [int((counts > 0).sum()), int((counts == 1).sum()), int((counts == 2).sum())]
@@ -243,13 +257,21 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         label = own.label(rows)
         types, pairs = _joined(_answers(rows, PAIRS), 6, 2)
         census, words = _joined(_answers(rows, WORDS), 8, 6)
-        length = np.diff(own.begin)
+        d = _discount(*(census[2:4] + census[6:8]).tolist())
+        sizes = [int(census[0]), int(census[4])]
+        parts = [ratios(own, lo, hi, label, types, pairs, words, d, sizes) for lo, hi in _slices(own.begin)]
+        whole, backoff = (np.concatenate([np.empty(0), *(p[k] for p in parts)]) for k in (0, 1))
+        return pa.table({"doc_id": pa.array(own.ids, pa.int64(), mask=own.flags >= 2), "label": pa.array(label.astype(np.int32)),
+                         "words": pa.array(np.diff(own.begin), pa.int64()), "evidence": pa.array(whole, pa.float64()), "backoff": pa.array(backoff, pa.float64())})
+
+    def ratios(own: _Texts, lo: int, hi: int, label, types, pairs, words, d: float, sizes: list[int]) -> list[np.ndarray]:
+        """Both log-likelihood ratios of the documents ``lo`` to ``hi``."""
+        length = np.diff(own.begin[lo:hi + 1])
         # each document's distinct pairs and how often it has them
         many = max(1, len(own.pairs))
-        pair, often = np.unique(np.repeat(np.arange(len(own.ids)), length) * many + own.pair, return_counts=True)
+        pair, often = np.unique(np.repeat(np.arange(hi - lo), length) * many + own.pair[own.begin[lo]:own.begin[hi]], return_counts=True)
         doc, pair = pair // many, pair % many
-        first, second, mine = own.first[pair], own.second[pair], label[doc]
-        d = _discount(*(census[2:4] + census[6:8]).tolist())
+        first, second, mine = own.first[pair], own.second[pair], label[lo:hi][doc]
         # what a labelled text's own counts add to its pairs, words and histories is left out
         some = np.flatnonzero(mine >= 0)
         sole = np.where(mine[some] == 1, pairs[0][pair[some]], pairs[1][pair[some]]) == often[some]
@@ -261,7 +283,6 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         own_follow[some] = np.bincount(at, weights=sole)[at]
         n_w = [words[3 * k + 2][second] - own_word * (mine == c) for c, k in ((1, 0), (0, 1))]
         held = (n_w[0] > 0).astype(np.int8) + (n_w[1] > 0)
-        sizes = [int(census[0]), int(census[4])]
         found, backoff = [], []
         for c, k in ((1, 0), (0, 1)):
             follow, ends, stands = words[3 * k:3 * k + 3]
@@ -277,9 +298,8 @@ def word_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         for one, none in (found, backoff):
             with np.errstate(divide="ignore", invalid="ignore"):
                 ratio = np.where(known, np.log(one / none), 0.0)
-            sums.append(np.bincount(doc, weights=ratio * often, minlength=len(own.ids)))
-        return pa.table({"doc_id": pa.array(own.ids, pa.int64(), mask=own.flags >= 2), "label": pa.array(label.astype(np.int32)),
-                         "words": pa.array(length, pa.int64()), "evidence": pa.array(sums[0], pa.float64()), "backoff": pa.array(sums[1], pa.float64())})
+            sums.append(np.bincount(doc, weights=ratio * often, minlength=hi - lo))
+        return sums
 
     by_block = blocks.groupBy("block")
 

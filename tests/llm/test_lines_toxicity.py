@@ -211,6 +211,13 @@ def toxic_corpus(n=400, seed=2):
     return rows, labels
 
 
+def test_slices_hold_whole_documents(monkeypatch):
+    monkeypatch.setattr(T, "SLICE", 10)
+    assert T._slices(np.array([0])) == []
+    assert T._slices(np.array([0, 0, 4, 4, 40, 41, 49, 50])) == [(0, 4), (4, 7)]
+    assert T._slices(np.array([0, 10, 20])) == [(0, 1), (1, 2)]
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 24, 3000])
 def test_evidence_against_brute_force(spark, monkeypatch, block_bytes):
     monkeypatch.setattr(B.block_count, "__defaults__", ("text", block_bytes))
