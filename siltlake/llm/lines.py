@@ -26,10 +26,10 @@ not paired with itself. A key is first reduced to its earliest line and how
 many it has; a later line with that key is paired with that one line only, so
 this step is linear. Of a line's pairs the one with most keys in common is
 verified first, the others only if that fails. Lines still open whose keys
-have further earlier lines meet these in one more join, where both must agree
-in length and in a fingerprint, 512 parities of 4-gram hashes of which an edit
-turns at most eight; this is checked inside the join, so no other pair is
-written.
+have further earlier lines look for these in a semi join that holds the whole
+check: both must agree in length and in a fingerprint, 512 parities of 4-gram
+hashes of which an edit turns at most eight, then in distance. It writes a line
+at most once a key and no pairs, however large a group of near lines is.
 
 A key row is a 64-bit hash and the line's number; first occurrences are
 numbered in the order of their places, so that the earliest is a minimum of
@@ -257,16 +257,9 @@ def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_
                 .join(texts.select(F.col("_x").alias("_b"), F.col("_line").alias("_lb")), "_b"))
         allowed = length_class(F.least(F.length("_la"), F.length("_lb")), max_edits, min_chars)["edits"]
         some = (both.withColumn("_e", allowed).where(F.abs(F.length("_la") - F.length("_lb")) <= F.col("_e"))
-                .where(F.expr("levenshtein(_la, _lb, _e) >= 0")).checkpoint())
-
-        def near(limit: int) -> Column:
-            middles = differing_middles(F.col("_la"), F.col("_lb"), limit)
-            return _bind(middles, lambda p: edit_distance_within(p["a"], p["b"], limit)) <= limit
-
-        close = F.lit(False)
-        for limit in sorted(r["_e"] for r in some.select("_e").distinct().collect()):  # one a doubling of lengths
-            close = F.when(F.col("_e") == limit, near(limit)).otherwise(close)
-        return some.where(close).select("_b").distinct().checkpoint()
+                .where(_not_far(F.col("_la"), F.col("_lb"), F.col("_e"))).checkpoint())
+        limits = [r["_e"] for r in some.select("_e").distinct().collect()]
+        return some.where(_close(F.col("_la"), F.col("_lb"), F.col("_e"), limits)).select("_b").distinct().checkpoint()
 
     texts = texts_of(met.select(F.explode(F.array("_a", "_b")).alias("_x")).distinct().checkpoint())
     voted = met.groupBy("_b", "_a").agg(F.count("*").alias("_v"))
@@ -279,15 +272,33 @@ def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_
         # without the join that tells first occurrences: few of all the keys are looked for
         every = (own.select("_id", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line")).where(n >= min_chars)
                  .select("_id", "_pos", single_bytes(F.col("_line")).alias("_flat"), n.alias("_n")).select("*", entry))
-        settled = settled.union(_rest(every, places, rest, met, texts_of, verified, max_edits, min_chars))
+        settled = settled.union(_rest(every, places, rest, texts_of, max_edits, min_chars))
     near = settled.distinct()
     return places.join(near, F.col("_no") == F.col("_b")).select("_id", "_pos")
 
 
-def _rest(every: DataFrame, places: DataFrame, rest: DataFrame, met: DataFrame, texts_of, verified, max_edits: int | None,
-          min_chars: int) -> DataFrame:
-    """The lines of ``rest(_key, _b)`` that are near any earlier line of their
-    keys but the earliest, which ``met`` has paired them with."""
+def _not_far(a: Column, b: Column, edits: Column) -> Column:
+    """What Spark's own thresholded distance does not reject."""
+    return F.call_function("levenshtein", a, b, edits) >= 0
+
+
+def _close(a: Column, b: Column, edits: Column, limits: list[int]) -> Column:
+    """Whether the banded distance is at most ``edits``, one of ``limits`` (one a doubling of lengths)."""
+    def near(limit: int) -> Column:
+        return _bind(differing_middles(a, b, limit), lambda p: edit_distance_within(p["a"], p["b"], limit)) <= limit
+
+    close = F.lit(False)
+    for limit in sorted(limits):
+        close = F.when(edits == limit, near(limit)).otherwise(close)
+    return close
+
+
+def _near(a: Column, b: Column, edits: Column, limits: list[int]) -> Column:
+    return F.when(_not_far(a, b, edits), _close(a, b, edits, limits)).otherwise(False)
+
+
+def _rest(every: DataFrame, places: DataFrame, rest: DataFrame, texts_of, max_edits: int | None, min_chars: int) -> DataFrame:
+    """The lines of ``rest(_key, _b)`` that are near any earlier line of their keys."""
     keys = rest.select(F.col("_key").alias("_of")).distinct().checkpoint()
     if keys.count() <= BROADCAST_LINES:
         keys = F.broadcast(keys)
@@ -298,17 +309,19 @@ def _rest(every: DataFrame, places: DataFrame, rest: DataFrame, met: DataFrame,
     numbers = holders.select("_x").union(rest.select("_b")).distinct().checkpoint()
     texts = texts_of(numbers)
     flat = texts.select("_x", single_bytes(F.col("_line")).alias("_flat"), F.length("_line").alias("_n"))
-    signed = fingerprints(flat, ["_x", "_n"]).checkpoint()
-    early = holders.join(signed, "_x").select("_key", F.col("_x").alias("_a"), F.col("_n").alias("_na"), F.col("_f").alias("_fa"))
-    late = rest.join(signed.withColumnRenamed("_x", "_b"), "_b").select("_key", "_b", F.col("_n").alias("_nb"), F.col("_f").alias("_fb"))
+    known = fingerprints(flat, ["_x", "_n"]).join(texts, "_x").checkpoint()
+
+    def side(keyed: DataFrame, number: str, end: str) -> DataFrame:
+        return keyed.withColumnRenamed(number, "_x").join(known, "_x").select(
+            F.col("_key").alias(f"_key{end}"), F.col("_x").alias(number), *[F.col(c).alias(f"{c}{end}") for c in ("_n", "_f", "_line")])
+
     allowed = length_class(F.least("_na", "_nb"), max_edits, min_chars)["edits"]
-    turned = reduce(lambda a, b: a + b, [F.bit_count(F.col("_fa")[i].bitwiseXOR(F.col("_fb")[i])) for i in range(_WORDS)])
-    pairs = (late.join(early, "_key").where((F.col("_a") < F.col("_b")) & (F.abs(F.col("_na") - F.col("_nb")) <= allowed) & (turned <= 2 * _GRAM * allowed))
-             .select("_a", "_b", turned.alias("_d")).distinct().join(met.select("_a", "_b").distinct(), ["_a", "_b"], "left_anti").checkpoint())
-    best = pairs.groupBy("_b").agg(F.min_by("_a", F.struct("_d", "_a")).alias("_a")).checkpoint()
-    settled = verified(best, texts)
-    left = pairs.join(settled, "_b", "left_anti").join(best, ["_a", "_b"], "left_anti").select("_a", "_b")
-    return settled.union(verified(left, texts))
+    turned = reduce(lambda x, y: x + y, [F.bit_count(F.col("_fa")[i].bitwiseXOR(F.col("_fb")[i])) for i in range(_WORDS)])
+    limits = [r["_e"] for r in known.select(length_class(F.col("_n"), max_edits, min_chars)["edits"].alias("_e")).distinct().collect()]
+    near = ((F.col("_keyb") == F.col("_keya")) & (F.col("_a") < F.col("_b")) & (F.abs(F.col("_na") - F.col("_nb")) <= allowed)
+            & (turned <= 2 * _GRAM * allowed) & _near(F.col("_linea"), F.col("_lineb"), allowed, limits))
+    # a semi join: a line is written at most once a key, and looked at until the first near one
+    return side(rest, "_b", "b").join(side(holders, "_x", "a").withColumnRenamed("_x", "_a"), near, "left_semi").select("_b").distinct().checkpoint()
 
 
 def _short_repeats(docs: DataFrame, times: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
