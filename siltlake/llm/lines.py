@@ -31,7 +31,8 @@ check: both must agree in length and in a fingerprint, 512 parities of 4-gram
 hashes of which an edit turns at most eight, then in distance. It writes a line
 at most once a key and no pairs, however large a group of near lines is.
 
-A key row is a 64-bit hash and the line's number; first occurrences are
+A key row is a 64-bit hash and the line's number, and those of segments are
+written once to the shared folder, where open lines look for them again; first occurrences are
 numbered in the order of their places, so that the earliest is a minimum of
 plain numbers. Texts are shuffled whole by document id, once to make the keys
 of first occurrences and once for the result, and only texts of lines that met
@@ -45,6 +46,7 @@ table gives no rows; other columns are kept, whatever their names.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -233,8 +235,11 @@ def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_
              .select("_before", F.array_position("_firsts", F.col("_pos")).alias("_at"), "_line").where("_at > 0")
              .select((F.col("_before") + F.col("_at")).alias("_no"), single_bytes(F.col("_line")).alias("_flat"), n.alias("_n"))
              .select("_no", "_flat", "_n", entry))
-    earliest = (segment_keys(lines, ["_no"], False).groupBy(F.col("_key").alias("_of"))
-                .agg(F.min("_no").alias("_a"), F.count("*").alias("_in")))
+    spark = own.sparkSession
+    folder = f"{checkpoint_dir(spark)}/line-keys-{uuid.uuid4().hex}"
+    segment_keys(lines, ["_no"], False).select("_key", "_no").write.parquet(folder)
+    index = spark.read.parquet(folder)
+    earliest = index.groupBy(F.col("_key").alias("_of")).agg(F.min("_no").alias("_a"), F.count("*").alias("_in"))
     # a line of its own key is one of those that the key has
     met = (segment_keys(lines, ["_no"], True).join(earliest, F.col("_key") == F.col("_of")).where(F.col("_a") < F.col("_no"))
            .select("_key", "_a", F.col("_no").alias("_b"), (F.col("_in") > 1 + F.col("_mine")).alias("_more")).checkpoint())
@@ -269,10 +274,7 @@ def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_
     settled = settled.union(verified(others, texts))
     rest = met.where("_more").join(settled, "_b", "left_anti").select("_key", "_b").distinct().checkpoint()
     if not rest.isEmpty():
-        # without the join that tells first occurrences: few of all the keys are looked for
-        every = (own.select("_id", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line")).where(n >= min_chars)
-                 .select("_id", "_pos", single_bytes(F.col("_line")).alias("_flat"), n.alias("_n")).select("*", entry))
-        settled = settled.union(_rest(every, places, rest, texts_of, max_edits, min_chars))
+        settled = settled.union(_rest(index, rest, texts_of, max_edits, min_chars))
     near = settled.distinct()
     return places.join(near, F.col("_no") == F.col("_b")).select("_id", "_pos")
 
@@ -297,27 +299,27 @@ def _near(a: Column, b: Column, edits: Column, limits: list[int]) -> Column:
     return F.when(_not_far(a, b, edits), _close(a, b, edits, limits)).otherwise(False)
 
 
-def _rest(every: DataFrame, places: DataFrame, rest: DataFrame, texts_of, max_edits: int | None, min_chars: int) -> DataFrame:
-    """The lines of ``rest(_key, _b)`` that are near any earlier line of their keys."""
+def _rest(index: DataFrame, rest: DataFrame, texts_of, max_edits: int | None, min_chars: int) -> DataFrame:
+    """The lines of ``rest(_key, _b)`` that are near any earlier line of their keys in ``index(_key, _no)``."""
     keys = rest.select(F.col("_key").alias("_of")).distinct().checkpoint()
     if keys.count() <= BROADCAST_LINES:
         keys = F.broadcast(keys)
-    found = segment_keys(every, ["_id", "_pos"], False).join(keys, F.col("_key") == F.col("_of"), "left_semi").checkpoint()
-    at = [F.col("_id").eqNullSafe(F.col("_i")), F.col("_pos") == F.col("_p")]
-    holders = (found.select("_key", F.col("_id").alias("_i"), F.col("_pos").alias("_p"))
-               .join(places, at).select("_key", F.col("_no").alias("_x")).distinct().checkpoint())
+    holders = (index.join(keys, F.col("_key") == F.col("_of"), "left_semi")
+               .select("_key", F.col("_no").alias("_x")).distinct().checkpoint())
     numbers = holders.select("_x").union(rest.select("_b")).distinct().checkpoint()
     texts = texts_of(numbers)
     flat = texts.select("_x", single_bytes(F.col("_line")).alias("_flat"), F.length("_line").alias("_n"))
-    known = fingerprints(flat, ["_x", "_n"]).join(texts, "_x").checkpoint()
+    # the shorter of two lines sets the edits, and a shorter line never allows more
+    known = (fingerprints(flat, ["_x", "_n"]).withColumn("_e", length_class(F.col("_n"), max_edits, min_chars)["edits"])
+             .join(texts, "_x").checkpoint())
 
     def side(keyed: DataFrame, number: str, end: str) -> DataFrame:
         return keyed.withColumnRenamed(number, "_x").join(known, "_x").select(
-            F.col("_key").alias(f"_key{end}"), F.col("_x").alias(number), *[F.col(c).alias(f"{c}{end}") for c in ("_n", "_f", "_line")])
+            F.col("_key").alias(f"_key{end}"), F.col("_x").alias(number), *[F.col(c).alias(f"{c}{end}") for c in ("_n", "_e", "_f", "_line")])
 
-    allowed = length_class(F.least("_na", "_nb"), max_edits, min_chars)["edits"]
+    allowed = F.least("_ea", "_eb")
     turned = reduce(lambda x, y: x + y, [F.bit_count(F.col("_fa")[i].bitwiseXOR(F.col("_fb")[i])) for i in range(_WORDS)])
-    limits = [r["_e"] for r in known.select(length_class(F.col("_n"), max_edits, min_chars)["edits"].alias("_e")).distinct().collect()]
+    limits = [r["_e"] for r in known.select("_e").distinct().collect()]
     near = ((F.col("_keyb") == F.col("_keya")) & (F.col("_a") < F.col("_b")) & (F.abs(F.col("_na") - F.col("_nb")) <= allowed)
             & (turned <= 2 * _GRAM * allowed) & _near(F.col("_linea"), F.col("_lineb"), allowed, limits))
     # a semi join: a line is written at most once a key, and looked at until the first near one
