@@ -232,6 +232,22 @@ def test_evidence_against_brute_force(spark, monkeypatch, block_bytes):
     assert sorted(((r["doc_id"], r["words"], round(r["evidence"], 5), round(r["backoff"], 5)) for r in got), key=str) == brute_toxicity(rows, known)
 
 
+def test_pairs_that_share_a_code(spark, monkeypatch):
+    """A history whose pairs all share codes with others' is still followed by words: no likelihood is zero."""
+    monkeypatch.setattr(T, "BLOCK_BYTES", 4)  # so short codes that many pairs share one
+    monkeypatch.setattr(B.block_count, "__defaults__", ("text", 40000))  # blocks that know a code by other pairs
+    rows, labels = toxic_corpus(600)
+    rows = [(d, f"{t} r{d // 12} w{d % 2}") for d, t in rows]  # words that few others follow
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = T.word_evidence(docs, table.withColumnRenamed("doc_id", "id")).collect()
+    assert np.isfinite([[r["evidence"], r["backoff"]] for r in found]).all()
+    got = {r["doc_id"]: r["score"] for r in T.toxicity(docs, table, ~held_out("doc_id")).collect()}
+    out = [d for d, _ in rows if zlib.crc32(str(d).encode()) % 4 == 2]
+    bad, fine = ([got[d] for d in out if (d % 6 == 0) is t] for t in (True, False))
+    assert np.mean([x > y for x in bad for y in fine]) > 0.9
+
+
 def test_held_out_accuracy_and_no_leak(spark):
     rows, labels = toxic_corpus(1200)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
