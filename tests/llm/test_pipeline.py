@@ -2,6 +2,8 @@ import random
 from collections import defaultdict
 
 import corpus_pipeline as C
+import siltlake.llm.blocks as B
+import siltlake.llm.toxicity as T
 from test_decontam_substrings import brute_overlaps
 from test_lines_toxicity import brute_lines, toxic_corpus
 from test_near_duplicates import brute_components
@@ -100,3 +102,14 @@ def test_rows_without_an_id_are_judged_one_by_one(spark, tmp_path):
     assert left(C.drop_contaminated(spark, both, sf_dir)) == sorted([texts[0], *texts[2:]])
     assert left(C.drop_near_duplicates(spark, both, sf_dir)) == sorted(texts)  # equal rows are one
     assert C.drop_repeated_lines(spark, both, sf_dir).where("doc_id IS NULL").count() == 4
+
+
+def test_clean_documents_stay_where_pairs_share_codes(spark, tmp_path, monkeypatch):
+    """What comes from many texts in small: a document stays or goes by its own words."""
+    monkeypatch.setattr(T, "BLOCK_BYTES", 4)
+    monkeypatch.setattr(B.block_count, "__defaults__", ("text", 40000))
+    docs, labels = toxic_corpus(600)
+    docs = [(d, f"{t} r{d // 12} w{d % 2}") for d, t in docs]
+    sf_dir = folder(spark, tmp_path, docs, labels, [])
+    kept = {r["doc_id"] for r in C.drop_toxic(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir).collect()}
+    assert sum(d in kept for d, _ in docs if d % 6) > 0.8 * 500 and sum(d in kept for d, _ in docs if d % 6 == 0) < 0.5 * 100
