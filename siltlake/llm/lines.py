@@ -17,9 +17,9 @@ t + 1 separate segments one is untouched with exactly as many edits before it
 as segments, so a later line looks for segment k at most k places off if it is
 placed from the start, at most t - k if from the end. A line whose partner may
 lie in the class below has keys there too. What meets is verified with a banded
-bit-parallel edit distance: one machine word holds the band of a column, one
-step of ``aggregate`` goes to the next; pairs that Spark's own thresholded
-distance rejects are not looked at.
+bit-parallel edit distance of the parts between equal ends: one machine word
+holds the band of a column, one step of ``aggregate`` goes to the next; pairs
+whose parts Spark's own thresholded distance rejects are not looked at.
 
 One near earlier line is enough to settle a line, so a group of near lines is
 not paired with itself. A key is first reduced to its earliest line and how
@@ -28,14 +28,17 @@ this step is linear. Of a line's pairs the one with most keys in common is
 verified first, the others only if that fails. Lines still open whose keys
 have further earlier lines look for these in a semi join that holds the whole
 check: both must agree in length and in a fingerprint, 512 parities of 4-gram
-hashes of which an edit turns at most eight, then in distance. It writes a line
-at most once a key and no pairs, however large a group of near lines is.
-
-A key row is a 64-bit hash and the line's number; first occurrences are
-numbered in the order of their places, so that the earliest is a minimum of
-plain numbers. Texts are shuffled whole by document id, once to make the keys
-of first occurrences and once for the result, and only texts of lines that met
-a key go on to the verification.
+hashes of which an edit turns at most eight, then in distance; lines of several
+keys are compared by one of them. It writes a line at most once a key and no
+pairs, however large a group of near lines is.
+
+Keys are made once: what a later line looks for holds its own segments too, so
+one shuffle by key serves both sides, and only rows of keys that bring lines
+together are written. A key row is a 64-bit hash and the line's number; first
+occurrences are numbered in the order of their places, so that the earliest is
+a minimum of plain numbers. Texts are shuffled whole by document id, once to
+make the keys of first occurrences and once for the result, and only texts of
+lines that met a key go on to the verification.
 
 Defined results: a null text stays null, an empty text stays empty; documents
 with one id count as one place, so a line that both hold at the same place
@@ -125,7 +128,7 @@ def _common(a: Column, b: Column, piece) -> Column:
     return F.aggregate(steps, start, halve, lambda acc: acc["lo"])
 
 
-def differing_middles(a: Column, b: Column, limit: int) -> Column:
+def differing_middles(a: Column, b: Column, limit: int | Column) -> Column:
     """``struct(a, b)``: both texts cut to where they differ (edits keep what
     is equal at both ends), leaving enough on either side for the band."""
     def texts(x: Column, y: Column) -> Column:
@@ -139,27 +142,39 @@ def differing_middles(a: Column, b: Column, limit: int) -> Column:
     return _bind(tails, lambda p: cut(p, lambda c, n: F.right(c, n), lambda c, k: F.substring(c, F.lit(1), F.length(c) - k)))
 
 
-def length_class(n: Column, max_edits: int | None, min_chars: int) -> Column:
-    """``struct(lo, edits)`` of a line of n >= ``min_chars`` characters: where
-    its class of lengths begins, and the edits that the class allows."""
-    def doubled(base: int) -> Column:  # by the bits of a whole number: exact, where a logarithm is not
-        return (F.length(F.bin(F.floor(n / base))) - 1).cast("int")
+def _level(n: Column, max_edits: int | None, min_chars: int) -> Column:
+    """The number of the class of a line of n >= ``min_chars`` characters: classes double in length."""
+    def bits(base: int) -> Column:  # of a whole number: exact, where a logarithm is not
+        return F.length(F.bin(F.floor(n / base)))
+
+    if max_edits is not None:
+        return bits(max(1, min_chars)) - 1
+    return F.when(n < TWO_EDITS, F.lit(0)).otherwise(bits(TWO_EDITS))
+
 
+def _class(level: Column, max_edits: int | None, min_chars: int) -> Column:
+    """``struct(lo, edits)`` of a class: where its lengths begin, and the edits that it allows."""
     def entry(lo: Column, edits: Column) -> Column:
         return F.struct(lo.cast("int").alias("lo"), edits.cast("int").alias("edits"))
 
     if max_edits is not None:
-        base = max(1, min_chars)
-        return entry(F.lit(base) * F.pow(F.lit(2), doubled(base)), F.lit(max_edits))
-    above = entry(F.lit(TWO_EDITS) * F.pow(F.lit(2), doubled(TWO_EDITS)), doubled(TWO_EDITS) + 2)
-    return F.when(n < TWO_EDITS, entry(F.lit(max(2, min_chars)), F.lit(1))).otherwise(above)
+        return entry(F.lit(max(1, min_chars)) * F.pow(F.lit(2), level), F.lit(max_edits))
+    lo = F.when(level == 0, F.lit(max(2, min_chars))).otherwise(F.lit(TWO_EDITS) * F.pow(F.lit(2), level - 1))
+    return entry(lo, level + 1)
 
 
-def own_classes(n: Column, max_edits: int | None, min_chars: int) -> Column:
-    """The classes in which a line may have a partner that is no longer."""
-    most = length_class(n, max_edits, min_chars)["edits"]
-    shorter = F.filter(F.transform(F.sequence(F.lit(0), most), lambda d: n - d), lambda m: m >= max(1, min_chars))
-    return F.array_distinct(F.transform(shorter, lambda m: length_class(m, max_edits, min_chars)))
+def allowed_edits(n: Column, max_edits: int | None, min_chars: int) -> Column:
+    """The edits that a line of n >= ``min_chars`` characters allows; a longer one allows no fewer."""
+    return _class(_level(n, max_edits, min_chars), max_edits, min_chars)["edits"]
+
+
+def in_classes(lines: DataFrame, max_edits: int | None, min_chars: int) -> DataFrame:
+    """``lines`` (``_n``) once for each class ``_c`` in which they may have a partner that is no longer."""
+    n = F.col("_n")
+    shortest = F.greatest(n - allowed_edits(n, max_edits, min_chars), F.lit(max(1, min_chars)))
+    levels = F.sequence(_level(F.col("_m"), max_edits, min_chars), _level(n, max_edits, min_chars))
+    return (lines.withColumn("_m", shortest).where("_m <= _n").select(*lines.columns, F.explode(levels).alias("_level"))
+            .select(*lines.columns, _class(F.col("_level"), max_edits, min_chars).alias("_c")))
 
 
 def single_bytes(line: Column) -> Column:
@@ -169,29 +184,28 @@ def single_bytes(line: Column) -> Column:
     return F.when(F.octet_length(line) == F.length(line), line.cast("binary")).otherwise(others)
 
 
-def segment_keys(lines: DataFrame, keep: list[str], shifted: bool) -> DataFrame:
-    """``keep``, ``_mine`` and ``_key`` of each segment of the lines (``_flat``,
-    ``_n``, class ``_c``); ``shifted``: of each substring that may be a segment
-    of an earlier line, those that are its own marked by ``_mine``."""
+def segment_keys(lines: DataFrame) -> DataFrame:
+    """``(_as, _key)`` of each substring of the lines (``_no``, ``_flat``,
+    ``_n``, class ``_c``) that may be a segment of an earlier line; ``_as`` is
+    twice the line's number, and one more if the segment is the line's own."""
     lo, edits, k, off = F.col("_c.lo"), F.col("_c.edits"), F.col("_k"), F.col("_off")
-    most = F.when(k * 2 <= edits, k).otherwise(edits - k) if shifted else F.lit(0)
+    most = F.when(k * 2 <= edits, k).otherwise(edits - k)
     size = F.floor(lo / (edits + 1)).cast("int")
     cut = lines.select("*", F.explode(F.sequence(F.lit(0), edits)).alias("_k"))
-    cut = cut.select("*", F.explode(F.sequence(-most, most)).alias("_off")) if shifted else cut.withColumn("_off", F.lit(0))
+    cut = cut.select("*", F.explode(F.sequence(-most, most)).alias("_off"))
     start = F.when(k * 2 <= edits, k * size).otherwise(F.col("_n") - (edits + 1 - k) * size) + off
     return (cut.where((start >= 0) & (start + size <= F.col("_n")))
-            .select(*keep, (off == 0).cast("int").alias("_mine"), F.xxhash64(lo, k, F.substring("_flat", start + 1, size)).alias("_key")))
+            .select((F.col("_no") * 2 + (off == 0).cast("int")).alias("_as"), F.xxhash64(lo, k, F.substring("_flat", start + 1, size)).alias("_key")))
 
 
 def fingerprints(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` and ``_f``, the parities of the grams of each line (``_flat``,
+    """``keys`` and ``_f0``, ``_f1``, ..., the parities of the grams of each line (``_flat``,
     ``_n``), a gram's place among them by its hash."""
     grams = lines.select(*keys, "_flat", F.explode(F.sequence(F.lit(1), F.greatest(F.col("_n") - (_GRAM - 1), F.lit(1)))).alias("_i"))
     h = F.xxhash64(F.substring("_flat", F.col("_i"), F.lit(_GRAM)))
     hashed = grams.select(*keys, h.bitwiseAND(_WORDS - 1).alias("_w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 8).bitwiseAND(63).cast("int")).alias("_b"))
     words = [F.bit_xor(F.when(F.col("_w") == i, F.col("_b")).otherwise(F.lit(0).cast("long"))) for i in range(_WORDS)]
-    return hashed.groupBy(*keys).agg(*[w.alias(f"_f{i}") for i, w in enumerate(words)]).select(
-        *keys, F.array(*[F.col(f"_f{i}") for i in range(_WORDS)]).alias("_f"))
+    return hashed.groupBy(*keys).agg(*[w.alias(f"_f{i}") for i, w in enumerate(words)])
 
 
 def line_decisions(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS,
@@ -227,17 +241,18 @@ def _numbered(firsts: DataFrame) -> DataFrame:
 def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_chars: int) -> DataFrame:
     """``(_id, _pos)`` of the first occurrences that an earlier line is near."""
     numbered = _numbered(firsts)
-    n, entry = F.length("_line"), F.explode(own_classes(F.col("_n"), max_edits, min_chars)).alias("_c")
     lines = (own.join(numbered.withColumnRenamed("_id", "_i"), F.col("_id").eqNullSafe(F.col("_i")))
              .select("_firsts", "_before", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line"))
              .select("_before", F.array_position("_firsts", F.col("_pos")).alias("_at"), "_line").where("_at > 0")
-             .select((F.col("_before") + F.col("_at")).alias("_no"), single_bytes(F.col("_line")).alias("_flat"), n.alias("_n"))
-             .select("_no", "_flat", "_n", entry))
-    earliest = (segment_keys(lines, ["_no"], False).groupBy(F.col("_key").alias("_of"))
-                .agg(F.min("_no").alias("_a"), F.count("*").alias("_in")))
+             .select((F.col("_before") + F.col("_at")).alias("_no"), single_bytes(F.col("_line")).alias("_flat"), F.length("_line").alias("_n")))
+    own_as, key = F.when(F.col("_as") % 2 == 1, F.col("_as")), Window.partitionBy("_key")
+    # a key's earliest line, how many lines it has, and the lines that it brings together
+    seen = (segment_keys(in_classes(lines, max_edits, min_chars))
+            .select("_key", "_as", F.min(own_as).over(key).alias("_first"), F.count(own_as).over(key).alias("_in"))
+            .where((F.col("_first") < F.col("_as") - F.col("_as") % 2) | (F.col("_as") % 2 == 1) & (F.col("_in") > 1))
+            .select("_key", F.shiftright("_first", 1).alias("_a"), F.shiftright("_as", 1).alias("_no"), (F.col("_as") % 2 == 1).alias("_mine"), "_in").checkpoint())
     # a line of its own key is one of those that the key has
-    met = (segment_keys(lines, ["_no"], True).join(earliest, F.col("_key") == F.col("_of")).where(F.col("_a") < F.col("_no"))
-           .select("_key", "_a", F.col("_no").alias("_b"), (F.col("_in") > 1 + F.col("_mine")).alias("_more")).checkpoint())
+    met = seen.where("_a < _no").select("_key", "_a", F.col("_no").alias("_b"), (F.col("_in") > 1 + F.col("_mine").cast("int")).alias("_more"))
     places = numbered.select("_id", "_before", F.posexplode("_firsts").alias("_at", "_pos")).select(
         "_id", "_pos", (F.col("_before") + F.col("_at") + 1).alias("_no"))
 
@@ -255,13 +270,12 @@ def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_
         """The ``_b`` of the pairs that are near."""
         both = (pairs.select("_a", "_b").join(texts.select(F.col("_x").alias("_a"), F.col("_line").alias("_la")), "_a")
                 .join(texts.select(F.col("_x").alias("_b"), F.col("_line").alias("_lb")), "_b"))
-        allowed = length_class(F.least(F.length("_la"), F.length("_lb")), max_edits, min_chars)["edits"]
-        some = (both.withColumn("_e", allowed).where(F.abs(F.length("_la") - F.length("_lb")) <= F.col("_e"))
-                .where(_not_far(F.col("_la"), F.col("_lb"), F.col("_e"))).checkpoint())
-        limits = [r["_e"] for r in some.select("_e").distinct().collect()]
-        return some.where(_close(F.col("_la"), F.col("_lb"), F.col("_e"), limits)).select("_b").distinct().checkpoint()
+        allowed = allowed_edits(F.least(F.length("_la"), F.length("_lb")), max_edits, min_chars)
+        some = both.withColumn("_e", allowed).where(F.abs(F.length("_la") - F.length("_lb")) <= F.col("_e"))
+        return some.where(_near(F.col("_la"), F.col("_lb"), F.col("_e"), limits)).select("_b").distinct().checkpoint()
 
     texts = texts_of(met.select(F.explode(F.array("_a", "_b")).alias("_x")).distinct().checkpoint())
+    limits = [r["_e"] for r in texts.select(allowed_edits(F.length("_line"), max_edits, min_chars).alias("_e")).distinct().collect()]
     voted = met.groupBy("_b", "_a").agg(F.count("*").alias("_v"))
     best = voted.groupBy("_b").agg(F.max_by("_a", F.struct("_v", "_a")).alias("_a")).checkpoint()
     settled = verified(best, texts)
@@ -269,58 +283,47 @@ def _near_repeats(own: DataFrame, firsts: DataFrame, max_edits: int | None, min_
     settled = settled.union(verified(others, texts))
     rest = met.where("_more").join(settled, "_b", "left_anti").select("_key", "_b").distinct().checkpoint()
     if not rest.isEmpty():
-        # without the join that tells first occurrences: few of all the keys are looked for
-        every = (own.select("_id", F.posexplode(F.split("_text", _SEP)).alias("_pos", "_line")).where(n >= min_chars)
-                 .select("_id", "_pos", single_bytes(F.col("_line")).alias("_flat"), n.alias("_n")).select("*", entry))
-        settled = settled.union(_rest(every, places, rest, texts_of, max_edits, min_chars))
+        held = seen.where("_mine").select("_key", F.col("_no").alias("_x"))  # all of them met, or were met
+        settled = settled.union(_rest(held, rest, texts, limits, max_edits, min_chars))
     near = settled.distinct()
     return places.join(near, F.col("_no") == F.col("_b")).select("_id", "_pos")
 
 
-def _not_far(a: Column, b: Column, edits: Column) -> Column:
-    """What Spark's own thresholded distance does not reject."""
-    return F.call_function("levenshtein", a, b, edits) >= 0
-
-
-def _close(a: Column, b: Column, edits: Column, limits: list[int]) -> Column:
-    """Whether the banded distance is at most ``edits``, one of ``limits`` (one a doubling of lengths)."""
-    def near(limit: int) -> Column:
-        return _bind(differing_middles(a, b, limit), lambda p: edit_distance_within(p["a"], p["b"], limit)) <= limit
-
-    close = F.lit(False)
-    for limit in sorted(limits):
-        close = F.when(edits == limit, near(limit)).otherwise(close)
-    return close
-
-
 def _near(a: Column, b: Column, edits: Column, limits: list[int]) -> Column:
-    return F.when(_not_far(a, b, edits), _close(a, b, edits, limits)).otherwise(False)
-
-
-def _rest(every: DataFrame, places: DataFrame, rest: DataFrame, texts_of, max_edits: int | None, min_chars: int) -> DataFrame:
-    """The lines of ``rest(_key, _b)`` that are near any earlier line of their keys."""
-    keys = rest.select(F.col("_key").alias("_of")).distinct().checkpoint()
-    if keys.count() <= BROADCAST_LINES:
-        keys = F.broadcast(keys)
-    found = segment_keys(every, ["_id", "_pos"], False).join(keys, F.col("_key") == F.col("_of"), "left_semi").checkpoint()
-    at = [F.col("_id").eqNullSafe(F.col("_i")), F.col("_pos") == F.col("_p")]
-    holders = (found.select("_key", F.col("_id").alias("_i"), F.col("_pos").alias("_p"))
-               .join(places, at).select("_key", F.col("_no").alias("_x")).distinct().checkpoint())
-    numbers = holders.select("_x").union(rest.select("_b")).distinct().checkpoint()
-    texts = texts_of(numbers)
-    flat = texts.select("_x", single_bytes(F.col("_line")).alias("_flat"), F.length("_line").alias("_n"))
-    known = fingerprints(flat, ["_x", "_n"]).join(texts, "_x").checkpoint()
+    """Whether two texts are at most ``edits`` apart, one of ``limits`` (one a
+    doubling of lengths): they are cut to where they differ, what Spark's own
+    thresholded distance does not reject there is verified."""
+    def close(p: Column) -> Column:
+        near = F.lit(False)
+        for limit in sorted(limits):
+            near = F.when(edits == limit, edit_distance_within(p["a"], p["b"], limit) <= limit).otherwise(near)
+        return F.when(F.call_function("levenshtein", p["a"], p["b"], edits) >= 0, near).otherwise(False)
+
+    return _bind(differing_middles(a, b, edits), close)
+
+
+def _rest(held: DataFrame, rest: DataFrame, texts: DataFrame, limits: list[int], max_edits: int | None, min_chars: int) -> DataFrame:
+    """The lines of ``rest(_key, _b)`` that are near any earlier line of their keys in ``held(_key, _x)``."""
+    holders = held.join(rest.select("_key").distinct(), "_key", "left_semi").distinct().checkpoint()
+    numbers = holders.select("_x").union(rest.select("_b")).distinct()
+    lines = texts.join(numbers, "_x", "left_semi").select("_x", "_line", F.length("_line").alias("_n"))
+    lines = lines.withColumn("_e", allowed_edits(F.col("_n"), max_edits, min_chars)).checkpoint()
+    flat = lines.select("_x", single_bytes(F.col("_line")).alias("_flat"), "_n")
+    known = fingerprints(flat, ["_x"]).join(lines, "_x").checkpoint()
+    words = [f"_f{i}" for i in range(_WORDS)]
 
     def side(keyed: DataFrame, number: str, end: str) -> DataFrame:
-        return keyed.withColumnRenamed(number, "_x").join(known, "_x").select(
-            F.col("_key").alias(f"_key{end}"), F.col("_x").alias(number), *[F.col(c).alias(f"{c}{end}") for c in ("_n", "_f", "_line")])
+        listed = keyed.groupBy(F.col(number).alias("_x")).agg(F.collect_set("_key").alias("_keys"))
+        return listed.join(known, "_x").select(
+            F.col("_x").alias(number), *[F.col(c).alias(f"{c}{end}") for c in ("_keys", "_n", "_e", *words, "_line")], F.explode("_keys").alias(f"_key{end}"))
 
-    allowed = length_class(F.least("_na", "_nb"), max_edits, min_chars)["edits"]
-    turned = reduce(lambda x, y: x + y, [F.bit_count(F.col("_fa")[i].bitwiseXOR(F.col("_fb")[i])) for i in range(_WORDS)])
-    limits = [r["_e"] for r in known.select(length_class(F.col("_n"), max_edits, min_chars)["edits"].alias("_e")).distinct().collect()]
+    allowed = F.least("_ea", "_eb")  # by columns, as it is looked at for every pair
+    turned = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{w}a").bitwiseXOR(F.col(f"{w}b"))) for w in words])
     near = ((F.col("_keyb") == F.col("_keya")) & (F.col("_a") < F.col("_b")) & (F.abs(F.col("_na") - F.col("_nb")) <= allowed)
-            & (turned <= 2 * _GRAM * allowed) & _near(F.col("_linea"), F.col("_lineb"), allowed, limits))
-    # a semi join: a line is written at most once a key, and looked at until the first near one
+            & (turned <= 2 * _GRAM * allowed) & (F.col("_keya") == F.array_min(F.array_intersect("_keysa", "_keysb")))
+            & _near(F.col("_linea"), F.col("_lineb"), allowed, limits))
+    # a semi join: a line is written at most once a key, and looked at until the first near one; two lines
+    # of several keys are compared by the least of these
     return side(rest, "_b", "b").join(side(holders, "_x", "a").withColumnRenamed("_x", "_a"), near, "left_semi").select("_b").distinct().checkpoint()
 
 
@@ -345,15 +348,18 @@ def dedup_lines(docs: DataFrame, max_edits: int | None = None, min_chars: int =
     ``counts`` also ``n_lines``, ``n_removed`` and ``n_near`` (removed as near repeats)."""
     found = line_decisions(docs, max_edits, min_chars, id_col, text_col).select(
         F.col("_id").alias("_who"), "_stay", "_near")
-    # no row in ``found``: no line of the document is a first occurrence
-    stay = F.coalesce("_stay", F.array().cast("array<int>"))
-    lines = F.split(text_col, _SEP)
     joined, short = docs.join(found, F.col(id_col).eqNullSafe(F.col("_who")), "left"), F.array().cast("array<int>")
     if short_repeats:
         gone = _short_repeats(docs, max(2, short_repeats), min_chars, id_col, text_col).select(F.col("_id").alias("_whose"), "_short")
         joined, short = joined.join(gone, F.col(id_col).eqNullSafe(F.col("_whose")), "left"), F.coalesce("_short", short)
-    kept = F.filter(lines, lambda x, i: F.when(F.length(x) < min_chars, ~F.array_contains(short, i)).otherwise(F.array_contains(stay, i)))
-    text = F.array_join(kept, _SEP)
-    more = [F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).alias("n_removed"),
+    # no row in ``found``: no line of the document is a first occurrence
+    stay = F.coalesce("_stay", F.array().cast("array<int>"))
+    lines = "_".join(["", *docs.columns])  # longer than any column's name
+    joined = joined.withColumn(lines, F.split(text_col, _SEP))  # columns, as expressions with lambdas are not shared
+    joined = joined.withColumn(f"{lines}_kept", F.filter(lines, lambda x, i: F.when(F.length(x) < min_chars, ~F.array_contains(short, i))
+                                                         .otherwise(F.array_contains(stay, i))))
+    n, left = F.size(lines), F.size(f"{lines}_kept")
+    text = F.array_join(f"{lines}_kept", _SEP)
+    more = [F.coalesce(n, F.lit(0)).alias("n_lines"), F.coalesce(n - left, F.lit(0)).alias("n_removed"),
             F.coalesce(F.size("_near"), F.lit(0)).alias("n_near")] if counts else []
     return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns), *more)

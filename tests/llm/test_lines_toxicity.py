@@ -128,6 +128,47 @@ def test_far_lines_of_one_template_are_not_written(spark, monkeypatch):
     assert max(written) < 30 * 1550  # keys a line, not pairs
 
 
+def test_keys_are_made_once(spark, monkeypatch):
+    """Open lines look for further lines by the keys that all lines have anyway."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    head, tail = word(20), word(20)  # all but the last row share both ends, and differ in their middles from all but one
+    rows = [(d, head + word(15) + tail) for d in range(40)]
+    rows += [(100 + d, t[:25] + "X" + t[26:]) for d, t in rows]
+    rows += [(200, rows[3][1][:22] + "YZ" + rows[3][1][24:]), (201, word(60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made, read, real_keys, real_rest = [], [], L.segment_keys, L._rest
+
+    def keys(*args, **more):
+        made.append(args)
+        return real_keys(*args, **more)
+
+    def rest(*args, **more):
+        read.append(args)
+        return real_rest(*args, **more)
+
+    monkeypatch.setattr(L, "segment_keys", keys)
+    monkeypatch.setattr(L, "_rest", rest)
+    got = {r["doc_id"] for r in L.dedup_lines(docs, counts=True).where("n_near > 0").collect()}
+    assert got == {d for d, t in rows if any(e < d and distance(t, u, 2) <= 2 for e, u in rows)} >= {*range(100, 140), 200}
+    assert len(read) == 1 and len(made) == 1
+
+
+@pytest.mark.parametrize("edits, least", [(None, 30), (None, 8), (None, 1), (None, 49), (None, 70), (0, 1), (1, 1), (3, 1), (3, 8), (2, 30)])
+def test_classes_of_lengths(spark, edits, least):
+    """A line is in the class of every length that a partner which is no longer may have."""
+    def of(n):
+        if edits is not None:
+            base = max(1, least)
+            return (base << (n // base).bit_length() - 1, edits)
+        return (max(2, least), 1) if n < 50 else (50 << (n // 50).bit_length() - 1, (n // 50).bit_length() + 1)
+
+    lengths = [n for n in [*range(0, 420), 799, 800, 803, 12799, 12800, 12805] if n >= least]
+    got = L.in_classes(spark.createDataFrame([(n,) for n in lengths], "_n int"), edits, least).select("_n", "_c.lo", "_c.edits").collect()
+    expected = {(n, *of(m)) for n in lengths for m in range(max(n - of(n)[1], least, 1), n + 1)}
+    assert len(got) == len(expected) and {tuple(r) for r in got} == expected
+
+
 @pytest.mark.parametrize("times", [2, 3])
 def test_short_lines_that_stand_often(spark, monkeypatch, times):
     if times == 3:
