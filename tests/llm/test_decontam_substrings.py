@@ -10,6 +10,7 @@ import pytest
 from siltlake.llm import decontam as D
 from siltlake.llm import substrings as S
 from siltlake.llm.arrays import utf8_column, word_hashes, word_table
+from siltlake.llm.blocks import pack_arrays
 
 
 def words(text):
@@ -122,6 +123,67 @@ def test_removed_bytes_against_all_strings(spark, monkeypatch, block_bytes, hot)
     assert removed(spark.createDataFrame(rows, "doc_id long, text string")) == brute_removed(rows)
 
 
+def judged(texts):
+    b = S._Block([pack_arrays(np.arange(len(texts)), np.zeros(len(texts), np.int8), np.array([len(t) for t in texts]), np.frombuffer(b"".join(texts), np.uint8))], S.WIDTH)
+    return b, S.judge_pairs([[b.anchor, b.region, b.smallest, b.before, b.after]])[0]
+
+
+def test_common_grams_are_not_sorted():
+    """Regions of one frequent gram are sorted only where strings of them can
+    be equal: by the size of the input nearly all grams come more than once."""
+    rng = random.Random(4)
+    noise = lambda n: bytes(rng.randrange(97, 123) for _ in range(n))
+    grams = [noise(S.GRAM) for _ in range(100)]
+    b, flags = judged([noise(60) + gram + noise(60) for gram in grams * 50])
+    assert (np.unique(b.anchor, return_counts=True)[1] > 20).sum() > 2  # frequent anchors, in differing regions
+    assert not flags.any()
+
+
+def test_pairs_of_a_message_come_back():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5000):
+        lists = np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)), rng.integers(0, 1 << 63, n).astype(np.uint64), rng.integers(-(1 << 63), 1 << 63, n), rng.integers(0, 1 << 24, n).astype(np.uint32)
+        back = S.unpack_pairs(S.pack_pairs(*lists), "<u8", "<u8", "<i8", "<u4")
+        assert all(a.dtype == b.dtype and (a == b).all() and len(a) == n for a, b in zip(lists, back))
+
+
+def test_every_string_in_common_is_sorted(spark):
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    rows = []
+    for i in range(300):
+        common = noise(50)
+        rows += [(2 * i, noise(70) + "x" + common + "x" + noise(70)), (2 * i + 1, noise(70) + "y" + common + "y" + noise(70))]
+    b, flags = judged([t.encode() for _, t in rows])
+    split = [i for i, (_, t) in enumerate(rows) if any(b.start[k] <= int(b.at[i]) + 71 < b.start[k] + b.count[k] and flags[b.pair[k]] & S.SEND for k in np.flatnonzero(b.doc == i))]
+    assert split == list(range(600))
+    offsets = set()
+    for i in range(0, 600, 2):
+        data = np.frombuffer(rows[i][1][71:121].encode(), np.uint8)
+        (anchor,), grams = (S.regions(data, np.array([0, 50]), width)[0] for width in (S.WIDTH, S.GRAM))
+        offsets.add(grams.tolist().index(anchor))
+    assert offsets == set(range(35))  # the anchor stood at every place of a string
+    assert removed(spark.createDataFrame(rows, "doc_id long, text string")) == brute_removed(rows)
+
+
+def test_line_of_very_many_documents(spark):
+    """Strings of a frequent line in differing surroundings are sent one by
+    one, each distinct one once a block, to the buckets of their hashes."""
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    line = noise(60)
+    rows = [(i, noise(rng.randint(0, 60)) + line + noise(rng.randint(0, 60))) for i in range(1500)]
+    b, flags = judged([t.encode() for _, t in rows])
+    pair, shift, number, hashes, least, at = b.hot_strings(flags, S.WIDTH)
+    assert (flags & S.SPLIT > 0).any() and len(pair) == len(number) > len(hashes) > 0
+    text = b.data.tobytes()
+    assert len({text[x:x + 50] for x in at.tolist()}) == len(at) == len(np.unique(hashes))
+    string = b.start[b.example[pair]] + shift
+    for k in range(0, len(pair), 7):
+        assert text[string[k]:string[k] + 50] == text[at[number[k]]:at[number[k]] + 50] and least[number[k]] <= b.ids[b.doc[b.example[pair[k]]]]
+    assert removed(spark.createDataFrame(rows, "doc_id long, text string")) == brute_removed(rows)
+
+
 def test_long_document_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(S, "_CHUNK", 700)
     rng = random.Random(3)
